@@ -2,3 +2,4 @@
 
 from . import metric_queries  # noqa: F401  (registers on import)
 from .registry import QUERIES, SQL  # noqa: F401
+from . import pairing_queries  # noqa: F401,E402
