@@ -26,7 +26,7 @@ DIGITS = 6
 NUDGE = 1.0 + 1e-12
 LEVELS = [(1e3, 6), (1e4, 5), (1e5, 4), (1e6, 3), (1e7, 2), (1e8, 1), (1e9, 0),
           (1e10, -1), (1e11, -2)]
-LAST_SCALE = -3
+# beyond 1e11: ten significant digits via '%.9e' text, parsed back to DOUBLE
 
 
 def query(name: str, sql: str | None = None):
@@ -64,14 +64,16 @@ def sig_round(c):
     for bound, scale in LEVELS:
         out = (F.when(a < bound, F.round(x, scale)) if out is None
                else out.when(a < bound, F.round(x, scale)))
-    return out.otherwise(F.when(F.isnan(c) | (a == float("inf")), c).otherwise(F.round(x, LAST_SCALE)))
+    return out.otherwise(F.when(F.isnan(c) | (a == float("inf")), c)
+                         .otherwise(F.format_string("%.9e", x).cast("double")))
 
 
 def r6(expr: str) -> str:
     """SQL-side twin of :func:`sig_round` (a lambda binds the value once)."""
     x = f"v * {NUDGE!r}"
     cases = " ".join(f"WHEN abs(v) < {b:.0e} THEN round({x}, {s})" for b, s in LEVELS)
-    body = (f"CASE {cases} WHEN isnan(v) OR isinf(v) THEN v ELSE round({x}, {LAST_SCALE}) END")
+    body = (f"CASE {cases} WHEN isnan(v) OR isinf(v) THEN v "
+            f"ELSE CAST(printf('%.9e', {x}) AS DOUBLE) END")
     return f"list_transform([CAST({expr} AS DOUBLE)], lambda v: {body})[1]"
 
 
