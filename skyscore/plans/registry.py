@@ -60,10 +60,9 @@ def canon(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 def sig_round(c):
     x = c * F.lit(NUDGE)
     a = F.abs(c)
-    out = None
+    out = F.when(c.isNull(), F.lit(None).cast("double"))
     for bound, scale in LEVELS:
-        out = (F.when(a < bound, F.round(x, scale)) if out is None
-               else out.when(a < bound, F.round(x, scale)))
+        out = out.when(a < bound, F.round(x, scale))
     return out.otherwise(F.when(F.isnan(c) | (a == float("inf")), c)
                          .otherwise(F.format_string("%.9e", x).cast("double")))
 
