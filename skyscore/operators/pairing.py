@@ -397,13 +397,14 @@ def pair_data(model: DataFrame, points: DataFrame, var, method: str = "nearest",
     the keys and model variables (J9)."""
     var = [var] if isinstance(var, str) else list(var)
     lat, lon, time = kw.get("lat", "lat"), kw.get("lon", "lon"), kw.get("time", "time")
+    axes = kw.get("axes")
     if method == "nearest":
-        out = pair_nearest(model, points, var, lat, lon, time, how=kw.get("how", "left"))
+        out = pair_nearest(model, points, var, lat, lon, time, how=kw.get("how", "left"), axes=axes)
     elif method in ("bilinear", "interpolate"):
-        out = pair_bilinear(model, points, var, lat, lon, time, how=kw.get("how", "left"))
+        out = pair_bilinear(model, points, var, lat, lon, time, how=kw.get("how", "left"), axes=axes)
     elif method in ("regrid", "conservative"):
         out = regrid(model, points, var, "conservative" if method == "conservative" else kw.get("regrid_method", "bilinear"),
-                     lat, lon, time)
+                     lat, lon, time, axes=axes)
     else:
         raise ValueError(f"unknown pairing method {method!r}")
     if not merge:

@@ -69,7 +69,7 @@ def pair_nearest_stations(spark, sf_dir):
     value at the same month (left join: NULL where that cell-month is absent)."""
     grid = tb.model_grid(spark, sf_dir)
     obs = tb.station_obs(spark, sf_dir)
-    out = pr.pair_nearest(grid, obs, "v")
+    out = pr.pair_nearest(grid, obs, "v", axes=tb.axes10(grid))
     return canon(out.select("site_id", "time", "lat", "lon", "obs", "v"))
 
 
@@ -78,7 +78,7 @@ def pair_bilinear_stations(spark, sf_dir):
     """Bilinear interpolation; NULL unless all four corners exist."""
     grid = tb.model_grid(spark, sf_dir)
     obs = tb.station_obs(spark, sf_dir)
-    out = pr.pair_bilinear(grid, obs, "v")
+    out = pr.pair_bilinear(grid, obs, "v", axes=tb.axes10(grid))
     return canon(out.select("site_id", "time", "lat", "lon", "obs", "v"))
 
 
@@ -90,7 +90,7 @@ def pair_nearest_nomerge(spark, sf_dir):
     site-time; repeated points would repeat the same model value)."""
     grid = tb.model_grid(spark, sf_dir)
     obs = tb.station_obs(spark, sf_dir)
-    out = pr.pair_data(grid, obs, "v", method="nearest", merge=False)
+    out = pr.pair_data(grid, obs, "v", method="nearest", merge=False, axes=tb.axes10(grid))
     return canon(out.distinct())
 
 
@@ -107,7 +107,7 @@ def regrid_bilinear(spark, sf_dir):
     """The 10 deg model onto the 15 deg grid's cells, every month."""
     grid = tb.model_grid(spark, sf_dir)
     target = tb.model_grid(spark, sf_dir, step=15).select("lat", "lon")
-    return canon(pr.regrid(grid, target, "v", "bilinear"))
+    return canon(pr.regrid(grid, target, "v", "bilinear", axes=tb.axes10(grid)))
 
 
 @query("regrid_nearest", f"""WITH {tb.GRID_SQL},
@@ -123,7 +123,7 @@ def regrid_nearest(spark, sf_dir):
     """J4 (nearest): each 15 deg target cell takes its nearest 10 deg cell."""
     grid = tb.model_grid(spark, sf_dir)
     target = tb.model_grid(spark, sf_dir, step=15).select("lat", "lon")
-    return canon(pr.regrid(grid, target, "v", "nearest"))
+    return canon(pr.regrid(grid, target, "v", "nearest", axes=tb.axes10(grid)))
 
 
 _CONS_SQL = f"""WITH {tb.GRID_SQL},
@@ -151,7 +151,7 @@ def regrid_conservative(spark, sf_dir):
     """Area-overlap weighted remap 10 deg -> 15 deg."""
     grid = tb.model_grid(spark, sf_dir)
     target = tb.model_grid(spark, sf_dir, step=15).select("lat", "lon")
-    return canon(pr.regrid(grid, target, "v", "conservative"))
+    return canon(pr.regrid_conservative(grid, target, "v", target_step=(15.0, 15.0), axes=tb.axes10(grid)))
 
 
 _INTERP_SQL = f"""WITH dm AS (
@@ -262,8 +262,9 @@ def combined_model_scores(spark, sf_dir):
     key, then scored per model in one aggregate."""
     grid = tb.model_grid(spark, sf_dir)
     obs = tb.station_obs(spark, sf_dir)
-    both = combine_paired({"nearest": pr.pair_nearest(grid, obs, "v"),
-                           "bilinear": pr.pair_bilinear(grid, obs, "v")}, dim="model")
+    ax = tb.axes10(grid)
+    both = combine_paired({"nearest": pr.pair_nearest(grid, obs, "v", axes=ax),
+                           "bilinear": pr.pair_bilinear(grid, obs, "v", axes=ax)}, dim="model")
     s = compute_statistics(both, ["n", "rmse", "corr"], "obs", "v", by=["model"])
     means = (both.where(F.col("obs").isNotNull() & F.col("v").isNotNull())
                  .groupBy("model").agg(F.avg("v").alias("mean_mod"), F.avg("obs").alias("mean_obs")))

@@ -14,7 +14,8 @@ from .registry import canon, query, r6, ts
 
 
 def _nearest(spark, sf_dir):
-    return pr.pair_nearest(tb.model_grid(spark, sf_dir), tb.station_obs(spark, sf_dir), "v")
+    grid = tb.model_grid(spark, sf_dir)
+    return pr.pair_nearest(grid, tb.station_obs(spark, sf_dir), "v", axes=tb.axes10(grid))
 
 
 @query("plot_spatial_bias", f"""WITH {NEAREST_SQL_CTES}

@@ -70,5 +70,5 @@ def pair_region_scores(spark, sf_dir):
     one grouped aggregate of rmse / mb / r per region (NULL = unlabelled)."""
     grid = tb.model_grid(spark, sf_dir)
     obs = tb.station_obs(spark, sf_dir)
-    paired = label_regions(pr.pair_nearest(grid, obs, "v"), region_table(spark, REGIONS))
+    paired = label_regions(pr.pair_nearest(grid, obs, "v", axes=tb.axes10(grid)), region_table(spark, REGIONS))
     return canon(compute_statistics(paired, ["n", "rmse", "mb", "corr"], "obs", "v", by=["region"]))

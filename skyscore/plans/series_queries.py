@@ -85,7 +85,8 @@ def fss_per_month(spark, sf_dir):
                     (F.lit(-85.0) + 10.0 * ((F.col("l_partkey") + 1) % 18)).alias("lat"),
                     (F.lit(-175.0) + 10.0 * (F.col("l_suppkey") % 36)).alias("lon"), "l_quantity")
             .groupBy("time", "lat", "lon").agg(F.avg("l_quantity").alias("v")))
-    return canon(fractions_skill_score(fc, ob, "v", "v", threshold=26.0, k=1, by=["time"]))
+    return canon(fractions_skill_score(fc, ob, "v", "v", threshold=26.0, k=1, by=["time"],
+                                       axes=tb.axes10(fc)))
 
 
 @query("dedup_first_order", f"""WITH x AS (

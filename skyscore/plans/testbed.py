@@ -19,8 +19,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.pairing import RegularAxis, grid_axes
 from ..session import table_path
 
+# The synthetic model grids are global by construction; their axes are part
+# of the grid's definition (a sparse test table may not hold every value).
+LAT10, LON10 = RegularAxis(-85.0, 10.0, 18), RegularAxis(-175.0, 10.0, 36, periodic=True)
+
+
+def axes10(grid):
+    return grid_axes(grid, lat_axis=LAT10, lon_axis=LON10)
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
