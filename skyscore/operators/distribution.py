@@ -6,11 +6,11 @@ wasserstein (M17)
     absolute difference of the sorted samples when both have n values).
 
     Exact and without sending a group to one task: the values are tallied per
-    distinct (group, value), split into equal-width value buckets whose count
-    grows with the group (``ceil(rows / rows_per_bucket)``), cumulated inside
-    each (group, bucket) with a window, and offset by the prefix sum of the
-    bucket totals (a window over the bucket table, one row per bucket). A hot
-    group is therefore spread over many buckets and many tasks.
+    value, split into equal-width value buckets whose count grows with the
+    group (``ceil(rows / rows_per_bucket)``), cumulated inside each (group,
+    bucket) with a window, and offset by the prefix sum of the bucket totals
+    (a window over the bucket table, one row per bucket). A hot group is
+    therefore spread over many buckets and many tasks.
 
 fractions_skill_score (M16)
     Roberts & Lean (2008): binary exceedance of ``threshold`` per field,
@@ -31,35 +31,42 @@ from .pairing import axis_frame
 
 def wasserstein(df: DataFrame, obs: str, mod: str, by=(), rows_per_bucket: int = 1_000_000,
                 paired: bool = True) -> DataFrame:
-    """M17 per group of ``by``. ``paired`` applies pairwise deletion first."""
-    by = list(by)
-    v = df.where(pairwise_valid(obs, mod)) if paired else df
-    both = v.select(*by, F.col(obs).cast("double").alias("__o"), F.col(mod).cast("double").alias("__m"))
-    tall = (both.select(*by, F.explode(F.array(
-                F.struct(F.col("__o").alias("x"), F.lit(1).alias("co"), F.lit(0).alias("cm")),
-                F.struct(F.col("__m").alias("x"), F.lit(0).alias("co"), F.lit(1).alias("cm")))).alias("e"))
-                .where(F.col("e.x").isNotNull())
-                .groupBy(*by, F.col("e.x").alias("x"))
-                .agg(F.sum("e.co").alias("co"), F.sum("e.cm").alias("cm")))
-    g = tall.groupBy(*by).agg(F.sum("co").alias("no"), F.sum("cm").alias("nm"),
-                              F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("nx"))
-    g = g.withColumn("nb", F.greatest(F.lit(1), F.ceil(F.col("nx") / F.lit(rows_per_bucket))).cast("long"))
+    """M17 per group of ``by``. ``paired`` applies pairwise deletion first.
+
+    Plan: one partial aggregate gives per-group counts and value range; a
+    second one the per-bucket totals (one row per bucket, broadcast by AQE
+    at its measured size); the only full shuffle is the in-bucket window.
+    Three column-pruned scans of the input, no window wider than a bucket."""
     from .stats import join_group_values
-    t = join_group_values(tall, g, by)
+    by = list(by)
+    v = df.where(pairwise_valid(obs, mod)) if paired else df.where(F.col(obs).isNotNull() | F.col(mod).isNotNull())
+    v = v.select(*by, F.col(obs).cast("double").alias("__o"), F.col(mod).cast("double").alias("__m"))
+    g = v.groupBy(*by).agg(F.count("__o").alias("no"), F.count("__m").alias("nm"),
+                           F.least(F.min("__o"), F.min("__m")).alias("lo"),
+                           F.greatest(F.max("__o"), F.max("__m")).alias("hi"))
+    g = g.withColumn("nb", F.greatest(F.lit(1), F.ceil((F.col("no") + F.col("nm")) / F.lit(rows_per_bucket)))
+                     .cast("long"))
     span = F.col("hi") - F.col("lo")
-    b = F.when(span > 0, F.least(F.floor((F.col("x") - F.col("lo")) / span * F.col("nb")),
-                                 F.col("nb") - 1)).otherwise(F.lit(0)).cast("long")
-    t = t.withColumn("b", b)
-    # bucket table: totals, first value, prefix offsets and next bucket's first value
-    bt = t.groupBy(*by, "b").agg(F.sum("co").alias("bco"), F.sum("cm").alias("bcm"), F.min("x").alias("bx"))
+    e = join_group_values(v, g, by).select(*by, "no", "nm", "lo", "hi", "nb", F.explode(F.array(
+        F.struct(F.col("__o").alias("x"), F.lit(1).alias("co"), F.lit(0).alias("cm")),
+        F.struct(F.col("__m").alias("x"), F.lit(0).alias("co"), F.lit(1).alias("cm")))).alias("e"))
+    e = e.where(F.col("e.x").isNotNull()).select(
+        *by, "no", "nm", F.col("e.x").alias("x"), F.col("e.co").alias("co"), F.col("e.cm").alias("cm"),
+        F.when(span > 0, F.least(F.floor((F.col("e.x") - F.col("lo")) / span * F.col("nb")), F.col("nb") - 1))
+         .otherwise(F.lit(0)).cast("long").alias("b"))
+    # bucket table (a partial aggregate, one row per bucket): totals, first
+    # value, prefix offsets and the next bucket's first value
+    bt = e.groupBy(*by, "b").agg(F.sum("co").alias("bco"), F.sum("cm").alias("bcm"), F.min("x").alias("bx"))
     wb = Window.partitionBy(*by).orderBy("b")
     bt = bt.select(*by, "b",
                    (F.sum("bco").over(wb) - F.col("bco")).alias("oo"),
                    (F.sum("bcm").over(wb) - F.col("bcm")).alias("om"),
                    F.lead("bx").over(wb).alias("nbx"))
-    t = t.join(bt, [*by, "b"]) if by else t.join(bt, ["b"])
+    t = join_group_values(e, bt, [*by, "b"]) if by else e.join(F.broadcast(bt), "b")
+    # running counts inside each (group, bucket); tied values need no
+    # pre-aggregation: all but the last of a tie get dx = 0
     wx = Window.partitionBy(*by, "b").orderBy("x")
-    run = Window.partitionBy(*by, "b").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = wx.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     t = t.select(*by, "no", "nm",
                  (F.col("oo") + F.sum("co").over(run)).alias("Co"),
                  (F.col("om") + F.sum("cm").over(run)).alias("Cm"),

@@ -45,26 +45,29 @@ def canon(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = sig_round(c.cast("double"))
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+            c = F.expr(sig_round_sql(f"CAST(`{f.name}` AS DOUBLE)"))
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(f.dataType, T.DecimalType):
-            c = sig_round(c.cast("double"))
         out.append(c.alias(f.name))
     return df.select(*out)
 
 
+def sig_round_sql(v: str) -> str:
+    """Spark SQL text of the canonical rounding of double expression ``v``
+    (one expression per column keeps plan construction cheap)."""
+    x = f"({v} * {NUDGE!r}D)"
+    cases = " ".join(f"WHEN abs({v}) < {b:.0e} THEN round({x}, {s})" for b, s in LEVELS)
+    return (f"CASE WHEN {v} IS NULL THEN CAST(NULL AS DOUBLE) {cases} "
+            f"WHEN isnan({v}) OR abs({v}) = double('Infinity') THEN {v} "
+            f"ELSE CAST(format_string('%.9e', {x}) AS DOUBLE) END")
+
+
 def sig_round(c):
-    x = c * F.lit(NUDGE)
-    a = F.abs(c)
-    out = F.when(c.isNull(), F.lit(None).cast("double"))
-    for bound, scale in LEVELS:
-        out = out.when(a < bound, F.round(x, scale))
-    return out.otherwise(F.when(F.isnan(c) | (a == float("inf")), c)
-                         .otherwise(F.format_string("%.9e", x).cast("double")))
+    """Column form for a named column (see :func:`sig_round_sql`)."""
+    return F.expr(sig_round_sql(c)) if isinstance(c, str) else c
 
 
 def r6(expr: str) -> str:

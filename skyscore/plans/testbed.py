@@ -31,8 +31,17 @@ def axes10(grid):
     return grid_axes(grid, lat_axis=LAT10, lon_axis=LON10)
 
 
+_READS: dict = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Scan of a driver table; the DataFrame (a plan, no data) is reused per
+    session so file listing and footer reads happen once."""
+    key = (id(spark), table_path(sf_dir, name))
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READS[key] = spark.read.parquet(key[1])
+    return df
 
 
 def month(c) -> "F.Column":

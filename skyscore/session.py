@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # no Python call-site capture per Column (plan construction cost)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
