@@ -150,15 +150,13 @@ def align_pressure_units(obs: DataFrame, model: DataFrame, obs_p: str, mod_p: st
 
     If max(model p) < 2000 and max(obs p) > 10000 the obs are in Pa and the
     model in hPa -> obs / 100; the converse multiplies by 100. Two global
-    maxima (one-row frames, broadcast) and a CASE; nothing is collected."""
-    mx = obs.agg(F.max(obs_p).alias("__pmax_o")).crossJoin(
-        model.agg(F.max(mod_p).alias("__pmax_m")))
-    f = (F.when((F.col("__pmax_m") < 2000) & (F.col("__pmax_o") > 10000), F.lit(0.01))
-         .when((F.col("__pmax_o") < 2000) & (F.col("__pmax_m") > 10000), F.lit(100.0))
+    maxima as scalar subqueries and a CASE; nothing is collected."""
+    mo = obs.agg(F.max(obs_p)).scalar()
+    mm = model.agg(F.max(mod_p)).scalar()
+    f = (F.when((mm < 2000) & (mo > 10000), F.lit(0.01))
+         .when((mo < 2000) & (mm > 10000), F.lit(100.0))
          .otherwise(F.lit(1.0)))
-    return (obs.crossJoin(F.broadcast(mx))
-               .withColumn(obs_p, F.col(obs_p) * f)
-               .drop("__pmax_o", "__pmax_m"))
+    return obs.withColumn(obs_p, F.col(obs_p) * f)
 
 
 def area_weight(lat="lat") -> Column:
@@ -184,9 +182,9 @@ def summary_title(df: DataFrame, obs: str, mod: str, title: str, plot_type: str
     from .stats import compute_statistics
     stat = stat or ("mb" if "bias" in plot_type.lower() else "rmse")
     s = compute_statistics(df, [stat], obs, mod)
-    tr = time_range_text(df, time)
-    return s.crossJoin(tr).select(F.concat_ws(
-        " | ", F.lit(title), F.col("time_range"),
+    tr = time_range_text(df, time).scalar()
+    return s.select(F.concat_ws(
+        " | ", F.lit(title), tr,
         F.concat(F.lit(stat.upper() + "="), F.format_string("%.3f", F.col(stat)))).alias("title"))
 
 

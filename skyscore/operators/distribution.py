@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numerics import pairwise_valid, safe_div
-from .pairing import axis_frame
+from .pairing import axis_columns
 
 
 def wasserstein(df: DataFrame, obs: str, mod: str, by=(), rows_per_bucket: int = 1_000_000,
@@ -77,14 +77,14 @@ def wasserstein(df: DataFrame, obs: str, mod: str, by=(), rows_per_bucket: int =
 
 def fractions_skill_score(fcst: DataFrame, obs: DataFrame, var_f: str, var_o: str, threshold: float,
                           k: int = 1, lat: str = "lat", lon: str = "lon", time: str = "time",
-                          by=(), axes: DataFrame | None = None) -> DataFrame:
+                          by=(), axes: dict | None = None) -> DataFrame:
     """M16 per group of ``by`` (keys present in both grids, e.g. time)."""
     by = list(by)
     if axes is None:
-        axes = axis_frame(fcst, lat, "a", periodic=False).crossJoin(axis_frame(fcst, lon, "b", periodic=False))
+        axes = {**axis_columns(fcst, lat, "a", periodic=False), **axis_columns(fcst, lon, "b", periodic=False)}
 
     def ex(df, var, flag):
-        d = df.where(F.col(var) >= threshold).crossJoin(F.broadcast(axes))
+        d = df.where(F.col(var) >= threshold).withColumns(axes)
         return d.select(*by, *([time] if time and time not in by else []),
                         F.round((F.col(lat) - F.col("a0")) / F.col("ad")).cast("int").alias("__i"),
                         F.round((F.col(lon) - F.col("b0")) / F.col("bd")).cast("int").alias("__j"),

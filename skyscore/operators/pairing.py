@@ -38,32 +38,41 @@ class RegularAxis:
     periodic: bool = False
 
 
-def axis_frame(grid: DataFrame, coord: str, prefix: str, spec: RegularAxis | None = None,
-               periodic: bool | None = None) -> DataFrame:
-    """One-row DataFrame ``{prefix}0, {prefix}d, {prefix}n, {prefix}p`` describing a
-    regular axis. Given a spec it is a literal row; otherwise it is inferred
-    from the grid: step = smallest gap between consecutive distinct values
-    (a window over the distinct-axis table, whose size is the axis length,
-    not the data size); n = span / step + 1; periodic when n * step == 360."""
-    spark = grid.sparkSession
+def axis_columns(grid: DataFrame, coord: str, prefix: str, spec: RegularAxis | None = None,
+                 periodic: bool | None = None) -> dict:
+    """Columns ``{prefix}0, {prefix}d, {prefix}n, {prefix}p`` describing a
+    regular axis (first value, step, length, periodic). Given a spec they are
+    literals; otherwise scalar subqueries over the grid (Spark merges them into
+    one subquery, evaluated once): step = smallest gap between consecutive
+    distinct values (a window over the distinct-axis table, whose size is the
+    axis length, not the data size); n = span / step + 1; periodic when
+    n * step == 360."""
     if spec is not None:
-        return spark.range(1).select(
-            F.lit(float(spec.first)).alias(f"{prefix}0"), F.lit(float(spec.step)).alias(f"{prefix}d"),
-            F.lit(int(spec.n)).alias(f"{prefix}n"), F.lit(bool(spec.periodic)).alias(f"{prefix}p"))
+        return {f"{prefix}0": F.lit(float(spec.first)), f"{prefix}d": F.lit(float(spec.step)),
+                f"{prefix}n": F.lit(int(spec.n)), f"{prefix}p": F.lit(bool(spec.periodic))}
     vals = grid.select(F.col(coord).cast("double").alias("x")).distinct()
     gaps = vals.select("x", (F.lead("x").over(Window.orderBy("x")) - F.col("x")).alias("g"))
     a = gaps.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.min("g").alias("step"))
     n = (F.round((F.col("hi") - F.col("lo")) / F.col("step")) + 1).cast("int")
     per = F.abs(n * F.col("step") - 360.0) < 1e-6 if periodic is None else F.lit(bool(periodic))
-    return a.select(F.col("lo").alias(f"{prefix}0"), F.col("step").alias(f"{prefix}d"),
-                    n.alias(f"{prefix}n"), per.alias(f"{prefix}p"))
+    return {f"{prefix}0": a.select("lo").scalar(), f"{prefix}d": a.select("step").scalar(),
+            f"{prefix}n": a.select(n).scalar(), f"{prefix}p": a.select(per).scalar()}
 
 
 def grid_axes(grid: DataFrame, lat: str = "lat", lon: str = "lon",
-              lat_axis: RegularAxis | None = None, lon_axis: RegularAxis | None = None) -> DataFrame:
-    """One-row frame with both axis descriptions (``a*`` = lat, ``b*`` = lon)."""
-    return axis_frame(grid, lat, "a", lat_axis, periodic=False).crossJoin(
-        axis_frame(grid, lon, "b", lon_axis))
+              lat_axis: RegularAxis | None = None, lon_axis: RegularAxis | None = None,
+              lon_periodic: bool | None = None) -> dict:
+    """Both axis descriptions (``a*`` = lat, ``b*`` = lon) as a dict of
+    Columns, attached to rows with ``withColumns`` (scalars, never a join)."""
+    return {**axis_columns(grid, lat, "a", lat_axis, periodic=False),
+            **axis_columns(grid, lon, "b", lon_axis, periodic=lon_periodic)}
+
+
+def axes_row(axes: dict):
+    """The axis description as a Python row (tests / inspection)."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    return spark.range(1).select(*[v.alias(k) for k, v in axes.items()]).first()
 
 
 def _fidx(x: Column, p: str) -> Column:
@@ -80,11 +89,11 @@ def _in_axis(i: Column, p: str) -> Column:
     return (i >= 0) & (i < F.col(f"{p}n"))
 
 
-def indexed_grid(grid: DataFrame, axes: DataFrame, var, lat="lat", lon="lon", time="time") -> DataFrame:
+def indexed_grid(grid: DataFrame, axes: dict, var, lat="lat", lon="lon", time="time") -> DataFrame:
     """Grid rows keyed by integer cell indices ``(time, __i, __j)``."""
     var = [var] if isinstance(var, str) else list(var)
     tcols = [time] if time else []
-    g = grid.crossJoin(F.broadcast(axes))
+    g = grid.withColumns(axes)
     return g.select(*tcols,
                     F.round(_fidx(F.col(lat), "a")).cast("int").alias("__i"),
                     _wrap(F.round(_fidx(F.col(lon), "b")).cast("int"), "b").alias("__j"),
@@ -94,13 +103,13 @@ def indexed_grid(grid: DataFrame, axes: DataFrame, var, lat="lat", lon="lon", ti
 # ---------------------------------------------------------------- nearest
 
 
-def nearest_cells(sites: DataFrame, axes: DataFrame, lat="lat", lon="lon", clamp: bool = True) -> DataFrame:
+def nearest_cells(sites: DataFrame, axes: dict, lat="lat", lon="lon", clamp: bool = True) -> DataFrame:
     """Distinct site coordinates -> nearest cell indices ``__i, __j``.
 
     Nearest = ``floor(fidx + 0.5)`` (ties go to the upper cell). Points beyond
     the grid edge take the edge cell when ``clamp`` (what nearest-neighbour
     interpolation of a bounded grid does); periodic longitudes wrap."""
-    s = sites.select(lat, lon).distinct().crossJoin(F.broadcast(axes))
+    s = sites.select(lat, lon).distinct().withColumns(axes)
     i = F.floor(_fidx(F.col(lat), "a") + 0.5).cast("int")
     j = F.floor(_fidx(F.col(lon), "b") + 0.5).cast("int")
     if clamp:
@@ -113,7 +122,7 @@ def nearest_cells(sites: DataFrame, axes: DataFrame, lat="lat", lon="lon", clamp
 
 
 def pair_nearest(model: DataFrame, points: DataFrame, var, lat="lat", lon="lon", time="time",
-                 how: str = "left", axes: DataFrame | None = None, lat_axis=None, lon_axis=None,
+                 how: str = "left", axes: dict | None = None, lat_axis=None, lon_axis=None,
                  with_cell: bool = False) -> DataFrame:
     """Each point (row of ``points``) takes the value of its nearest
     grid cell at the same time. ``how='left'`` keeps every point (model NULL
@@ -126,7 +135,7 @@ def pair_nearest(model: DataFrame, points: DataFrame, var, lat="lat", lon="lon",
     on = ([time] if time else []) + ["__i", "__j"]
     out = keyed.join(g, on, how)
     if with_cell:
-        out = (out.crossJoin(F.broadcast(axes.select("a0", "ad", "b0", "bd")))
+        out = (out.withColumns({k: axes[k] for k in ("a0", "ad", "b0", "bd")})
                   .withColumn("cell_lat", F.col("a0") + F.col("ad") * F.col("__i"))
                   .withColumn("cell_lon", F.col("b0") + F.col("bd") * F.col("__j"))
                   .drop("a0", "ad", "b0", "bd"))
@@ -136,11 +145,11 @@ def pair_nearest(model: DataFrame, points: DataFrame, var, lat="lat", lon="lon",
 # --------------------------------------------------------------- bilinear
 
 
-def bilinear_corners(sites: DataFrame, axes: DataFrame, lat="lat", lon="lon", keys=()) -> DataFrame:
+def bilinear_corners(sites: DataFrame, axes: dict, lat="lat", lon="lon", keys=()) -> DataFrame:
     """Each distinct site (plus ``keys``) -> its four surrounding cells with
     bilinear weights (explode x4 of the distinct sites only)."""
     keys = list(keys)
-    s = sites.select(*keys, lat, lon).distinct().crossJoin(F.broadcast(axes))
+    s = sites.select(*keys, lat, lon).distinct().withColumns(axes)
     fi, fj = _fidx(F.col(lat), "a"), _fidx(F.col(lon), "b")
     s = s.select(*keys, lat, lon, "ap", "an", "bp", "bn",
                  F.floor(fi).cast("int").alias("__i0"), F.floor(fj).cast("int").alias("__j0"),
@@ -170,7 +179,7 @@ def _blend(corner_vals: DataFrame, group, var) -> DataFrame:
 
 
 def pair_bilinear(model: DataFrame, points: DataFrame, var, lat="lat", lon="lon", time="time",
-                  how: str = "left", axes: DataFrame | None = None, lat_axis=None,
+                  how: str = "left", axes: dict | None = None, lat_axis=None,
                   lon_axis=None) -> DataFrame:
     """Bilinear interpolation of the model to each point at its time."""
     var = [var] if isinstance(var, str) else list(var)
@@ -187,7 +196,7 @@ def pair_bilinear(model: DataFrame, points: DataFrame, var, lat="lat", lon="lon"
 
 
 def regrid(model: DataFrame, target_cells: DataFrame, var, method: str = "bilinear",
-           lat="lat", lon="lon", time="time", axes: DataFrame | None = None) -> DataFrame:
+           lat="lat", lon="lon", time="time", axes: dict | None = None) -> DataFrame:
     """Model onto the target grid's cells for every model time.
 
     Weights are computed once on the distinct target cells (small), then one
@@ -209,7 +218,7 @@ def regrid(model: DataFrame, target_cells: DataFrame, var, method: str = "biline
 
 
 def regrid_conservative(model: DataFrame, target_cells: DataFrame, var, lat="lat", lon="lon",
-                        time="time", target_step=None, axes: DataFrame | None = None) -> DataFrame:
+                        time="time", target_step=None, axes: dict | None = None) -> DataFrame:
     """Area-conservative remap. Target cell = ``lat +- dlat/2`` x
     ``lon +- dlon/2`` (``target_step=(dlat, dlon)``, inferred from the target
     cells when omitted). Weight of a source cell = overlap width in longitude
@@ -217,12 +226,12 @@ def regrid_conservative(model: DataFrame, target_cells: DataFrame, var, lat="lat
     sum(w v) / sum(w) over source cells holding a value."""
     var = [var] if isinstance(var, str) else list(var)
     axes = axes if axes is not None else grid_axes(model, lat, lon)
-    tax = grid_axes(target_cells, lat, lon) if target_step is None else \
-        target_cells.sparkSession.range(1).select(F.lit(float(target_step[0])).alias("ad"),
-                                                  F.lit(float(target_step[1])).alias("bd"))
-    tax = tax.select(F.col("ad").alias("tad"), F.col("bd").alias("tbd"))
-    t = (target_cells.select(lat, lon).distinct()
-         .crossJoin(F.broadcast(axes)).crossJoin(F.broadcast(tax)))
+    if target_step is None:
+        ta = grid_axes(target_cells, lat, lon)
+        tax = {"tad": ta["ad"], "tbd": ta["bd"]}
+    else:
+        tax = {"tad": F.lit(float(target_step[0])), "tbd": F.lit(float(target_step[1]))}
+    t = target_cells.select(lat, lon).distinct().withColumns({**axes, **tax})
     tlo_a, thi_a = F.col(lat) - F.col("tad") / 2, F.col(lat) + F.col("tad") / 2
     tlo_b, thi_b = F.col(lon) - F.col("tbd") / 2, F.col(lon) + F.col("tbd") / 2
     # candidate source indices: every source cell whose interval may touch
@@ -418,8 +427,8 @@ def sort_by_time(df: DataFrame, time: str = "time", within_partitions: bool = Fa
     return df.sortWithinPartitions(time) if within_partitions else df.orderBy(time)
 
 
-def valid_time_table(spark, cycles: DataFrame, leads: DataFrame, cycle="cycle", lead="lead_h") -> DataFrame:
-    """Cycles x lead hours (both tiny, proven small by their
-    definition as configuration lists) -> valid times."""
-    return cycles.crossJoin(F.broadcast(leads)).withColumn(
-        "time", F.col(cycle) + F.make_interval(hours=F.col(lead).cast("int")))
+def valid_time_table(cycles: DataFrame, leads, cycle="cycle", lead="lead_h") -> DataFrame:
+    """Every forecast cycle with every lead hour of the configuration
+    list (an ``explode`` of the literal list, no join) -> valid times."""
+    return (cycles.withColumn(lead, F.explode(F.array(*[F.lit(int(h)) for h in leads])))
+                  .withColumn("time", F.col(cycle) + F.make_interval(hours=F.col(lead))))

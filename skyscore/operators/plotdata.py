@@ -70,13 +70,12 @@ def scatter_density(df: DataFrame, obs: str, mod: str, bins: int = 50, lo=None,
                     by=()) -> DataFrame:
     """V4 at scale: 2-D histogram of (obs, model) with ``bins`` x ``bins``
     equal-width cells between ``lo`` and ``hi`` (global min/max of both
-    when omitted, taken from a one-row aggregate)."""
+    when omitted, taken from a one-row aggregate as scalar subqueries)."""
     v = df.where(pairwise_valid(obs, mod))
     if lo is None or hi is None:
         rng = v.agg(F.least(F.min(obs), F.min(mod)).alias("__lo"),
                     F.greatest(F.max(obs), F.max(mod)).alias("__hi"))
-        v = v.crossJoin(F.broadcast(rng))
-        lo_c, hi_c = F.col("__lo"), F.col("__hi")
+        lo_c, hi_c = rng.select("__lo").scalar(), rng.select("__hi").scalar()
     else:
         lo_c, hi_c = F.lit(float(lo)), F.lit(float(hi))
     width = (hi_c - lo_c) / bins

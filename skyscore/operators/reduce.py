@@ -94,8 +94,8 @@ def spatial_mean(df: DataFrame, lat: str = "lat", lon: str = "lon", dims=None, v
 
 def constant_line(df: DataFrame, axis: DataFrame, var: str) -> DataFrame:
     """A13 without a time dim: the overall mean repeated along ``axis``
-    (one-row aggregate cross-joined, broadcast by construction)."""
-    return axis.crossJoin(F.broadcast(df.agg(F.avg(var).alias(var))))
+    (a scalar subquery, evaluated once)."""
+    return axis.withColumn(var, df.agg(F.avg(var)).scalar())
 
 
 def multi_reduction(df: DataFrame, methods, dim=None, dims=None, values=None) -> DataFrame:

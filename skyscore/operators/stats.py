@@ -32,9 +32,10 @@ def join_group_values(df: DataFrame, small: DataFrame, keys: list[str]) -> DataF
     """Attach per-group columns of ``small`` (one row per key) to ``df``.
 
     Null-safe on the keys (a NULL region is a group of its own). Without keys
-    ``small`` has exactly one row, so broadcasting it is safe at any scale."""
+    ``small`` has exactly one row: its columns become scalar subqueries
+    (evaluated once, inlined as constants), no join at all."""
     if not keys:
-        return df.crossJoin(F.broadcast(small))
+        return df.withColumns({c: small.select(c).scalar() for c in small.columns})
     ren = {k: f"__key_{i}" for i, k in enumerate(keys)}
     small = small.withColumnsRenamed(ren)
     cond = [df[k].eqNullSafe(small[ren[k]]) for k in keys]

@@ -145,7 +145,7 @@ def plot_title(spark, sf_dir):
     bias plot)."""
     paired = _nearest(spark, sf_dir)
     t = summary_title(paired, "obs", "v", "Stations vs model", plot_type="spatial_bias")
-    return t.crossJoin(time_range_text(paired))
+    return t.withColumn("time_range", time_range_text(paired).scalar())
 
 
 # ------------------------------------------------------------------ profiles

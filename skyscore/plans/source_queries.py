@@ -132,3 +132,39 @@ def stream_pair_orders(spark, sf_dir):
                                  RegularAxis(-85.0, 10.0, 18), RegularAxis(-175.0, 10.0, 36, periodic=True))
     out = run_to_table(paired.select("o_orderkey", "site_id", "time", "lat", "lon", "obs", "v"))
     return canon(out)
+
+
+@query("valid_times_from_cycles", f"""WITH cyc AS (SELECT DISTINCT date_trunc('day', ts) AS cycle FROM events),
+vt AS (SELECT cycle, lead_h, cycle + to_hours(lead_h) AS time
+       FROM cyc, (SELECT unnest([0, 3, 6, 9, 12, 15, 18, 21]) AS lead_h)),
+ev AS (SELECT time_bucket(INTERVAL '3 hours', ts) AS time, count(*) AS n FROM events GROUP BY 1)
+SELECT {ts('vt.cycle')} AS cycle, vt.lead_h, {ts('vt.time')} AS time, coalesce(ev.n, 0) AS n
+FROM vt LEFT JOIN ev ON vt.time = ev.time""")
+def valid_times_from_cycles(spark, sf_dir):
+    """Forecast cycles (one per day of the event store) x the lead
+    hours of the configuration give the valid times; each gets the number of
+    events in its 3-hour slot."""
+    from ..operators.pairing import valid_time_table
+    e = tb.events(spark, sf_dir)
+    cycles = e.select(F.date_trunc("day", "time").alias("cycle")).distinct()
+    vt = valid_time_table(cycles, [0, 3, 6, 9, 12, 15, 18, 21])
+    slots = e.groupBy(F.window("time", "3 hours").start.alias("time")).agg(F.count(F.lit(1)).alias("n"))
+    out = vt.join(slots, "time", "left").select("cycle", F.col("lead_h").cast("int").alias("lead_h"), "time",
+                                                F.coalesce("n", F.lit(0)).alias("n"))
+    return canon(out)
+
+
+@query("conform_subset", f"""WITH {tb.GRID_SQL},
+tr AS (SELECT time, dense_rank() OVER (ORDER BY time) - 1 AS ix FROM (SELECT DISTINCT time FROM grid))
+SELECT {ts('g.time')} AS time, {r6('g.lat')} AS lat, {r6('g.lon')} AS lon, {r6('g.v * 2.0 + 1.0')} AS quantity
+FROM grid g JOIN tr ON g.time = tr.time
+WHERE tr.ix < 12 AND g.lat IN (-45.0, 5.0, 55.0)""")
+def conform_subset(spark, sf_dir):
+    """P1-P3 + F1-F3: positional time subset (first 12 model times), label
+    selection on lat, rename v -> quantity, scale x2 then offset +1; the
+    subset keys may use the old or the new names."""
+    from ..operators.conform import conform
+    g = tb.model_grid(spark, sf_dir)
+    out = conform(g, rename_map={"v": "quantity"}, scale_map={"quantity": 2.0}, offset_map={"quantity": 1.0},
+                  isel_map={"time": slice(0, 12)}, sel_map={"lat": [-45.0, 5.0, 55.0]})
+    return canon(out.select("time", "lat", "lon", "quantity"))

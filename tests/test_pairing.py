@@ -112,7 +112,7 @@ def test_curvilinear_matches_brute_force(spark):
 
 def test_inferred_axes(spark):
     g = grid(spark, lambda la, lo: 0.0)
-    a = pr.grid_axes(g).first()
+    a = pr.axes_row(pr.grid_axes(g))
     assert (a["a0"], a["ad"], a["an"], a["ap"]) == (-85.0, 10.0, 18, False)
     assert (a["b0"], a["bd"], a["bn"], a["bp"]) == (-175.0, 10.0, 36, True)
 
