@@ -48,13 +48,22 @@ def month(c) -> "F.Column":
     return F.date_trunc("month", F.col(c).cast("timestamp"))
 
 
-def supplier_regions(spark, sf_dir) -> DataFrame:
-    """supplier -> nation -> region label (region and nation are tiny)."""
+def nation_regions(spark, sf_dir) -> DataFrame:
+    """nation -> region label (both tiny reference tables)."""
     nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = read(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("region"))
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "region")
+
+
+def with_supplier_region(df: DataFrame, spark, sf_dir) -> DataFrame:
+    """Fact rows -> supplier (join on the supplier key) -> nation/region label.
+    Joining the fact table to one dimension at a time keeps the planner's
+    size estimates sane (a pre-joined dimension chain is estimated as the
+    product of its inputs and would make the fact side look smaller)."""
     sup = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nr = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "region")
-    return sup.join(nr, sup.s_nationkey == nr.n_nationkey).select("s_suppkey", "region")
+    x = df.join(sup, df.l_suppkey == sup.s_suppkey).drop("s_suppkey")
+    nr = nation_regions(spark, sf_dir)
+    return x.join(nr, x.s_nationkey == nr.n_nationkey).drop("s_nationkey", "n_nationkey")
 
 
 def pairs(spark, sf_dir, with_region: bool = False) -> DataFrame:
@@ -70,7 +79,7 @@ def pairs(spark, sf_dir, with_region: bool = False) -> DataFrame:
         (o * (1 - F.col("l_discount"))).alias("m2"),
     )
     if with_region:
-        df = df.join(supplier_regions(spark, sf_dir), df.l_suppkey == F.col("s_suppkey")).drop("s_suppkey")
+        df = with_supplier_region(df, spark, sf_dir)
     return df
 
 
