@@ -314,26 +314,54 @@ def pair_interp_time(model: DataFrame, points: DataFrame, var, time: str = "time
 
 def pair_asof(points: DataFrame, model: DataFrame, var, time: str = "time", keys=(),
               tolerance_seconds: int = 3600, how: str = "left", model_time_col: str = "model_time") -> DataFrame:
-    """Each point takes the model row with the nearest time within
-    ``tolerance`` (same ``keys``). Bucketed equi join: a point in bucket b
-    meets model rows of buckets b-1, b, b+1 (width = tolerance), so the
-    candidate set per point is bounded by the model rows inside 3 buckets
-    (no cross product). Ties: the earlier model time wins."""
+    """Each point takes the model row nearest in time within
+    ``tolerance`` (same ``keys``); ties go to the earlier model time.
+
+    A merge-style as-of join that never emits candidate pairs:
+
+    1. model rows are reduced to one per (keys, time) (``min`` of a struct,
+       a partial aggregate);
+    2. points and model rows are unioned and sorted inside (keys, time
+       bucket) partitions of width ``tolerance``; a forward fill (``last``
+       ignoring nulls) gives each point its previous model row and a backward
+       fill (``first``) its next one in the bucket;
+    3. the last / first model row of the neighbouring buckets (one row per
+       key and bucket) covers points near a bucket edge -- nothing farther
+       than one bucket can be within the tolerance.
+
+    Work per point is constant; a key with many rows is split by time bucket."""
     keys = list(keys)
     var = [var] if isinstance(var, str) else list(var)
-    width = tolerance_seconds * 1e6
-    p = points.select(*keys, time).distinct().withColumn(
-        "__b", F.floor(F.unix_micros(time) / width).cast("long"))
-    p = p.select("*", F.explode(F.array(F.col("__b") - 1, F.col("__b"), F.col("__b") + 1)).alias("__mb"))
-    m = model.select(*keys, F.col(time).alias("__mt"), *var).withColumn(
-        "__mb", F.floor(F.unix_micros("__mt") / width).cast("long"))
-    dt = F.abs(F.unix_micros(time) - F.unix_micros("__mt"))
-    c = p.join(m, keys + ["__mb"]).where(dt <= tolerance_seconds * 1000000)
-    best = c.groupBy(*keys, time).agg(F.min(F.struct(dt.alias("dt"), F.col("__mt").alias("mt"),
-                                                     *[F.col(v).alias(v) for v in var])).alias("__best"))
-    best = best.select(*keys, time, F.col("__best.mt").alias(model_time_col),
-                       *[F.col(f"__best.{v}").alias(v) for v in var])
-    return points.join(best, keys + [time], how)
+    width = tolerance_seconds * 1_000_000
+    bucket = lambda c: F.floor(F.unix_micros(c) / F.lit(width)).cast("long")
+    mrow = F.struct(F.col(time).alias("mt"), *[F.col(v) for v in var])
+    m = model.select(*keys, F.col(time).alias("__t"), mrow.alias("__m")).where(F.col("__t").isNotNull())
+    m = m.groupBy(*keys, "__t").agg(F.min("__m").alias("__m"))
+    mtype = m.schema["__m"].dataType
+    p = points.select(*keys, F.col(time).alias("__t")).distinct().where(F.col("__t").isNotNull())
+    u = (m.withColumn("__pt", F.lit(False))
+          .unionByName(p.withColumn("__m", F.lit(None).cast(mtype)).withColumn("__pt", F.lit(True)))
+          .withColumn("__b", bucket("__t")))
+    w = Window.partitionBy(*keys, "__b").orderBy("__t", "__pt")
+    u = u.select(*keys, "__t", "__b", "__pt",
+                 F.last("__m", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("__prev"),
+                 F.first("__m", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("__next"))
+    pts = u.where("__pt").drop("__pt")
+    edges = m.withColumn("__b", bucket("__t")).groupBy(*keys, "__b").agg(
+        F.max("__m").alias("__last"), F.min("__m").alias("__first"))
+    before = edges.select(*keys, (F.col("__b") + 1).alias("__b"), "__last")
+    after = edges.select(*keys, (F.col("__b") - 1).alias("__b"), "__first")
+    pts = pts.join(before, keys + ["__b"], "left").join(after, keys + ["__b"], "left")
+    tol = tolerance_seconds * 1_000_000
+
+    def cand(c):
+        dt = F.abs(F.unix_micros("__t") - F.unix_micros(F.col(c)["mt"]))
+        return F.when(F.col(c).isNotNull() & (dt <= tol), F.struct(dt.alias("dt"), F.col(c).alias("m")))
+    best = F.least(*[cand(c) for c in ("__prev", "__next", "__last", "__first")])
+    out = pts.select(*keys, F.col("__t").alias(time), best.alias("__best"))
+    out = out.select(*keys, time, F.col("__best.m.mt").alias(model_time_col),
+                     *[F.col(f"__best.m.{v}").alias(v) for v in var])
+    return points.join(out, keys + [time], how)
 
 
 # ----------------------------------------------------- curvilinear nearest

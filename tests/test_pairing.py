@@ -122,3 +122,19 @@ def test_suffixes_and_merge(spark):
     b = spark.createDataFrame([(1, 3.0)], "k int, v double")
     s, t = pr.suffix_clashes(a, b, ["k"])
     assert s.columns == ["k", "v_source"] and t.columns == ["k", "v_target"]
+
+
+def test_asof_matches_brute_force(spark):
+    rnd = random.Random(9)
+    model = [(rnd.randint(0, 2), T0 + dt.timedelta(minutes=rnd.randint(0, 600)), float(rnd.randint(0, 5)))
+             for _ in range(300)]
+    pts = [(rnd.randint(0, 2), T0 + dt.timedelta(minutes=rnd.randint(-60, 660))) for _ in range(200)]
+    mdf = spark.createDataFrame(model, "k int, time timestamp, v double")
+    pdf = spark.createDataFrame(pts, "k int, time timestamp")
+    got = {(r["k"], r["time"]): (r["model_time"], r["v"])
+           for r in pr.pair_asof(pdf, mdf, "v", keys=["k"], tolerance_seconds=1200).collect()}
+    for k, t in pts:
+        cands = [(abs((mt - t).total_seconds()), mt, v) for kk, mt, v in model
+                 if kk == k and abs((mt - t).total_seconds()) <= 1200]
+        exp = (min(cands)[1], min(cands)[2]) if cands else (None, None)
+        assert got[(k, t)] == exp
