@@ -37,6 +37,9 @@ _READS: dict = {}
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of a driver table; the DataFrame (a plan, no data) is reused per
     session so file listing and footer reads happen once."""
+    # time keys are UTC instants; the oracle renders them in UTC too
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = (id(spark), table_path(sf_dir, name))
     df = _READS.get(key)
     if df is None or df.sparkSession is not spark:
