@@ -427,23 +427,68 @@ def suffix_clashes(source: DataFrame, target: DataFrame, keys, suffix_source: st
     return source, target
 
 
+def _interp_time_at_cells(model: DataFrame, axes: dict, var, site_cells: DataFrame, points: DataFrame,
+                          lat, lon, time, bucket_seconds: int) -> DataFrame:
+    """Model series of each needed cell interpolated in time to the points'
+    times: keys are the integer cell indices, so every cell is one series."""
+    g = indexed_grid(model, axes, var, lat, lon, time)
+    need = points.select(lat, lon, time).distinct().join(site_cells, [lat, lon])
+    cells = need.select("__i", "__j").distinct()
+    g = g.join(cells, ["__i", "__j"], "left_semi")
+    per_cell = pair_interp_time(g, need.select("__i", "__j", time).distinct(), var, time=time,
+                                keys=["__i", "__j"], bucket_seconds=bucket_seconds, how="inner")
+    return need.join(per_cell, ["__i", "__j", time], "left")
+
+
 def pair_data(model: DataFrame, points: DataFrame, var, method: str = "nearest", merge: bool = True,
-              interp_time: bool = False, **kw) -> DataFrame:
-    """Entry point mirroring ``pair_data``: ``method`` in nearest / bilinear /
-    interpolate (= bilinear) / regrid / conservative; ``merge=False`` keeps only
-    the keys and model variables (J9)."""
+              interp_time: bool = False, suffix_source: str = "_source", suffix_target: str = "_target",
+              time_trunc: str | None = None, bucket_seconds: int = 86400, **kw) -> DataFrame:
+    """Entry point mirroring ``pair_data``.
+
+    ``method``: nearest / bilinear / interpolate (= bilinear) / regrid /
+    conservative. ``interp_time``: model values are linearly interpolated in
+    time to each observation time (per cell, before the spatial blend)
+    instead of matched on equal time. ``time_trunc`` (e.g. 'hour') matches
+    observations to the model time their time truncates to. Name clashes
+    between observation columns and model variables get ``suffix_target`` /
+    ``suffix_source`` (J10). ``merge=False`` keeps only keys and model
+    variables (J9)."""
     var = [var] if isinstance(var, str) else list(var)
     lat, lon, time = kw.get("lat", "lat"), kw.get("lon", "lon"), kw.get("time", "time")
-    axes = kw.get("axes")
-    if method == "nearest":
-        out = pair_nearest(model, points, var, lat, lon, time, how=kw.get("how", "left"), axes=axes)
+    how = kw.get("how", "left")
+    keys = [time, lat, lon]
+    clash = [v for v in var if v in points.columns and v not in keys]
+    if clash:
+        points = points.withColumnsRenamed({v: f"{v}{suffix_target}" for v in clash})
+        model = model.withColumnsRenamed({v: f"{v}{suffix_source}" for v in clash})
+        var = [f"{v}{suffix_source}" if v in clash else v for v in var]
+    axes = kw.get("axes") or grid_axes(model, lat, lon, kw.get("lat_axis"), kw.get("lon_axis"))
+    match_time = time
+    if time_trunc and method not in ("regrid", "conservative"):
+        points = points.withColumn("__tmatch", F.date_trunc(time_trunc, F.col(time)))
+        model = model.withColumnRenamed(time, "__tmatch")
+        match_time = "__tmatch"
+    if method in ("regrid", "conservative"):
+        out = regrid(model, points, var, "conservative" if method == "conservative"
+                     else kw.get("regrid_method", "bilinear"), lat, lon, time, axes=axes)
+    elif interp_time and method == "nearest":
+        cells = nearest_cells(points, axes, lat, lon)
+        vals = _interp_time_at_cells(model, axes, var, cells, points, lat, lon, match_time, bucket_seconds)
+        out = points.join(vals.drop("__i", "__j"), [lat, lon, match_time], how)
+    elif interp_time and method in ("bilinear", "interpolate"):
+        corners = bilinear_corners(points, axes, lat, lon).where("__ok")
+        vals = _interp_time_at_cells(model, axes, var, corners.select(lat, lon, "__i", "__j").distinct(),
+                                     points, lat, lon, match_time, bucket_seconds)
+        vals = vals.join(corners.select(lat, lon, "__i", "__j", "__w"), [lat, lon, "__i", "__j"])
+        out = points.join(_blend(vals, [match_time, lat, lon], var), [match_time, lat, lon], how)
+    elif method == "nearest":
+        out = pair_nearest(model, points, var, lat, lon, match_time, how=how, axes=axes)
     elif method in ("bilinear", "interpolate"):
-        out = pair_bilinear(model, points, var, lat, lon, time, how=kw.get("how", "left"), axes=axes)
-    elif method in ("regrid", "conservative"):
-        out = regrid(model, points, var, "conservative" if method == "conservative" else kw.get("regrid_method", "bilinear"),
-                     lat, lon, time, axes=axes)
+        out = pair_bilinear(model, points, var, lat, lon, match_time, how=how, axes=axes)
     else:
         raise ValueError(f"unknown pairing method {method!r}")
+    if match_time != time:
+        out = out.drop(match_time)
     if not merge:
         keys = [c for c in (time, lat, lon) if c in out.columns]
         out = out.select(*keys, *var)

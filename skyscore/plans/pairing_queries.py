@@ -269,3 +269,43 @@ def combined_model_scores(spark, sf_dir):
     means = (both.where(F.col("obs").isNotNull() & F.col("v").isNotNull())
                  .groupBy("model").agg(F.avg("v").alias("mean_mod"), F.avg("obs").alias("mean_obs")))
     return canon(s.join(means, "model"))
+
+
+_SPACE_TIME_SQL = f"""WITH {tb.GRID_SQL},
+{tb.STATIONS_SQL},
+{_G_IDX},
+ob AS (SELECT o.o_orderkey, s.site_id, o.o_orderdate AS time, s.lat, s.lon, o.o_totalprice AS obs
+       FROM orders o JOIN stations s ON o.o_custkey = s.site_id),
+c AS (SELECT DISTINCT lat, lon,
+         least(greatest(CAST(floor((lat - (-85.0)) / 10.0 + 0.5) AS INTEGER), 0), 17) AS i,
+         CAST((((floor((lon - (-175.0)) / 10.0 + 0.5)) % 36) + 36) % 36 AS INTEGER) AS j
+      FROM ob),
+need AS (SELECT DISTINCT c.i, c.j, ob.time FROM ob JOIN c ON ob.lat = c.lat AND ob.lon = c.lon),
+ax AS (SELECT i, j, time AS t0, lead(time) OVER (PARTITION BY i, j ORDER BY time) AS t1
+       FROM (SELECT DISTINCT i, j, time FROM gidx)),
+br AS (SELECT need.i, need.j, need.time, ax.t0, ax.t1 FROM need JOIN ax
+       ON need.i = ax.i AND need.j = ax.j AND ax.t0 <= need.time
+      AND (need.time < ax.t1 OR (ax.t1 IS NULL AND need.time = ax.t0))),
+iv AS (SELECT br.i, br.j, br.time,
+         CASE WHEN br.time = br.t0 THEN g0.v
+              ELSE g0.v + (g1.v - g0.v) * (CAST(epoch_us(br.time) - epoch_us(br.t0) AS DOUBLE)
+                                          / CAST(epoch_us(br.t1) - epoch_us(br.t0) AS DOUBLE)) END AS v
+       FROM br LEFT JOIN gidx g0 ON g0.i = br.i AND g0.j = br.j AND g0.time = br.t0
+       LEFT JOIN gidx g1 ON g1.i = br.i AND g1.j = br.j AND g1.time = br.t1)
+SELECT ob.o_orderkey, ob.site_id, {ts('ob.time')} AS time, {r6('ob.obs')} AS obs, {r6('iv.v')} AS v
+FROM ob JOIN c ON ob.lat = c.lat AND ob.lon = c.lon
+LEFT JOIN iv ON iv.i = c.i AND iv.j = c.j AND iv.time = ob.time"""
+
+
+@query("pair_nearest_interp_time", _SPACE_TIME_SQL)
+def pair_nearest_interp_time(spark, sf_dir):
+    """J1 + J7 (``interp_time``): every order at its station and exact order
+    date, paired with the nearest cell's monthly model series interpolated
+    linearly to that date (NULL after the cell's last month)."""
+    grid = tb.model_grid(spark, sf_dir)
+    o = tb.read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("site_id"), F.col("o_orderdate").cast("timestamp").alias("time"),
+        F.col("o_totalprice").alias("obs"))
+    obs = o.join(tb.stations(spark, sf_dir), "site_id")
+    out = pr.pair_data(grid, obs, "v", method="nearest", interp_time=True, axes=tb.axes10(grid))
+    return canon(out.select("o_orderkey", "site_id", "time", "obs", "v"))

@@ -138,3 +138,23 @@ def test_asof_matches_brute_force(spark):
                  if kk == k and abs((mt - t).total_seconds()) <= 1200]
         exp = (min(cands)[1], min(cands)[2]) if cands else (None, None)
         assert got[(k, t)] == exp
+
+
+def test_pair_data_interp_time_and_suffix(spark):
+    t1 = T0 + dt.timedelta(hours=6)
+    g = grid(spark, lambda la, lo: 2.0 * la + lo, times=(T0,)).unionByName(
+        grid(spark, lambda la, lo: 2.0 * la + lo + 6.0, times=(t1,)))
+    pts = spark.createDataFrame([(T0 + dt.timedelta(hours=3), 1.0, 2.0, 99.0)],
+                                "time timestamp, lat double, lon double, v double")
+    for method in ("nearest", "bilinear"):
+        r = pr.pair_data(g, pts, "v", method=method, interp_time=True, bucket_seconds=3600).first()
+        assert r["v_target"] == 99.0                       # obs column renamed
+        exp = (2.0 * 5.0 + 5.0 + 3.0) if method == "nearest" else (2.0 * 1.0 + 2.0 + 3.0)
+        assert r["v_source"] == pytest.approx(exp), method
+
+
+def test_pair_data_time_trunc(spark):
+    g = grid(spark, lambda la, lo: 4.0)
+    pts = points(spark, [(1.0, 1.0)], t=T0 + dt.timedelta(minutes=40))
+    assert pr.pair_data(g, pts, "v", time_trunc="hour").first()["v"] == 4.0
+    assert pr.pair_data(g, pts, "v").first()["v"] is None
