@@ -12,9 +12,9 @@ The reference is batch only; these are the incremental equivalents:
 * X4 ``stream_dedup``: ``dropDuplicatesWithinWatermark``.
 
 ``run_to_table`` drives a query to completion with ``availableNow`` (all data
-present, then stop) and returns the result as a batch DataFrame; its
-checkpoint lives under the shared ``spark.checkpoint.dir``, so a restarted
-driver resumes rather than recomputes.
+present, then stop) into the file sink and returns the result as a batch
+DataFrame; output and checkpoint live under the shared
+``spark.checkpoint.dir``, so a restarted driver resumes rather than recomputes.
 """
 
 from __future__ import annotations
@@ -96,20 +96,23 @@ def stream_dedup(stream: DataFrame, keys, time: str = "time", watermark: str = "
 
 
 def run_to_table(df: DataFrame, name: str | None = None, output_mode: str = "append") -> DataFrame:
-    """Run a streaming DataFrame to completion (``availableNow``) into an
-    in-memory table and return it as a batch DataFrame. For large outputs use
-    ``foreachBatch`` / a file sink instead; the memory sink is for small
-    results (window statistics)."""
+    """Run a streaming DataFrame to completion (``availableNow``) and return
+    its output as a batch DataFrame. The output goes to the exactly-once
+    Parquet file sink under the shared ``spark.checkpoint.dir`` (nothing is
+    gathered on the driver), next to the query's checkpoint, so a restarted
+    driver resumes the same query."""
     spark = df.sparkSession
     name = name or f"stream_{uuid.uuid4().hex[:12]}"
-    ck = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
-    q = (df.writeStream.format("memory").queryName(name).outputMode(output_mode)
-           .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    base = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    q = (df.writeStream.format("parquet").outputMode(output_mode)
+           .option("path", os.path.join(base, "out"))
+           .option("checkpointLocation", os.path.join(base, "checkpoint"))
+           .trigger(availableNow=True).start())
     q.awaitTermination()
     exc = q.exception()
     if exc is not None:
         raise RuntimeError(str(exc))
-    return spark.table(name)
+    return spark.read.schema(df.schema).parquet(os.path.join(base, "out"))
 
 
 def run_to_files(df: DataFrame, path: str, fmt: str = "parquet", output_mode: str = "append") -> str:
