@@ -159,6 +159,12 @@ ALIASES: dict[str, str] = {
 }
 
 register(Metric("n", _n, lambda a: a("_n"), doc="number of valid pairs", dtype="bigint"))
+register(Metric("mean_obs", lambda x: {"_mo": F.avg(x.o)}, lambda a: a("_mo"),
+                waggs=_wmean(lambda x: x.o, "_swo"), wfinal=lambda a: safe_div(a("_swo"), a("_sw")),
+                doc="mean observation over the valid pairs"))
+register(Metric("mean_mod", lambda x: {"_mm": F.avg(x.m)}, lambda a: a("_mm"),
+                waggs=_wmean(lambda x: x.m, "_swm"), wfinal=lambda a: safe_div(a("_swm"), a("_sw")),
+                doc="mean model value over the valid pairs"))
 register(Metric("rmse", lambda x: {"_msd": F.avg(_SQ(x))}, lambda a: F.sqrt(a("_msd")),
                 waggs=_wmean(_SQ, "_swdd"), wfinal=lambda a: F.sqrt(safe_div(a("_swdd"), a("_sw"))),
                 doc="root mean square error"))

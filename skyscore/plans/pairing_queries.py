@@ -265,10 +265,8 @@ def combined_model_scores(spark, sf_dir):
     ax = tb.axes10(grid)
     both = combine_paired({"nearest": pr.pair_nearest(grid, obs, "v", axes=ax),
                            "bilinear": pr.pair_bilinear(grid, obs, "v", axes=ax)}, dim="model")
-    s = compute_statistics(both, ["n", "rmse", "corr"], "obs", "v", by=["model"])
-    means = (both.where(F.col("obs").isNotNull() & F.col("v").isNotNull())
-                 .groupBy("model").agg(F.avg("v").alias("mean_mod"), F.avg("obs").alias("mean_obs")))
-    return canon(s.join(means, "model"))
+    return canon(compute_statistics(both, ["n", "mean_mod", "mean_obs", "rmse", "corr"], "obs", "v",
+                                    by=["model"]))
 
 
 _SPACE_TIME_SQL = f"""WITH {tb.GRID_SQL},
