@@ -39,6 +39,9 @@ def wasserstein(df: DataFrame, obs: str, mod: str, by=(), rows_per_bucket: int =
     Three column-pruned scans of the input, no window wider than a bucket."""
     from .stats import join_group_values
     by = list(by)
+    glob = not by
+    if glob:  # one group: a constant key keeps every step a keyed join
+        df, by = df.withColumn("__all", F.lit(0)), ["__all"]
     v = df.where(pairwise_valid(obs, mod)) if paired else df.where(F.col(obs).isNotNull() | F.col(mod).isNotNull())
     v = v.select(*by, F.col(obs).cast("double").alias("__o"), F.col(mod).cast("double").alias("__m"))
     g = v.groupBy(*by).agg(F.count("__o").alias("no"), F.count("__m").alias("nm"),
@@ -62,7 +65,7 @@ def wasserstein(df: DataFrame, obs: str, mod: str, by=(), rows_per_bucket: int =
                    (F.sum("bco").over(wb) - F.col("bco")).alias("oo"),
                    (F.sum("bcm").over(wb) - F.col("bcm")).alias("om"),
                    F.lead("bx").over(wb).alias("nbx"))
-    t = join_group_values(e, bt, [*by, "b"]) if by else e.join(F.broadcast(bt), "b")
+    t = join_group_values(e, bt, [*by, "b"])
     # running counts inside each (group, bucket); tied values need no
     # pre-aggregation: all but the last of a tie get dx = 0
     wx = Window.partitionBy(*by, "b").orderBy("x")
@@ -72,7 +75,8 @@ def wasserstein(df: DataFrame, obs: str, mod: str, by=(), rows_per_bucket: int =
                  (F.col("om") + F.sum("cm").over(run)).alias("Cm"),
                  (F.coalesce(F.lead("x").over(wx), F.col("nbx")) - F.col("x")).alias("dx"))
     contrib = F.abs(F.col("Co") / F.col("no") - F.col("Cm") / F.col("nm")) * F.col("dx")
-    return t.groupBy(*by).agg(F.sum(F.coalesce(contrib, F.lit(0.0))).alias("wassersteindistance"))
+    out = t.groupBy(*by).agg(F.sum(F.coalesce(contrib, F.lit(0.0))).alias("wassersteindistance"))
+    return out.drop("__all") if glob else out
 
 
 def fractions_skill_score(fcst: DataFrame, obs: DataFrame, var_f: str, var_o: str, threshold: float,
@@ -104,3 +108,52 @@ def fractions_skill_score(fcst: DataFrame, obs: DataFrame, var_f: str, var_o: st
     s = frac.groupBy(*by).agg(F.sum(dd * dd).alias("num"),
                               (F.sum(F.col("pf") * F.col("pf")) + F.sum(F.col("po") * F.col("po"))).alias("den"))
     return s.select(*by, (1 - safe_div(F.col("num"), F.col("den"))).alias("fss"))
+
+
+def quantiles(df: DataFrame, value: str, qs, by=(), rows_per_bucket: int = 1_000_000,
+              prefix: str = "q") -> DataFrame:
+    """Exact continuous quantiles (linear interpolation between order
+    statistics: position ``q * (n - 1)``, as numpy / ``percentile`` /
+    ``quantile_cont``) of ``value`` per group, without holding a group in one
+    task.
+
+    1. per group: count, min, max (partial aggregate) -> number of equal-width
+       value buckets, growing with the group;
+    2. per (group, bucket): count (partial aggregate) and, by a window over
+       that small bucket table, the rank range each bucket covers;
+    3. the two order statistics around each requested position are located in
+       their buckets; only those buckets are ranked (``row_number`` inside
+       the bucket), and the values are read off by rank.
+
+    Output: ``by`` + one column ``{prefix}{pct:02d}`` per requested q."""
+    from .stats import join_group_values
+    by = list(by)
+    qs = [float(q) for q in qs]
+    glob = not by
+    if glob:  # one group: a constant key keeps every step a keyed join
+        df, by = df.withColumn("__all", F.lit(0)), ["__all"]
+    v = df.select(*by, F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    g = v.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    g = g.withColumn("nb", F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(rows_per_bucket))).cast("long"))
+    span = F.col("hi") - F.col("lo")
+    e = join_group_values(v, g, by).select(
+        *by, "x", F.when(span > 0, F.least(F.floor((F.col("x") - F.col("lo")) / span * F.col("nb")),
+                                           F.col("nb") - 1)).otherwise(F.lit(0)).cast("long").alias("b"))
+    bt = e.groupBy(*by, "b").agg(F.count(F.lit(1)).alias("c"))
+    wb = Window.partitionBy(*by).orderBy("b")
+    bt = bt.select(*by, "b", "c", (F.sum("c").over(wb) - F.col("c")).alias("r0"))
+    # target order statistics per group and q
+    tq = g.select(*by, "n", F.explode(F.array(*[F.lit(q) for q in qs])).alias("q"))
+    tq = tq.withColumn("h", F.col("q") * (F.col("n") - 1))
+    tr = tq.select(*by, "q", "h", F.explode(F.array(F.floor("h").cast("long"), F.ceil("h").cast("long"))).alias("r"))
+    located = join_group_values(tr, bt, by).where((F.col("r") >= F.col("r0")) & (F.col("r") < F.col("r0") + F.col("c")))
+    need = located.select(*by, "b", "r0").distinct()
+    ranked = join_group_values(e, need, [*by, "b"]).withColumn(
+        "r", F.col("r0") + F.row_number().over(Window.partitionBy(*by, "b").orderBy("x")) - 1)
+    vals = join_group_values(located.select(*by, "q", "h", "r"), ranked.select(*by, "r", "x"), [*by, "r"])
+    per_q = vals.groupBy(*by, "q").agg(F.first("h").alias("h"),
+                                       F.min("x").alias("x_lo"), F.max("x").alias("x_hi"))
+    per_q = per_q.withColumn("val", F.col("x_lo") + (F.col("h") - F.floor("h")) * (F.col("x_hi") - F.col("x_lo")))
+    out = per_q.groupBy(*by).pivot("q", qs).agg(F.first("val"))
+    keep = [] if glob else by
+    return out.select(*keep, *[F.col(f"`{q}`").alias(f"{prefix}{int(round(q * 100)):02d}") for q in qs])

@@ -93,10 +93,8 @@ def conditional_quantile(df: DataFrame, obs: str, mod: str, bins: int = 10, lo:
     """V5: quantiles of the obs per model bin (or of the model per obs bin).
 
     Bins: 0 below ``lo``, 1..bins of equal width, bins+1 at or above ``hi``.
-    ``exact=True`` uses Spark's exact ``percentile`` (the whole bin's values
-    are held by the final aggregate task of that bin, fine for the test
-    scale); ``exact=False`` (the choice at scale) uses ``percentile_approx``,
-    whose per-group state is bounded by its accuracy, not by the bin size."""
+    ``exact=True`` uses :func:`distribution.quantiles` (exact, bucketed, no
+    bin held in one task); ``exact=False`` uses ``percentile_approx``."""
     cond, target = (mod, obs) if condition_on == "model" else (obs, mod)
     v = df.where(pairwise_valid(obs, mod))
     width = (hi - lo) / bins
@@ -105,12 +103,19 @@ def conditional_quantile(df: DataFrame, obs: str, mod: str, bins: int = 10, lo:
              .otherwise(F.floor((c - lo) / width).cast("int") + 1))
     binned = v.select(*by, F.col(target).alias("__t"), bin_.alias("bin"))
     qs = list(quantiles)
-    agg = (F.percentile("__t", F.array(*[F.lit(q) for q in qs])) if exact
-           else F.percentile_approx("__t", F.array(*[F.lit(q) for q in qs]), 10000))
-    out = binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"), agg.alias("__q"))
+    counts = binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    if exact:
+        from .distribution import quantiles as exact_quantiles
+        from .stats import join_group_values
+        q = exact_quantiles(binned, "__t", qs, by=[*by, "bin"])
+        out = join_group_values(counts, q, [*by, "bin"])
+    else:
+        agg = F.percentile_approx("__t", F.array(*[F.lit(x) for x in qs]), 10000)
+        out = binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"), agg.alias("__q"))
+        out = out.select(*by, "bin", "n",
+                         *[F.col("__q")[i].alias(f"q{int(round(x * 100)):02d}") for i, x in enumerate(qs)])
     out = out.withColumn("bin_lo", F.lit(lo) + (F.col("bin") - 1) * width)
-    return out.select(*by, "bin", "bin_lo", "n",
-                      *[F.col("__q")[i].alias(f"q{int(round(q * 100)):02d}") for i, q in enumerate(qs)])
+    return out.select(*by, "bin", "bin_lo", "n", *[f"q{int(round(x * 100)):02d}" for x in qs])
 
 
 def taylor(df: DataFrame, obs: str, mod: str, by=()) -> DataFrame:

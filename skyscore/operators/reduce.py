@@ -23,7 +23,7 @@ REDUCERS = {
     "min": F.min,
     "std": F.stddev_pop,
     "sum": lambda c: F.coalesce(F.sum(c), F.lit(0.0)),
-    "median": F.median,
+    "median": None,  # exact, bucketed: see _medians
     "var": F.var_pop,
     "count": F.count,
     "prod": F.product,
@@ -68,6 +68,8 @@ def calculate_reduction(df: DataFrame, method: str = "mean", dim=None, dims=None
             spatial = lat is not None and lon is not None
 
     if not spatial:
+        if method == "median":
+            return _medians(df, keep, values, {v: v for v in values})
         agg = REDUCERS[method]
         out = df.groupBy(*keep).agg(*[agg(F.col(v)).alias(v) for v in values])
         if method == "count":
@@ -111,6 +113,40 @@ def multi_reduction(df: DataFrame, methods, dim=None, dims=None, values=None) ->
     aggs = []
     for v in values:
         for m in methods:
+            if m == "median":
+                continue
             a = REDUCERS[m](F.col(v))
             aggs.append((a.cast("long") if m == "count" else a).alias(f"{v}_{m}"))
-    return df.groupBy(*keep).agg(*aggs)
+    if "median" not in methods:
+        return df.groupBy(*keep).agg(*aggs)
+    med = _medians(df, keep, values, {v: f"{v}_median" for v in values})
+    if not aggs:
+        return med
+    out = _left_join_keys(df.groupBy(*keep).agg(*aggs), med, keep) if keep else \
+        df.agg(*aggs).withColumns({c: med.select(c).scalar() for c in med.columns})
+    names = [f"{v}_{m}" for v in values for m in methods]
+    return out.select(*keep, *names)
+
+
+def _medians(df: DataFrame, keep, values, names: dict) -> DataFrame:
+    """Exact medians per group via the bucketed order-statistic search (no
+    group is held whole by one task); groups whose values are all NULL keep
+    a NULL median."""
+    from .distribution import quantiles
+    from .stats import join_group_values
+    base = df.select(*keep).distinct() if keep else df.sparkSession.range(1).select()
+    out = base
+    for v in values:
+        q = quantiles(df, v, [0.5], by=keep, prefix="__m").withColumnRenamed("__m50", names[v])
+        if keep:
+            out = _left_join_keys(out, q, keep)
+        else:
+            out = out.withColumn(names[v], q.select(names[v]).scalar())
+    return out
+
+
+def _left_join_keys(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    ren = {k: f"__r_{i}" for i, k in enumerate(keys)}
+    r = right.withColumnsRenamed(ren)
+    cond = [left[k].eqNullSafe(r[ren[k]]) for k in keys]
+    return left.join(r, cond, "left").drop(*ren.values())

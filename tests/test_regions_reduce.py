@@ -142,3 +142,20 @@ def test_fss_identical_fields_is_one(spark):
     assert fractions_skill_score(g, g, "v", "v", 3.0, k=1, axes=axes).first()["fss"] == pytest.approx(1.0)
     empty = g.where(F.lit(False))
     assert fractions_skill_score(g, empty, "v", "v", 3.0, k=1, axes=axes).first()["fss"] == pytest.approx(0.0)
+
+
+def test_exact_medians_and_quantiles(spark):
+    import numpy as np
+    from skyscore.operators.distribution import quantiles
+    df = cube(spark)
+    pdf = df.toPandas()
+    got = {(r["lat"], r["lon"]): r["test_data"] for r in calculate_reduction(df, "median", dim="time").collect()}
+    exp = pdf.groupby(["lat", "lon"]).test_data.median()
+    for k, v in exp.items():
+        assert got[k] == pytest.approx(v)
+    allq = quantiles(df, "test_data", [0.1, 0.9], rows_per_bucket=3).first()
+    assert allq["q10"] == pytest.approx(np.quantile(pdf.test_data, 0.1))
+    assert allq["q90"] == pytest.approx(np.quantile(pdf.test_data, 0.9))
+    nulls = spark.createDataFrame([(0, 1.0, None), (1, 1.0, 2.0)], "time int, lat double, v double")
+    m = {r["time"]: r["v_median"] for r in multi_reduction(nulls, ["median", "count"], dim="lat").collect()}
+    assert m == {0: None, 1: 2.0}
