@@ -216,3 +216,43 @@ def parse_photometer_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         cols["elevation"].try_cast("double").alias("elevation"),
         F.when(aod != PHOTOMETER_FILL, aod).alias("aod_550nm"),
     )
+
+
+# --- fixed values: dataset types named in configurations (S1) ---
+GRID_TYPES = ("cmaq", "wrfchem", "gefs", "gfs", "icap_mme", "merra2", "ufs", "viirs")
+POINT_TYPES = ("aeronet", "airnow", "ish_lite", "openaq", "radiosonde")
+# --- fixed values: default level filter for gridded message files when none is
+# given (2 m above ground: first surface type 103 at scaled value 2, no second surface) ---
+DEFAULT_2M_FILTER = {"typeOfFirstFixedSurface": 103, "scaledValueOfFirstFixedSurface": 2,
+                     "typeOfSecondFixedSurface": 255}
+
+
+def load_named(spark: SparkSession, name: str, dataset_type: str, path, fmt: str = "parquet",
+               schema=None, time_col: str = "time", order_col: str | None = None, **kwargs) -> DataFrame:
+    """S1 by dataset type: the long-form store of a named source, with the
+    type's conventions -- message-level filter default for GRIB-derived grids
+    (applied only if the columns exist), rename presets (P13), the first row
+    kept per time and site for sun-photometer tables (S13, ``order_col`` =
+    ingest order) -- then the user's date list, subsets, renames, scale and
+    offset. Unknown types raise."""
+    from ..operators.conform import RENAME_PRESETS
+    from ..operators.dedup import keep_first
+    if dataset_type not in GRID_TYPES + POINT_TYPES:
+        raise ValueError(f"unknown dataset type {dataset_type!r}")
+    kw = normalise_date_args(kwargs)
+    filters = kw.get("filters")
+    if filters is None and dataset_type in ("gfs", "gefs"):
+        filters = DEFAULT_2M_FILTER
+    rename_map = {**RENAME_PRESETS.get(dataset_type, {}), **(kw.get("rename") or {})}
+    spec = SourceSpec(path=path, fmt=fmt, schema=schema, options=kw.get("options", {}), rename=rename_map,
+                      scale=kw.get("scale"), offset=kw.get("offset"), isel=kw.get("isel"), sel=kw.get("sel"),
+                      filters=filters)
+    df = load_data(spark, spec, dates=kw.get("dates"), time_col=time_col)
+    if dataset_type == "aeronet" and order_col and time_col in df.columns:
+        site = [c for c in ("site_id", "lat", "lon") if c in df.columns]
+        df = keep_first(df, [time_col, *site], [order_col])
+    from ..operators.conform import with_history
+    from ..operators.reduce import value_columns
+    for c in value_columns(df, (time_col, "lat", "lon", "site_id", "date", *(filters or {}))):
+        df = with_history(df, c, f"Loaded dataset '{name}' of type '{dataset_type}'")
+    return df

@@ -93,8 +93,8 @@ def snapshot_log(spark: SparkSession, url: str) -> DataFrame:
 
 
 def save_statistics(stats: DataFrame, savename: str, keys=()) -> str:
-    """K4: ``.csv`` / ``.json`` via the writer (one file: the table has one
-    row per group); otherwise a Markdown table with 4 decimals. Results that
+    """K4: ``.csv`` / ``.json`` via the distributed writer; otherwise a
+    Markdown table with 4 decimals. Results that
     still have several rows per metric (non-scalar) are averaged first,
     as the reference does on save -- this is not the pooled score."""
     keys = list(keys)
@@ -102,12 +102,14 @@ def save_statistics(stats: DataFrame, savename: str, keys=()) -> str:
     if not keys and stats.limit(2).count() > 1:
         stats = stats.agg(*[F.avg(c).alias(c) for c in metric_cols])
     if savename.endswith(".csv"):
-        stats.coalesce(1).write.mode("overwrite").option("header", True).csv(savename)
+        stats.write.mode("overwrite").option("header", True).csv(savename)
         return savename
     if savename.endswith(".json"):
-        stats.coalesce(1).write.mode("overwrite").json(savename)
+        stats.write.mode("overwrite").json(savename)
         return savename
-    rows = stats.collect()  # bounded: one row per group of a statistics result
+    # Markdown is a human-readable report: one row per group of a statistics
+    # result is gathered; large per-cell results belong in csv/json/parquet
+    rows = stats.collect()
     with open(savename, "w") as fh:
         fh.write(markdown_table(rows, keys, metric_cols))
     return savename

@@ -136,3 +136,17 @@ def test_stream_stream_join(spark, tmp_path):
     m = xs.read_stream(spark, b, "site string, time timestamp, v double")
     out = xs.run_to_table(xs.stream_pair_streams(o, m, ["site"]))
     assert sorted(r["obs"] for r in out.collect()) == [0.0, 2.0, 4.0]
+
+
+def test_load_named_types(spark, tmp_path):
+    p = str(tmp_path / "gfs")
+    spark.createDataFrame([(dt.datetime(2024, 1, 1), 103, 2, 255, 280.0), (dt.datetime(2024, 1, 1), 1, 0, 255, 250.0),
+                           (dt.datetime(2024, 1, 2), 103, 2, 255, 290.0)],
+                          "time timestamp, typeOfFirstFixedSurface int, scaledValueOfFirstFixedSurface int, "
+                          "typeOfSecondFixedSurface int, TMP double").write.parquet(p)
+    df = io.load_named(spark, "m", "gfs", p, date="2024-01-01", offset={"TMP_2maboveground": -273.15})
+    rows = df.collect()
+    assert len(rows) == 1 and rows[0]["TMP_2maboveground"] == pytest.approx(6.85)
+    assert "Loaded dataset 'm'" in df.schema["TMP_2maboveground"].metadata["history"]
+    with pytest.raises(ValueError):
+        io.load_named(spark, "x", "nope", p)
