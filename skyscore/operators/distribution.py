@@ -5,12 +5,13 @@ wasserstein (M17)
     of each group: ``W = integral |F_o(x) - F_m(x)| dx`` (equal to the mean
     absolute difference of the sorted samples when both have n values).
 
-    Exact and without sending a group to one task: the values are tallied per
-    value, split into equal-width value buckets whose count grows with the
-    group (``ceil(rows / rows_per_bucket)``), cumulated inside each (group,
-    bucket) with a window, and offset by the prefix sum of the bucket totals
-    (a window over the bucket table, one row per bucket). A hot group is
-    therefore spread over many buckets and many tasks.
+    Exact and without sending a group to one task: values are tallied per
+    distinct (group, value) -- copies collapse in a partial aggregate --,
+    split into equal-width value buckets whose count grows with the group,
+    over-full buckets split again level by level, cumulated inside each
+    bucket with a window, and offset by prefix sums over the bucket table
+    (one row per bucket). A hot group, or a hot value range inside it, is
+    therefore spread over many buckets and tasks.
 
 fractions_skill_score (M16)
     Roberts & Lean (2008): binary exceedance of ``threshold`` per field,
@@ -29,52 +30,93 @@ from ..functions.numerics import pairwise_valid, safe_div
 from .pairing import axis_columns
 
 
+def _equal_width(x, lo, hi, nb):
+    span = hi - lo
+    return F.when(span > 0, F.least(F.floor((x - lo) / span * nb), nb - 1)).otherwise(F.lit(0)).cast("long")
+
+
+def value_tally(rows: DataFrame, by, counts, rows_per_bucket: int, max_levels: int = 16) -> DataFrame:
+    """Distinct (group, value) tally with value buckets of bounded size.
+
+    ``rows``: ``by`` + ``x`` + count columns. Returns ``by, bpath, x`` + the
+    summed counts, where ``bpath`` (an array, ordered like the values) names
+    a bucket of at most ``rows_per_bucket`` distinct values.
+
+    Level 1 splits each group's value range into ``ceil(n / rows_per_bucket)``
+    equal-width buckets. Copies of a value collapse into one tally row in a
+    partial aggregate before any shuffle. If some level-1 bucket holds more
+    rows than the limit (one cheap aggregate tells), the tally is written to
+    the shared checkpoint folder and every over-full bucket is split again
+    over its own value range, level by level, until none is over-full: a
+    bucket holding a third of all rows, or values packed into a tiny range,
+    ends up spread over many buckets and tasks."""
+    from ..session import cut_lineage
+    from .stats import join_group_values
+    T = rows_per_bucket
+    g = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), F.min("x").alias("__lo"), F.max("x").alias("__hi"))
+    g = g.withColumn("__nb", F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(T))).cast("long"))
+    e = join_group_values(rows, g, by)
+    e = e.withColumn("__b1", _equal_width(F.col("x"), F.col("__lo"), F.col("__hi"), F.col("__nb")))
+    tally = (e.groupBy(*by, "__b1", "x").agg(*[F.sum(c).alias(c) for c in counts])
+              .select(*by, F.array(F.col("__b1")).alias("bpath"), "x", *counts))
+    # raw rows per level-1 bucket bound its distinct values from above
+    if e.groupBy(*by, "__b1").agg(F.count(F.lit(1)).alias("__c")).where(F.col("__c") > T).isEmpty():
+        return tally
+    tally = cut_lineage(tally)
+    for _ in range(max_levels):
+        st = tally.groupBy(*by, "bpath").agg(F.count(F.lit(1)).alias("__c"), F.min("x").alias("__lo"),
+                                             F.max("x").alias("__hi"))
+        if st.where(F.col("__c") > T).isEmpty():
+            break
+        t = join_group_values(tally, st, [*by, "bpath"])
+        sub = F.when(F.col("__c") > T, _equal_width(F.col("x"), F.col("__lo"), F.col("__hi"),
+                                                    F.ceil(F.col("__c") / F.lit(T)).cast("long"))).otherwise(F.lit(0))
+        tally = cut_lineage(t.select(*by, F.concat("bpath", F.array(sub.cast("long"))).alias("bpath"), "x", *counts))
+    return tally
+
+
+def bucket_offsets(tally: DataFrame, by, counts) -> DataFrame:
+    """Per (group, bucket): totals, counts before the bucket (prefix sums in
+    value order), group totals, first value and the next bucket's first
+    value. One row per bucket: the windows run over this small table."""
+    bt = tally.groupBy(*by, "bpath").agg(*[F.sum(c).alias(f"t_{c}") for c in counts], F.min("x").alias("bx"))
+    w = Window.partitionBy(*by).orderBy("bpath")
+    whole = Window.partitionBy(*by)
+    cols = []
+    for c in counts:
+        cols += [(F.sum(f"t_{c}").over(w) - F.col(f"t_{c}")).alias(f"o_{c}"),
+                 F.sum(f"t_{c}").over(whole).alias(f"n_{c}")]
+    return bt.select(*by, "bpath", *[f"t_{c}" for c in counts], *cols, F.lead("bx").over(w).alias("nbx"))
+
+
 def wasserstein(df: DataFrame, obs: str, mod: str, by=(), rows_per_bucket: int = 1_000_000,
                 paired: bool = True) -> DataFrame:
     """M17 per group of ``by``. ``paired`` applies pairwise deletion first.
 
-    Plan: one partial aggregate gives per-group counts and value range; a
-    second one the per-bucket totals (one row per bucket, broadcast by AQE
-    at its measured size); the only full shuffle is the in-bucket window.
-    Three column-pruned scans of the input, no window wider than a bucket."""
+    Plan: a distinct-value tally with bounded value buckets
+    (:func:`value_tally`), prefix sums over the small bucket table
+    (:func:`bucket_offsets`), then running sums inside each bucket. No
+    window spans more than one bucket of distinct values."""
     from .stats import join_group_values
     by = list(by)
     glob = not by
     if glob:  # one group: a constant key keeps every step a keyed join
         df, by = df.withColumn("__all", F.lit(0)), ["__all"]
     v = df.where(pairwise_valid(obs, mod)) if paired else df.where(F.col(obs).isNotNull() | F.col(mod).isNotNull())
-    v = v.select(*by, F.col(obs).cast("double").alias("__o"), F.col(mod).cast("double").alias("__m"))
-    g = v.groupBy(*by).agg(F.count("__o").alias("no"), F.count("__m").alias("nm"),
-                           F.least(F.min("__o"), F.min("__m")).alias("lo"),
-                           F.greatest(F.max("__o"), F.max("__m")).alias("hi"))
-    g = g.withColumn("nb", F.greatest(F.lit(1), F.ceil((F.col("no") + F.col("nm")) / F.lit(rows_per_bucket)))
-                     .cast("long"))
-    span = F.col("hi") - F.col("lo")
-    e = join_group_values(v, g, by).select(*by, "no", "nm", "lo", "hi", "nb", F.explode(F.array(
-        F.struct(F.col("__o").alias("x"), F.lit(1).alias("co"), F.lit(0).alias("cm")),
-        F.struct(F.col("__m").alias("x"), F.lit(0).alias("co"), F.lit(1).alias("cm")))).alias("e"))
-    e = e.where(F.col("e.x").isNotNull()).select(
-        *by, "no", "nm", F.col("e.x").alias("x"), F.col("e.co").alias("co"), F.col("e.cm").alias("cm"),
-        F.when(span > 0, F.least(F.floor((F.col("e.x") - F.col("lo")) / span * F.col("nb")), F.col("nb") - 1))
-         .otherwise(F.lit(0)).cast("long").alias("b"))
-    # bucket table (a partial aggregate, one row per bucket): totals, first
-    # value, prefix offsets and the next bucket's first value
-    bt = e.groupBy(*by, "b").agg(F.sum("co").alias("bco"), F.sum("cm").alias("bcm"), F.min("x").alias("bx"))
-    wb = Window.partitionBy(*by).orderBy("b")
-    bt = bt.select(*by, "b",
-                   (F.sum("bco").over(wb) - F.col("bco")).alias("oo"),
-                   (F.sum("bcm").over(wb) - F.col("bcm")).alias("om"),
-                   F.lead("bx").over(wb).alias("nbx"))
-    t = join_group_values(e, bt, [*by, "b"])
-    # running counts inside each (group, bucket); tied values need no
-    # pre-aggregation: all but the last of a tie get dx = 0
-    wx = Window.partitionBy(*by, "b").orderBy("x")
+    rows = v.select(*by, F.explode(F.array(
+        F.struct(F.col(obs).cast("double").alias("x"), F.lit(1).alias("co"), F.lit(0).alias("cm")),
+        F.struct(F.col(mod).cast("double").alias("x"), F.lit(0).alias("co"), F.lit(1).alias("cm")))).alias("e"))
+    rows = rows.select(*by, "e.x", "e.co", "e.cm").where(F.col("x").isNotNull())
+    tally = value_tally(rows, by, ["co", "cm"], rows_per_bucket)
+    bt = bucket_offsets(tally, by, ["co", "cm"])
+    t = join_group_values(tally, bt, [*by, "bpath"])
+    wx = Window.partitionBy(*by, "bpath").orderBy("x")
     run = wx.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.select(*by, "no", "nm",
-                 (F.col("oo") + F.sum("co").over(run)).alias("Co"),
-                 (F.col("om") + F.sum("cm").over(run)).alias("Cm"),
+    t = t.select(*by, "n_co", "n_cm",
+                 (F.col("o_co") + F.sum("co").over(run)).alias("Co"),
+                 (F.col("o_cm") + F.sum("cm").over(run)).alias("Cm"),
                  (F.coalesce(F.lead("x").over(wx), F.col("nbx")) - F.col("x")).alias("dx"))
-    contrib = F.abs(F.col("Co") / F.col("no") - F.col("Cm") / F.col("nm")) * F.col("dx")
+    contrib = F.abs(F.col("Co") / F.col("n_co") - F.col("Cm") / F.col("n_cm")) * F.col("dx")
     out = t.groupBy(*by).agg(F.sum(F.coalesce(contrib, F.lit(0.0))).alias("wassersteindistance"))
     return out.drop("__all") if glob else out
 
@@ -117,13 +159,12 @@ def quantiles(df: DataFrame, value: str, qs, by=(), rows_per_bucket: int = 1_000
     ``quantile_cont``) of ``value`` per group, without holding a group in one
     task.
 
-    1. per group: count, min, max (partial aggregate) -> number of equal-width
-       value buckets, growing with the group;
-    2. per (group, bucket): count (partial aggregate) and, by a window over
-       that small bucket table, the rank range each bucket covers;
-    3. the two order statistics around each requested position are located in
-       their buckets; only those buckets are ranked (``row_number`` inside
-       the bucket), and the values are read off by rank.
+    1. distinct-value tally with bounded value buckets (:func:`value_tally`);
+    2. rank range of every bucket from prefix sums over the small bucket
+       table (:func:`bucket_offsets`);
+    3. the two order statistics around each requested position are located
+       in their buckets; only those buckets get running counts, and each
+       order statistic is the distinct value whose rank range holds it.
 
     Output: ``by`` + one column ``{prefix}{pct:02d}`` per requested q."""
     from .stats import join_group_values
@@ -132,27 +173,26 @@ def quantiles(df: DataFrame, value: str, qs, by=(), rows_per_bucket: int = 1_000
     glob = not by
     if glob:  # one group: a constant key keeps every step a keyed join
         df, by = df.withColumn("__all", F.lit(0)), ["__all"]
-    v = df.select(*by, F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    g = v.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-    g = g.withColumn("nb", F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(rows_per_bucket))).cast("long"))
-    span = F.col("hi") - F.col("lo")
-    e = join_group_values(v, g, by).select(
-        *by, "x", F.when(span > 0, F.least(F.floor((F.col("x") - F.col("lo")) / span * F.col("nb")),
-                                           F.col("nb") - 1)).otherwise(F.lit(0)).cast("long").alias("b"))
-    bt = e.groupBy(*by, "b").agg(F.count(F.lit(1)).alias("c"))
-    wb = Window.partitionBy(*by).orderBy("b")
-    bt = bt.select(*by, "b", "c", (F.sum("c").over(wb) - F.col("c")).alias("r0"))
+    rows = df.select(*by, F.col(value).cast("double").alias("x"), F.lit(1).alias("c")) \
+             .where(F.col("x").isNotNull() & ~F.isnan("x"))
+    tally = value_tally(rows, by, ["c"], rows_per_bucket)
+    bt = bucket_offsets(tally, by, ["c"])
     # target order statistics per group and q
-    tq = g.select(*by, "n", F.explode(F.array(*[F.lit(q) for q in qs])).alias("q"))
-    tq = tq.withColumn("h", F.col("q") * (F.col("n") - 1))
+    groups = bt.select(*by, "n_c").distinct()
+    tq = groups.select(*by, F.explode(F.array(*[F.lit(q) for q in qs])).alias("q"),
+                       (F.col("n_c") - 1).alias("__m"))
+    tq = tq.withColumn("h", F.col("q") * F.col("__m"))
     tr = tq.select(*by, "q", "h", F.explode(F.array(F.floor("h").cast("long"), F.ceil("h").cast("long"))).alias("r"))
-    located = join_group_values(tr, bt, by).where((F.col("r") >= F.col("r0")) & (F.col("r") < F.col("r0") + F.col("c")))
-    need = located.select(*by, "b", "r0").distinct()
-    ranked = join_group_values(e, need, [*by, "b"]).withColumn(
-        "r", F.col("r0") + F.row_number().over(Window.partitionBy(*by, "b").orderBy("x")) - 1)
-    vals = join_group_values(located.select(*by, "q", "h", "r"), ranked.select(*by, "r", "x"), [*by, "r"])
-    per_q = vals.groupBy(*by, "q").agg(F.first("h").alias("h"),
-                                       F.min("x").alias("x_lo"), F.max("x").alias("x_hi"))
+    located = join_group_values(tr, bt.select(*by, "bpath", "o_c", "t_c"), by).where(
+        (F.col("r") >= F.col("o_c")) & (F.col("r") < F.col("o_c") + F.col("t_c")))
+    need = located.select(*by, "bpath", "o_c").distinct()
+    run = Window.partitionBy(*by, "bpath").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = join_group_values(tally, need, [*by, "bpath"]).select(
+        *by, "bpath", "x", (F.col("o_c") + F.sum("c").over(run)).alias("__end"), "c")
+    hit = join_group_values(located.select(*by, "bpath", "q", "h", "r"),
+                            ranked, [*by, "bpath"]).where(
+        (F.col("r") >= F.col("__end") - F.col("c")) & (F.col("r") < F.col("__end")))
+    per_q = hit.groupBy(*by, "q").agg(F.first("h").alias("h"), F.min("x").alias("x_lo"), F.max("x").alias("x_hi"))
     per_q = per_q.withColumn("val", F.col("x_lo") + (F.col("h") - F.floor("h")) * (F.col("x_hi") - F.col("x_lo")))
     out = per_q.groupBy(*by).pivot("q", qs).agg(F.first("val"))
     keep = [] if glob else by

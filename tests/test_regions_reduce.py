@@ -159,3 +159,24 @@ def test_exact_medians_and_quantiles(spark):
     nulls = spark.createDataFrame([(0, 1.0, None), (1, 1.0, 2.0)], "time int, lat double, v double")
     m = {r["time"]: r["v_median"] for r in multi_reduction(nulls, ["median", "count"], dim="lat").collect()}
     assert m == {0: None, 1: 2.0}
+
+
+def test_value_buckets_split_hot_ranges(spark):
+    """A third of the rows are copies of one value and another third sit in
+    a tiny value range: the tally collapses the copies and the second bucket
+    level splits the narrow range, so no bucket is large; results stay exact."""
+    import numpy as np
+    from skyscore.operators.distribution import quantiles, value_tally
+    rnd = random.Random(2)
+    xs = [5.0] * 300 + [1000.0 + rnd.random() * 1e-3 for _ in range(300)] + [rnd.uniform(0, 2000) for _ in range(300)]
+    df = spark.createDataFrame([(0, x) for x in xs], "g int, x double")
+    tally = value_tally(df.select("g", "x", F.lit(1).alias("c")), ["g"], ["c"], rows_per_bucket=30)
+    biggest = tally.groupBy("bpath").count().agg(F.max("count")).first()[0]
+    assert biggest <= 30
+    assert tally.where(F.col("x") == 5.0).first()["c"] == 300
+    got = quantiles(df, "x", [0.2, 0.5, 0.8], by=["g"], rows_per_bucket=30).first()
+    for q, c in ((0.2, "q20"), (0.5, "q50"), (0.8, "q80")):
+        assert got[c] == pytest.approx(np.quantile(xs, q))
+    df2 = spark.createDataFrame([(0, x, x * 0.5 + 1.0) for x in xs], "g int, o double, m double")
+    w = wasserstein(df2, "o", "m", by=["g"], rows_per_bucket=30).first()["wassersteindistance"]
+    assert w == pytest.approx(np.mean(np.abs(np.sort(xs) - np.sort([x * 0.5 + 1.0 for x in xs]))))
