@@ -42,7 +42,7 @@ def value_tally(rows: DataFrame, by, counts, rows_per_bucket: int, max_levels: i
     summed counts, where ``bpath`` (an array, ordered like the values) names
     a bucket of at most ``rows_per_bucket`` distinct values.
 
-    Level 1 splits each group's value range into ``ceil(n / rows_per_bucket)``
+    Level 1 splits each group's value range into ``ceil(4 n / rows_per_bucket)``
     equal-width buckets. Copies of a value collapse into one tally row in a
     partial aggregate before any shuffle. If some level-1 bucket holds more
     rows than the limit (one cheap aggregate tells), the tally is written to
@@ -54,7 +54,8 @@ def value_tally(rows: DataFrame, by, counts, rows_per_bucket: int, max_levels: i
     from .stats import join_group_values
     T = rows_per_bucket
     g = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), F.min("x").alias("__lo"), F.max("x").alias("__hi"))
-    g = g.withColumn("__nb", F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(T))).cast("long"))
+    # 4x more buckets than the even share: a skewed range rarely over-fills
+    g = g.withColumn("__nb", F.greatest(F.lit(1), F.ceil(4 * F.col("__n") / F.lit(T))).cast("long"))
     e = join_group_values(rows, g, by)
     e = e.withColumn("__b1", _equal_width(F.col("x"), F.col("__lo"), F.col("__hi"), F.col("__nb")))
     tally = (e.groupBy(*by, "__b1", "x").agg(*[F.sum(c).alias(c) for c in counts])
@@ -69,8 +70,10 @@ def value_tally(rows: DataFrame, by, counts, rows_per_bucket: int, max_levels: i
         if st.where(F.col("__c") > T).isEmpty():
             break
         t = join_group_values(tally, st, [*by, "bpath"])
+        # an over-full bucket is split 16x finer than its even share, so a
+        # value range packed tightly inside it needs few further levels
         sub = F.when(F.col("__c") > T, _equal_width(F.col("x"), F.col("__lo"), F.col("__hi"),
-                                                    F.ceil(F.col("__c") / F.lit(T)).cast("long"))).otherwise(F.lit(0))
+                                                    F.ceil(16 * F.col("__c") / F.lit(T)).cast("long"))).otherwise(F.lit(0))
         tally = cut_lineage(t.select(*by, F.concat("bpath", F.array(sub.cast("long"))).alias("bpath"), "x", *counts))
     return tally
 
