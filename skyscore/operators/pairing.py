@@ -20,6 +20,7 @@ collected to the driver: axis descriptions stay one-row DataFrames.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -368,7 +369,7 @@ def pair_asof(points: DataFrame, model: DataFrame, var, time: str = "time", keys
 
 
 def pair_nearest_curvilinear(cells: DataFrame, sites: DataFrame, lat="lat", lon="lon",
-                             cell_id: str = "cell_id", tile: float = 5.0,
+                             cell_id: str = "cell_id", tile: float | str = "auto",
                              max_extent: float = 405.0) -> DataFrame:
     """Nearest cell of a 2-D (curvilinear) grid for each distinct site,
     by Euclidean distance in (lat, lon) degrees.
@@ -379,11 +380,20 @@ def pair_nearest_curvilinear(cells: DataFrame, sites: DataFrame, lat="lat", lon=
     than ``tile``). Sites without such a proof are retried with a doubled
     tile, so the result is exact for every site; the loop only iterates while
     unresolved sites remain (one ``isEmpty`` probe per round) and ends once
-    the tile exceeds ``max_extent`` (then the block covers every cell)."""
+    the tile exceeds ``max_extent`` (then the block covers every cell).
+
+    ``tile='auto'`` sizes the tile to twice the mean cell spacing (one scalar
+    aggregate over the cells), so a tile block holds a bounded number of
+    cells however densely the sites cluster."""
     cl = cells.select(cell_id, F.col(lat).alias("__clat"), F.col(lon).alias("__clon"))
     todo = sites.select(lat, lon).distinct()
     done = None
-    size = float(tile)
+    if tile == "auto":
+        a = cl.agg(((F.max("__clat") - F.min("__clat")) * (F.max("__clon") - F.min("__clon"))
+                    / F.count(F.lit(1))).alias("area")).first()["area"]
+        size = 2.0 * math.sqrt(a) if a and a > 0 else 1.0
+    else:
+        size = float(tile)
     while True:
         tb = cl.select("*", F.floor(F.col("__clat") / size).cast("long").alias("__ta"),
                        F.floor(F.col("__clon") / size).cast("long").alias("__tb"))

@@ -235,7 +235,7 @@ def pair_nearest_curvilinear(spark, sf_dir):
     station, exact via tiled candidate search (oracle: brute force)."""
     cells = _curvi_cells(spark, sf_dir)
     sites = tb.stations(spark, sf_dir)
-    return canon(pr.pair_nearest_curvilinear(cells, sites, tile=10.0))
+    return canon(pr.pair_nearest_curvilinear(cells, sites))
 
 
 _COMBINED_SQL = f"""WITH {NEAREST_SQL_CTES},
