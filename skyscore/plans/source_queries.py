@@ -168,3 +168,17 @@ def conform_subset(spark, sf_dir):
     out = conform(g, rename_map={"v": "quantity"}, scale_map={"quantity": 2.0}, offset_map={"quantity": 1.0},
                   isel_map={"time": slice(0, 12)}, sel_map={"lat": [-45.0, 5.0, 55.0]})
     return canon(out.select("time", "lat", "lon", "quantity"))
+
+
+@query("stream_dedup_events", """SELECT DISTINCT user_id, event_type FROM events""")
+def stream_dedup_events(spark, sf_dir):
+    """The event stream de-duplicated per (user, event type) within a
+    one-hour watermark; one micro-batch holds the whole table, so every key
+    survives exactly once (the kept row of a key is the stream's choice,
+    only the keys are compared)."""
+    from ..streaming.stream import stream_dedup
+    schema = tb.read(spark, sf_dir, "events").schema
+    s = read_stream(spark, os.path.join(sf_dir, "events*.parquet"), schema)
+    s = s.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("time"))
+    out = run_to_table(stream_dedup(s, ["user_id", "event_type"], watermark="1 hour"))
+    return canon(out.select("user_id", "event_type"))
