@@ -169,6 +169,10 @@ def quantiles(df: DataFrame, value: str, qs, by=(), rows_per_bucket: int = 1_000
        in their buckets; only those buckets get running counts, and each
        order statistic is the distinct value whose rank range holds it.
 
+    When no group exceeds ``rows_per_bucket`` values (one count aggregate
+    tells), Spark's exact ``percentile`` runs per group instead: each group
+    then fits one task by construction.
+
     Output: ``by`` + one column ``{prefix}{pct:02d}`` per requested q."""
     from .stats import join_group_values
     by = list(by)
@@ -178,6 +182,14 @@ def quantiles(df: DataFrame, value: str, qs, by=(), rows_per_bucket: int = 1_000
         df, by = df.withColumn("__all", F.lit(0)), ["__all"]
     rows = df.select(*by, F.col(value).cast("double").alias("x"), F.lit(1).alias("c")) \
              .where(F.col("x").isNotNull() & ~F.isnan("x"))
+    keep = [] if glob else by
+    names = [f"{prefix}{int(round(q * 100)):02d}" for q in qs]
+    # every group small enough for one task: a plain exact percentile per group
+    largest = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if largest is None or largest <= rows_per_bucket:
+        pct = F.percentile("x", F.array(*[F.lit(q) for q in qs]))
+        out = rows.groupBy(*by).agg(pct.alias("__p"))
+        return out.select(*keep, *[F.col("__p")[i].alias(n) for i, n in enumerate(names)])
     tally = value_tally(rows, by, ["c"], rows_per_bucket)
     bt = bucket_offsets(tally, by, ["c"])
     # target order statistics per group and q
@@ -198,5 +210,4 @@ def quantiles(df: DataFrame, value: str, qs, by=(), rows_per_bucket: int = 1_000
     per_q = hit.groupBy(*by, "q").agg(F.first("h").alias("h"), F.min("x").alias("x_lo"), F.max("x").alias("x_hi"))
     per_q = per_q.withColumn("val", F.col("x_lo") + (F.col("h") - F.floor("h")) * (F.col("x_hi") - F.col("x_lo")))
     out = per_q.groupBy(*by).pivot("q", qs).agg(F.first("val"))
-    keep = [] if glob else by
-    return out.select(*keep, *[F.col(f"`{q}`").alias(f"{prefix}{int(round(q * 100)):02d}") for q in qs])
+    return out.select(*keep, *[F.col(f"`{q}`").alias(n) for q, n in zip(qs, names)])

@@ -45,10 +45,11 @@ SELECT a.l_returnflag, {r6('avg(abs(a.o - b.m))')} AS wassersteindistance
 FROM a JOIN b ON a.l_returnflag = b.l_returnflag AND a.r = b.r GROUP BY a.l_returnflag""")
 def wasserstein_by_flag(spark, sf_dir):
     """Earth mover's distance between the obs and model distributions
-    per return flag. Small buckets (4096 distinct values) are used here so
-    the multi-bucket prefix-sum path is what the oracle checks; the oracle
-    computes it the other way (mean |o_(i) - m_(i)| of the sorted samples)."""
-    return canon(wasserstein(tb.pairs(spark, sf_dir), "o", "m", by=["l_returnflag"], rows_per_bucket=4096))
+    per return flag. Buckets of 65536 values are used here so the
+    multi-bucket prefix-sum path is what the oracle checks (one bucket would
+    hold everything at this scale); the oracle computes it the other way
+    (mean |o_(i) - m_(i)| of the sorted samples)."""
+    return canon(wasserstein(tb.pairs(spark, sf_dir), "o", "m", by=["l_returnflag"], rows_per_bucket=65536))
 
 
 _FSS_SQL = f"""WITH {tb.GRID_SQL},
