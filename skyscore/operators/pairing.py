@@ -270,31 +270,44 @@ def regrid_conservative(model: DataFrame, target_cells: DataFrame, var, lat="lat
 # ------------------------------------------------------- time interpolation
 
 
-def time_brackets(model_times: DataFrame, time: str = "time", bucket_seconds: int = 86400,
-                  keys=()) -> DataFrame:
+def bucket_width_us(model_times: DataFrame, time: str = "time", bucket_seconds="auto"):
+    """Bucket width in microseconds as a Column: a literal, or ``'auto'`` =
+    the smallest gap between distinct model times (a scalar subquery over the
+    model's time axis), so a bracket interval spans one or two buckets."""
+    if bucket_seconds != "auto":
+        return F.lit(float(bucket_seconds) * 1e6)
+    t = model_times.select(F.unix_micros(time).alias("t")).distinct()
+    gap = t.select((F.lead("t").over(Window.orderBy("t")) - F.col("t")).alias("g")).agg(F.min("g"))
+    return F.coalesce(gap.scalar().cast("double"), F.lit(86400e6))
+
+
+def time_brackets(model_times: DataFrame, time: str = "time", bucket_seconds="auto",
+                  keys=(), width=None) -> DataFrame:
     """Distinct model times -> half-open intervals ``[__t0, __t1)`` keyed by a
     time bucket, so points can find their bracket with an equi join.
     ``keys`` (e.g. a site id) give each series its own time axis."""
     keys = list(keys)
+    width = width if width is not None else bucket_width_us(model_times, time, bucket_seconds)
     ts = model_times.select(*keys, time).distinct()
     w = Window.partitionBy(*keys).orderBy(time)
     iv = ts.select(*keys, F.col(time).alias("__t0"), F.lead(time).over(w).alias("__t1"))
-    b0 = F.floor(F.unix_micros("__t0") / (bucket_seconds * 1e6)).cast("long")
-    b1 = F.floor(F.unix_micros(F.coalesce("__t1", "__t0")) / (bucket_seconds * 1e6)).cast("long")
+    b0 = F.floor(F.unix_micros("__t0") / width).cast("long")
+    b1 = F.floor(F.unix_micros(F.coalesce("__t1", "__t0")) / width).cast("long")
     return iv.select(*keys, "__t0", "__t1", F.explode(F.sequence(b0, b1)).alias("__b"))
 
 
 def pair_interp_time(model: DataFrame, points: DataFrame, var, time: str = "time", keys=(),
-                     bucket_seconds: int = 86400, how: str = "left") -> DataFrame:
+                     bucket_seconds="auto", how: str = "left") -> DataFrame:
     """J7 (``interp_time``): model series (per ``keys``) linearly interpolated
     in time to each point's time: ``v0 + (v1 - v0) * (t - t0) / (t1 - t0)``;
     exactly at a model time the value is taken as is; NULL outside the model
     time range or when a bracketing value is missing."""
     keys = list(keys)
     var = [var] if isinstance(var, str) else list(var)
-    br = time_brackets(model, time, bucket_seconds, keys)
+    width = bucket_width_us(model, time, bucket_seconds)
+    br = time_brackets(model, time, keys=keys, width=width)
     pt = points.select(*keys, time).distinct().withColumn(
-        "__b", F.floor(F.unix_micros(time) / (bucket_seconds * 1e6)).cast("long"))
+        "__b", F.floor(F.unix_micros(time) / width).cast("long"))
     cond = (F.col("__t0") <= F.col(time)) & (
         (F.col(time) < F.col("__t1")) | (F.col("__t1").isNull() & (F.col(time) == F.col("__t0"))))
     matched = pt.join(br, keys + ["__b"]).where(cond).drop("__b")
@@ -438,7 +451,7 @@ def suffix_clashes(source: DataFrame, target: DataFrame, keys, suffix_source: st
 
 
 def _interp_time_at_cells(model: DataFrame, axes: dict, var, site_cells: DataFrame, points: DataFrame,
-                          lat, lon, time, bucket_seconds: int) -> DataFrame:
+                          lat, lon, time, bucket_seconds) -> DataFrame:
     """Model series of each needed cell interpolated in time to the points'
     times: keys are the integer cell indices, so every cell is one series."""
     g = indexed_grid(model, axes, var, lat, lon, time)
@@ -452,7 +465,7 @@ def _interp_time_at_cells(model: DataFrame, axes: dict, var, site_cells: DataFra
 
 def pair_data(model: DataFrame, points: DataFrame, var, method: str = "nearest", merge: bool = True,
               interp_time: bool = False, suffix_source: str = "_source", suffix_target: str = "_target",
-              time_trunc: str | None = None, bucket_seconds: int = 86400, **kw) -> DataFrame:
+              time_trunc: str | None = None, bucket_seconds="auto", **kw) -> DataFrame:
     """Entry point mirroring ``pair_data``.
 
     ``method``: nearest / bilinear / interpolate (= bilinear) / regrid /
