@@ -48,7 +48,21 @@ def load_data(spark: SparkSession, spec: SourceSpec, dates=None, time_col: str =
             df = df.where(F.col("date").isin(dates))
         elif time_col in df.columns:
             df = df.where(F.to_date(F.col(time_col)).isin([dt.date.fromisoformat(d) for d in dates]))
-    return conform(df, spec.rename, spec.scale, spec.offset, spec.isel, spec.sel)
+    df = conform(df, spec.rename, spec.scale, spec.offset, spec.isel, spec.sel)
+    return missing_as_null(df)
+
+
+def missing_as_null(df: DataFrame) -> DataFrame:
+    """§1.4 policy at ingest: NaN and +-inf in floating value columns become
+    NULL, so every aggregate skips them (one projection, no cast of other
+    types; column metadata such as units and history is kept)."""
+    from ..functions.numerics import nan_to_null
+    fields = df.schema.fields
+    if not any(isinstance(f.dataType, (T.DoubleType, T.FloatType)) for f in fields):
+        return df
+    return df.select(*[nan_to_null(f.name).alias(f.name, metadata=f.metadata)
+                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
+                       for f in fields])
 
 
 def read_store(spark: SparkSession, path: str, dates=None) -> DataFrame:

@@ -150,3 +150,17 @@ def test_load_named_types(spark, tmp_path):
     assert "Loaded dataset 'm'" in df.schema["TMP_2maboveground"].metadata["history"]
     with pytest.raises(ValueError):
         io.load_named(spark, "x", "nope", p)
+
+
+def test_ingest_turns_nan_into_null(spark, tmp_path):
+    p = str(tmp_path / "nan")
+    spark.createDataFrame([(1, float("nan")), (2, float("inf")), (3, 1.5)], "level int, v double").write.parquet(p)
+    rows = {r["level"]: r["v"] for r in io.load_data(spark, io.SourceSpec(path=p)).collect()}
+    assert rows == {1: None, 2: None, 3: 1.5}
+
+
+def test_ingest_keeps_metadata(spark, tmp_path):
+    p = str(tmp_path / "wind")
+    spark.createDataFrame([(3.0, 4.0)], "UGRD double, VGRD double").write.parquet(p)
+    df = io.load_data(spark, io.SourceSpec(path=p))
+    assert df.first()["wind_speed"] == 5.0 and df.schema["wind_speed"].metadata["units"] == "m s-1"
