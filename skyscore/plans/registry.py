@@ -60,9 +60,10 @@ def sig_round_sql(v: str) -> str:
     (one expression per column keeps plan construction cheap)."""
     x = f"({v} * {NUDGE!r}D)"
     cases = " ".join(f"WHEN abs({v}) < {b:.0e} THEN round({x}, {s})" for b, s in LEVELS)
-    return (f"CASE WHEN {v} IS NULL THEN CAST(NULL AS DOUBLE) {cases} "
+    # "+ 0.0" turns a rounded -0.0 into 0.0 (DuckDB keeps the sign, Spark not)
+    return (f"(CASE WHEN {v} IS NULL THEN CAST(NULL AS DOUBLE) {cases} "
             f"WHEN isnan({v}) OR abs({v}) = double('Infinity') THEN {v} "
-            f"ELSE CAST(format_string('%.9e', {x}) AS DOUBLE) END")
+            f"ELSE CAST(format_string('%.9e', {x}) AS DOUBLE) END) + 0.0D")
 
 
 def sig_round(c):
@@ -76,7 +77,7 @@ def r6(expr: str) -> str:
     cases = " ".join(f"WHEN abs(v) < {b:.0e} THEN round({x}, {s})" for b, s in LEVELS)
     body = (f"CASE {cases} WHEN isnan(v) OR isinf(v) THEN v "
             f"ELSE CAST(printf('%.9e', {x}) AS DOUBLE) END")
-    return f"list_transform([CAST({expr} AS DOUBLE)], lambda v: {body})[1]"
+    return f"list_transform([CAST({expr} AS DOUBLE)], lambda v: ({body}) + 0.0::DOUBLE)[1]"
 
 
 def ts(expr: str) -> str:
