@@ -133,7 +133,6 @@ def _medians(df: DataFrame, keep, values, names: dict) -> DataFrame:
     group is held whole by one task); groups whose values are all NULL keep
     a NULL median."""
     from .distribution import quantiles
-    from .stats import join_group_values
     base = df.select(*keep).distinct() if keep else df.sparkSession.range(1).select()
     out = base
     for v in values:
