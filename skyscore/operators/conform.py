@@ -214,7 +214,7 @@ def isel(df: DataFrame, index: dict | None) -> DataFrame:
         else:
             cond = F.col("__ix") == ix
         keep = ranked.where(cond).select(dim)
-        df = df.join(F.broadcast(keep), dim, "left_semi")
+        df = df.join(keep, dim, "left_semi")  # AQE broadcasts it at its measured size
     return df
 
 
