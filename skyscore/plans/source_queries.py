@@ -182,3 +182,26 @@ def stream_dedup_events(spark, sf_dir):
     s = s.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("time"))
     out = run_to_table(stream_dedup(s, ["user_id", "event_type"], watermark="1 hour"))
     return canon(out.select("user_id", "event_type"))
+
+
+@query("stream_pair_two_streams", f"""
+SELECT o.o_orderkey, l.l_linenumber, {ts('o.o_orderdate')} AS time, {r6('o.o_totalprice')} AS obs,
+       {r6('l.l_extendedprice')} AS v
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+ AND l.l_shipdate BETWEEN o.o_orderdate - INTERVAL 3000 DAY AND o.o_orderdate + INTERVAL 3000 DAY""")
+def stream_pair_two_streams(spark, sf_dir):
+    """Observations (orders) and 'model' records (line items) arrive as
+    two streams and are paired on the key within a time tolerance; both
+    sides carry watermarks so the join state is bounded."""
+    from ..streaming.stream import stream_pair_streams
+    osch = tb.read(spark, sf_dir, "orders").schema
+    lsch = tb.read(spark, sf_dir, "lineitem").schema
+    o = read_stream(spark, os.path.join(sf_dir, "orders*.parquet"), osch).select(
+        "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("time"), F.col("o_totalprice").alias("obs"))
+    m = read_stream(spark, os.path.join(sf_dir, "lineitem*.parquet"), lsch).select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber",
+        F.col("l_shipdate").cast("timestamp").alias("time"), F.col("l_extendedprice").alias("v"))
+    paired = stream_pair_streams(o, m, ["o_orderkey"], obs_watermark="3650 days", model_watermark="3650 days",
+                                 tolerance="3000 days")
+    out = run_to_table(paired.select("o_orderkey", "l_linenumber", "time", "obs", "v"))
+    return canon(out)
