@@ -158,3 +158,14 @@ def test_pair_data_time_trunc(spark):
     pts = points(spark, [(1.0, 1.0)], t=T0 + dt.timedelta(minutes=40))
     assert pr.pair_data(g, pts, "v", time_trunc="hour").first()["v"] == 4.0
     assert pr.pair_data(g, pts, "v").first()["v"] is None
+
+
+def test_bilinear_across_the_dateline(spark):
+    """Global longitudes are periodic: a point between the last and the first
+    cell blends both (the wrap cell)."""
+    g = grid(spark, lambda la, lo: math.cos(math.radians(lo)) + la)
+    pts = points(spark, [(1.0, 180.0), (1.0, -178.0)])
+    got = {r["lon"]: r["v"] for r in pr.pair_bilinear(g, pts, "v").collect()}
+    c175 = math.cos(math.radians(175.0))
+    assert got[180.0] == pytest.approx(c175 + 1.0)
+    assert got[-178.0] == pytest.approx(0.3 * c175 + 0.7 * math.cos(math.radians(-175.0)) + 1.0)
