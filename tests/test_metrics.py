@@ -141,3 +141,29 @@ def test_metric_bounds(spark, data):
             assert r["kge"] <= 1.0 + 1e-12
         if r["ccc"] is not None:
             assert -1.0 <= r["ccc"] <= 1.0
+
+
+def test_frequency_strings():
+    from skyscore.operators.series import spark_duration
+    assert spark_duration("3h") == "3 hours"
+    assert spark_duration("h") == "1 hours"
+    assert spark_duration("D") == "1 days"
+    assert spark_duration("15min") == "15 minutes"
+    assert spark_duration("2 hours") == "2 hours"
+    with pytest.raises(ValueError):
+        spark_duration("3q")
+
+
+def test_window_stats_by_series(spark):
+    import datetime as dt
+    from skyscore.operators.series import resample, time_window_stats
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(minutes=20 * i), "a" if i % 2 else "b", float(i), float(i) + (1.0 if i % 2 else -1.0))
+            for i in range(18)]
+    df = spark.createDataFrame(rows, "time timestamp, k string, obs double, mod double")
+    got = {(r["k"], r["time"]): (r["n"], r["mb"]) for r in
+           time_window_stats(df, "obs", "mod", freq="3h", by=["k"]).collect()}
+    # [00:00, 03:00) holds i = 0..8: four odd ("a") and five even ("b") rows
+    assert got[("a", t0)] == (4, 1.0) and got[("b", t0)] == (5, -1.0)
+    hourly = {(r["k"], r["time"]): r["obs"] for r in resample(df, "h", "obs", keys=["k"]).collect()}
+    assert hourly[("b", t0)] == pytest.approx(1.0)   # obs 0 and 2 in the first hour
