@@ -180,3 +180,30 @@ def test_value_buckets_split_hot_ranges(spark):
     df2 = spark.createDataFrame([(0, x, x * 0.5 + 1.0) for x in xs], "g int, o double, m double")
     w = wasserstein(df2, "o", "m", by=["g"], rows_per_bucket=30).first()["wassersteindistance"]
     assert w == pytest.approx(np.mean(np.abs(np.sort(xs) - np.sort([x * 0.5 + 1.0 for x in xs]))))
+
+
+def _inside(lat, lon, poly):
+    c = False
+    n = len(poly)
+    for k in range(n):
+        y1, x1 = poly[k]
+        y2, x2 = poly[(k + 1) % n]
+        if (y1 > lat) != (y2 > lat) and lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1:
+            c = not c
+    return c
+
+
+def test_polygon_labels_match_brute_force(spark):
+    rnd = random.Random(4)
+    polys = []
+    for k in range(6):
+        cy, cx = rnd.uniform(-60, 60), rnd.uniform(-150, 150)
+        ring = [(cy + rnd.uniform(5, 30) * math.sin(a), cx + rnd.uniform(5, 40) * math.cos(a))
+                for a in sorted(rnd.uniform(0, 2 * math.pi) for _ in range(7))]
+        polys.append((f"r{k}", rnd.randint(1, 3), ring))
+    pts = [(rnd.uniform(-89, 89), rnd.uniform(-179, 179)) for _ in range(400)]
+    got = {(r["lat"], r["lon"]): r["region"] for r in
+           label_regions(spark.createDataFrame(pts, "lat double, lon double"), region_table(spark, polys)).collect()}
+    for la, lo in pts:
+        hits = sorted((p, n) for n, p, ring in polys if _inside(la, lo, ring))
+        assert got[(la, lo)] == (hits[0][1] if hits else None)
