@@ -436,6 +436,54 @@ def pair_nearest_curvilinear(cells: DataFrame, sites: DataFrame, lat="lat", lon=
     return done
 
 
+def _unit_vector(lat: Column, lon: Column):
+    la, lo = F.radians(lat), F.radians(lon)
+    return F.cos(la) * F.cos(lo), F.cos(la) * F.sin(lo), F.sin(la)
+
+
+def pair_nearest_great_circle(cells: DataFrame, sites: DataFrame, lat="lat", lon="lon",
+                              cell_id: str = "cell_id", cube: float | str = "auto") -> DataFrame:
+    """J2 on the sphere: nearest cell by great-circle distance (exact across
+    the date line and at the poles). Points become unit vectors; the nearest
+    by chord length is the nearest by arc. Vectors are hashed to cubes of side
+    ``cube``; a site is compared with the cells of its 3x3x3 cube block and a
+    candidate with chord <= ``cube`` is provably nearest; other sites retry
+    with a doubled cube (the block holds every cell once the cube exceeds the
+    sphere's diameter, 2). Output distance in kilometres (R = 6371 km)."""
+    cx, cy, cz = _unit_vector(F.col(lat), F.col(lon))
+    cl = cells.select(cell_id, cx.alias("__x"), cy.alias("__y"), cz.alias("__z"))
+    sx, sy, sz = _unit_vector(F.col(lat), F.col(lon))
+    todo = sites.select(lat, lon).distinct().select(lat, lon, sx.alias("__sx"), sy.alias("__sy"), sz.alias("__sz"))
+    if cube == "auto":
+        n = cl.count()
+        size = 2.0 * math.sqrt(4 * math.pi / max(n, 1))  # twice the mean cell spacing on the unit sphere
+    else:
+        size = float(cube)
+    offs = F.array(*[F.struct(F.lit(a).alias("da"), F.lit(b).alias("db"), F.lit(c).alias("dc"))
+                     for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)])
+    done = None
+    while True:
+        cb = cl.select("*", *[F.floor(F.col(c) / size).cast("long").alias(k)
+                              for c, k in (("__x", "__ka"), ("__y", "__kb"), ("__z", "__kc"))])
+        sb = todo.select("*", F.explode(offs).alias("__o")).select(
+            lat, lon, "__sx", "__sy", "__sz",
+            (F.floor(F.col("__sx") / size).cast("long") + F.col("__o.da")).alias("__ka"),
+            (F.floor(F.col("__sy") / size).cast("long") + F.col("__o.db")).alias("__kb"),
+            (F.floor(F.col("__sz") / size).cast("long") + F.col("__o.dc")).alias("__kc"))
+        dx, dy, dz = F.col("__sx") - F.col("__x"), F.col("__sy") - F.col("__y"), F.col("__sz") - F.col("__z")
+        cand = sb.join(cb, ["__ka", "__kb", "__kc"]).select(lat, lon, cell_id, F.sqrt(dx * dx + dy * dy + dz * dz).alias("__d"))
+        best = cand.groupBy(lat, lon).agg(F.min(F.struct("__d", cell_id)).alias("__b")).select(
+            lat, lon, F.col(f"__b.{cell_id}").alias(cell_id), F.col("__b.__d").alias("__chord"))
+        proven = best.where(F.col("__chord") <= size)
+        done = proven if done is None else done.unionByName(proven)
+        todo = todo.join(proven.select(lat, lon), [lat, lon], "left_anti")
+        if size > 2.0 or todo.isEmpty():
+            break
+        size *= 2
+    arc_km = 2 * 6371.0 * F.asin(F.least(F.lit(1.0), F.col("__chord") / 2))
+    return done.select(lat, lon, cell_id, arc_km.alias("distance_km"))
+
+
 # ----------------------------------------------------- join helpers
 
 

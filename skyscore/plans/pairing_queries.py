@@ -307,3 +307,28 @@ def pair_nearest_interp_time(spark, sf_dir):
     obs = o.join(tb.stations(spark, sf_dir), "site_id")
     out = pr.pair_data(grid, obs, "v", method="nearest", interp_time=True, axes=tb.axes10(grid))
     return canon(out.select("o_orderkey", "site_id", "time", "obs", "v"))
+
+
+_GC_SQL = f"""WITH {tb.GRID_SQL},
+{tb.STATIONS_SQL},
+cells AS (
+  SELECT CAST(round((lat + 85.0) / 10.0) AS INTEGER) * 36 + CAST(round((lon + 175.0) / 10.0) AS INTEGER) AS cell_id,
+         lat + 2.0 * sin(lon * 0.05) AS clat, lon + 3.0 * cos(lat * 0.05) AS clon
+  FROM (SELECT DISTINCT lat, lon FROM grid)),
+cv AS (SELECT cell_id, cos(radians(clat)) * cos(radians(clon)) AS x, cos(radians(clat)) * sin(radians(clon)) AS y,
+              sin(radians(clat)) AS z FROM cells),
+s AS (SELECT DISTINCT lat, lon FROM stations),
+sv AS (SELECT lat, lon, cos(radians(lat)) * cos(radians(lon)) AS x, cos(radians(lat)) * sin(radians(lon)) AS y,
+              sin(radians(lat)) AS z FROM s),
+d AS (SELECT sv.lat, sv.lon, cv.cell_id,
+             sqrt((sv.x - cv.x) * (sv.x - cv.x) + (sv.y - cv.y) * (sv.y - cv.y) + (sv.z - cv.z) * (sv.z - cv.z)) AS chord
+      FROM sv, cv)
+SELECT {r6('lat')} AS lat, {r6('lon')} AS lon, cell_id, {r6('2 * 6371.0 * asin(least(1.0, chord / 2))')} AS distance_km
+FROM d QUALIFY row_number() OVER (PARTITION BY lat, lon ORDER BY chord, cell_id) = 1"""
+
+
+@query("pair_nearest_great_circle", _GC_SQL)
+def pair_nearest_great_circle(spark, sf_dir):
+    """J2 on the sphere: nearest cell of the distorted grid for every station
+    by great-circle distance (cube-hashed unit vectors; oracle: brute force)."""
+    return canon(pr.pair_nearest_great_circle(_curvi_cells(spark, sf_dir), tb.stations(spark, sf_dir)))

@@ -169,3 +169,22 @@ def test_bilinear_across_the_dateline(spark):
     c175 = math.cos(math.radians(175.0))
     assert got[180.0] == pytest.approx(c175 + 1.0)
     assert got[-178.0] == pytest.approx(0.3 * c175 + 0.7 * math.cos(math.radians(-175.0)) + 1.0)
+
+
+def test_great_circle_nearest_matches_brute_force(spark):
+    rnd = random.Random(8)
+    cells = [(k, rnd.uniform(-89, 89), rnd.uniform(-180, 180)) for k in range(400)]
+    sites = [(rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for _ in range(150)] + [(0.0, 179.99), (89.9, 10.0)]
+    cdf = spark.createDataFrame(cells, "cell_id long, lat double, lon double")
+    sdf = spark.createDataFrame(sites, "lat double, lon double")
+    got = {(r["lat"], r["lon"]): (r["cell_id"], r["distance_km"])
+           for r in pr.pair_nearest_great_circle(cdf, sdf).collect()}
+
+    def hav(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+        return 2 * 6371.0 * math.asin(math.sqrt(h))
+    for la, lo in sites:
+        best = min(cells, key=lambda c: hav(la, lo, c[1], c[2]))
+        assert got[(la, lo)][0] == best[0]
+        assert got[(la, lo)][1] == pytest.approx(hav(la, lo, best[1], best[2]), rel=1e-6)
