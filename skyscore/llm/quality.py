@@ -167,7 +167,10 @@ def judge(df: DataFrame, rules: Rules = Rules(), keep: tuple = ("doc_id",), text
     distances are null and the base rules decide. No rows give no rows.
     """
     feats = written(features(df, text, lang, keep), "quality")
-    refs = references(feats, rules)
+    return _verdict(feats, references(feats, rules), rules).drop("lang", "cls", "hits")
+
+
+def _verdict(feats: DataFrame, refs, rules: Rules) -> DataFrame:
     char, word = distances(refs) if refs else (F.lit(None).cast("double"),) * 2
     chars = F.aggregate("cls", F.lit(0).cast("long"), lambda a, v: a + v)
     common = F.aggregate("hits", F.lit(0).cast("long"), lambda a, h: a + h.bitwiseAND((1 << 40) - 1))
@@ -176,7 +179,16 @@ def judge(df: DataFrame, rules: Rules = Rules(), keep: tuple = ("doc_id",), text
                              "word_distance": F.when(common >= rules.min_common, word)})
     far = F.coalesce(F.col("char_distance") > rules.max_char_distance, F.lit(False)) | F.coalesce(
         F.col("word_distance") > rules.max_word_distance, F.lit(False))
-    return out.withColumn("kept", ~F.col("base_failed") & ~far).drop("lang", "cls", "hits")
+    return out.withColumn("kept", ~F.col("base_failed") & ~far)
+
+
+def good(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The rows of ``df`` (text, lang and any further columns) that are kept;
+    whole rows are carried along instead of joined back, so no text is
+    shuffled."""
+    refs = references(written(features(df, keep=()), "quality"), rules)
+    rows = features(df.select(F.struct("*").alias("_row"), "text", "lang"), keep=("_row",))
+    return _verdict(rows, refs, rules).filter("kept").select("_row.*")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
