@@ -14,13 +14,15 @@ global order, rarest first, and a text keeps all but its ne - d - 1 most
 frequent ones: the rarest shared part is never among those dropped. A text
 with ne <= d (few tokens) also offers single tokens as parts.
 
-*Candidates.* Within a part, texts are not paired all with all: one hub meets
-the others, found links join components, and only texts still in different
-components are compared again, the members of the smallest components first.
-A hub is done with its part after meeting all others, so the rounds end, and
-every pair that shares a kept part was compared or is in one component.
-
-*Verify.* A pair's sketches (twice the set's size in bits) bound the
+*Candidates.* First every text meets the hubs (least member) of its two most
+frequent parts, and the links found join components. Most groups of copies are
+one component then, and only pairs in different components are still open. In
+parts of few texts their pairs are listed; larger parts are dealt into blocks
+of about ``BLOCK`` texts, and each pair of blocks compares its open pairs in
+place, so that only those within reach leave the task. Every pair that shares
+a kept part was compared or is in one component.
+
+*Verify.* A pair's sketches (at least eight bits a token) bound the
 difference; pairs within d bits are verified on the whole sets.
 
 Copies of a set are one class from the start. Sets, classes and parts are
@@ -44,10 +46,12 @@ SHINGLE = 5
 TOKENS = 63
 #: a part of more texts than this counts as of so many in the global order
 POPULAR = 1 << 20
-#: a part of up to so many texts has all its open pairs compared in one round
-SMALL = 16
-#: hubs of a larger part in one round
-HUBS = 8
+#: a part of up to so many texts has its open pairs listed
+SMALL = 12
+#: texts of a larger part that are compared in one task
+BLOCK = 256
+#: parts of a text whose hubs it meets first
+STARS = 2
 
 
 def shingle_set(text: bytes | None) -> np.ndarray:
@@ -91,22 +95,29 @@ def parts(s: np.ndarray) -> list[tuple[int, np.ndarray, int]]:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """Parity sketch of twice the set's size in bits (a power of two, 64 at
-    least); a token's bit is given by its leading hash bits."""
-    bits = max(6, int(len(s)).bit_length() + 1)
+    """Parity sketch of eight times the set's size in bits or more (a power of
+    two); a token's bit is given by its leading hash bits."""
+    bits = int(len(s)).bit_length() + 3
     odd = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def _fold(v: bytes, size: int) -> np.ndarray:
+    """Sketch of ``size`` bits: neighbouring bits of a longer one by exclusive
+    or. As numbers of 64 bits, or of 8 where it is shorter."""
+    x = np.frombuffer(v, np.uint8)
+    if 8 * len(x) > size:
+        x = np.unpackbits(x)
+        while len(x) > size:
+            x = x[0::2] ^ x[1::2]
+        x = np.packbits(x)
+    return x.view(np.uint64) if len(x) % 8 == 0 else x
+
+
 def _apart(a: bytes, b: bytes) -> int:
-    """Bits in which two sketches differ, the longer one folded to the shorter
-    (neighbouring bits by exclusive or)."""
-    x, y = (np.unpackbits(np.frombuffer(v, np.uint8)) for v in (a, b))
-    while len(x) > len(y):
-        x = x[0::2] ^ x[1::2]
-    while len(y) > len(x):
-        y = y[0::2] ^ y[1::2]
-    return int(np.count_nonzero(x != y))
+    """Bits in which two sketches differ, the longer one folded to the shorter."""
+    size = 8 * min(len(a), len(b))
+    return int(np.bitwise_count(_fold(a, size) ^ _fold(b, size)).sum())
 
 
 def _long(values) -> pa.Array:
@@ -233,40 +244,50 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return p.mapInArrow(_linked, "a long, b long")
 
 
-def _round(members: DataFrame, first: bool) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare, and the members left for a later round. ``members``:
-    key, fp, comp of parts with two components or more."""
-    by_comp = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.min("fp").alias("f"))
-    if first:
-        hubs = by_comp.groupBy("key").agg(F.min("f").alias("hub"))
-        hubs = hubs.withColumn("n", F.lit(POPULAR))
-    else:
-        # least component first; up to HUBS of them by the component's hash
-        size = members.groupBy(F.col("key").alias("_k")).agg(F.count(F.lit(1)).alias("n"))
-        hubs = (by_comp.groupBy("key", F.pmod(F.xxhash64("comp"), F.lit(HUBS)).alias("slot"))
-                .agg(F.min(F.struct("c", "f")).alias("s")).select("key", F.col("s.f").alias("hub"))
-                .join(size, F.col("key") == F.col("_k")).drop("_k"))
-    big = hubs.filter(F.col("n") > SMALL).select(F.col("key").alias("_k"), "hub")
-    h = members.select(F.col("key").alias("_mk"), F.col("fp").alias("_mf"), F.col("comp").alias("_hc"))
-    big = big.join(h, (F.col("_k") == F.col("_mk")) & (F.col("hub") == F.col("_mf"))).select("_k", "hub", "_hc")
-    pairs = (members.join(big, F.col("key") == F.col("_k")).filter("comp <> _hc")
-             .select(F.col("fp").alias("x"), F.col("hub").alias("y")))
-    left = members.join(big.select("_k", F.col("hub").alias("fp_")), (F.col("key") == F.col("_k")) & (F.col("fp") == F.col("fp_")), "left_anti")
-    if not first:
-        few = size.filter(F.col("n") <= SMALL).select("_k")
-        m = members.join(few, F.col("key") == F.col("_k"), "left_semi")
-        o = m.select(F.col("key").alias("_k2"), F.col("fp").alias("y"), F.col("comp").alias("_c2"))
-        pairs = pairs.unionByName(m.join(o, (F.col("key") == F.col("_k2")) & (F.col("fp") < F.col("y")) & (
-            F.col("comp") != F.col("_c2"))).select(F.col("fp").alias("x"), "y"))
-        left = left.join(few, F.col("key") == F.col("_k"), "left_anti")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), left
-
-
-def _open(members: DataFrame) -> DataFrame:
-    """Members of the parts that still hold two components."""
-    two = (members.groupBy(F.col("key").alias("_k")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-           .filter("lo <> hi").select("_k"))
-    return members.join(two, F.col("key") == F.col("_k"), "left_semi")
+def _star(members: DataFrame) -> DataFrame:
+    """Pairs of each text with the hubs of its STARS most frequent parts."""
+    hubs = members.groupBy(F.col("key").alias("_k")).agg(F.min("fp").alias("hub"), F.count(F.lit(1)).alias("m"))
+    w = Window.partitionBy("fp").orderBy(F.desc("m"), "hub", "key")
+    d = members.join(hubs, F.col("key") == F.col("_k")).withColumn("_r", F.row_number().over(w))
+    return d.filter(f"_r <= {STARS} and fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
+
+
+def _blocks(table: pa.Table) -> pa.Table:
+    """Open pairs within reach of one pair of blocks of a part."""
+    d = {c: table.column(c).to_numpy() for c in ("fp", "comp", "n", "own", "i", "j")}
+    raw = table.column("sketch").to_pylist()
+    size = 8 * min(map(len, raw))
+    x = np.stack([_fold(v, size) for v in raw])
+    n, out = d["n"], []
+    first = np.flatnonzero(d["own"] == d["i"][0])
+    second = first if d["i"][0] == d["j"][0] else np.flatnonzero(d["own"] == d["j"][0])
+    for p in first:
+        q = second[(d["comp"][second] != d["comp"][p]) & (d["fp"][second] != d["fp"][p])]
+        q = q[4 * np.minimum(n[q], n[p]) >= 3 * np.maximum(n[q], n[p])]
+        q = q[np.bitwise_count(x[q] ^ x[p]).sum(axis=1) <= (n[q] + n[p]) // 7]
+        out.append(np.column_stack((np.minimum(d["fp"][q], d["fp"][p]), np.maximum(d["fp"][q], d["fp"][p]))))
+    rows = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+    return pa.table({"a": _long(rows[:, 0]), "b": _long(rows[:, 1])})
+
+
+def _open_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of texts that share a part and lie in different components; of
+    larger parts only those whose sketches are near."""
+    size = (members.groupBy(F.col("key").alias("_k")).agg(
+        F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi"))
+    d = members.join(size.select("_k", "m"), F.col("key") == F.col("_k")).drop("_k")
+    few = d.filter(F.col("m") <= SMALL)
+    other = few.select(F.col("key").alias("_k"), F.col("fp").alias("b"), F.col("comp").alias("_c"))
+    pairs = few.join(other, (F.col("key") == F.col("_k")) & (F.col("fp") < F.col("b")) & (
+        F.col("comp") != F.col("_c"))).select(F.col("fp").alias("a"), "b")
+    n = F.ceil(F.col("m") / BLOCK)
+    d = d.filter(F.col("m") > SMALL).withColumn("own", F.pmod(F.xxhash64("fp", "key"), n).cast("long"))
+    d = d.withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
+    d = d.withColumns({"i": F.least("own", "_j"), "j": F.greatest("own", "_j")}).drop("_j")
+    d = d.join(sets.select(F.col("fp").alias("_fp"), "n", "sketch"), F.col("fp") == F.col("_fp"))
+    near = d.select("key", "i", "j", "own", "fp", "comp", "n", "sketch").groupBy("key", "i", "j").applyInArrow(
+        _blocks, "a long, b long")
+    return pairs.unionByName(near).distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -294,8 +315,7 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     kept = shared.withColumn("_r", rank).filter("_r > shiftright(info, 6)").select("key", "fp")
     # a part with one text left has no pair
     two = kept.groupBy(F.col("key").alias("_k")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = written(kept.join(two, F.col("key") == F.col("_k"), "left_semi")
-                      .withColumn("comp", F.col("fp")), "members")
+    members = written(kept.join(two, F.col("key") == F.col("_k"), "left_semi"), "members")
     comps = None
     if not members.isEmpty():
         wanted = members.select("fp").distinct()
@@ -306,15 +326,11 @@ def near_duplicates(df: DataFrame) -> DataFrame:
             F.xxhash64("text") == F.col("_hash")), "left_semi")
             .select("text").mapInArrow(_set_rows, "fp long, n long, tokens binary, sketch binary")
             .dropDuplicates(["fp"]), "sets")
-        links, first = None, True
-        while not members.isEmpty():
-            pairs, left = _round(members, first)
-            found = written(verify(pairs, sets), "links")
-            links = found if links is None else links.unionByName(found)
-            comps = components(links)
-            left = left.drop("comp").join(comps.withColumnRenamed("v", "fp"), "fp", "left")
-            members = written(_open(left.select("key", "fp", F.coalesce("comp", "fp").alias("comp"))), "members")
-            first = False
+        links = written(verify(_star(members), sets), "links")
+        comps = components(links).withColumnRenamed("v", "fp")
+        members = members.join(comps, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
+        more = written(verify(_open_pairs(members, sets), sets), "links")
+        comps = components(links.unionByName(more))
     if comps is None:
         out = cls.withColumn("component", F.col("fp"))
     else:
