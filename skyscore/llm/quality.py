@@ -183,12 +183,15 @@ def _verdict(feats: DataFrame, refs, rules: Rules) -> DataFrame:
 
 
 def good(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The rows of ``df`` (text, lang and any further columns) that are kept;
-    whole rows are carried along instead of joined back, so no text is
-    shuffled."""
-    refs = references(written(features(df, keep=()), "quality"), rules)
-    rows = features(df.select(F.struct("*").alias("_row"), "text", "lang"), keep=("_row",))
-    return _verdict(rows, refs, rules).filter("kept").select("_row.*")
+    """The rows of ``df`` (doc_id, text, lang and any further columns) that are
+    kept, found by id and content in the small table of verdicts."""
+    key = F.xxhash64("text", "lang")
+    feats = written(features(df.select("doc_id", "text", "lang", key.alias("_hash")), keep=("doc_id", "_hash")), "quality")
+    kept = _verdict(feats, references(feats, rules), rules).filter("kept").select(
+        F.col("doc_id").alias("_id"), F.col("_hash").alias("_content")).distinct()
+    rows = df.select(F.struct("*").alias("_row"), "doc_id", key.alias("_hash"))
+    return rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_content")),
+                     "left_semi").select("_row.*")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
