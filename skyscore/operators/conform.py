@@ -193,26 +193,37 @@ def summary_title(df: DataFrame, obs: str, mod: str, title: str, plot_type: str
 def isel(df: DataFrame, index: dict | None) -> DataFrame:
     """positional selection along dimensions (unknown dims ignored).
 
-    The axis is the small table of distinct coordinate values; it is ranked
-    (0-based, ascending) and semi-joined back, so the big table is never
-    ordered. ``slice`` values select a half-open index range."""
+    The axis is the small table of distinct coordinate values (missing ones
+    left out); it is ranked (0-based, ascending) and semi-joined back, so the
+    big table is never ordered. Indices, lists and slices (with steps) count
+    from the end when negative, as in Python."""
     if not index:
         return df
     for dim, ix in index.items():
         if dim not in df.columns:
             continue
-        axis = df.select(dim).distinct()
-        ranked = axis.withColumn("__ix", F.dense_rank().over(Window.orderBy(dim)) - 1)
+        axis = df.select(dim).where(F.col(dim).isNotNull()).distinct()
+        ranked = axis.withColumns({"__ix": F.dense_rank().over(Window.orderBy(dim)) - 1,
+                                   "__n": F.count(F.lit(1)).over(Window.partitionBy())})
+        at, n = F.col("__ix"), F.col("__n")
+
+        def place(i):
+            return F.lit(i) if i >= 0 else n + F.lit(i)
         if isinstance(ix, slice):
-            cond = F.lit(True)
-            if ix.start is not None:
-                cond = cond & (F.col("__ix") >= ix.start)
-            if ix.stop is not None:
-                cond = cond & (F.col("__ix") < ix.stop)
+            step = 1 if ix.step is None else ix.step
+            if step == 0:
+                raise ValueError("slice step cannot be zero")
+            if step > 0:
+                first = F.lit(0) if ix.start is None else F.greatest(place(ix.start), F.lit(0))
+                cond = (at >= first) & (at < (n if ix.stop is None else place(ix.stop)))
+            else:
+                first = n - 1 if ix.start is None else F.least(place(ix.start), n - 1)
+                cond = (at <= first) & (at > (F.lit(-1) if ix.stop is None else place(ix.stop)))
+            cond = cond & (F.abs(at - first) % abs(step) == 0)
         elif isinstance(ix, (list, tuple)):
-            cond = F.col("__ix").isin(list(ix))
+            cond = at.isin([place(i) for i in ix]) if ix else F.lit(False)
         else:
-            cond = F.col("__ix") == ix
+            cond = at == place(ix)
         keep = ranked.where(cond).select(dim)
         df = df.join(keep, dim, "left_semi")  # AQE broadcasts it at its measured size
     return df

@@ -127,7 +127,8 @@ def wasserstein(df: DataFrame, obs: str, mod: str, by=(), rows_per_bucket: int =
 def fractions_skill_score(fcst: DataFrame, obs: DataFrame, var_f: str, var_o: str, threshold: float,
                           k: int = 1, lat: str = "lat", lon: str = "lon", time: str = "time",
                           by=(), axes: dict | None = None) -> DataFrame:
-    """M16 per group of ``by`` (keys present in both grids, e.g. time)."""
+    """M16 per group of ``by`` (keys present in both grids, e.g. time). A group
+    without a value at or above ``threshold`` in either grid scores NULL."""
     by = list(by)
     if axes is None:
         axes = {**axis_columns(fcst, lat, "a", periodic=False), **axis_columns(fcst, lon, "b", periodic=False)}
@@ -149,12 +150,20 @@ def fractions_skill_score(fcst: DataFrame, obs: DataFrame, var_f: str, var_o: st
         "an", "bn", "If", "Io")
     nb = nb.where((F.col("ti") >= 0) & (F.col("ti") < F.col("an")) & (F.col("tj") >= 0) & (F.col("tj") < F.col("bn")))
     frac = nb.groupBy(*keys, "ti", "tj").agg((F.sum("If") / n).alias("pf"), (F.sum("Io") / n).alias("po"))
+    if by:  # every group of either grid has a row
+        groups = fcst.select(*by).unionByName(obs.select(*by)).distinct()
+        frac = frac.select(*by, "pf", "po").unionByName(groups.select(*by, F.lit(0.0).alias("pf"), F.lit(0.0).alias("po")))
     dd = F.col("pf") - F.col("po")
     s = frac.groupBy(*by).agg(F.sum(dd * dd).alias("num"),
                               (F.sum(F.col("pf") * F.col("pf")) + F.sum(F.col("po") * F.col("po"))).alias("den"))
     return s.select(*by, (1 - safe_div(F.col("num"), F.col("den"))).alias("fss"))
 
 
+def _percent(q: float) -> str:
+    whole, _, part = f"{q * 100:.10f}".rstrip("0").rstrip(".").partition(".")
+    return whole.zfill(2) + (f"_{part}" if part else "")
+
+
 def quantiles(df: DataFrame, value: str, qs, by=(), rows_per_bucket: int = 1_000_000,
               prefix: str = "q") -> DataFrame:
     """Exact continuous quantiles (linear interpolation between order
@@ -173,7 +182,8 @@ def quantiles(df: DataFrame, value: str, qs, by=(), rows_per_bucket: int = 1_000
     tells), Spark's exact ``percentile`` runs per group instead: each group
     then fits one task by construction.
 
-    Output: ``by`` + one column ``{prefix}{pct:02d}`` per requested q."""
+    Output: ``by`` + one column ``{prefix}{pct:02d}`` per requested q (parts of
+    a percent after an underscore: ``q00_4`` is 0.4 %)."""
     from .stats import join_group_values
     by = list(by)
     qs = [float(q) for q in qs]
@@ -183,7 +193,7 @@ def quantiles(df: DataFrame, value: str, qs, by=(), rows_per_bucket: int = 1_000
     rows = df.select(*by, F.col(value).cast("double").alias("x"), F.lit(1).alias("c")) \
              .where(F.col("x").isNotNull() & ~F.isnan("x"))
     keep = [] if glob else by
-    names = [f"{prefix}{int(round(q * 100)):02d}" for q in qs]
+    names = [f"{prefix}{_percent(q)}" for q in qs]
     # every group small enough for one task: a plain exact percentile per group
     largest = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     if largest is None or largest <= rows_per_bucket:

@@ -5,10 +5,9 @@ Scale design
 Grid rows (time x cells) vastly outnumber distinct sites, and sites vastly
 outnumber axis values. So every method works in three steps:
 
-1. *Match* the **distinct** site coordinates (or site-times) to grid-cell
-   indices. For a regular axis this is index arithmetic against a one-row
-   axis description (cross-joined, broadcast: size 1 by construction); for an
-   irregular axis a bucketed equi join against the distinct axis values.
+1. *Match* coordinates to grid-cell indices by arithmetic against a one-row
+   axis description (literals or scalar subqueries); cells of a 2-D grid by a
+   descent through a pyramid of tiles.
 2. *Fetch* model values with a hash equi join on integer cell indices (and
    time). Integer keys avoid floating-point equality on coordinates.
 3. *Attach* the result to the observation rows with an equi join on the site
@@ -44,18 +43,21 @@ def axis_columns(grid: DataFrame, coord: str, prefix: str, spec: RegularAxis | N
     """Columns ``{prefix}0, {prefix}d, {prefix}n, {prefix}p`` describing a
     regular axis (first value, step, length, periodic). Given a spec they are
     literals; otherwise scalar subqueries over the grid (Spark merges them into
-    one subquery, evaluated once): step = smallest gap between consecutive
-    distinct values (a window over the distinct-axis table, whose size is the
-    axis length, not the data size); n = span / step + 1; periodic when
-    n * step == 360."""
+    one subquery, evaluated once): step = mean gap between consecutive distinct
+    values when all gaps agree within 1 % (axes stored in single precision),
+    else the smallest gap (lines without data); the window runs over the
+    distinct-axis table, whose size is the axis length, not the data size.
+    n = span / step + 1; periodic when n * step is 360 within 1 % of a step."""
     if spec is not None:
         return {f"{prefix}0": F.lit(float(spec.first)), f"{prefix}d": F.lit(float(spec.step)),
                 f"{prefix}n": F.lit(int(spec.n)), f"{prefix}p": F.lit(bool(spec.periodic))}
-    vals = grid.select(F.col(coord).cast("double").alias("x")).distinct()
+    vals = grid.select(F.col(coord).cast("double").alias("x")).where(F.col("x").isNotNull()).distinct()
     gaps = vals.select("x", (F.lead("x").over(Window.orderBy("x")) - F.col("x")).alias("g"))
-    a = gaps.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.min("g").alias("step"))
+    even = F.max("g") - F.min("g") <= 0.01 * F.min("g")
+    a = gaps.agg(F.min("x").alias("lo"), F.max("x").alias("hi"),
+                 F.when(even, (F.max("x") - F.min("x")) / F.count("g")).otherwise(F.min("g")).alias("step"))
     n = (F.round((F.col("hi") - F.col("lo")) / F.col("step")) + 1).cast("int")
-    per = F.abs(n * F.col("step") - 360.0) < 1e-6 if periodic is None else F.lit(bool(periodic))
+    per = F.abs(n * F.col("step") - 360.0) < 0.01 * F.col("step") if periodic is None else F.lit(bool(periodic))
     return {f"{prefix}0": a.select("lo").scalar(), f"{prefix}d": a.select("step").scalar(),
             f"{prefix}n": a.select(n).scalar(), f"{prefix}p": a.select(per).scalar()}
 
@@ -104,22 +106,29 @@ def indexed_grid(grid: DataFrame, axes: dict, var, lat="lat", lon="lon", time="t
 # ---------------------------------------------------------------- nearest
 
 
-def nearest_cells(sites: DataFrame, axes: dict, lat="lat", lon="lon", clamp: bool = True) -> DataFrame:
-    """Distinct site coordinates -> nearest cell indices ``__i, __j``.
+def with_nearest(df: DataFrame, axes: dict, lat="lat", lon="lon", clamp: bool = True) -> DataFrame:
+    """``df`` with the nearest cell indices ``__i, __j`` of each row and the
+    axis description ``__ax``; a missing coordinate gives NULL indices.
 
     Nearest = ``floor(fidx + 0.5)`` (ties go to the upper cell). Points beyond
     the grid edge take the edge cell when ``clamp`` (what nearest-neighbour
     interpolation of a bounded grid does); periodic longitudes wrap."""
-    s = sites.select(lat, lon).distinct().withColumns(axes)
-    i = F.floor(_fidx(F.col(lat), "a") + 0.5).cast("int")
-    j = F.floor(_fidx(F.col(lon), "b") + 0.5).cast("int")
-    if clamp:
-        i = F.least(F.greatest(i, F.lit(0)), F.col("an") - 1)
-        j = F.when(F.col("bp"), F.pmod(j, F.col("bn"))).otherwise(
-            F.least(F.greatest(j, F.lit(0)), F.col("bn") - 1))
+    s = df.withColumn("__ax", F.struct(*[v.alias(k) for k, v in axes.items()]))
+    i = F.floor(_fidx(F.col(lat), "__ax.a") + 0.5).cast("int")
+    j = F.floor(_fidx(F.col(lon), "__ax.b") + 0.5).cast("int")
+    if clamp:  # least and greatest skip NULL, so a missing index is kept apart
+        i = F.when(i.isNotNull(), F.least(F.greatest(i, F.lit(0)), F.col("__ax.an") - 1))
+        j = F.when(F.col("__ax.bp"), F.pmod(j, F.col("__ax.bn"))).when(
+            j.isNotNull(), F.least(F.greatest(j, F.lit(0)), F.col("__ax.bn") - 1))
     else:
-        j = _wrap(j, "b")
-    return s.select(lat, lon, i.alias("__i"), j.alias("__j"))
+        j = _wrap(j, "__ax.b")
+    return s.withColumns({"__i": i, "__j": j})
+
+
+def nearest_cells(sites: DataFrame, axes: dict, lat="lat", lon="lon", clamp: bool = True) -> DataFrame:
+    """Distinct site coordinates with their nearest cell indices ``__i, __j``
+    (:func:`with_nearest`)."""
+    return with_nearest(sites.select(lat, lon).distinct(), axes, lat, lon, clamp).drop("__ax")
 
 
 def pair_nearest(model: DataFrame, points: DataFrame, var, lat="lat", lon="lon", time="time",
@@ -127,19 +136,20 @@ def pair_nearest(model: DataFrame, points: DataFrame, var, lat="lat", lon="lon",
                  with_cell: bool = False) -> DataFrame:
     """Each point (row of ``points``) takes the value of its nearest
     grid cell at the same time. ``how='left'`` keeps every point (model NULL
-    when the cell-time is absent); ``'inner'`` keeps matched pairs only."""
+    when the cell-time is absent or a coordinate is missing); ``'inner'`` keeps
+    matched pairs only. The cell index is arithmetic on the row's own columns,
+    so the only shuffle is the join to the grid."""
     var = [var] if isinstance(var, str) else list(var)
     axes = axes if axes is not None else grid_axes(model, lat, lon, lat_axis, lon_axis)
-    cells = nearest_cells(points, axes, lat, lon)
     g = indexed_grid(model, axes, var, lat, lon, time)
-    keyed = points.join(cells, [lat, lon], "inner")
+    keyed = with_nearest(points, axes, lat, lon)
+    if with_cell:
+        keyed = keyed.withColumns({"cell_lat": F.col("__ax.a0") + F.col("__ax.ad") * F.col("__i"),
+                                   "cell_lon": F.col("__ax.b0") + F.col("__ax.bd") * F.col("__j")})
     on = ([time] if time else []) + ["__i", "__j"]
-    out = keyed.join(g, on, how)
+    out = keyed.drop("__ax").join(g, on, how)
     if with_cell:
-        out = (out.withColumns({k: axes[k] for k in ("a0", "ad", "b0", "bd")})
-                  .withColumn("cell_lat", F.col("a0") + F.col("ad") * F.col("__i"))
-                  .withColumn("cell_lon", F.col("b0") + F.col("bd") * F.col("__j"))
-                  .drop("a0", "ad", "b0", "bd"))
+        out = out.select(*[c for c in out.columns if c not in ("cell_lat", "cell_lon")], "cell_lat", "cell_lon")
     return out.drop("__i", "__j")
 
 
@@ -152,9 +162,13 @@ def bilinear_corners(sites: DataFrame, axes: dict, lat="lat", lon="lon", keys=()
     keys = list(keys)
     s = sites.select(*keys, lat, lon).distinct().withColumns(axes)
     fi, fj = _fidx(F.col(lat), "a"), _fidx(F.col(lon), "b")
-    s = s.select(*keys, lat, lon, "ap", "an", "bp", "bn",
-                 F.floor(fi).cast("int").alias("__i0"), F.floor(fj).cast("int").alias("__j0"),
-                 (fi - F.floor(fi)).alias("__tx"), (fj - F.floor(fj)).alias("__ty"))
+
+    def lower(f, p):  # a point on the last line belongs to the last interval
+        last = ~F.col(f"{p}p") & (f == F.col(f"{p}n") - 1) & (F.col(f"{p}n") > 1)
+        return F.when(last, F.col(f"{p}n") - 2).otherwise(F.floor(f)).cast("int")
+    i0, j0 = lower(fi, "a"), lower(fj, "b")
+    s = s.select(*keys, lat, lon, "ap", "an", "bp", "bn", i0.alias("__i0"), j0.alias("__j0"),
+                 (fi - i0).alias("__tx"), (fj - j0).alias("__ty"))
     corners = F.array(*[
         F.struct(F.lit(di).alias("di"), F.lit(dj).alias("dj"),
                  ((F.col("__tx") if di else 1 - F.col("__tx")) *
@@ -381,59 +395,107 @@ def pair_asof(points: DataFrame, model: DataFrame, var, time: str = "time", keys
 # ----------------------------------------------------- curvilinear nearest
 
 
+_FAN = 4  # a tile splits into this many parts along each axis
+
+
+def _bounds(tile, q, low, width):
+    """Least squared distance from ``q`` to a tile, and the greatest."""
+    near, far = F.lit(0.0), F.lit(0.0)
+    for a, x in enumerate(q):
+        edge = F.lit(low[a]) + F.get(tile, F.lit(a)) * width
+        under, over = edge - x, x - edge - width
+        n, f = F.greatest(under, over, F.lit(0.0)), F.greatest(F.abs(under), F.abs(over))
+        near, far = near + n * n, far + f * f
+    return near, far
+
+
+def _candidate(q, low, width):
+    def of(tile):
+        near, far = _bounds(tile, q, low, width)
+        return F.struct(near.alias("near"), far.alias("far"), tile.alias("tile"))
+    return of
+
+
+def _nearest_by_tiles(cells: DataFrame, sites: DataFrame, lat: str, lon: str, cell_id: str, point,
+                      leaf: float | None = None) -> DataFrame:
+    """Nearest cell of each distinct site by straight distance between
+    ``point(lat, lon)`` (a list of Columns): ``lat, lon, cell_id, __d2``.
+
+    A fixed pyramid of tiles over the cells' extent, every tile split into
+    ``_FAN`` parts along each axis. From the root down a site keeps the occupied
+    tiles whose least distance does not exceed the smallest greatest distance
+    among them; such a tile may hold the nearest cell, any other cannot. So a
+    site holds a bounded number of tiles per level wherever it lies, the plan
+    has one join and one aggregate per level, and the number of levels follows
+    from the number of cells alone (about one cell per last tile; ``leaf`` asks
+    for last tiles of at most that side). The driver sees one row: count and
+    extent of the cells. The tables of the two top levels are bounded by
+    ``_FAN`` ** 3 rows and broadcast; the others are left to AQE.
+
+    Sites with a missing coordinate, and all sites when there are no cells,
+    get a NULL cell. Cells with a missing coordinate are not considered. Ties
+    take the least ``cell_id``."""
+    def known(d, names):
+        ok = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in names]
+        return ok[0] & ok[1]
+
+    wanted = sites.select(lat, lon).distinct()
+    cl = cells.where(known(cells, [lat, lon])).select(cell_id, F.array(*point(F.col(lat), F.col(lon))).alias("__p"))
+    k = len(point(F.lit(0.0), F.lit(0.0)))
+    at = [F.col("__p")[a] for a in range(k)]
+    ext = cl.agg(F.count(F.lit(1)), *[F.min(c) for c in at], *[F.max(c) for c in at]).first()
+    n, low, high = ext[0], ext[1:k + 1], ext[k + 1:]
+    none = [F.lit(None).cast(cells.schema[cell_id].dataType).alias(cell_id), F.lit(None).cast("double").alias("__d2")]
+    if n == 0:
+        return wanted.select(lat, lon, *none)
+    side = max(h - x for h, x in zip(high, low)) * (1 + 1e-9) or 1.0
+    levels = max(1, math.ceil(math.log(n, _FAN * _FAN)))
+    if leaf:
+        levels = max(1, math.ceil(math.log(side / leaf, _FAN)))
+    slack = 1e-12 * (side + max(map(abs, [*low, *high])))
+    parts = _FAN ** levels
+    cl = cl.withColumn("__tile", F.array(*[F.least(F.floor((c - x) * (parts / side)), F.lit(parts - 1)).cast("long")
+                                           for c, x in zip(at, low)]))
+    # cells in one place count once
+    cl = cl.groupBy("__tile", "__p").agg(F.min(cell_id).alias(cell_id))
+    from ..session import cut_lineage
+    tables = {levels: cut_lineage(cl.select("__tile").distinct())}
+
+    def parent(t):
+        return F.transform(t, lambda i: F.floor(i / _FAN).cast("long"))
+    for t in range(levels - 1, 0, -1):
+        tables[t] = tables[t + 1].select(parent("__tile").alias("__tile")).distinct()
+    q = point(F.col(lat), F.col(lon))
+    held = wanted.where(known(wanted, [lat, lon])).select(
+        lat, lon, F.array(*[F.lit(0).cast("long")] * k).alias("__tile"))
+    for t in range(1, levels + 1):
+        kids = tables[t].groupBy(parent("__tile").alias("__up")).agg(F.collect_list("__tile").alias("__kids"))
+        if t <= 2:
+            kids = F.broadcast(kids)
+
+        held = held.join(kids, F.col("__tile") == F.col("__up")).select(
+            lat, lon, F.transform("__kids", _candidate(q, low, side / _FAN ** t)).alias("__c"))
+        held = held.groupBy(lat, lon).agg(F.flatten(F.collect_list("__c")).alias("__c"))
+        held = held.withColumn("__reach", F.sqrt(F.array_min(F.col("__c.far"))) + slack)
+        held = held.select(lat, lon, F.explode(F.filter("__c", lambda c: F.sqrt(c["near"]) <= F.col("__reach")))
+                           .alias("__c")).select(lat, lon, F.col("__c.tile").alias("__tile"))
+    d2 = sum((x - c) * (x - c) for x, c in zip(q, at))
+    best = (held.join(cl, "__tile").select(lat, lon, F.struct(d2.alias("d2"), F.col(cell_id)).alias("__b"))
+            .groupBy(lat, lon).agg(F.min("__b").alias("__b"))
+            .select(lat, lon, F.col(f"__b.{cell_id}").alias(cell_id), F.col("__b.d2").alias("__d2")))
+    return best.unionByName(wanted.where(~known(wanted, [lat, lon])).select(lat, lon, *none))
+
+
 def pair_nearest_curvilinear(cells: DataFrame, sites: DataFrame, lat="lat", lon="lon",
-                             cell_id: str = "cell_id", tile: float | str = "auto",
-                             max_extent: float = 405.0) -> DataFrame:
-    """Nearest cell of a 2-D (curvilinear) grid for each distinct site,
-    by Euclidean distance in (lat, lon) degrees.
-
-    Cells and sites are hashed to square tiles of side ``tile``; a site is
-    compared with the cells of its 3x3 tile block. A candidate at distance
-    d <= tile is provably the nearest (anything outside the block is farther
-    than ``tile``). Sites without such a proof are retried with a doubled
-    tile, so the result is exact for every site; the loop only iterates while
-    unresolved sites remain (one ``isEmpty`` probe per round) and ends once
-    the tile exceeds ``max_extent`` (then the block covers every cell).
-
-    ``tile='auto'`` sizes the tile to twice the mean cell spacing (one scalar
-    aggregate over the cells), so a tile block holds a bounded number of
-    cells however densely the sites cluster."""
-    cl = cells.select(cell_id, F.col(lat).alias("__clat"), F.col(lon).alias("__clon"))
-    todo = sites.select(lat, lon).distinct()
-    done = None
-    if tile == "auto":
-        a = cl.agg(((F.max("__clat") - F.min("__clat")) * (F.max("__clon") - F.min("__clon"))
-                    / F.count(F.lit(1))).alias("area")).first()["area"]
-        size = 2.0 * math.sqrt(a) if a and a > 0 else 1.0
-    else:
-        size = float(tile)
-    while True:
-        tb = cl.select("*", F.floor(F.col("__clat") / size).cast("long").alias("__ta"),
-                       F.floor(F.col("__clon") / size).cast("long").alias("__tb"))
-        offs = F.array(*[F.struct(F.lit(a).alias("da"), F.lit(b).alias("db"))
-                         for a in (-1, 0, 1) for b in (-1, 0, 1)])
-        s = todo.select(lat, lon, F.explode(offs).alias("__o")).select(
-            lat, lon,
-            (F.floor(F.col(lat) / size).cast("long") + F.col("__o.da")).alias("__ta"),
-            (F.floor(F.col(lon) / size).cast("long") + F.col("__o.db")).alias("__tb"))
-        dl, dn = F.col(lat) - F.col("__clat"), F.col(lon) - F.col("__clon")
-        cand = s.join(tb, ["__ta", "__tb"]).select(lat, lon, cell_id, (dl * dl + dn * dn).alias("__d2"))
-        best = cand.groupBy(lat, lon).agg(F.min(F.struct("__d2", cell_id)).alias("__b")).select(
-            lat, lon, F.col(f"__b.{cell_id}").alias(cell_id), F.sqrt("__b.__d2").alias("distance"))
-        proven = best.where(F.col("distance") <= size)
-        done = proven if done is None else done.unionByName(proven)
-        todo = todo.join(proven.select(lat, lon), [lat, lon], "left_anti")
-        # once a tile exceeds the largest possible distance on the sphere's
-        # (lat, lon) rectangle, the 3x3 block holds every cell: all proven
-        if size > max_extent or todo.isEmpty():
-            break
-        size *= 2
-    if size > max_extent:
-        # only sites with no cell at all can remain
-        done = done.unionByName(todo.select(
-            lat, lon, F.lit(None).cast(cells.schema[cell_id].dataType).alias(cell_id),
-            F.lit(None).cast("double").alias("distance")))
-    return done
+                             cell_id: str = "cell_id", tile: float | str = "auto") -> DataFrame:
+    """J2 on a plane: nearest cell of a 2-D (curvilinear) grid for each distinct
+    site by Euclidean distance of the two coordinates (projected coordinates, or
+    degrees on a small region: it knows neither the date line nor the shrinking
+    of longitude; :func:`pair_nearest_great_circle` does). See
+    :func:`_nearest_by_tiles`; ``tile`` bounds the side of the last tiles."""
+    out = _nearest_by_tiles(cells, sites, lat, lon, cell_id,
+                            lambda a, b: [a.cast("double"), b.cast("double")], None if tile == "auto" else float(tile))
+    return out.select(lat, lon, cell_id, F.sqrt("__d2").alias("distance"))
 
 
 def _unit_vector(lat: Column, lon: Column):
@@ -442,46 +504,14 @@ def _unit_vector(lat: Column, lon: Column):
 
 
 def pair_nearest_great_circle(cells: DataFrame, sites: DataFrame, lat="lat", lon="lon",
-                              cell_id: str = "cell_id", cube: float | str = "auto") -> DataFrame:
+                              cell_id: str = "cell_id") -> DataFrame:
     """J2 on the sphere: nearest cell by great-circle distance (exact across
-    the date line and at the poles). Points become unit vectors; the nearest
-    by chord length is the nearest by arc. Vectors are hashed to cubes of side
-    ``cube``; a site is compared with the cells of its 3x3x3 cube block and a
-    candidate with chord <= ``cube`` is provably nearest; other sites retry
-    with a doubled cube (the block holds every cell once the cube exceeds the
-    sphere's diameter, 2). Output distance in kilometres (R = 6371 km)."""
-    cx, cy, cz = _unit_vector(F.col(lat), F.col(lon))
-    cl = cells.select(cell_id, cx.alias("__x"), cy.alias("__y"), cz.alias("__z"))
-    sx, sy, sz = _unit_vector(F.col(lat), F.col(lon))
-    todo = sites.select(lat, lon).distinct().select(lat, lon, sx.alias("__sx"), sy.alias("__sy"), sz.alias("__sz"))
-    if cube == "auto":
-        n = cl.count()
-        size = 2.0 * math.sqrt(4 * math.pi / max(n, 1))  # twice the mean cell spacing on the unit sphere
-    else:
-        size = float(cube)
-    offs = F.array(*[F.struct(F.lit(a).alias("da"), F.lit(b).alias("db"), F.lit(c).alias("dc"))
-                     for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)])
-    done = None
-    while True:
-        cb = cl.select("*", *[F.floor(F.col(c) / size).cast("long").alias(k)
-                              for c, k in (("__x", "__ka"), ("__y", "__kb"), ("__z", "__kc"))])
-        sb = todo.select("*", F.explode(offs).alias("__o")).select(
-            lat, lon, "__sx", "__sy", "__sz",
-            (F.floor(F.col("__sx") / size).cast("long") + F.col("__o.da")).alias("__ka"),
-            (F.floor(F.col("__sy") / size).cast("long") + F.col("__o.db")).alias("__kb"),
-            (F.floor(F.col("__sz") / size).cast("long") + F.col("__o.dc")).alias("__kc"))
-        dx, dy, dz = F.col("__sx") - F.col("__x"), F.col("__sy") - F.col("__y"), F.col("__sz") - F.col("__z")
-        cand = sb.join(cb, ["__ka", "__kb", "__kc"]).select(lat, lon, cell_id, F.sqrt(dx * dx + dy * dy + dz * dz).alias("__d"))
-        best = cand.groupBy(lat, lon).agg(F.min(F.struct("__d", cell_id)).alias("__b")).select(
-            lat, lon, F.col(f"__b.{cell_id}").alias(cell_id), F.col("__b.__d").alias("__chord"))
-        proven = best.where(F.col("__chord") <= size)
-        done = proven if done is None else done.unionByName(proven)
-        todo = todo.join(proven.select(lat, lon), [lat, lon], "left_anti")
-        if size > 2.0 or todo.isEmpty():
-            break
-        size *= 2
-    arc_km = 2 * 6371.0 * F.asin(F.least(F.lit(1.0), F.col("__chord") / 2))
-    return done.select(lat, lon, cell_id, arc_km.alias("distance_km"))
+    the date line and at the poles; any range of longitudes). Points become
+    unit vectors; the nearest by chord is the nearest by arc. See
+    :func:`_nearest_by_tiles`. Output distance in kilometres (R = 6371 km)."""
+    out = _nearest_by_tiles(cells, sites, lat, lon, cell_id, lambda a, b: list(_unit_vector(a, b)))
+    arc_km = 2 * 6371.0 * F.asin(F.least(F.lit(1.0), F.sqrt("__d2") / 2))
+    return out.select(lat, lon, cell_id, F.when(F.col("__d2").isNotNull(), arc_km).alias("distance_km"))
 
 
 # ----------------------------------------------------- join helpers

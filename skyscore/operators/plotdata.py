@@ -70,7 +70,9 @@ def scatter_density(df: DataFrame, obs: str, mod: str, bins: int = 50, lo=None,
                     by=()) -> DataFrame:
     """V4 at scale: 2-D histogram of (obs, model) with ``bins`` x ``bins``
     equal-width cells between ``lo`` and ``hi`` (global min/max of both
-    when omitted, taken from a one-row aggregate as scalar subqueries)."""
+    when omitted, taken from a one-row aggregate as scalar subqueries).
+    With a given range, values below it are counted in bin -1 and values above
+    it in bin ``bins``."""
     v = df.where(pairwise_valid(obs, mod))
     if lo is None or hi is None:
         rng = v.agg(F.least(F.min(obs), F.min(mod)).alias("__lo"),
@@ -82,7 +84,8 @@ def scatter_density(df: DataFrame, obs: str, mod: str, bins: int = 50, lo=None,
 
     def b(c):
         i = F.floor(safe_div(F.col(c) - lo_c, width))
-        return F.least(F.greatest(F.coalesce(i, F.lit(0)), F.lit(0)), F.lit(bins - 1)).cast("int")
+        return (F.when(F.col(c) < lo_c, -1).when(F.col(c) > hi_c, bins)
+                .otherwise(F.least(F.coalesce(i, F.lit(0)), F.lit(bins - 1))).cast("int"))
     return (v.select(*by, b(obs).alias("obs_bin"), b(mod).alias("mod_bin"))
               .groupBy(*by, "obs_bin", "mod_bin").agg(F.count(F.lit(1)).alias("n")))
 

@@ -70,10 +70,11 @@ nb AS (
   FROM ex, (SELECT a.range AS di, b.range AS dj FROM range(-1, 2) a, range(-1, 2) b)
   WHERE i + di BETWEEN 0 AND 17 AND j + dj BETWEEN 0 AND 35),
 fr AS (SELECT time, ti, tj, CAST(sum(f) AS DOUBLE) / 9.0::DOUBLE AS pf, CAST(sum(o) AS DOUBLE) / 9.0::DOUBLE AS po
-       FROM nb GROUP BY 1, 2, 3)
+       FROM nb GROUP BY 1, 2, 3),
+every AS (SELECT time FROM grid UNION SELECT time FROM og)
 SELECT {ts('time')} AS time,
        {r6('1 - sum((pf - po) * (pf - po)) / nullif(sum(pf * pf) + sum(po * po), 0)')} AS fss
-FROM fr GROUP BY time"""
+FROM every LEFT JOIN fr USING (time) GROUP BY time"""
 
 
 @query("fss_per_month", _FSS_SQL)

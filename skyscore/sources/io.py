@@ -47,11 +47,26 @@ def load_data(spark: SparkSession, spec: SourceSpec, dates=None, time_col: str =
         if "date" in df.columns:
             df = df.where(F.col("date").isin(dates))
         elif time_col in df.columns:
-            df = df.where(F.to_date(F.col(time_col)).isin([dt.date.fromisoformat(d) for d in dates]))
+            df = df.where(_on_days(F.col(time_col), [dt.date.fromisoformat(d) for d in dates]))
     df = conform(df, spec.rename, spec.scale, spec.offset, spec.isel, spec.sel)
     return missing_as_null(df)
 
 
+def _on_days(time, days):
+    """``time`` falls on one of ``days``: half-open ranges over runs of days, which
+    reach the file reader (a function of ``time`` would not)."""
+    day, runs = dt.timedelta(days=1), []
+    for d in sorted(set(days)):
+        if runs and runs[-1][1] == d:
+            runs[-1][1] = d + day
+        else:
+            runs.append([d, d + day])
+    found = F.lit(False)
+    for lo, hi in runs:
+        found = found | ((time >= F.lit(lo)) & (time < F.lit(hi)))
+    return found
+
+
 def missing_as_null(df: DataFrame) -> DataFrame:
     """§1.4 policy at ingest: NaN and +-inf in floating value columns become
     NULL, so every aggregate skips them (one projection, no cast of other

@@ -188,3 +188,43 @@ def test_great_circle_nearest_matches_brute_force(spark):
         best = min(cells, key=lambda c: hav(la, lo, c[1], c[2]))
         assert got[(la, lo)][0] == best[0]
         assert got[(la, lo)][1] == pytest.approx(hav(la, lo, best[1], best[2]), rel=1e-6)
+
+
+def test_nearest_cell_far_sites_missing_coordinates_and_date_line(spark):
+    cells = spark.createDataFrame([(1, 80.0, 350.0), (2, -10.0, 179.9), (3, -10.0, -170.0), (4, None, 1.0),
+                                   (0, 80.0, 350.0)], "cell_id long, lat double, lon double")
+    sites = spark.createDataFrame([(-80.0, -170.0), (-10.0, -179.9), (89.9, 170.0), (None, 5.0)],
+                                  "lat double, lon double")
+    got = {(r["lat"], r["lon"]): (r["cell_id"], r["distance_km"])
+           for r in pr.pair_nearest_great_circle(cells, sites).collect()}
+    assert {k: v[0] for k, v in got.items()} == {(-80.0, -170.0): 3, (-10.0, -179.9): 2, (89.9, 170.0): 0,
+                                                 (None, 5.0): None}
+    assert got[(-10.0, -179.9)][1] == pytest.approx(21.9, abs=0.1)
+    flat = pr.pair_nearest_curvilinear(cells, sites)
+    assert {(r["lat"], r["lon"]): r["cell_id"] for r in flat.collect()} == {
+        (-80.0, -170.0): 3, (-10.0, -179.9): 3, (89.9, 170.0): 2, (None, 5.0): None}
+    for fn in (pr.pair_nearest_curvilinear, pr.pair_nearest_great_circle):
+        assert [r["cell_id"] for r in fn(cells.limit(0), sites).collect()] == [None] * 4
+
+
+def test_nearest_keeps_points_without_coordinates(spark):
+    g = grid(spark, lambda la, lo: la)
+    pts = spark.createDataFrame([(T0, None, 1.0, 1), (T0, 1.0, None, 2), (T0, 1.0, 1.0, 3)],
+                                "time timestamp, lat double, lon double, an int")
+    for fn in (pr.pair_nearest, pr.pair_bilinear):
+        got = {r["an"]: r["v"] for r in fn(g, pts, "v").collect()}
+        assert got[1] is None and got[2] is None and got[3] is not None and len(got) == 3
+
+
+def test_bilinear_on_the_last_line(spark):
+    rows = [(T0, float(a), float(b), a + 2.0 * b) for a in range(0, 50, 10) for b in range(0, 50, 10)]
+    g = spark.createDataFrame(rows, "time timestamp, lat double, lon double, v double")
+    got = {(r["lat"], r["lon"]): r["v"] for r in pr.pair_bilinear(
+        g, points(spark, [(40.0, 40.0), (40.0, 0.0), (39.0, 40.0), (40.1, 0.0)]), "v").collect()}
+    assert got == {(40.0, 40.0): 120.0, (40.0, 0.0): 40.0, (39.0, 40.0): 119.0, (40.1, 0.0): None}
+
+
+def test_single_precision_axis(spark):
+    lon = spark.range(3600).select((F.col("id") * 0.1 - 180.0).cast("float").alias("lon"), F.lit(0.0).alias("lat"))
+    a = pr.axes_row(pr.axis_columns(lon, "lon", "b"))
+    assert (a["bn"], a["bp"]) == (3600, True)

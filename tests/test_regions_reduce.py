@@ -10,8 +10,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skyscore.operators import conform as cf
-from skyscore.operators.distribution import fractions_skill_score, wasserstein
+from skyscore.operators.distribution import fractions_skill_score, quantiles, wasserstein
 from skyscore.operators.pairing import RegularAxis, grid_axes
+from skyscore.operators.plotdata import scatter_density
 from skyscore.operators.reduce import calculate_reduction, multi_reduction
 from skyscore.operators.regions import (filter_region, find_region_column, label_regions, missing_regions,
                                         region_table, render_name)
@@ -146,7 +147,6 @@ def test_fss_identical_fields_is_one(spark):
 
 def test_exact_medians_and_quantiles(spark):
     import numpy as np
-    from skyscore.operators.distribution import quantiles
     df = cube(spark)
     pdf = df.toPandas()
     got = {(r["lat"], r["lon"]): r["test_data"] for r in calculate_reduction(df, "median", dim="time").collect()}
@@ -166,7 +166,7 @@ def test_value_buckets_split_hot_ranges(spark):
     a tiny value range: the tally collapses the copies and the second bucket
     level splits the narrow range, so no bucket is large; results stay exact."""
     import numpy as np
-    from skyscore.operators.distribution import quantiles, value_tally
+    from skyscore.operators.distribution import value_tally
     rnd = random.Random(2)
     xs = [5.0] * 300 + [1000.0 + rnd.random() * 1e-3 for _ in range(300)] + [rnd.uniform(0, 2000) for _ in range(300)]
     df = spark.createDataFrame([(0, x) for x in xs], "g int, x double")
@@ -207,3 +207,32 @@ def test_polygon_labels_match_brute_force(spark):
     for la, lo in pts:
         hits = sorted((p, n) for n, p, ring in polys if _inside(la, lo, ring))
         assert got[(la, lo)] == (hits[0][1] if hits else None)
+
+
+def test_isel_counts_from_the_end(spark):
+    df = spark.range(6).select((F.col("id") * 10).alias("x"))
+    axis = [0, 10, 20, 30, 40, 50]
+    for ix in (slice(-3, None), slice(None, -2), slice(1, None, 2), slice(None, None, -2), slice(4, 0, -3),
+               slice(-99, 3), slice(2, 99)):
+        assert sorted(r["x"] for r in cf.isel(df, {"x": ix}).collect()) == sorted(axis[ix]), ix
+    assert [r["x"] for r in cf.isel(df, {"x": -1}).collect()] == [50]
+    assert sorted(r["x"] for r in cf.isel(df, {"x": [0, -2]}).collect()) == [0, 40]
+
+
+def test_fss_keeps_groups_below_the_threshold(spark):
+    g = spark.createDataFrame([(1, 0.0, 0.0, 9.0), (1, 1.0, 1.0, 0.0), (2, 0.0, 0.0, 1.0), (2, 1.0, 1.0, 0.0)],
+                              "time int, lat double, lon double, v double")
+    got = {r["time"]: r["fss"] for r in fractions_skill_score(g, g, "v", "v", 3.0, by=["time"]).collect()}
+    assert got == {1: pytest.approx(1.0), 2: None}
+
+
+def test_density_counts_values_outside_the_range(spark):
+    df = spark.createDataFrame([(-1.0, 0.5), (0.5, 1.0), (2.0, 0.0)], "o double, m double")
+    got = {(r["obs_bin"], r["mod_bin"]): r["n"] for r in scatter_density(df, "o", "m", bins=2, lo=0, hi=1).collect()}
+    assert got == {(-1, 1): 1, (1, 1): 1, (2, 0): 1}
+
+
+def test_quantile_names_below_a_percent(spark):
+    df = spark.range(1001).select(F.col("id").cast("double").alias("x"))
+    got = quantiles(df, "x", [0.001, 0.004, 0.5]).first().asDict()
+    assert got == {"q00_1": 1.0, "q00_4": 4.0, "q50": 500.0}
