@@ -164,3 +164,12 @@ def test_ingest_keeps_metadata(spark, tmp_path):
     spark.createDataFrame([(3.0, 4.0)], "UGRD double, VGRD double").write.parquet(p)
     df = io.load_data(spark, io.SourceSpec(path=p))
     assert df.first()["wind_speed"] == 5.0 and df.schema["wind_speed"].metadata["units"] == "m s-1"
+
+
+def test_day_ranges_keep_whole_days(spark):
+    t = [dt.datetime(2024, 1, d, h) for d in range(1, 7) for h in (0, 23)]
+    df = spark.createDataFrame([(x,) for x in t], "time timestamp")
+    days = [dt.date(2024, 1, d) for d in (2, 3, 5)]
+    got = sorted(r["time"] for r in df.where(io._on_days(F.col("time"), days)).collect())
+    assert got == [x for x in t if x.date() in days]
+    assert df.where(io._on_days(F.col("time"), [])).count() == 0
