@@ -92,14 +92,15 @@ def snapshot_log(spark: SparkSession, url: str) -> DataFrame:
     return log
 
 
-def save_statistics(stats: DataFrame, savename: str, keys=()) -> str:
+def save_statistics(stats: DataFrame, savename: str, keys=(), average: bool = True) -> str:
     """K4: ``.csv`` / ``.json`` via the distributed writer; otherwise a
-    Markdown table with 4 decimals. Results that
-    still have several rows per metric (non-scalar) are averaged first,
-    as the reference does on save -- this is not the pooled score."""
+    Markdown table with 4 decimals, in a file of the driver, written partition
+    by partition. Without ``keys`` the rows are averaged to one (a single row
+    stays as it is) -- this is not the pooled score; ``average=False`` keeps
+    every row."""
     keys = list(keys)
     metric_cols = [c for c in stats.columns if c not in keys]
-    if not keys and stats.limit(2).count() > 1:
+    if not keys and average:
         stats = stats.agg(*[F.avg(c).alias(c) for c in metric_cols])
     if savename.endswith(".csv"):
         stats.write.mode("overwrite").option("header", True).csv(savename)
@@ -107,11 +108,10 @@ def save_statistics(stats: DataFrame, savename: str, keys=()) -> str:
     if savename.endswith(".json"):
         stats.write.mode("overwrite").json(savename)
         return savename
-    # Markdown is a human-readable report: one row per group of a statistics
-    # result is gathered; large per-cell results belong in csv/json/parquet
-    rows = stats.collect()
+    # a human-readable report; large per-cell results belong in csv/json/parquet
     with open(savename, "w") as fh:
-        fh.write(markdown_table(rows, keys, metric_cols))
+        for r in stats.toLocalIterator():
+            fh.write(markdown_table([r], keys, metric_cols))
     return savename
 
 

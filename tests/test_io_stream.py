@@ -103,6 +103,13 @@ def test_save_statistics_markdown(spark, tmp_path):
     assert "| rmse | 2.7076 |" in txt and "| mape | inf |" in txt and "| corr | nan |" in txt
     sinks.save_statistics(df, str(tmp_path / "s.csv"))
     assert os.path.isdir(str(tmp_path / "s.csv"))
+    two = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "k string, mb double")
+    sinks.save_statistics(two.drop("k"), p)
+    assert open(p).read().count("| mb | 2.0000 |") == 1
+    sinks.save_statistics(two.drop("k"), p, average=False)
+    assert open(p).read().count("| mb |") == 2
+    sinks.save_statistics(two.orderBy("k"), p, keys=["k"])
+    assert "## k=b\n\n| Metric | Value |" in open(p).read()
 
 
 def _write_events(spark, path, rows):
