@@ -14,9 +14,10 @@ global order, rarest first, and a text keeps all but its ne - d - 1 most
 frequent ones: the rarest shared part is never among those dropped. A text
 with ne <= d (few tokens) also offers single tokens as parts.
 
-*Candidates.* First every text meets the hubs (least member) of its two most
-frequent parts, and the links found join components. Most groups of copies are
-one component then, and only pairs in different components are still open. In
+*Candidates.* First every text meets hubs of its two most frequent parts (some
+log2 of a part's texts), and its links to the nearest of them join components.
+Most groups of copies are one component then, and only pairs in different
+components are still open. In
 parts of few texts their pairs are listed; larger parts are dealt into blocks
 of about ``BLOCK`` texts, and each pair of blocks compares its open pairs in
 place, so that only those within reach leave the task. Every pair that shares
@@ -52,6 +53,10 @@ SMALL = 12
 BLOCK = 256
 #: parts of a text whose hubs it meets first
 STARS = 2
+#: hash classes of a part's texts that may give a hub
+HUBS = 16
+#: hubs of a text that it is verified against
+NEAREST = 3
 
 
 def shingle_set(text: bytes | None) -> np.ndarray:
@@ -244,12 +249,36 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return p.mapInArrow(_linked, "a long, b long")
 
 
-def _star(members: DataFrame) -> DataFrame:
-    """Pairs of each text with the hubs of its STARS most frequent parts."""
-    hubs = members.groupBy(F.col("key").alias("_k")).agg(F.min("fp").alias("hub"), F.count(F.lit(1)).alias("m"))
-    w = Window.partitionBy("fp").orderBy(F.desc("m"), "hub", "key")
+def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sketch distance of each text and hub as a share of their sizes, of those
+    within reach."""
+    for b in batches:
+        d = b.to_pydict()
+        n = np.add(d["n"], d["nh"])
+        apart = np.fromiter(map(_apart, d["sketch"], d["sh"]), np.int64, len(n))
+        yield pa.RecordBatch.from_arrays([b.column("fp"), b.column("hub"), pa.array(apart / n, pa.float64())],
+                                         ["fp", "hub", "far"]).filter(pa.array(apart <= n // 7, pa.bool_()))
+
+
+def _star(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of each text with the ``NEAREST`` of the hubs of its STARS most
+    frequent parts, by sketches. A part of m texts has about log2(m) hubs, at
+    most ``HUBS``: the least member of some of its hash classes."""
+    at = F.pmod(F.xxhash64("key", "fp"), F.lit(HUBS))
+    hubs = (members.groupBy("key", at.alias("_at")).agg(F.min("fp").alias("_hub"), F.count(F.lit(1)).alias("_m"))
+            .groupBy(F.col("key").alias("_k")).agg(F.sum("_m").alias("m"),
+                                                   F.sort_array(F.collect_list(F.struct("_at", "_hub"))).alias("_hubs"))
+            .select("_k", "m", F.slice(F.col("_hubs._hub"), 1, F.ceil(F.log2("m")).cast("int")).alias("_hubs")))
+    w = Window.partitionBy("fp").orderBy(F.desc("m"), "key")
     d = members.join(hubs, F.col("key") == F.col("_k")).withColumn("_r", F.row_number().over(w))
-    return d.filter(f"_r <= {STARS} and fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
+    d = d.filter(f"_r <= {STARS}").select("fp", F.explode("_hubs").alias("hub")).filter("fp <> hub").distinct()
+    small = sets.select("fp", "n", "sketch")
+    d = d.join(small, "fp").join(small.select(F.col("fp").alias("hub"), F.col("n").alias("nh"),
+                                              F.col("sketch").alias("sh")), "hub")
+    d = d.filter("4 * least(n, nh) >= 3 * greatest(n, nh)").select("fp", "hub", "n", "nh", "sketch", "sh")
+    near = F.row_number().over(Window.partitionBy("fp").orderBy("far", "hub"))
+    d = d.mapInArrow(_distances, "fp long, hub long, far double").withColumn("_r", near).filter(f"_r <= {NEAREST}")
+    return d.select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")).distinct()
 
 
 def _blocks(table: pa.Table) -> pa.Table:
@@ -326,7 +355,7 @@ def near_duplicates(df: DataFrame) -> DataFrame:
             F.xxhash64("text") == F.col("_hash")), "left_semi")
             .select("text").mapInArrow(_set_rows, "fp long, n long, tokens binary, sketch binary")
             .dropDuplicates(["fp"]), "sets")
-        links = written(verify(_star(members), sets), "links")
+        links = written(verify(_star(members, sets), sets), "links")
         comps = components(links).withColumnRenamed("v", "fp")
         members = members.join(comps, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
         more = written(verify(_open_pairs(members, sets), sets), "links")
