@@ -379,12 +379,14 @@ def one_of_each(df: DataFrame) -> DataFrame:
     stay = (found.filter("component is not null").groupBy("component")
             .agg(F.min(F.struct("doc_id", "text_hash")).alias("s")).select("s.*")
             .unionByName(found.filter("component is null").select("doc_id", "text_hash")).distinct())
-    stay = stay.select(F.col("doc_id").alias("_sd"), F.col("text_hash").alias("_st"))
-    d = df.withColumn("_hash", F.xxhash64("text"))
-    d = d.join(stay, F.col("doc_id").eqNullSafe(F.col("_sd")) & (F.col("_hash") == F.col("_st")), "left_semi")
-    w = Window.partitionBy("doc_id", "_hash").orderBy("_hash")
-    d = d.withColumn("_copy", F.when(F.trim("text") != "", F.row_number().over(w)).otherwise(1))
-    return d.filter("_copy = 1").select(df.columns)
+    # the texts move once: plain keys, the same for the join and the window
+    key = lambda h: [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.isnull("doc_id"), h]
+    stay = stay.select(*[c.alias(f"_s{i}") for i, c in enumerate(key(F.col("text_hash")))])
+    d = df.select(F.struct("*").alias("_row"), *[c.alias(f"_k{i}") for i, c in enumerate(key(F.xxhash64("text")))])
+    d = d.join(stay, [F.col(f"_k{i}") == F.col(f"_s{i}") for i in range(3)], "left_semi")
+    w = Window.partitionBy("_k0", "_k1", "_k2").orderBy("_k2")
+    d = d.withColumn("_copy", F.when(F.col("_row.text").rlike(r"[^\x20\x09-\x0D]"), F.row_number().over(w)).otherwise(1))
+    return d.filter("_copy = 1").select("_row.*")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
