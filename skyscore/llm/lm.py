@@ -20,7 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import token_lm
+from .common import table, written
+from .pack import tokenizer_path
 
 V = 128
 EDGE = 127  # before the first and after the last token
@@ -132,6 +134,11 @@ def log_table(par: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _scores(texts, log_p: np.ndarray) -> list[tuple[int, float]]:
+    flat = log_p.reshape(-1)
+    return [(len(t), float(flat[codes(t)].sum(dtype=np.float64))) for t in map(tokens, texts)]
+
+
 def score(df: DataFrame, log_p: np.ndarray, text: str = "text") -> DataFrame:
     """``df`` with ``n_tokens``, ``pll`` (sum of log p of every token given its
     neighbours) and ``mean_pll`` (per token). Null or empty texts: 0, 0.0 and a
@@ -141,10 +148,8 @@ def score(df: DataFrame, log_p: np.ndarray, text: str = "text") -> DataFrame:
 
     @F.pandas_udf("n_tokens long, pll double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        flat = held.value.reshape(-1)
         for texts in parts:
-            rows = [(len(t), float(flat[codes(t)].sum(dtype=np.float64))) for t in map(tokens, texts)]
-            yield pd.DataFrame(rows, columns=["n_tokens", "pll"])
+            yield pd.DataFrame(_scores(texts, held.value), columns=["n_tokens", "pll"])
 
     d = df.drop("n_tokens", "pll", "mean_pll").withColumn("_s", run(F.col(text)))
     return d.withColumns({"n_tokens": F.col("_s.n_tokens"), "pll": F.col("_s.pll"), "mean_pll": F.when(
@@ -152,6 +157,16 @@ def score(df: DataFrame, log_p: np.ndarray, text: str = "text") -> DataFrame:
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document scored by a network trained on all documents."""
+    """Every document scored by networks trained on all documents: by
+    characters, and by BPE tokens with a window of several (``token_lm``)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(docs, train(*counts(docs))).select("doc_id", "n_tokens", "pll", "mean_pll")
+    held = spark.sparkContext.broadcast(train(*counts(docs)))
+
+    def by_characters(texts):
+        n, pll = zip(*_scores(texts, held.value))
+        return {"n_tokens": pa.array(n, pa.int64()), "pll": pa.array(pll, pa.float64())}
+
+    rows = written(token_lm.with_ids(docs, tokenizer_path(), by_characters, "n_tokens long, pll double"), "tokens")
+    mean = F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens")).alias("mean_pll")
+    return token_lm.score(rows, token_lm.train(rows)).select(
+        "doc_id", "n_tokens", "pll", mean, "n_bpe", "bpe_pll", "mean_bpe_pll")
