@@ -148,10 +148,11 @@ class Model:
                     yield first + int(node[i]), slice(i, j), child[i:j]
 
     def _shares(self, node: int, h: np.ndarray) -> np.ndarray:
-        z = h @ self.parts[2][node].reshape(self.base, DIM).T + self.parts[3][node]
-        z -= z.max(axis=1, keepdims=True)
+        """Shares of the children of a node (rows) for hidden states."""
+        z = self.parts[2][node].reshape(self.base, DIM) @ h.T + self.parts[3][node][:, None]
+        z -= z.max(axis=0)
         np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
+        z /= z.sum(axis=0)
         return z
 
     def log_p(self, docs: list[bytes]) -> list[float]:
@@ -163,7 +164,7 @@ class Model:
             p = np.zeros(len(at))
             for node, places, child in self.walk(part[SIDE + at]):
                 z = self._shares(node, h[places])
-                p[places] += np.log(np.maximum(z[np.arange(len(child)), child], 1e-30))
+                p[places] += np.log(np.maximum(z[child, np.arange(len(child))], 1e-30))
             out[SIDE + k * PIECE + at] = p
         total = np.concatenate(([0.0], np.cumsum(out)))
         start = SIDE + np.concatenate(([0], np.cumsum(size + SIDE)[:-1])).astype(np.int64)
@@ -184,17 +185,16 @@ class Model:
             back = np.zeros_like(h)
             for node, places, child in self.walk(part[SIDE + at]):
                 z = self._shares(node, h[places])
-                z[np.arange(len(child)), child] -= 1
-                z /= len(at)
-                back[places] += z @ self.parts[2][node].reshape(self.base, DIM)
-                self._step(2, node, (z.T @ h[places]).reshape(-1))
-                self._step(3, node, z.sum(axis=0))
+                z[child, np.arange(len(child))] -= 1
+                back[places] += z.T @ self.parts[2][node].reshape(self.base, DIM)
+                self._step(2, node, (z @ h[places]).reshape(-1) / len(at))
+                self._step(3, node, z.sum(axis=1) / len(at))
                 self.used[2][node] += len(child)
             d = np.zeros((n, DIM), np.float32)
-            d[at] = back * (1 - h * h)
+            d[at] = back * (1 - h * h) / len(at)
             dx, dw = np.zeros_like(x), np.zeros_like(w)
             for j, s in enumerate([*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1)]):
-                dw[j] = (d * x[s:s + n]).sum(axis=0)
+                dw[j] = np.einsum("nd,nd->d", d, x[s:s + n])
                 dx[s:s + n] += d * w[j]
             order = np.argsort(part, kind="stable")
             token, first, times = np.unique(part[order], return_index=True, return_counts=True)

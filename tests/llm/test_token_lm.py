@@ -41,7 +41,7 @@ def test_probabilities_sum_to_one_and_vocabulary_grows(spark):
         seq, _ = model.sequence([doc])
         h = model.hidden(seq)[1][1:2]
         rank = seq[token_lm.SIDE + 1:token_lm.SIDE + 2]
-        place.append(np.prod([model._shares(node, h)[0, c[0]] for node, _, c in model.walk(rank)]))
+        place.append(np.prod([model._shares(node, h)[c[0], 0] for node, _, c in model.walk(rank)]))
     assert abs(sum(place) - 1) < 1e-3
 
 
