@@ -31,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

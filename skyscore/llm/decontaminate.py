@@ -61,12 +61,12 @@ def _shingles(words: np.ndarray, k: int) -> np.ndarray:
     return shingle_hashes(words, k) if len(words) >= k else words[:0]
 
 
-def _window_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+def _window_rows(batches: Iterator[pa.RecordBatch], window: int, unnamed: bool) -> Iterator[pa.RecordBatch]:
     for b in batches:
         item, win = [], []
         for i, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary()).to_pylist()):
             w = words_of(t)
-            if len(w) and i is not None:
+            if len(w) and (unnamed or i is not None):
                 for a in range(max(1, len(w) - window + 1)):
                     item.append(i)
                     win.append(w[a:a + window].tobytes())
@@ -98,7 +98,7 @@ class Index:
                     a = p - off
                     if a >= 0 and a + size <= len(w):
                         out.update((a, size, i) for i in self.windows.get(w[a:a + size].tobytes(), ()))
-        return sorted(out)
+        return sorted(out, key=lambda s: (s[0], s[1], s[2] is not None, s[2] or ""))
 
 
 def _item_shingles(windows) -> np.ndarray:
@@ -129,18 +129,19 @@ def shingle_counts(docs: DataFrame, hashes: np.ndarray) -> dict[int, int]:
     return {r["h"] % (1 << 64): r["n"] for r in rows}
 
 
-def mark(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
+def mark(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW,
+         unnamed: bool = False) -> DataFrame:
     """``docs`` with ``n_words`` and ``spans``: array of (start word, number of
     words, item_id as text) of every occurrence of a window.
 
     ``items``: item_id, text. Null or wordless texts have no words and no
-    windows; items without an id are left out; repeated items or rows are
-    marked alike; empty tables give empty or unmarked results. Columns named
+    windows; items without an id are left out, or with ``unnamed`` marked by a
+    null item; repeated items or rows are marked alike; empty tables give empty or unmarked results. Columns named
     n_words or spans are replaced.
     """
     docs = docs.drop("n_words", "spans")
     wins = items.select(F.col("item_id").cast("string"), "text").mapInArrow(
-        lambda b: _window_rows(b, window), "item string, words binary").distinct()
+        lambda b: _window_rows(b, window, unnamed), "item string, words binary").distinct()
     wins = written(wins, "windows")
     blocks = max(1, -(-wins.count() // MAX_WINDOWS))
     block = F.pmod(F.xxhash64("words"), F.lit(blocks))
@@ -184,14 +185,18 @@ def n_hit(spans: Column) -> Column:
         lambda a: a["n"])
 
 
-def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a window."""
+def clean(docs: DataFrame, items: DataFrame, unnamed: bool = False) -> DataFrame:
+    """``docs`` without the documents that hold a window (``unnamed`` as in
+    :func:`mark`)."""
     d = docs.select(F.struct("*").alias("_row"), "text")
-    return mark(d, items).filter(F.size("spans") == 0).select("_row.*")
+    return mark(d, items, unnamed=unnamed).filter(F.size("spans") == 0).select("_row.*")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = mark(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")).drop("text")
+    """Every document: words hit, items that hit it (those without an id count
+    as one, and are not in the hashed list)."""
+    d = mark(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"),
+             unnamed=True).drop("text")
     d = d.withColumn("items", F.sort_array(F.array_distinct(F.col("spans.item")))).withColumn("n_hit", n_hit(F.col("spans")))
     return d.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                     F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
