@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, table, written
+from .common import SPACE, let, table, written
 
 # Frequent words of four languages
 COMMON = {
@@ -32,6 +32,11 @@ WORDS = sorted({w for ws in COMMON.values() for w in ws})
 SYMBOLS = "#*$%&|<>"
 #: characters outside each class; what is left counts
 CLASSES = [r"[^a-z]+", r"[^A-Z]+", r"[^0-9]+", r"[^.,;:!?'\"()-]+", r"[^\x21-\x7E]+"]
+#: scripts of the letters beyond ASCII, each a class
+SCRIPTS = ["Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Devanagari", "Thai", "Han", "Hiragana", "Katakana",
+           "Hangul"]
+#: places in ``cls``: letters a-z and A-Z, then digits, punctuation, symbols, blanks; scripts; the rest
+FIRST = 6
 
 
 @dataclass(frozen=True)
@@ -44,6 +49,8 @@ class Rules:
     #: guards: a histogram of fewer entries is not judged
     min_chars: int = 200
     min_common: int = 30
+    #: a language of fewer passing documents has no reference of its own
+    min_docs: int = 20
 
 
 def features(df: DataFrame, text: str = "text", lang: str = "lang", keep: tuple = ("doc_id",)) -> DataFrame:
@@ -63,12 +70,16 @@ def features(df: DataFrame, text: str = "text", lang: str = "lang", keep: tuple
     chars = F.length("_t")
     counted = [left(c) for c in CLASSES]
     spaces = left(r"[^\x20\x09-\x0D]+")
+    rest = F.regexp_replace("_t", r"[\x00-\x7F]+", "")
+    scripts = let(rest, lambda r: F.array(*[F.length(F.regexp_replace(r, rf"\P{{Is{x}}}+", "")).cast("long")
+                                            for x in SCRIPTS]))
     d = d.select(*keep, "_lang", "_w", grams.alias("_g"), F.sort_array(low).alias("_c"),
                  n.cast("long").alias("n_words"),
                  F.aggregate("_w", F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias("word_chars"),
                  left(f"[^{SYMBOLS}]+").cast("long").alias("n_symbols"),
                  (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-                 F.array(*[c.cast("long") for c in counted], spaces.cast("long"), chars.cast("long")).alias("_cls"))
+                 F.array(*[c.cast("long") for c in counted], spaces.cast("long"), chars.cast("long")).alias("_cls"),
+                 scripts.alias("_scripts"))
     # windows that occur twice: equal neighbours once (hash, place) is sorted
     pairs = F.sort_array(F.transform("_g", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     d = d.withColumn("_p", F.when(F.size(F.array_distinct("_g")) < F.size("_g"), pairs).otherwise(
@@ -92,9 +103,11 @@ def features(df: DataFrame, text: str = "text", lang: str = "lang", keep: tuple
     # the fifth pattern counts all visible ASCII: what is not in the first four is symbols
     symbols = classes[4] - classes[0] - classes[1] - classes[2] - classes[3]
     beyond = F.get(cls, F.lit(other + 1)) - F.get(cls, F.lit(other)) - classes[4]
+    other_scripts = beyond - F.aggregate("_scripts", F.lit(0).cast("long"), lambda a, v: a + v)
     return d.select(*keep, F.col("_lang").alias("lang"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
                     covered.alias("n_repeat_words"),
-                    F.array(*classes[:4], symbols, F.get(cls, F.lit(other)), beyond).alias("cls"),
+                    F.concat(F.array(*classes[:4], symbols, F.get(cls, F.lit(other))), "_scripts",
+                             F.array(other_scripts)).alias("cls"),
                     hits.alias("hits"))
 
 
@@ -105,11 +118,12 @@ def base_failed(rules: Rules) -> Column:
 
 def references(feats: DataFrame, rules: Rules) -> list[tuple[str, list[float], dict[int, float]]]:
     """(language, class shares, common-word shares) over all documents that
-    pass the base rules, for the languages of ``COMMON`` only: a few hundred
-    numbers whatever the corpus."""
-    good = feats.filter(~base_failed(rules) & F.col("lang").isin(*COMMON))
-    k = 7
-    chars = good.groupBy("lang").agg(*[F.sum(F.get("cls", F.lit(i))).alias(f"c{i}") for i in range(k)]).collect()
+    pass the base rules, for every value of ``lang`` with ``min_docs`` of them;
+    no common-word shares where there are fewer than ``min_common`` words."""
+    good = feats.filter(~base_failed(rules) & F.col("lang").isNotNull())
+    k = FIRST + len(SCRIPTS) + 1
+    chars = good.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *[
+        F.sum(F.get("cls", F.lit(i))).alias(f"c{i}") for i in range(k)]).filter(F.col("n") >= rules.min_docs).collect()
     words = (good.select("lang", F.explode("hits").alias("h"))
              .groupBy("lang", F.shiftright("h", 40).alias("w"))
              .agg(F.sum(F.col("h").bitwiseAND((1 << 40) - 1)).alias("n")).collect())
@@ -117,6 +131,8 @@ def references(feats: DataFrame, rules: Rules) -> list[tuple[str, list[float], d
     for r in sorted(chars, key=lambda r: r["lang"]):
         total = sum(r[f"c{i}"] for i in range(k))
         mine = {w["w"]: w["n"] for w in words if w["lang"] == r["lang"]}
+        if sum(mine.values()) < rules.min_common:
+            mine = {}
         out.append((r["lang"], [r[f"c{i}"] / total for i in range(k)],
                     {w: n / sum(mine.values()) for w, n in sorted(mine.items())}))
     return out
@@ -127,31 +143,42 @@ def _half(p: Column, q: Column) -> Column:
     return F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(F.lit(0.0))
 
 
-def _term(shares: dict, seen: Column):
-    q = F.array(*[F.lit(float(shares.get(i + 1, 0.0))) for i in range(len(WORDS))])
+def _script(cls: Column) -> Column:
+    """Place in ``SCRIPTS`` of the script with the most letters; null: none."""
+    n = [F.get(cls, F.lit(FIRST + i)) + (F.get(cls, F.lit(0)) + F.get(cls, F.lit(1)) if i == 0 else F.lit(0))
+         for i in range(len(SCRIPTS))]
+    best = F.array_max(F.array(*[F.struct(x.alias("n"), F.lit(i).alias("i")) for i, x in enumerate(n)]))
+    return F.when(best["n"] > 0, best["i"])
+
+
+def distances(refs, own: bool = False) -> tuple[Column, Column]:
+    """Least Jensen-Shannon distance of ``cls`` and of ``hits`` to a reference:
+    to all, or with ``own`` to that of the row's ``lang``, and where there is
+    none to those of the script most of its letters have. Null: no reference
+    fits."""
+    fits = F.array(*[F.struct(
+        F.lit(lang).alias("lang"), F.array(*[F.lit(float(x)) for x in c]).alias("c"),
+        F.array(*[F.lit(float(w.get(i + 1, 0.0))) for i in range(len(WORDS))]).alias("w"),
+        F.lit(bool(w)).alias("words")) for lang, c, w in refs])
+    if own:
+        same = F.filter(fits, lambda r: _script(r["c"]) == F.col("_script"))
+        fits = F.when(F.col("lang").isin(*[lang for lang, _, _ in refs]),
+                      F.filter(fits, lambda r: r["lang"] == F.col("lang"))).otherwise(same)
+    total = F.aggregate("cls", F.lit(0.0), lambda a, v: a + v)
+    share = F.transform("cls", lambda v: v / total)
+    seen = F.aggregate("hits", F.lit(0.0), lambda a, h: a + h.bitwiseAND((1 << 40) - 1))
+    char = F.transform(fits, lambda r: F.aggregate(
+        F.zip_with(share, r["c"], lambda a, b: (_half(a, b) + _half(b, a)) / 2), F.lit(0.0), lambda a, v: a + v))
 
-    def term(h):
-        b = F.get(q, (F.shiftright(h, 40) - 1).cast("int"))
+    def term(h, w):
+        b = F.get(w, (F.shiftright(h, 40) - 1).cast("int"))
         a = h.bitwiseAND((1 << 40) - 1) / seen
         return (_half(a, b) + _half(b, a)) / 2 - b / 2
 
-    return term
-
-
-def distances(refs) -> tuple[Column, Column]:
-    """Least Jensen-Shannon distance of ``cls`` and of ``hits`` to a reference."""
-    total = F.aggregate("cls", F.lit(0.0), lambda a, v: a + v)
-    share = F.transform("cls", lambda v: v / total)
-    char, word = [], []
-    seen = F.aggregate("hits", F.lit(0.0), lambda a, h: a + h.bitwiseAND((1 << 40) - 1))
-    for _, c, w in refs:
-        q = F.array(*[F.lit(float(x)) for x in c])
-        char.append(F.aggregate(F.zip_with(share, q, lambda a, b: (_half(a, b) + _half(b, a)) / 2),
-                                F.lit(0.0), lambda a, v: a + v))
-        # absent words add q / 2 each, so 1/2 in all less what the present ones take
-        word.append(F.lit(0.5 if w else 1.0) + F.aggregate(
-            F.transform("hits", _term(w, seen)), F.lit(0.0), lambda a, v: a + v) - (F.lit(0.0) if w else F.lit(0.5)))
-    root = lambda xs: F.sqrt(F.greatest(F.lit(0.0), F.least(*xs) if len(xs) > 1 else xs[0]))
+    # absent words add half their share each, so 1/2 in all less what the present ones take
+    word = F.transform(F.filter(fits, lambda r: r["words"]), lambda r: F.lit(0.5) + F.aggregate(
+        F.transform("hits", lambda h: term(h, r["w"])), F.lit(0.0), lambda a, v: a + v))
+    root = lambda xs: let(F.array_min(xs), lambda x: F.when(x.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), x))))
     return root(char), root(word)
 
 
@@ -161,17 +188,18 @@ def judge(df: DataFrame, rules: Rules = Rules(), keep: tuple = ("doc_id",), text
     ``word_distance`` and ``kept``, a row for each row of ``df``.
 
     ``kept`` is false if the base rules fail, or a histogram that is long
-    enough to judge lies beyond its greatest distance from every reference.
-    Null text has no words, so it fails; repeated rows are judged alike; with
-    no labelled document of a known language there is no reference, the
-    distances are null and the base rules decide. No rows give no rows.
+    enough to judge lies beyond its greatest distance from the reference of its
+    language, or where that has none from all of its script. Null text has no
+    words, so it fails; repeated rows are judged alike; where no reference fits
+    a distance is null and is not judged. No rows give no rows.
     """
     feats = written(features(df, text, lang, keep), "quality")
     return _verdict(feats, references(feats, rules), rules).drop("lang", "cls", "hits")
 
 
 def _verdict(feats: DataFrame, refs, rules: Rules) -> DataFrame:
-    char, word = distances(refs) if refs else (F.lit(None).cast("double"),) * 2
+    feats = feats.withColumn("_script", _script(F.col("cls")))
+    char, word = distances(refs, own=True) if refs else (F.lit(None).cast("double"),) * 2
     chars = F.aggregate("cls", F.lit(0).cast("long"), lambda a, v: a + v)
     common = F.aggregate("hits", F.lit(0).cast("long"), lambda a, h: a + h.bitwiseAND((1 << 40) - 1))
     out = feats.withColumns({"base_failed": base_failed(rules),
@@ -179,7 +207,7 @@ def _verdict(feats: DataFrame, refs, rules: Rules) -> DataFrame:
                              "word_distance": F.when(common >= rules.min_common, word)})
     far = F.coalesce(F.col("char_distance") > rules.max_char_distance, F.lit(False)) | F.coalesce(
         F.col("word_distance") > rules.max_word_distance, F.lit(False))
-    return out.withColumn("kept", ~F.col("base_failed") & ~far)
+    return out.withColumn("kept", ~F.col("base_failed") & ~far).drop("_script")
 
 
 def good(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
