@@ -1,24 +1,30 @@
-"""Distribution-level metrics that are not a single aggregate.
+"""Distribution-level metrics that are not a single aggregate (M16, M17), and
+exact order statistics.
 
 wasserstein (M17)
     1-D earth mover's distance between the obs and model value distributions
     of each group: ``W = integral |F_o(x) - F_m(x)| dx`` (equal to the mean
     absolute difference of the sorted samples when both have n values).
 
-    Exact and without sending a group to one task: values are tallied per
-    distinct (group, value) -- copies collapse in a partial aggregate --,
-    split into equal-width value buckets whose count grows with the group,
-    over-full buckets split again level by level, cumulated inside each
-    bucket with a window, and offset by prefix sums over the bucket table
-    (one row per bucket). A hot group, or a hot value range inside it, is
-    therefore spread over many buckets and tasks.
+quantiles
+    Exact continuous quantiles.
+
+    Both are exact at any group size and never hold a group in one task: a
+    mergeable sketch gives each group equal-count bucket edges (none to a group
+    of one bucket), values are tallied per distinct (group, bucket, value) --
+    copies collapse in a partial aggregate --, cumulated inside each bucket
+    with a window, and offset by prefix sums over the bucket table (one row per
+    bucket). The edges only have to be roughly even; every figure comes from
+    the exact tally. One algorithm, whatever the size.
 
 fractions_skill_score (M16)
     Roberts & Lean (2008): binary exceedance of ``threshold`` per field,
     neighbourhood fraction over a (2k+1)^2 window of grid cells (zero
     padding outside the grid), ``FSS = 1 - sum (Pf-Po)^2 / (sum Pf^2 + sum Po^2)``.
-    Only exceeding cells are exploded to their neighbours (bounded factor
-    (2k+1)^2); cells where both fractions are 0 add nothing to any sum.
+    The window sums are separable: an exceeding cell opens and closes an interval
+    along its row, a running sum turns the intervals into row counts, and the same
+    along the columns, where the runs of equal counts are summed without being
+    spelt out. The cost does not depend on the size of the window.
 """
 
 from __future__ import annotations
@@ -27,84 +33,59 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numerics import pairwise_valid, safe_div
-from .pairing import axis_columns
-
+from .axes import axis_columns, fractional_index, in_axis, search, wrap
 
-def _equal_width(x, lo, hi, nb):
-    span = hi - lo
-    return F.when(span > 0, F.least(F.floor((x - lo) / span * nb), nb - 1)).otherwise(F.lit(0)).cast("long")
+#: most buckets of a group
+BUCKETS = 512
 
 
-def value_tally(rows: DataFrame, by, counts, rows_per_bucket: int, max_levels: int = 16) -> DataFrame:
-    """Distinct (group, value) tally with value buckets of bounded size.
+def value_tally(rows: DataFrame, by, counts, rows_per_bucket: int) -> DataFrame:
+    """Distinct (group, value) tally with value buckets of about equal counts.
 
-    ``rows``: ``by`` + ``x`` + count columns. Returns ``by, bpath, x`` + the
-    summed counts, where ``bpath`` (an array, ordered like the values) names
-    a bucket of at most ``rows_per_bucket`` distinct values.
-
-    Level 1 splits each group's value range into ``ceil(4 n / rows_per_bucket)``
-    equal-width buckets. Copies of a value collapse into one tally row in a
-    partial aggregate before any shuffle. If some level-1 bucket holds more
-    rows than the limit (one cheap aggregate tells), the tally is written to
-    the shared checkpoint folder and every over-full bucket is split again
-    over its own value range, level by level, until none is over-full: a
-    bucket holding a third of all rows, or values packed into a tiny range,
-    ends up spread over many buckets and tasks."""
-    from ..session import cut_lineage
+    ``rows``: ``by`` + ``x`` + count columns. Returns ``by, b, x`` + the summed
+    counts; bucket numbers ``b`` follow the values. A group of n rows has about
+    ``n / rows_per_bucket`` buckets, at most ``BUCKETS``; a value of which there
+    are many copies is one row of its bucket."""
     from .stats import join_group_values
-    T = rows_per_bucket
-    g = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), F.min("x").alias("__lo"), F.max("x").alias("__hi"))
-    # 4x more buckets than the even share: a skewed range rarely over-fills
-    g = g.withColumn("__nb", F.greatest(F.lit(1), F.ceil(4 * F.col("__n") / F.lit(T))).cast("long"))
-    e = join_group_values(rows, g, by)
-    e = e.withColumn("__b1", _equal_width(F.col("x"), F.col("__lo"), F.col("__hi"), F.col("__nb")))
-    tally = (e.groupBy(*by, "__b1", "x").agg(*[F.sum(c).alias(c) for c in counts])
-              .select(*by, F.array(F.col("__b1")).alias("bpath"), "x", *counts))
-    # raw rows per level-1 bucket bound its distinct values from above
-    if e.groupBy(*by, "__b1").agg(F.count(F.lit(1)).alias("__c")).where(F.col("__c") > T).isEmpty():
-        return tally
-    tally = cut_lineage(tally)
-    for _ in range(max_levels):
-        st = tally.groupBy(*by, "bpath").agg(F.count(F.lit(1)).alias("__c"), F.min("x").alias("__lo"),
-                                             F.max("x").alias("__hi"))
-        if st.where(F.col("__c") > T).isEmpty():
-            break
-        t = join_group_values(tally, st, [*by, "bpath"])
-        # an over-full bucket is split 16x finer than its even share, so a
-        # value range packed tightly inside it needs few further levels
-        sub = F.when(F.col("__c") > T, _equal_width(F.col("x"), F.col("__lo"), F.col("__hi"),
-                                                    F.ceil(16 * F.col("__c") / F.lit(T)).cast("long"))).otherwise(F.lit(0))
-        tally = cut_lineage(t.select(*by, F.concat("bpath", F.array(sub.cast("long"))).alias("bpath"), "x", *counts))
-    return tally
+    at = ", ".join(f"{k / BUCKETS!r}D" for k in range(1, BUCKETS))
+    g = rows.groupBy(*by).agg(F.expr(f"percentile_approx(x, array({at}), {4 * BUCKETS})").alias("__q"),
+                              F.count(F.lit(1)).alias("__n"))
+    # every step-th edge, so that small groups carry none
+    step = F.ceil(F.lit(BUCKETS) / F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(rows_per_bucket))))
+    edges = g.select(*by, F.array_distinct(F.filter("__q", lambda q, i: (i + 1) % step == 0)).alias("__edges"))
+    e = join_group_values(rows, edges, by, few=2_000)  # 4 kB of edges a group at most
+    strides = F.lit([BUCKETS >> k for k in range(BUCKETS.bit_length())])
+    first = F.get("__edges", F.lit(0))
+    b = F.when(first.isNull() | (F.col("x") < first), 0).otherwise(search(F.col("__edges"), strides, F.col("x")) + 1)
+    return e.select(*by, b.cast("int").alias("b"), "x", *counts).groupBy(*by, "b", "x").agg(
+        *[F.sum(c).alias(c) for c in counts])
 
 
 def bucket_offsets(tally: DataFrame, by, counts) -> DataFrame:
     """Per (group, bucket): totals, counts before the bucket (prefix sums in
     value order), group totals, first value and the next bucket's first
     value. One row per bucket: the windows run over this small table."""
-    bt = tally.groupBy(*by, "bpath").agg(*[F.sum(c).alias(f"t_{c}") for c in counts], F.min("x").alias("bx"))
-    w = Window.partitionBy(*by).orderBy("bpath")
+    bt = tally.groupBy(*by, "b").agg(*[F.sum(c).alias(f"t_{c}") for c in counts], F.min("x").alias("bx"))
+    w = Window.partitionBy(*by).orderBy("b")
     whole = Window.partitionBy(*by)
     cols = []
     for c in counts:
         cols += [(F.sum(f"t_{c}").over(w) - F.col(f"t_{c}")).alias(f"o_{c}"),
                  F.sum(f"t_{c}").over(whole).alias(f"n_{c}")]
-    return bt.select(*by, "bpath", *[f"t_{c}" for c in counts], *cols, F.lead("bx").over(w).alias("nbx"))
+    return bt.select(*by, "b", *[f"t_{c}" for c in counts], *cols, F.lead("bx").over(w).alias("nbx"))
 
 
-def wasserstein(df: DataFrame, obs: str, mod: str, by=(), rows_per_bucket: int = 1_000_000,
-                paired: bool = True) -> DataFrame:
-    """M17 per group of ``by``. ``paired`` applies pairwise deletion first.
+def _grouped(df: DataFrame, by) -> tuple[DataFrame, list[str], list[str]]:
+    """One group: a constant key keeps every step a keyed join."""
+    by = list(by)
+    return (df, by, by) if by else (df.withColumn("__all", F.lit(0)), ["__all"], [])
+
 
-    Plan: a distinct-value tally with bounded value buckets
-    (:func:`value_tally`), prefix sums over the small bucket table
-    (:func:`bucket_offsets`), then running sums inside each bucket. No
-    window spans more than one bucket of distinct values."""
+def wasserstein(df: DataFrame, obs: str, mod: str, by=(), rows_per_bucket: int = 100_000,
+                paired: bool = True) -> DataFrame:
+    """M17 per group of ``by``. ``paired`` applies pairwise deletion first."""
     from .stats import join_group_values
-    by = list(by)
-    glob = not by
-    if glob:  # one group: a constant key keeps every step a keyed join
-        df, by = df.withColumn("__all", F.lit(0)), ["__all"]
+    df, by, keep = _grouped(df, by)
     v = df.where(pairwise_valid(obs, mod)) if paired else df.where(F.col(obs).isNotNull() | F.col(mod).isNotNull())
     rows = v.select(*by, F.explode(F.array(
         F.struct(F.col(obs).cast("double").alias("x"), F.lit(1).alias("co"), F.lit(0).alias("cm")),
@@ -112,112 +93,127 @@ def wasserstein(df: DataFrame, obs: str, mod: str, by=(), rows_per_bucket: int =
     rows = rows.select(*by, "e.x", "e.co", "e.cm").where(F.col("x").isNotNull())
     tally = value_tally(rows, by, ["co", "cm"], rows_per_bucket)
     bt = bucket_offsets(tally, by, ["co", "cm"])
-    t = join_group_values(tally, bt, [*by, "bpath"])
-    wx = Window.partitionBy(*by, "bpath").orderBy("x")
+    t = join_group_values(tally, bt, [*by, "b"], salts=0)
+    wx = Window.partitionBy(*by, "b").orderBy("x")
     run = wx.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     t = t.select(*by, "n_co", "n_cm",
                  (F.col("o_co") + F.sum("co").over(run)).alias("Co"),
                  (F.col("o_cm") + F.sum("cm").over(run)).alias("Cm"),
                  (F.coalesce(F.lead("x").over(wx), F.col("nbx")) - F.col("x")).alias("dx"))
-    contrib = F.abs(F.col("Co") / F.col("n_co") - F.col("Cm") / F.col("n_cm")) * F.col("dx")
-    out = t.groupBy(*by).agg(F.sum(F.coalesce(contrib, F.lit(0.0))).alias("wassersteindistance"))
-    return out.drop("__all") if glob else out
+    contrib = F.abs(safe_div(F.col("Co"), F.col("n_co")) - safe_div(F.col("Cm"), F.col("n_cm"))) * F.col("dx")
+    empty = (F.max("n_co") == 0) | (F.max("n_cm") == 0)
+    out = t.groupBy(*by).agg(F.when(~empty, F.sum(F.coalesce(contrib, F.lit(0.0)))).alias("wassersteindistance"))
+    return out.select(*keep, "wassersteindistance")
+
+
+def _running(events: DataFrame, line: list[str], place: str, end: str) -> DataFrame:
+    """Runs of constant counts along each ``line`` from events (``place``,
+    changes ``f`` and ``o``): ``line, start, stop, f, o``. A line has as many
+    places as the grid's axis, so a window holds no more than that."""
+    w = Window.partitionBy(*line).orderBy(place)
+    e = events.groupBy(*line, place, end).agg(F.sum("f").alias("f"), F.sum("o").alias("o"))
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    e = e.select(*line, F.col(place).alias("start"), F.coalesce(F.lead(place).over(w), F.col(end)).alias("stop"),
+                 F.sum("f").over(run).alias("f"), F.sum("o").over(run).alias("o"))
+    return e.where((F.col("f") > 0) | (F.col("o") > 0))
+
+
+def _open_and_close(d: DataFrame, keep: list[str], at, n: str, k: int, turns) -> DataFrame:
+    """Each row as two events of the interval ``at - k .. at + k`` on an axis of
+    ``n`` places: cut at its ends, or going on round where ``turns`` is true."""
+    size = 2 * k + 1
+    whole = F.floor(F.lit(size) / F.col(n)).cast("int")
+    rest = F.lit(size) - whole * F.col(n)
+    first = F.pmod(at - k, F.col(n))
+    over = F.greatest(first + rest - F.col(n), F.lit(0))
+    piece = lambda a, b, m: F.struct(a.cast("int").alias("a"), b.cast("int").alias("b"), m.cast("int").alias("m"))
+    one = F.lit(1)
+    around = F.array(piece(F.lit(0), F.col(n), whole), piece(first, F.least(first + rest, F.col(n)), one),
+                     piece(F.lit(0), over, one))
+    cut = F.array(piece(F.greatest(at - k, F.lit(0)), F.least(at + k + 1, F.col(n)), one))
+    d = d.withColumn("__s", F.explode(F.filter(F.when(turns, around).otherwise(cut), lambda s: (s["b"] > s["a"]) & (s["m"] > 0))))
+    ends = F.array(F.struct(F.col("__s.a").alias("p"), F.col("__s.m").alias("m")),
+                   F.struct(F.col("__s.b").alias("p"), (-F.col("__s.m")).alias("m")))
+    d = d.withColumn("__e", F.explode(ends))
+    return d.select(*keep, n, F.col("__e.p").alias("__p"), (F.col("__e.m") * F.col("f")).alias("f"),
+                    (F.col("__e.m") * F.col("o")).alias("o"))
 
 
 def fractions_skill_score(fcst: DataFrame, obs: DataFrame, var_f: str, var_o: str, threshold: float,
                           k: int = 1, lat: str = "lat", lon: str = "lon", time: str = "time",
-                          by=(), axes: dict | None = None) -> DataFrame:
+                          by=(), axes: dict | None = None, seam: bool = False) -> DataFrame:
     """M16 per group of ``by`` (keys present in both grids, e.g. time). A group
-    without a value at or above ``threshold`` in either grid scores NULL."""
+    without a value at or above ``threshold`` in either grid scores NULL.
+    ``seam``: windows go on over the seam of a periodic longitude axis."""
     by = list(by)
     if axes is None:
-        axes = {**axis_columns(fcst, lat, "a", periodic=False), **axis_columns(fcst, lon, "b", periodic=False)}
+        axes = {**axis_columns(fcst, lat, "a", periodic=False),
+                **axis_columns(fcst, lon, "b", periodic=None if seam else False)}
+    keys = [*by, *([time] if time and time not in by else [])]
 
     def ex(df, var, flag):
         d = df.where(F.col(var) >= threshold).withColumns(axes)
-        return d.select(*by, *([time] if time and time not in by else []),
-                        F.round((F.col(lat) - F.col("a0")) / F.col("ad")).cast("int").alias("__i"),
-                        F.round((F.col(lon) - F.col("b0")) / F.col("bd")).cast("int").alias("__j"),
-                        "an", "bn",
-                        F.lit(1 if flag == "f" else 0).alias("If"), F.lit(1 if flag == "o" else 0).alias("Io"))
-    keys = [*by, *([time] if time and time not in by else [])]
+        d = d.select(*keys, "an", "bn", "ap", "bp", F.round(fractional_index(F.col(lat), "a")).cast("int").alias("__i"),
+                     wrap(F.round(fractional_index(F.col(lon), "b")).cast("int"), "b").alias("__j"),
+                     F.lit(int(flag == "f")).alias("f"), F.lit(int(flag == "o")).alias("o"))
+        return d.where(in_axis(F.col("__i"), "a") & in_axis(F.col("__j"), "b"))
     e = ex(fcst, var_f, "f").unionByName(ex(obs, var_o, "o"))
-    offs = F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj"))
-                     for a in range(-k, k + 1) for b in range(-k, k + 1)])
+    rows = _open_and_close(e, [*keys, "__i", "an"], F.col("__j"), "bn", k, F.lit(seam) & F.col("bp"))
+    rows = _running(rows.withColumn("__end", F.col("bn")).drop("bn"), [*keys, "__i", "an"], "__p", "__end")
+    cells = rows.withColumn("__j", F.explode(F.sequence(F.col("start"), F.col("stop") - 1))).drop("start", "stop")
+    columns = _open_and_close(cells, [*keys, "__j"], F.col("__i"), "an", k, F.lit(False))
+    runs = _running(columns.withColumn("__end", F.col("an")).drop("an"), [*keys, "__j"], "__p", "__end")
     n = float((2 * k + 1) ** 2)
-    nb = e.select("*", F.explode(offs).alias("__o")).select(
-        *keys, (F.col("__i") + F.col("__o.di")).alias("ti"), (F.col("__j") + F.col("__o.dj")).alias("tj"),
-        "an", "bn", "If", "Io")
-    nb = nb.where((F.col("ti") >= 0) & (F.col("ti") < F.col("an")) & (F.col("tj") >= 0) & (F.col("tj") < F.col("bn")))
-    frac = nb.groupBy(*keys, "ti", "tj").agg((F.sum("If") / n).alias("pf"), (F.sum("Io") / n).alias("po"))
+    d = runs.select(*by, (F.col("stop") - F.col("start")).alias("__n"), (F.col("f") / n).alias("pf"), (F.col("o") / n).alias("po"))
     if by:  # every group of either grid has a row
         groups = fcst.select(*by).unionByName(obs.select(*by)).distinct()
-        frac = frac.select(*by, "pf", "po").unionByName(groups.select(*by, F.lit(0.0).alias("pf"), F.lit(0.0).alias("po")))
-    dd = F.col("pf") - F.col("po")
-    s = frac.groupBy(*by).agg(F.sum(dd * dd).alias("num"),
-                              (F.sum(F.col("pf") * F.col("pf")) + F.sum(F.col("po") * F.col("po"))).alias("den"))
+        zero = F.lit(0.0)
+        d = d.unionByName(groups.select(*by, F.lit(0).alias("__n"), zero.alias("pf"), zero.alias("po")))
+    gap = F.col("pf") - F.col("po")
+    s = d.groupBy(*by).agg(F.sum(F.col("__n") * gap * gap).alias("num"),
+                           F.sum(F.col("__n") * (F.col("pf") * F.col("pf") + F.col("po") * F.col("po"))).alias("den"))
     return s.select(*by, (1 - safe_div(F.col("num"), F.col("den"))).alias("fss"))
 
 
-def _percent(q: float) -> str:
+def percent_name(q: float) -> str:
+    """``0.5`` -> ``50``, ``0.125`` -> ``12_5``."""
     whole, _, part = f"{q * 100:.10f}".rstrip("0").rstrip(".").partition(".")
     return whole.zfill(2) + (f"_{part}" if part else "")
 
 
-def quantiles(df: DataFrame, value: str, qs, by=(), rows_per_bucket: int = 1_000_000,
+def quantiles(df: DataFrame, value: str, qs, by=(), rows_per_bucket: int = 100_000,
               prefix: str = "q") -> DataFrame:
     """Exact continuous quantiles (linear interpolation between order
     statistics: position ``q * (n - 1)``, as numpy / ``percentile`` /
     ``quantile_cont``) of ``value`` per group, without holding a group in one
-    task.
-
-    1. distinct-value tally with bounded value buckets (:func:`value_tally`);
-    2. rank range of every bucket from prefix sums over the small bucket
-       table (:func:`bucket_offsets`);
-    3. the two order statistics around each requested position are located
-       in their buckets; only those buckets get running counts, and each
-       order statistic is the distinct value whose rank range holds it.
-
-    When no group exceeds ``rows_per_bucket`` values (one count aggregate
-    tells), Spark's exact ``percentile`` runs per group instead: each group
-    then fits one task by construction.
+    task and without asking the driver: a tally in value buckets
+    (:func:`value_tally`), the rank range of every bucket from prefix sums
+    (:func:`bucket_offsets`), running counts inside the buckets that hold a
+    wanted rank, and the two order statistics around each position as
+    conditional aggregates.
 
     Output: ``by`` + one column ``{prefix}{pct:02d}`` per requested q (parts of
     a percent after an underscore: ``q00_4`` is 0.4 %)."""
     from .stats import join_group_values
-    by = list(by)
+    df, by, keep = _grouped(df, by)
     qs = [float(q) for q in qs]
-    glob = not by
-    if glob:  # one group: a constant key keeps every step a keyed join
-        df, by = df.withColumn("__all", F.lit(0)), ["__all"]
     rows = df.select(*by, F.col(value).cast("double").alias("x"), F.lit(1).alias("c")) \
              .where(F.col("x").isNotNull() & ~F.isnan("x"))
-    keep = [] if glob else by
-    names = [f"{prefix}{_percent(q)}" for q in qs]
-    # every group small enough for one task: a plain exact percentile per group
-    largest = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if largest is None or largest <= rows_per_bucket:
-        pct = F.percentile("x", F.array(*[F.lit(q) for q in qs]))
-        out = rows.groupBy(*by).agg(pct.alias("__p"))
-        return out.select(*keep, *[F.col("__p")[i].alias(n) for i, n in enumerate(names)])
+    names = [f"{prefix}{percent_name(q)}" for q in qs]
     tally = value_tally(rows, by, ["c"], rows_per_bucket)
-    bt = bucket_offsets(tally, by, ["c"])
-    # target order statistics per group and q
-    groups = bt.select(*by, "n_c").distinct()
-    tq = groups.select(*by, F.explode(F.array(*[F.lit(q) for q in qs])).alias("q"),
-                       (F.col("n_c") - 1).alias("__m"))
-    tq = tq.withColumn("h", F.col("q") * F.col("__m"))
-    tr = tq.select(*by, "q", "h", F.explode(F.array(F.floor("h").cast("long"), F.ceil("h").cast("long"))).alias("r"))
-    located = join_group_values(tr, bt.select(*by, "bpath", "o_c", "t_c"), by).where(
-        (F.col("r") >= F.col("o_c")) & (F.col("r") < F.col("o_c") + F.col("t_c")))
-    need = located.select(*by, "bpath", "o_c").distinct()
-    run = Window.partitionBy(*by, "bpath").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = join_group_values(tally, need, [*by, "bpath"]).select(
-        *by, "bpath", "x", (F.col("o_c") + F.sum("c").over(run)).alias("__end"), "c")
-    hit = join_group_values(located.select(*by, "bpath", "q", "h", "r"),
-                            ranked, [*by, "bpath"]).where(
-        (F.col("r") >= F.col("__end") - F.col("c")) & (F.col("r") < F.col("__end")))
-    per_q = hit.groupBy(*by, "q").agg(F.first("h").alias("h"), F.min("x").alias("x_lo"), F.max("x").alias("x_hi"))
-    per_q = per_q.withColumn("val", F.col("x_lo") + (F.col("h") - F.floor("h")) * (F.col("x_hi") - F.col("x_lo")))
-    out = per_q.groupBy(*by).pivot("q", qs).agg(F.first("val"))
-    return out.select(*keep, *[F.col(f"`{q}`").alias(n) for q, n in zip(qs, names)])
+    place = [F.lit(q) * (F.col("n_c") - 1) for q in qs]
+    ranks = [f(p).cast("long") for p in place for f in (F.floor, F.ceil)]
+    wanted = F.lit(False)
+    for r in ranks:
+        wanted = wanted | ((r >= F.col("o_c")) & (r < F.col("o_c") + F.col("t_c")))
+    bt = bucket_offsets(tally, by, ["c"]).where(wanted)
+    run = Window.partitionBy(*by, "b").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = join_group_values(tally, bt, [*by, "b"], salts=0).withColumn("__end", F.col("o_c") + F.sum("c").over(run))
+    here = lambda r: F.max(F.when((r >= F.col("__end") - F.col("c")) & (r < F.col("__end")), F.col("x")))
+    found = t.groupBy(*by).agg(F.max("n_c").alias("n_c"), *[here(r).alias(f"__x{i}") for i, r in enumerate(ranks)])
+    out = []
+    for i, (p, name) in enumerate(zip(place, names)):
+        low, high = F.col(f"__x{2 * i}"), F.col(f"__x{2 * i + 1}")
+        # equal neighbours (infinite ones too) need no interpolation
+        out.append(F.when(low == high, low).otherwise(low + (p - F.floor(p)) * (high - low)).alias(name))
+    return found.select(*keep, *out)

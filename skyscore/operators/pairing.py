@@ -19,78 +19,13 @@ collected to the driver: axis descriptions stay one-row DataFrames.
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# ----------------------------------------------------------------- axes
-
-
-@dataclass(frozen=True)
-class RegularAxis:
-    """A regular coordinate axis: ``first + step * i`` for ``i`` in ``[0, n)``.
-    ``periodic`` axes (global longitudes) wrap the index modulo ``n``."""
-    first: float
-    step: float
-    n: int
-    periodic: bool = False
-
-
-def axis_columns(grid: DataFrame, coord: str, prefix: str, spec: RegularAxis | None = None,
-                 periodic: bool | None = None) -> dict:
-    """Columns ``{prefix}0, {prefix}d, {prefix}n, {prefix}p`` describing a
-    regular axis (first value, step, length, periodic). Given a spec they are
-    literals; otherwise scalar subqueries over the grid (Spark merges them into
-    one subquery, evaluated once): step = mean gap between consecutive distinct
-    values when all gaps agree within 1 % (axes stored in single precision),
-    else the smallest gap (lines without data); the window runs over the
-    distinct-axis table, whose size is the axis length, not the data size.
-    n = span / step + 1; periodic when n * step is 360 within 1 % of a step."""
-    if spec is not None:
-        return {f"{prefix}0": F.lit(float(spec.first)), f"{prefix}d": F.lit(float(spec.step)),
-                f"{prefix}n": F.lit(int(spec.n)), f"{prefix}p": F.lit(bool(spec.periodic))}
-    vals = grid.select(F.col(coord).cast("double").alias("x")).where(F.col("x").isNotNull()).distinct()
-    gaps = vals.select("x", (F.lead("x").over(Window.orderBy("x")) - F.col("x")).alias("g"))
-    even = F.max("g") - F.min("g") <= 0.01 * F.min("g")
-    a = gaps.agg(F.min("x").alias("lo"), F.max("x").alias("hi"),
-                 F.when(even, (F.max("x") - F.min("x")) / F.count("g")).otherwise(F.min("g")).alias("step"))
-    n = (F.round((F.col("hi") - F.col("lo")) / F.col("step")) + 1).cast("int")
-    per = F.abs(n * F.col("step") - 360.0) < 0.01 * F.col("step") if periodic is None else F.lit(bool(periodic))
-    return {f"{prefix}0": a.select("lo").scalar(), f"{prefix}d": a.select("step").scalar(),
-            f"{prefix}n": a.select(n).scalar(), f"{prefix}p": a.select(per).scalar()}
-
-
-def grid_axes(grid: DataFrame, lat: str = "lat", lon: str = "lon",
-              lat_axis: RegularAxis | None = None, lon_axis: RegularAxis | None = None,
-              lon_periodic: bool | None = None) -> dict:
-    """Both axis descriptions (``a*`` = lat, ``b*`` = lon) as a dict of
-    Columns, attached to rows with ``withColumns`` (scalars, never a join)."""
-    return {**axis_columns(grid, lat, "a", lat_axis, periodic=False),
-            **axis_columns(grid, lon, "b", lon_axis, periodic=lon_periodic)}
-
-
-def axes_row(axes: dict):
-    """The axis description as a Python row (tests / inspection)."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    return spark.range(1).select(*[v.alias(k) for k, v in axes.items()]).first()
-
-
-def _fidx(x: Column, p: str) -> Column:
-    """Fractional index of coordinate ``x`` on axis ``p``."""
-    return (x - F.col(f"{p}0")) / F.col(f"{p}d")
-
-
-def _wrap(i: Column, p: str) -> Column:
-    """Periodic axes wrap; others keep the raw index (validity checked later)."""
-    return F.when(F.col(f"{p}p"), F.pmod(i, F.col(f"{p}n"))).otherwise(i)
-
-
-def _in_axis(i: Column, p: str) -> Column:
-    return (i >= 0) & (i < F.col(f"{p}n"))
-
+from .curvilinear import (cells_2d, corners_2d, nearest_2d, pair_nearest_curvilinear,  # noqa: F401
+                          pair_nearest_great_circle)
+from .axes import (LineAxis, RegularAxis, axes_row, axis_columns, fractional_index, grid_axes, in_axis, in_reach,  # noqa: F401
+                   line_at, lower_bound, search, wrap)
 
 def indexed_grid(grid: DataFrame, axes: dict, var, lat="lat", lon="lon", time="time") -> DataFrame:
     """Grid rows keyed by integer cell indices ``(time, __i, __j)``."""
@@ -98,54 +33,56 @@ def indexed_grid(grid: DataFrame, axes: dict, var, lat="lat", lon="lon", time="t
     tcols = [time] if time else []
     g = grid.withColumns(axes)
     return g.select(*tcols,
-                    F.round(_fidx(F.col(lat), "a")).cast("int").alias("__i"),
-                    _wrap(F.round(_fidx(F.col(lon), "b")).cast("int"), "b").alias("__j"),
+                    F.round(fractional_index(F.col(lat), "a")).cast("int").alias("__i"),
+                    wrap(F.round(fractional_index(F.col(lon), "b")).cast("int"), "b").alias("__j"),
                     *var)
 
 
 # ---------------------------------------------------------------- nearest
 
 
-def with_nearest(df: DataFrame, axes: dict, lat="lat", lon="lon", clamp: bool = True) -> DataFrame:
+def with_nearest(df: DataFrame, axes: dict, lat="lat", lon="lon", clamp: bool = True, limit="cell") -> DataFrame:
     """``df`` with the nearest cell indices ``__i, __j`` of each row and the
     axis description ``__ax``; a missing coordinate gives NULL indices.
 
-    Nearest = ``floor(fidx + 0.5)`` (ties go to the upper cell). Points beyond
-    the grid edge take the edge cell when ``clamp`` (what nearest-neighbour
-    interpolation of a bounded grid does); periodic longitudes wrap."""
+    Nearest = ``floor(index + 0.5)`` (ties go to the upper cell), also between
+    uneven lines. Points beyond the outermost cells have no cell; ``limit``
+    degrees beyond the outermost lines (None: at any distance) take the edge
+    cell instead. Periodic longitudes wrap. ``clamp=False`` gives raw indices."""
     s = df.withColumn("__ax", F.struct(*[v.alias(k) for k, v in axes.items()]))
-    i = F.floor(_fidx(F.col(lat), "__ax.a") + 0.5).cast("int")
-    j = F.floor(_fidx(F.col(lon), "__ax.b") + 0.5).cast("int")
+    s = s.withColumns({"__fi": fractional_index(F.col(lat), "__ax.a"), "__fj": fractional_index(F.col(lon), "__ax.b")})
+    i, j = (F.floor(F.col(f) + 0.5).cast("int") for f in ("__fi", "__fj"))
     if clamp:  # least and greatest skip NULL, so a missing index is kept apart
-        i = F.when(i.isNotNull(), F.least(F.greatest(i, F.lit(0)), F.col("__ax.an") - 1))
-        j = F.when(F.col("__ax.bp"), F.pmod(j, F.col("__ax.bn"))).when(
-            j.isNotNull(), F.least(F.greatest(j, F.lit(0)), F.col("__ax.bn") - 1))
+        near = in_reach(F.col(lat), F.col("__fi"), "__ax.a", limit) & in_reach(F.col(lon), F.col("__fj"), "__ax.b", limit)
+        i = F.when(i.isNotNull() & near, F.least(F.greatest(i, F.lit(0)), F.col("__ax.an") - 1))
+        j = F.when(near & F.col("__ax.bp"), F.pmod(j, F.col("__ax.bn"))).when(
+            j.isNotNull() & near, F.least(F.greatest(j, F.lit(0)), F.col("__ax.bn") - 1))
     else:
-        j = _wrap(j, "__ax.b")
-    return s.withColumns({"__i": i, "__j": j})
+        j = wrap(j, "__ax.b")
+    return s.withColumns({"__i": i, "__j": j}).drop("__fi", "__fj")
 
 
-def nearest_cells(sites: DataFrame, axes: dict, lat="lat", lon="lon", clamp: bool = True) -> DataFrame:
+def nearest_cells(sites: DataFrame, axes: dict, lat="lat", lon="lon", clamp: bool = True, limit="cell") -> DataFrame:
     """Distinct site coordinates with their nearest cell indices ``__i, __j``
     (:func:`with_nearest`)."""
-    return with_nearest(sites.select(lat, lon).distinct(), axes, lat, lon, clamp).drop("__ax")
+    return with_nearest(sites.select(lat, lon).distinct(), axes, lat, lon, clamp, limit).drop("__ax")
 
 
 def pair_nearest(model: DataFrame, points: DataFrame, var, lat="lat", lon="lon", time="time",
                  how: str = "left", axes: dict | None = None, lat_axis=None, lon_axis=None,
-                 with_cell: bool = False) -> DataFrame:
+                 with_cell: bool = False, limit="cell") -> DataFrame:
     """Each point (row of ``points``) takes the value of its nearest
     grid cell at the same time. ``how='left'`` keeps every point (model NULL
-    when the cell-time is absent or a coordinate is missing); ``'inner'`` keeps
-    matched pairs only. The cell index is arithmetic on the row's own columns,
-    so the only shuffle is the join to the grid."""
+    when the cell-time is absent, a coordinate is missing or the point lies
+    beyond ``limit``, see :func:`with_nearest`); ``'inner'`` keeps matched
+    pairs only. The cell index is arithmetic on the row's own columns, so the
+    only shuffle is the join to the grid."""
     var = [var] if isinstance(var, str) else list(var)
     axes = axes if axes is not None else grid_axes(model, lat, lon, lat_axis, lon_axis)
     g = indexed_grid(model, axes, var, lat, lon, time)
-    keyed = with_nearest(points, axes, lat, lon)
+    keyed = with_nearest(points, axes, lat, lon, limit=limit)
     if with_cell:
-        keyed = keyed.withColumns({"cell_lat": F.col("__ax.a0") + F.col("__ax.ad") * F.col("__i"),
-                                   "cell_lon": F.col("__ax.b0") + F.col("__ax.bd") * F.col("__j")})
+        keyed = keyed.withColumns({"cell_lat": line_at(F.col("__i"), "__ax.a"), "cell_lon": line_at(F.col("__j"), "__ax.b")})
     on = ([time] if time else []) + ["__i", "__j"]
     out = keyed.drop("__ax").join(g, on, how)
     if with_cell:
@@ -161,7 +98,9 @@ def bilinear_corners(sites: DataFrame, axes: dict, lat="lat", lon="lon", keys=()
     bilinear weights (explode x4 of the distinct sites only)."""
     keys = list(keys)
     s = sites.select(*keys, lat, lon).distinct().withColumns(axes)
-    fi, fj = _fidx(F.col(lat), "a"), _fidx(F.col(lon), "b")
+    s = s.select(*keys, lat, lon, "ap", "an", "bp", "bn", fractional_index(F.col(lat), "a").alias("__fi"),
+                 fractional_index(F.col(lon), "b").alias("__fj"))
+    fi, fj = F.col("__fi"), F.col("__fj")
 
     def lower(f, p):  # a point on the last line belongs to the last interval
         last = ~F.col(f"{p}p") & (f == F.col(f"{p}n") - 1) & (F.col(f"{p}n") > 1)
@@ -177,9 +116,9 @@ def bilinear_corners(sites: DataFrame, axes: dict, lat="lat", lon="lon", keys=()
     e = s.select(*keys, lat, lon, "ap", "an", "bp", "bn", "__i0", "__j0",
                  F.explode(corners).alias("__c"))
     i = F.col("__i0") + F.col("__c.di")
-    j = _wrap(F.col("__j0") + F.col("__c.dj"), "b")
+    j = wrap(F.col("__j0") + F.col("__c.dj"), "b")
     return e.select(*keys, lat, lon, i.alias("__i"), j.alias("__j"), F.col("__c.w").alias("__w"),
-                    (_in_axis(i, "a") & _in_axis(j, "b")).alias("__ok"))
+                    (in_axis(i, "a") & in_axis(j, "b")).alias("__ok"))
 
 
 def _blend(corner_vals: DataFrame, group, var) -> DataFrame:
@@ -235,40 +174,39 @@ def regrid(model: DataFrame, target_cells: DataFrame, var, method: str = "biline
 def regrid_conservative(model: DataFrame, target_cells: DataFrame, var, lat="lat", lon="lon",
                         time="time", target_step=None, axes: dict | None = None) -> DataFrame:
     """Area-conservative remap. Target cell = ``lat +- dlat/2`` x
-    ``lon +- dlon/2`` (``target_step=(dlat, dlon)``, inferred from the target
-    cells when omitted). Weight of a source cell = overlap width in longitude
+    ``lon +- dlon/2`` (``target_step=(dlat, dlon)``); without it target cells
+    reach half way to the next line of the target's own axes. Weight of a source cell = overlap width in longitude
     (degrees) x (sin(phi2) - sin(phi1)) of the latitude overlap; result =
     sum(w v) / sum(w) over source cells holding a value."""
     var = [var] if isinstance(var, str) else list(var)
     axes = axes if axes is not None else grid_axes(model, lat, lon)
+    t = target_cells.select(lat, lon).distinct().withColumns(axes)
     if target_step is None:
-        ta = grid_axes(target_cells, lat, lon)
-        tax = {"tad": ta["ad"], "tbd": ta["bd"]}
+        t = t.withColumns({**axis_columns(target_cells, lat, "ta", periodic=False), **axis_columns(target_cells, lon, "tb")})
+        edges = []
+        for c, p in ((lat, "ta"), (lon, "tb")):
+            k = F.round(fractional_index(F.col(c), p))
+            edges += [lower_bound(k, p), lower_bound(k + 1, p)]
     else:
-        tax = {"tad": F.lit(float(target_step[0])), "tbd": F.lit(float(target_step[1]))}
-    t = target_cells.select(lat, lon).distinct().withColumns({**axes, **tax})
-    tlo_a, thi_a = F.col(lat) - F.col("tad") / 2, F.col(lat) + F.col("tad") / 2
-    tlo_b, thi_b = F.col(lon) - F.col("tbd") / 2, F.col(lon) + F.col("tbd") / 2
-    # candidate source indices: every source cell whose interval may touch
-    i_lo = F.floor((tlo_a - F.col("a0")) / F.col("ad") + 0.5).cast("int")
-    i_hi = F.floor((thi_a - F.col("a0")) / F.col("ad") + 0.5).cast("int")
-    j_lo = F.floor((tlo_b - F.col("b0")) / F.col("bd") + 0.5).cast("int")
-    j_hi = F.floor((thi_b - F.col("b0")) / F.col("bd") + 0.5).cast("int")
-    t = t.select(lat, lon, "a0", "ad", "an", "b0", "bd", "bn", "bp",
-                 tlo_a.alias("tlo_a"), thi_a.alias("thi_a"), tlo_b.alias("tlo_b"), thi_b.alias("thi_b"),
-                 F.explode(F.sequence(i_lo, i_hi)).alias("__i"), j_lo.alias("j_lo"), j_hi.alias("j_hi"))
-    t = t.select("*", F.explode(F.sequence(F.col("j_lo"), F.col("j_hi"))).alias("__jr"))
-    slo_a = F.col("a0") + F.col("ad") * (F.col("__i") - 0.5)
-    shi_a = F.col("a0") + F.col("ad") * (F.col("__i") + 0.5)
-    slo_b = F.col("b0") + F.col("bd") * (F.col("__jr") - 0.5)
-    shi_b = F.col("b0") + F.col("bd") * (F.col("__jr") + 0.5)
+        edges = [F.col(c) + sign * float(step) / 2 for c, step in zip((lat, lon), target_step) for sign in (-1, 1)]
+    held = list(axes)
+    t = t.select(lat, lon, *held, *[e.alias(n) for e, n in zip(edges, ("tlo_a", "thi_a", "tlo_b", "thi_b"))])
+    # candidate source indices: every source cell whose interval may touch; an
+    # axis that does not wrap ends at its outermost cells
+    def touched(end: str, p: str) -> Column:
+        i = F.floor(fractional_index(F.col(end), p) + 0.5)
+        return F.when(F.col(f"{p}p"), i).otherwise(F.least(F.greatest(i, F.lit(0)), F.col(f"{p}n") - 1)).cast("int")
+    t = t.withColumn("__i", F.explode(F.sequence(touched("tlo_a", "a"), touched("thi_a", "a"))))
+    t = t.withColumn("__jr", F.explode(F.sequence(touched("tlo_b", "b"), touched("thi_b", "b"))))
+    slo_a, shi_a = lower_bound(F.col("__i"), "a"), lower_bound(F.col("__i") + 1, "a")
+    slo_b, shi_b = lower_bound(F.col("__jr"), "b"), lower_bound(F.col("__jr") + 1, "b")
     lat_lo = F.greatest(slo_a, F.col("tlo_a"), F.lit(-90.0))
     lat_hi = F.least(shi_a, F.col("thi_a"), F.lit(90.0))
     lon_ov = F.least(shi_b, F.col("thi_b")) - F.greatest(slo_b, F.col("tlo_b"))
     w = lon_ov * (F.sin(F.radians(lat_hi)) - F.sin(F.radians(lat_lo)))
-    ok = (lat_hi > lat_lo) & (lon_ov > 0) & _in_axis(F.col("__i"), "a") & \
-        (F.col("bp") | _in_axis(F.col("__jr"), "b"))
-    wt = t.where(ok).select(lat, lon, "__i", _wrap(F.col("__jr"), "b").alias("__j"), w.alias("__w"))
+    ok = (lat_hi > lat_lo) & (lon_ov > 0) & in_axis(F.col("__i"), "a") & \
+        (F.col("bp") | in_axis(F.col("__jr"), "b"))
+    wt = t.where(ok).select(lat, lon, "__i", wrap(F.col("__jr"), "b").alias("__j"), w.alias("__w"))
     g = indexed_grid(model, axes, var, lat, lon, time)
     tk = [time] if time else []
     vals = wt.join(g, ["__i", "__j"], "inner")
@@ -283,58 +221,87 @@ def regrid_conservative(model: DataFrame, target_cells: DataFrame, var, lat="lat
 
 # ------------------------------------------------------- time interpolation
 
+#: equal-count pieces of the time axis; a power of two
+_PIECES = 1024
 
-def bucket_width_us(model_times: DataFrame, time: str = "time", bucket_seconds="auto"):
-    """Bucket width in microseconds as a Column: a literal, or ``'auto'`` =
-    the smallest gap between distinct model times (a scalar subquery over the
-    model's time axis), so a bracket interval spans one or two buckets."""
-    if bucket_seconds != "auto":
-        return F.lit(float(bucket_seconds) * 1e6)
-    t = model_times.select(F.unix_micros(time).alias("t")).distinct()
-    gap = t.select((F.lead("t").over(Window.orderBy("t")) - F.col("t")).alias("g")).agg(F.min("g"))
-    return F.coalesce(gap.scalar().cast("double"), F.lit(86400e6))
 
-
-def time_brackets(model_times: DataFrame, time: str = "time", bucket_seconds="auto",
-                  keys=(), width=None) -> DataFrame:
-    """Distinct model times -> half-open intervals ``[__t0, __t1)`` keyed by a
-    time bucket, so points can find their bracket with an equi join.
-    ``keys`` (e.g. a site id) give each series its own time axis."""
-    keys = list(keys)
-    width = width if width is not None else bucket_width_us(model_times, time, bucket_seconds)
-    ts = model_times.select(*keys, time).distinct()
-    w = Window.partitionBy(*keys).orderBy(time)
-    iv = ts.select(*keys, F.col(time).alias("__t0"), F.lead(time).over(w).alias("__t1"))
-    b0 = F.floor(F.unix_micros("__t0") / width).cast("long")
-    b1 = F.floor(F.unix_micros(F.coalesce("__t1", "__t0")) / width).cast("long")
-    return iv.select(*keys, "__t0", "__t1", F.explode(F.sequence(b0, b1)).alias("__b"))
+def time_pieces(*times: DataFrame) -> Column:
+    """Sorted microseconds that cut the times of all the one-column frames into
+    up to ``_PIECES`` pieces of about equal counts: one mergeable sketch, read as
+    a scalar subquery."""
+    t = times[0].select(F.unix_micros(times[0].columns[0]).alias("t"))
+    for d in times[1:]:
+        t = t.unionAll(d.select(F.unix_micros(d.columns[0])))
+    at = ", ".join(f"{k / _PIECES!r}D" for k in range(1, _PIECES))
+    return t.agg(F.expr(f"array_distinct(percentile_approx(t, array({at}), {4 * _PIECES}))").alias("e")).scalar()
 
 
 def pair_interp_time(model: DataFrame, points: DataFrame, var, time: str = "time", keys=(),
-                     bucket_seconds="auto", how: str = "left") -> DataFrame:
+                     bucket_seconds=None, how: str = "left", pieces: Column | None = None, unique: bool = False) -> DataFrame:
     """J7 (``interp_time``): model series (per ``keys``) linearly interpolated
     in time to each point's time: ``v0 + (v1 - v0) * (t - t0) / (t1 - t0)``;
     exactly at a model time the value is taken as is; NULL outside the model
-    time range or when a bracketing value is missing."""
+    time range or when a bracketing value is missing. Of model rows with the
+    same keys and time the least is taken; rows of ``points`` stay as they are.
+
+    A merge of both sides, without brackets or candidate pairs: model rows and
+    points are united and sorted inside (keys, piece of the time axis), where
+    the last model row before and the first one after are filled in. What lies
+    in other pieces comes from the table of pieces (one row per key and piece:
+    its first and last model row, carried forward and back over empty pieces),
+    so a gap of any length costs nothing. Pieces hold equal counts of times; a
+    key with a third of all rows is split into many of them.
+    ``unique`` says that keys and time are unique in the model;
+    ``pieces`` takes edges from :func:`time_pieces` of cheaper frames;
+    ``bucket_seconds`` is accepted and not needed."""
     keys = list(keys)
     var = [var] if isinstance(var, str) else list(var)
-    width = bucket_width_us(model, time, bucket_seconds)
-    br = time_brackets(model, time, keys=keys, width=width)
-    pt = points.select(*keys, time).distinct().withColumn(
-        "__b", F.floor(F.unix_micros(time) / width).cast("long"))
-    cond = (F.col("__t0") <= F.col(time)) & (
-        (F.col(time) < F.col("__t1")) | (F.col("__t1").isNull() & (F.col(time) == F.col("__t0"))))
-    matched = pt.join(br, keys + ["__b"]).where(cond).drop("__b")
-    m0 = model.select(*keys, F.col(time).alias("__t0"), *[F.col(v).alias(f"__v0_{v}") for v in var])
-    m1 = model.select(*keys, F.col(time).alias("__t1"), *[F.col(v).alias(f"__v1_{v}") for v in var])
-    j = matched.join(m0, keys + ["__t0"], "left").join(m1, keys + ["__t1"], "left")
-    frac = (F.unix_micros(time) - F.unix_micros("__t0")).cast("double") / \
-        (F.unix_micros("__t1") - F.unix_micros("__t0")).cast("double")
-    vals = [F.when(F.col(time) == F.col("__t0"), F.col(f"__v0_{v}"))
-             .otherwise(F.col(f"__v0_{v}") + (F.col(f"__v1_{v}") - F.col(f"__v0_{v}")) * frac).alias(v)
-            for v in var]
-    interp = j.select(*keys, time, *vals)
-    return points.join(interp, keys + [time], how)
+    no_row = F.lit(None).cast(points.select(F.struct("*").alias("r")).schema["r"].dataType)
+    mrow = F.struct(F.col(time).alias("mt"), *[F.col(v).alias(f"v{k}") for k, v in enumerate(var)])
+    m = model.select(*keys, F.col(time).alias("__t"), mrow.alias("__m")).where(F.col("__t").isNotNull())
+    for k in keys:
+        m = m.where(F.col(k).isNotNull())
+    if not unique:
+        m = m.groupBy(*keys, "__t").agg(F.min("__m").alias("__m"))
+    no_model = F.lit(None).cast(m.schema["__m"].dataType)
+    edges = time_pieces(model.select(time), points.select(time)) if pieces is None else pieces
+    timed = points.where(F.col(time).isNotNull())
+    u = m.withColumns({"__row": no_row, "__pt": F.lit(False)}).unionByName(timed.select(
+        *keys, F.col(time).alias("__t"), no_model.alias("__m"), F.struct("*").alias("__row"), F.lit(True).alias("__pt")))
+    strides = F.lit([_PIECES >> k for k in range(_PIECES.bit_length())])
+    u = u.withColumn("__e", edges)
+    u = u.withColumn("__b", search(F.col("__e"), strides, F.unix_micros("__t"))).drop("__e")
+    u = u.repartition(*keys, "__b")  # moved once, for the window and for the table of pieces
+    w = Window.partitionBy(*keys, "__b").orderBy("__t", "__pt")
+    # backward fill as a forward one in the other order: frames that end at the
+    # last row are recomputed for every row
+    back = Window.partitionBy(*keys, "__b").orderBy(F.desc("__t"), F.desc("__pt"))
+    filled = u.select(*keys, "__t", "__b", "__pt", "__row",
+                      F.last("__m", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("__prev"),
+                      F.last("__m", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)).alias("__next"))
+    over, past = Window.partitionBy(*keys).orderBy("__b"), Window.partitionBy(*keys).orderBy(F.desc("__b"))
+    table = u.groupBy(*keys, "__b").agg(F.max("__m").alias("__last"), F.min("__m").alias("__first"))
+    table = table.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__b").alias("__pb"),
+        F.last("__last", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
+        F.last("__first", ignorenulls=True).over(past.rowsBetween(Window.unboundedPreceding, -1)).alias("__after"))
+    on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)] + [F.col("__b") == F.col("__pb")]
+    d = filled.where("__pt").join(table, on, "left").select(
+        "__row", "__t", F.coalesce("__prev", "__before").alias("__p"), F.coalesce("__next", "__after").alias("__n"))
+    there = F.col("__p.mt") == F.col("__t")
+    if how == "inner":
+        d = d.where(there | (F.col("__p").isNotNull() & F.col("__n").isNotNull()))
+    since = lambda c: (F.unix_micros(c) - F.unix_micros("__p.mt")).cast("double")
+    frac = since("__t") / since("__n.mt")
+    vals = [F.when(there, F.col(f"__p.v{k}")).otherwise(
+        F.col(f"__p.v{k}") + (F.col(f"__n.v{k}") - F.col(f"__p.v{k}")) * frac).alias(v) for k, v in enumerate(var)]
+    kept = [c for c in points.columns if c not in var]
+    out = d.select(*[F.col(f"__row.`{c}`") for c in kept], *vals)
+    if how == "inner":
+        return out
+    untimed = points.where(F.col(time).isNull()).select(
+        *kept, *[F.lit(None).cast(out.schema[v].dataType).alias(v) for v in var])
+    return out.unionByName(untimed)
 
 
 # --------------------------------------------------------- as-of nearest
@@ -371,9 +338,10 @@ def pair_asof(points: DataFrame, model: DataFrame, var, time: str = "time", keys
           .unionByName(p.withColumn("__m", F.lit(None).cast(mtype)).withColumn("__pt", F.lit(True)))
           .withColumn("__b", bucket("__t")))
     w = Window.partitionBy(*keys, "__b").orderBy("__t", "__pt")
+    back = Window.partitionBy(*keys, "__b").orderBy(F.desc("__t"), F.desc("__pt"))
     u = u.select(*keys, "__t", "__b", "__pt",
                  F.last("__m", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("__prev"),
-                 F.first("__m", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("__next"))
+                 F.last("__m", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0)).alias("__next"))
     pts = u.where("__pt").drop("__pt")
     edges = m.withColumn("__b", bucket("__t")).groupBy(*keys, "__b").agg(
         F.max("__m").alias("__last"), F.min("__m").alias("__first"))
@@ -392,128 +360,6 @@ def pair_asof(points: DataFrame, model: DataFrame, var, time: str = "time", keys
     return points.join(out, keys + [time], how)
 
 
-# ----------------------------------------------------- curvilinear nearest
-
-
-_FAN = 4  # a tile splits into this many parts along each axis
-
-
-def _bounds(tile, q, low, width):
-    """Least squared distance from ``q`` to a tile, and the greatest."""
-    near, far = F.lit(0.0), F.lit(0.0)
-    for a, x in enumerate(q):
-        edge = F.lit(low[a]) + F.get(tile, F.lit(a)) * width
-        under, over = edge - x, x - edge - width
-        n, f = F.greatest(under, over, F.lit(0.0)), F.greatest(F.abs(under), F.abs(over))
-        near, far = near + n * n, far + f * f
-    return near, far
-
-
-def _candidate(q, low, width):
-    def of(tile):
-        near, far = _bounds(tile, q, low, width)
-        return F.struct(near.alias("near"), far.alias("far"), tile.alias("tile"))
-    return of
-
-
-def _nearest_by_tiles(cells: DataFrame, sites: DataFrame, lat: str, lon: str, cell_id: str, point,
-                      leaf: float | None = None) -> DataFrame:
-    """Nearest cell of each distinct site by straight distance between
-    ``point(lat, lon)`` (a list of Columns): ``lat, lon, cell_id, __d2``.
-
-    A fixed pyramid of tiles over the cells' extent, every tile split into
-    ``_FAN`` parts along each axis. From the root down a site keeps the occupied
-    tiles whose least distance does not exceed the smallest greatest distance
-    among them; such a tile may hold the nearest cell, any other cannot. So a
-    site holds a bounded number of tiles per level wherever it lies, the plan
-    has one join and one aggregate per level, and the number of levels follows
-    from the number of cells alone (about one cell per last tile; ``leaf`` asks
-    for last tiles of at most that side). The driver sees one row: count and
-    extent of the cells. The tables of the two top levels are bounded by
-    ``_FAN`` ** 3 rows and broadcast; the others are left to AQE.
-
-    Sites with a missing coordinate, and all sites when there are no cells,
-    get a NULL cell. Cells with a missing coordinate are not considered. Ties
-    take the least ``cell_id``."""
-    def known(d, names):
-        ok = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in names]
-        return ok[0] & ok[1]
-
-    wanted = sites.select(lat, lon).distinct()
-    cl = cells.where(known(cells, [lat, lon])).select(cell_id, F.array(*point(F.col(lat), F.col(lon))).alias("__p"))
-    k = len(point(F.lit(0.0), F.lit(0.0)))
-    at = [F.col("__p")[a] for a in range(k)]
-    ext = cl.agg(F.count(F.lit(1)), *[F.min(c) for c in at], *[F.max(c) for c in at]).first()
-    n, low, high = ext[0], ext[1:k + 1], ext[k + 1:]
-    none = [F.lit(None).cast(cells.schema[cell_id].dataType).alias(cell_id), F.lit(None).cast("double").alias("__d2")]
-    if n == 0:
-        return wanted.select(lat, lon, *none)
-    side = max(h - x for h, x in zip(high, low)) * (1 + 1e-9) or 1.0
-    levels = max(1, math.ceil(math.log(n, _FAN * _FAN)))
-    if leaf:
-        levels = max(1, math.ceil(math.log(side / leaf, _FAN)))
-    slack = 1e-12 * (side + max(map(abs, [*low, *high])))
-    parts = _FAN ** levels
-    cl = cl.withColumn("__tile", F.array(*[F.least(F.floor((c - x) * (parts / side)), F.lit(parts - 1)).cast("long")
-                                           for c, x in zip(at, low)]))
-    # cells in one place count once
-    cl = cl.groupBy("__tile", "__p").agg(F.min(cell_id).alias(cell_id))
-    from ..session import cut_lineage
-    tables = {levels: cut_lineage(cl.select("__tile").distinct())}
-
-    def parent(t):
-        return F.transform(t, lambda i: F.floor(i / _FAN).cast("long"))
-    for t in range(levels - 1, 0, -1):
-        tables[t] = tables[t + 1].select(parent("__tile").alias("__tile")).distinct()
-    q = point(F.col(lat), F.col(lon))
-    held = wanted.where(known(wanted, [lat, lon])).select(
-        lat, lon, F.array(*[F.lit(0).cast("long")] * k).alias("__tile"))
-    for t in range(1, levels + 1):
-        kids = tables[t].groupBy(parent("__tile").alias("__up")).agg(F.collect_list("__tile").alias("__kids"))
-        if t <= 2:
-            kids = F.broadcast(kids)
-
-        held = held.join(kids, F.col("__tile") == F.col("__up")).select(
-            lat, lon, F.transform("__kids", _candidate(q, low, side / _FAN ** t)).alias("__c"))
-        held = held.groupBy(lat, lon).agg(F.flatten(F.collect_list("__c")).alias("__c"))
-        held = held.withColumn("__reach", F.sqrt(F.array_min(F.col("__c.far"))) + slack)
-        held = held.select(lat, lon, F.explode(F.filter("__c", lambda c: F.sqrt(c["near"]) <= F.col("__reach")))
-                           .alias("__c")).select(lat, lon, F.col("__c.tile").alias("__tile"))
-    d2 = sum((x - c) * (x - c) for x, c in zip(q, at))
-    best = (held.join(cl, "__tile").select(lat, lon, F.struct(d2.alias("d2"), F.col(cell_id)).alias("__b"))
-            .groupBy(lat, lon).agg(F.min("__b").alias("__b"))
-            .select(lat, lon, F.col(f"__b.{cell_id}").alias(cell_id), F.col("__b.d2").alias("__d2")))
-    return best.unionByName(wanted.where(~known(wanted, [lat, lon])).select(lat, lon, *none))
-
-
-def pair_nearest_curvilinear(cells: DataFrame, sites: DataFrame, lat="lat", lon="lon",
-                             cell_id: str = "cell_id", tile: float | str = "auto") -> DataFrame:
-    """J2 on a plane: nearest cell of a 2-D (curvilinear) grid for each distinct
-    site by Euclidean distance of the two coordinates (projected coordinates, or
-    degrees on a small region: it knows neither the date line nor the shrinking
-    of longitude; :func:`pair_nearest_great_circle` does). See
-    :func:`_nearest_by_tiles`; ``tile`` bounds the side of the last tiles."""
-    out = _nearest_by_tiles(cells, sites, lat, lon, cell_id,
-                            lambda a, b: [a.cast("double"), b.cast("double")], None if tile == "auto" else float(tile))
-    return out.select(lat, lon, cell_id, F.sqrt("__d2").alias("distance"))
-
-
-def _unit_vector(lat: Column, lon: Column):
-    la, lo = F.radians(lat), F.radians(lon)
-    return F.cos(la) * F.cos(lo), F.cos(la) * F.sin(lo), F.sin(la)
-
-
-def pair_nearest_great_circle(cells: DataFrame, sites: DataFrame, lat="lat", lon="lon",
-                              cell_id: str = "cell_id") -> DataFrame:
-    """J2 on the sphere: nearest cell by great-circle distance (exact across
-    the date line and at the poles; any range of longitudes). Points become
-    unit vectors; the nearest by chord is the nearest by arc. See
-    :func:`_nearest_by_tiles`. Output distance in kilometres (R = 6371 km)."""
-    out = _nearest_by_tiles(cells, sites, lat, lon, cell_id, lambda a, b: list(_unit_vector(a, b)))
-    arc_km = 2 * 6371.0 * F.asin(F.least(F.lit(1.0), F.sqrt("__d2") / 2))
-    return out.select(lat, lon, cell_id, F.when(F.col("__d2").isNotNull(), arc_km).alias("distance_km"))
-
-
 # ----------------------------------------------------- join helpers
 
 
@@ -528,22 +374,28 @@ def suffix_clashes(source: DataFrame, target: DataFrame, keys, suffix_source: st
     return source, target
 
 
-def _interp_time_at_cells(model: DataFrame, axes: dict, var, site_cells: DataFrame, points: DataFrame,
-                          lat, lon, time, bucket_seconds) -> DataFrame:
-    """Model series of each needed cell interpolated in time to the points'
-    times: keys are the integer cell indices, so every cell is one series."""
-    g = indexed_grid(model, axes, var, lat, lon, time)
+def _interp_time_at_cells(g: DataFrame, var, site_cells: DataFrame, points: DataFrame, lat, lon, time,
+                          pieces: Column, unique: bool) -> DataFrame:
+    """Model series of each needed cell (``g``: time, __i, __j, variables)
+    interpolated in time to the points' times: keys are the integer cell
+    indices, so every cell is one series."""
     need = points.select(lat, lon, time).distinct().join(site_cells, [lat, lon])
     cells = need.select("__i", "__j").distinct()
     g = g.join(cells, ["__i", "__j"], "left_semi")
-    per_cell = pair_interp_time(g, need.select("__i", "__j", time).distinct(), var, time=time,
-                                keys=["__i", "__j"], bucket_seconds=bucket_seconds, how="inner")
+    per_cell = pair_interp_time(g, need.select("__i", "__j", time).distinct(), var, time=time, keys=["__i", "__j"],
+                                how="inner", pieces=pieces, unique=unique)
     return need.join(per_cell, ["__i", "__j", time], "left")
 
 
+#: resolution methods of ``pair_data``
+METHODS = ("nearest", "bilinear", "interpolate", "regrid", "conservative")
+
+
 def pair_data(model: DataFrame, points: DataFrame, var, method: str = "nearest", merge: bool = True,
               interp_time: bool = False, suffix_source: str = "_source", suffix_target: str = "_target",
-              time_trunc: str | None = None, bucket_seconds="auto", **kw) -> DataFrame:
+              time_trunc: str | None = None, bucket_seconds=None, merge_target: bool = False, mask=None,
+              mask_column: str = "region", cell: tuple[str, str] | None = None, drop_duplicates: bool = True,
+              sort: bool = False, limit="cell", limit_km: float | None = None, **kw) -> DataFrame:
     """Entry point mirroring ``pair_data``.
 
     ``method``: nearest / bilinear / interpolate (= bilinear) / regrid /
@@ -553,7 +405,19 @@ def pair_data(model: DataFrame, points: DataFrame, var, method: str = "nearest",
     observations to the model time their time truncates to. Name clashes
     between observation columns and model variables get ``suffix_target`` /
     ``suffix_source`` (J10). ``merge=False`` keeps only keys and model
-    variables (J9)."""
+    variables (J9). ``merge_target`` (regrid, conservative) joins the target
+    grid's own columns to the regridded model, so that the two can be scored;
+    target cells without a value keep their row. ``cell=(row, column)`` says
+    that the model's coordinates are 2-D and its cells numbered by those
+    columns (nearest within ``limit_km``, bilinear inside quads). Several model
+    rows for one cell and time count once, the least of them
+    (``drop_duplicates``). ``mask``: a region table
+    (:func:`~skyscore.operators.regions.region_table`) whose labels are added
+    as ``mask_column``. ``sort`` orders the result by time. Columns of model
+    variables carry a history note."""
+    from .conform import with_history
+    if method not in METHODS:
+        raise ValueError(f"unknown pairing method {method!r}")
     var = [var] if isinstance(var, str) else list(var)
     lat, lon, time = kw.get("lat", "lat"), kw.get("lon", "lon"), kw.get("time", "time")
     how = kw.get("how", "left")
@@ -563,37 +427,93 @@ def pair_data(model: DataFrame, points: DataFrame, var, method: str = "nearest",
         points = points.withColumnsRenamed({v: f"{v}{suffix_target}" for v in clash})
         model = model.withColumnsRenamed({v: f"{v}{suffix_source}" for v in clash})
         var = [f"{v}{suffix_source}" if v in clash else v for v in var]
-    axes = kw.get("axes") or grid_axes(model, lat, lon, kw.get("lat_axis"), kw.get("lon_axis"))
     match_time = time
-    if time_trunc and method not in ("regrid", "conservative"):
+    gridded = method in ("regrid", "conservative")
+    if time_trunc and not gridded:
         points = points.withColumn("__tmatch", F.date_trunc(time_trunc, F.col(time)))
         model = model.withColumnRenamed(time, "__tmatch")
         match_time = "__tmatch"
-    if method in ("regrid", "conservative"):
-        out = regrid(model, points, var, "conservative" if method == "conservative"
-                     else kw.get("regrid_method", "bilinear"), lat, lon, time, axes=axes)
+    if cell and method == "conservative":
+        raise ValueError("conservative regridding needs cell bounds: 1-D axes only")
+    edges = time_pieces(model.select(match_time), points.select(match_time)) if interp_time else None
+    axes = None if cell else kw.get("axes") or grid_axes(model, lat, lon, kw.get("lat_axis"), kw.get("lon_axis"))
+
+    def grid_values() -> DataFrame:
+        """``time, __i, __j``, variables: one row a cell and time."""
+        if cell:
+            g = model.select(match_time, F.col(cell[0]).cast("long").alias("__i"), F.col(cell[1]).cast("long").alias("__j"), *var)
+        else:
+            g = indexed_grid(model, axes, var, lat, lon, match_time)
+        return _one_each(g, [match_time, "__i", "__j"], var) if drop_duplicates else g
+
+    def weights(sites: DataFrame) -> DataFrame:
+        """``lat, lon, __i, __j, __w`` of the distinct sites that have cells."""
+        if cell:
+            return corners_2d(cells_2d(model, cell, lat, lon), sites, lat, lon)
+        return bilinear_corners(sites, axes, lat, lon).where("__ok").drop("__ok")
+
+    def nearest(sites: DataFrame) -> DataFrame:
+        if cell:
+            return nearest_2d(cells_2d(model, cell, lat, lon), sites, lat, lon, limit_km).drop("distance_km")
+        return nearest_cells(sites, axes, lat, lon, limit=limit)
+
+    if gridded:
+        kind = "conservative" if method == "conservative" else kw.get("regrid_method", "bilinear")
+        if kind == "conservative":
+            source = model
+            if drop_duplicates:
+                source = _one_each(model.select(time, lat, lon, *var), [time, lat, lon], var)
+            out = regrid_conservative(source, points, var, lat, lon, time, kw.get("target_step"), axes=axes)
+        else:
+            g = grid_values()
+            if kind == "nearest":
+                out = nearest(points).join(g, ["__i", "__j"]).select(time, lat, lon, *var)
+            elif kind == "bilinear":
+                out = _blend(weights(points).join(g, ["__i", "__j"]), [time, lat, lon], var)
+            else:
+                raise ValueError(f"unknown regrid method {kind!r}")
+        if merge_target:
+            on = [c for c in keys if c in points.columns]
+            out = points.join(out, on, how).select(*points.columns, *[c for c in out.columns if c not in points.columns])
     elif interp_time and method == "nearest":
-        cells = nearest_cells(points, axes, lat, lon)
-        vals = _interp_time_at_cells(model, axes, var, cells, points, lat, lon, match_time, bucket_seconds)
+        vals = _interp_time_at_cells(grid_values(), var, nearest(points), points, lat, lon, match_time, edges, drop_duplicates)
         out = points.join(vals.drop("__i", "__j"), [lat, lon, match_time], how)
-    elif interp_time and method in ("bilinear", "interpolate"):
-        corners = bilinear_corners(points, axes, lat, lon).where("__ok")
-        vals = _interp_time_at_cells(model, axes, var, corners.select(lat, lon, "__i", "__j").distinct(),
-                                     points, lat, lon, match_time, bucket_seconds)
-        vals = vals.join(corners.select(lat, lon, "__i", "__j", "__w"), [lat, lon, "__i", "__j"])
+    elif interp_time:
+        corners = weights(points)
+        vals = _interp_time_at_cells(grid_values(), var, corners.select(lat, lon, "__i", "__j").distinct(),
+                                     points, lat, lon, match_time, edges, drop_duplicates)
+        vals = vals.join(corners, [lat, lon, "__i", "__j"])
         out = points.join(_blend(vals, [match_time, lat, lon], var), [match_time, lat, lon], how)
     elif method == "nearest":
-        out = pair_nearest(model, points, var, lat, lon, match_time, how=how, axes=axes)
-    elif method in ("bilinear", "interpolate"):
-        out = pair_bilinear(model, points, var, lat, lon, match_time, how=how, axes=axes)
+        if cell:
+            near = nearest(points).withColumnsRenamed({lat: "__lat", lon: "__lon"})
+            keyed = points.join(near, (F.col(lat) == F.col("__lat")) & (F.col(lon) == F.col("__lon")), "left")
+        else:
+            keyed = with_nearest(points, axes, lat, lon, limit=limit)
+        out = keyed.drop("__ax", "__lat", "__lon").join(grid_values(), [match_time, "__i", "__j"], how).drop("__i", "__j")
     else:
-        raise ValueError(f"unknown pairing method {method!r}")
+        corners = weights(points).join(points.select(match_time, lat, lon).distinct(), [lat, lon])
+        vals = corners.join(grid_values(), [match_time, "__i", "__j"], "left")
+        out = points.join(_blend(vals, [match_time, lat, lon], var), [match_time, lat, lon], how)
     if match_time != time:
         out = out.drop(match_time)
     if not merge:
-        keys = [c for c in (time, lat, lon) if c in out.columns]
-        out = out.select(*keys, *var)
-    return out
+        out = out.select(*[c for c in keys if c in out.columns], *var)
+    if mask is not None:
+        from .regions import label_regions
+        out = label_regions(out, mask, lat, lon, mask_column)
+    note = f"Paired using method '{method}'" + ", interpolated in time" * interp_time
+    for v in var:
+        out = with_history(out, v, note)
+    return sort_by_time(out, time) if sort else out
+
+
+def _one_each(df: DataFrame, keys: list[str], var: list[str]) -> DataFrame:
+    """One row per ``keys``, that of the least values (of one variable: not
+    NULL if there is a value): a partial aggregate on
+    the keys of the join that follows (no further exchange)."""
+    d = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(v).alias(f"v{i}") for i, v in enumerate(var)])).alias("__least"))
+    return d.select(*keys, *[F.col(f"__least.v{i}").alias(v) for i, v in enumerate(var)])
 
 
 def sort_by_time(df: DataFrame, time: str = "time", within_partitions: bool = False) -> DataFrame:

@@ -98,6 +98,7 @@ def conditional_quantile(df: DataFrame, obs: str, mod: str, bins: int = 10, lo:
     Bins: 0 below ``lo``, 1..bins of equal width, bins+1 at or above ``hi``.
     ``exact=True`` uses :func:`distribution.quantiles` (exact, bucketed, no
     bin held in one task); ``exact=False`` uses ``percentile_approx``."""
+    from .distribution import percent_name
     cond, target = (mod, obs) if condition_on == "model" else (obs, mod)
     v = df.where(pairwise_valid(obs, mod))
     width = (hi - lo) / bins
@@ -106,19 +107,20 @@ def conditional_quantile(df: DataFrame, obs: str, mod: str, bins: int = 10, lo:
              .otherwise(F.floor((c - lo) / width).cast("int") + 1))
     binned = v.select(*by, F.col(target).alias("__t"), bin_.alias("bin"))
     qs = list(quantiles)
+    names = [f"q{percent_name(float(x))}" for x in qs]
     counts = binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
     if exact:
         from .distribution import quantiles as exact_quantiles
         from .stats import join_group_values
         q = exact_quantiles(binned, "__t", qs, by=[*by, "bin"])
-        out = join_group_values(counts, q, [*by, "bin"])
+        out = join_group_values(counts, q, [*by, "bin"], salts=0)
     else:
         agg = F.percentile_approx("__t", F.array(*[F.lit(x) for x in qs]), 10000)
         out = binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"), agg.alias("__q"))
         out = out.select(*by, "bin", "n",
-                         *[F.col("__q")[i].alias(f"q{int(round(x * 100)):02d}") for i, x in enumerate(qs)])
+                         *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
     out = out.withColumn("bin_lo", F.lit(lo) + (F.col("bin") - 1) * width)
-    return out.select(*by, "bin", "bin_lo", "n", *[f"q{int(round(x * 100)):02d}" for x in qs])
+    return out.select(*by, "bin", "bin_lo", "n", *names)
 
 
 def taylor(df: DataFrame, obs: str, mod: str, by=()) -> DataFrame:

@@ -129,19 +129,17 @@ def multi_reduction(df: DataFrame, methods, dim=None, dims=None, values=None) ->
 
 
 def _medians(df: DataFrame, keep, values, names: dict) -> DataFrame:
-    """Exact medians per group via the bucketed order-statistic search (no
-    group is held whole by one task); groups whose values are all NULL keep
-    a NULL median."""
+    """Exact medians of all ``values`` per group in one pass: the variables
+    become rows of one table, with the variable as a further group key of the
+    bucketed order statistics (no group is held whole by one task). Groups whose
+    values are all NULL keep a NULL median."""
     from .distribution import quantiles
-    base = df.select(*keep).distinct() if keep else df.sparkSession.range(1).select()
-    out = base
-    for v in values:
-        q = quantiles(df, v, [0.5], by=keep, prefix="__m").withColumnRenamed("__m50", names[v])
-        if keep:
-            out = _left_join_keys(out, q, keep)
-        else:
-            out = out.withColumn(names[v], q.select(names[v]).scalar())
-    return out
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(v).cast("double").alias("x")) for i, v in enumerate(values)])
+    long = df.select(*keep, F.explode(cells).alias("__c")).select(*keep, F.col("__c.i").alias("__i"), F.col("__c.x").alias("__x"))
+    m = quantiles(long, "__x", [0.5], by=[*keep, "__i"], prefix="__m")
+    found = m.groupBy(*keep).agg(*[F.max(F.when(F.col("__i") == i, F.col("__m50"))).alias(names[v])
+                                   for i, v in enumerate(values)])
+    return _left_join_keys(df.select(*keep).distinct(), found, keep) if keep else found
 
 
 def _left_join_keys(left: DataFrame, right: DataFrame, keys) -> DataFrame:

@@ -4,14 +4,16 @@ A region table has ``name STRING, priority INT, poly ARRAY<STRUCT<lat, lon>>``
 (the ring is closed implicitly). Labelling runs on the **distinct** site
 coordinates only:
 
-1. every polygon is exploded to the coarse tiles its bounding box touches,
-   every site to its tile -> hash equi join on the tile (no nested loop over
-   sites x polygons, whatever the number of polygons);
-2. the exact point-in-polygon test is a SQL expression (ray casting with
-   ``aggregate`` over the edge array) -- no Python UDF;
-3. overlapping polygons: the lowest ``priority`` wins (``min`` of a struct,
-   a partial aggregate); no match -> NULL label;
-4. the labels are equi-joined back to the data rows.
+1. every ring becomes a table of its edges, each dealt to the columns of
+   longitude it spans, every site to its column -> hash equi join on the column
+   (no nested loop over sites x polygons, no ring copied whole);
+2. the ray goes north along the site's meridian: an edge that spans the meridian
+   north of the site counts once, and the parity of the count, a partial
+   aggregate, says inside or outside. Meridians do not cross the date line, so
+   edges over it are only cut into two ranges of longitude;
+3. overlapping polygons: the lowest ``priority`` wins (``min`` of a struct);
+   no match -> NULL label;
+4. the labels are joined back to the data rows on (site, salt).
 """
 
 from __future__ import annotations
@@ -53,31 +55,50 @@ def point_in_polygon(lat: Column, lon: Column, poly: Column) -> Column:
     return F.aggregate(edges, F.lit(0), step) % 2 == 1
 
 
-def _tiles(lo: Column, hi: Column, tile: float) -> Column:
-    return F.sequence(F.floor(lo / tile).cast("long"), F.floor(hi / tile).cast("long"))
+def ring_edges(regions: DataFrame) -> DataFrame:
+    """``name, priority, ring, x1, y1, x2, y2``: the edges of every ring, each
+    vertex with the next and the last with the first; an edge of more than 180
+    (and less than 360) degrees of longitude goes the short way, over the date
+    line. ``x1`` lies in [-180, 180]; edges that leave that range are there
+    again 360 degrees off. Repeated regions count once."""
+    r = regions.select("name", "priority", "poly").distinct()
+    n = F.size("poly")
+    pairs = F.transform("poly", lambda v, i: F.struct(v.alias("a"), F.get("poly", (i + 1) % n).alias("b")))
+    e = r.select("name", "priority", F.xxhash64("name", "priority", "poly").alias("ring"), F.explode(pairs).alias("e"))
+    gap = F.col("e.b.lon") - F.col("e.a.lon")
+    short = F.when((F.abs(gap) > 180.0) & (F.abs(gap) < 360.0), gap - F.signum(gap) * 360.0).otherwise(gap)
+    x1 = F.col("e.a.lon")
+    home = F.when(x1.between(-180.0, 180.0), x1).otherwise(F.pmod(x1 + 180.0, F.lit(360.0)) - 180.0)
+    e = e.select("name", "priority", "ring", home.alias("x1"), F.col("e.a.lat").alias("y1"), (home + short).alias("x2"),
+                 F.col("e.b.lat").alias("y2"))
+    low, high = F.least("x1", "x2"), F.greatest("x1", "x2")
+    turns = F.filter(F.array(F.lit(-360.0), F.lit(0.0), F.lit(360.0)),
+                     lambda t: (low + t < 180.0) & (high + t > -180.0) & (low < high))
+    e = e.withColumn("__t", F.explode(turns))
+    return e.withColumns({"x1": F.col("x1") + F.col("__t"), "x2": F.col("x2") + F.col("__t")}).drop("__t")
 
 
 def label_regions(df: DataFrame, regions: DataFrame, lat: str = "lat", lon: str = "lon",
-                  label: str = "region", tile: float = 10.0) -> DataFrame:
-    """Add a string column ``label`` naming the region of each row."""
+                  label: str = "region", tile: float = 1.0) -> DataFrame:
+    """Add a string column ``label`` naming the region of each row.
+    Longitudes of any range; ``tile`` is the width of a column."""
+    from .stats import join_group_values
     sites = df.select(lat, lon).distinct().where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    lats = F.transform("poly", lambda p: p["lat"])
-    lons = F.transform("poly", lambda p: p["lon"])
-    rt = (regions.select("name", "priority", "poly",
-                         F.array_min(lats).alias("lat0"), F.array_max(lats).alias("lat1"),
-                         F.array_min(lons).alias("lon0"), F.array_max(lons).alias("lon1"))
-          .select("*", F.explode(_tiles(F.col("lat0"), F.col("lat1"), tile)).alias("__ta"))
-          .select("*", F.explode(_tiles(F.col("lon0"), F.col("lon1"), tile)).alias("__tb")))
-    st = sites.select(lat, lon, F.floor(F.col(lat) / tile).cast("long").alias("__ta"),
-                      F.floor(F.col(lon) / tile).cast("long").alias("__tb"))
-    cand = st.join(rt, ["__ta", "__tb"])
-    inside = cand.where(
-        F.col(lat).between(F.col("lat0"), F.col("lat1")) & F.col(lon).between(F.col("lon0"), F.col("lon1"))
-        & point_in_polygon(F.col(lat), F.col(lon), F.col("poly")))
+    x = F.when(F.col(lon).between(-180.0, 179.9999999), F.col(lon)).otherwise(
+        F.pmod(F.col(lon) + 180.0, F.lit(360.0)) - 180.0)
+    st = sites.withColumn("__x", x).withColumn("__col", F.floor(F.col("__x") / tile).cast("int"))
+    low, high = F.least("x1", "x2"), F.greatest("x1", "x2")
+    columns = F.sequence(F.floor(F.greatest(low, F.lit(-180.0)) / tile).cast("int"),
+                         F.floor(F.least(high, F.lit(180.0)) / tile).cast("int"))
+    edges = ring_edges(regions).withColumn("__col", F.explode(columns))
+    at = F.col("y1") + (F.col("y2") - F.col("y1")) * (F.col("__x") - F.col("x1")) / (F.col("x2") - F.col("x1"))
+    met = st.join(edges, "__col").where(((F.col("x1") > F.col("__x")) != (F.col("x2") > F.col("__x")))).where(
+        at > F.col(lat))
+    inside = met.groupBy(lat, lon, "name", "priority", "ring").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
     best = (inside.groupBy(lat, lon)
                   .agg(F.min(F.struct("priority", "name")).alias("__b"))
                   .select(lat, lon, F.col("__b.name").alias(label)))
-    return df.join(best, [lat, lon], "left")
+    return join_group_values(df, best, [lat, lon], how="left")
 
 
 def find_region_column(df: DataFrame, region_col: str | None = None) -> str:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,3 +73,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialise(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` written as Parquet to the shared checkpoint folder and read back:
+    computed once, not lost with an executor, and of a size that the planner
+    knows (so that it broadcasts what is small and nothing else)."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
