@@ -1,8 +1,8 @@
 """Coordinate axes of gridded data.
 
-An axis is described by a handful of scalars: literals where the caller knows
-it, scalar subqueries over the grid otherwise (Spark merges them into one,
-evaluated once). Lines may be evenly spaced (index by arithmetic) or at any
+An axis is described by a handful of literals, given by the caller or read
+from the grid by one small job (:func:`find_axis`), so that plans hold plain
+arithmetic. Lines may be evenly spaced (index by arithmetic) or at any
 places (their sorted array and a binary search as a Column expression). Either
 way a coordinate gets a *fractional index*: whole at the lines, linear between
 them, so that ``floor(f + 0.5)`` is the nearest line and ``f - floor(f)`` the
@@ -41,11 +41,6 @@ class LineAxis:
     periodic: bool = False
 
 
-def _strides(n: Column) -> Column:
-    return F.transform(F.sequence(F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int"), F.lit(0), F.lit(-1)),
-                       lambda s: F.pow(F.lit(2.0), s).cast("int"))
-
-
 def axis_columns(grid: DataFrame, coord: str, prefix: str, spec: RegularAxis | LineAxis | None = None,
                  periodic: bool | None = None) -> dict:
     """Description of the axis ``coord`` of ``grid``. Without a spec the lines
@@ -55,6 +50,8 @@ def axis_columns(grid: DataFrame, coord: str, prefix: str, spec: RegularAxis | L
     is a step like the others (even), or no wider than the widest (uneven). A
     single line counts as a step of 1. The window and the sorted array hold
     the axis, whose size is not that of the data."""
+    if spec is None:
+        spec = find_axis(grid, coord, periodic)
     if isinstance(spec, LineAxis):
         lines = sorted({float(v) for v in spec.lines})
         n = len(lines)
@@ -62,28 +59,38 @@ def axis_columns(grid: DataFrame, coord: str, prefix: str, spec: RegularAxis | L
             raise ValueError("an axis by its lines needs two of them")
         return {f"{prefix}0": F.lit(lines[0]), f"{prefix}d": F.lit((lines[-1] - lines[0]) / (n - 1)),
                 f"{prefix}n": F.lit(n), f"{prefix}p": F.lit(bool(spec.periodic)),
-                f"{prefix}v": F.lit(lines), f"{prefix}s": F.lit([1 << k for k in range(n.bit_length() - 1, -1, -1)])}
-    if spec is not None:
-        none = [F.lit(None).cast(t) for t in ("array<double>", "array<int>")]
-        return {f"{prefix}0": F.lit(float(spec.first)), f"{prefix}d": F.lit(float(spec.step)),
-                f"{prefix}n": F.lit(int(spec.n)), f"{prefix}p": F.lit(bool(spec.periodic)),
-                f"{prefix}v": none[0], f"{prefix}s": none[1]}
+                f"{prefix}v": _array(lines, "double"), f"{prefix}s": _array(strides(n), "int")}
+    first = float("nan") if spec.first is None else float(spec.first)
+    return {f"{prefix}0": F.lit(first), f"{prefix}d": F.lit(float(spec.step)), f"{prefix}n": F.lit(int(spec.n)),
+            f"{prefix}p": F.lit(bool(spec.periodic)), f"{prefix}v": F.lit(None).cast("array<double>"),
+            f"{prefix}s": F.lit(None).cast("array<int>")}
+
+
+def _array(values, kind: str) -> Column:
+    """A literal array (parsed at once: a Column per element is slow to build)."""
+    suffix = "D" if kind == "double" else ""
+    return F.expr(f"array({', '.join(f'{v!r}{suffix}' for v in values)})")
+
+
+def strides(n: int) -> list[int]:
+    """Steps of a binary search over ``n`` places: falling powers of two."""
+    return [1 << k for k in range(n.bit_length() - 1, -1, -1)]
+
+
+def find_axis(grid: DataFrame, coord: str, periodic: bool | None = None) -> RegularAxis | LineAxis:
+    """The axis whose lines are the distinct values of ``coord``. The driver
+    gets one row: the extent, and the lines only where they are uneven."""
     x = F.col(coord).cast("double")
     vals = grid.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x")).distinct()
     gaps = vals.select("x", (F.lead("x").over(Window.orderBy("x")) - F.col("x")).alias("g"))
     even = F.coalesce(F.max("g") - F.min("g") <= 0.01 * F.min("g"), F.lit(True))
-    lines = F.when(~even, F.sort_array(F.collect_list("x")))
-    a = gaps.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").cast("int").alias("n"), F.max("g").alias("g"),
-                 F.coalesce((F.max("x") - F.min("x")) / F.nullif(F.count("g"), F.lit(0)), F.lit(1.0)).alias("step"),
-                 lines.alias("v"))
-    seam = 360.0 - (F.col("hi") - F.col("lo"))
-    wraps = F.when(F.col("v").isNull(), F.abs(F.col("n") * F.col("step") - 360.0) < 0.01 * F.col("step")).otherwise(
-        (seam > 0) & (seam <= 1.01 * F.col("g")))
-    per = F.coalesce(wraps, F.lit(False)) if periodic is None else F.lit(bool(periodic))
-    return {f"{prefix}0": a.select("lo").scalar(), f"{prefix}d": a.select("step").scalar(),
-            f"{prefix}n": a.select("n").scalar(), f"{prefix}p": a.select(per).scalar(),
-            f"{prefix}v": a.select("v").scalar(),
-            f"{prefix}s": a.select(F.when(F.col("v").isNotNull(), _strides(F.col("n")))).scalar()}
+    a = gaps.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("n"), F.max("g").alias("g"),
+                 F.when(~even, F.sort_array(F.collect_list("x"))).alias("v")).first()
+    if a["v"] is not None:
+        seam = 360.0 - (a["hi"] - a["lo"])
+        return LineAxis(tuple(a["v"]), 0 < seam <= 1.01 * a["g"] if periodic is None else periodic)
+    step = (a["hi"] - a["lo"]) / (a["n"] - 1) if a["n"] > 1 else 1.0
+    return RegularAxis(a["lo"], step, a["n"], abs(a["n"] * step - 360.0) < 0.01 * step if periodic is None else periodic)
 
 
 def grid_axes(grid: DataFrame, lat: str = "lat", lon: str = "lon", lat_axis=None, lon_axis=None,
@@ -105,10 +112,10 @@ def _let(value: Column, then) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
-def search(lines: Column, strides: Column, x: Column) -> Column:
+def search(lines: Column, steps: Column, x: Column) -> Column:
     """Place of the last line at or before ``x`` (0 before the first): a binary
     search, one comparison a stride."""
-    return F.aggregate(strides, F.lit(0), lambda at, s: F.when(F.get(lines, at + s) <= x, at + s).otherwise(at))
+    return F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.get(lines, at + s) <= x, at + s).otherwise(at))
 
 
 def fractional_index(x: Column, p: str) -> Column:

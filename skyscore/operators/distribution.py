@@ -42,13 +42,13 @@ BUCKETS = 512
 def value_tally(rows: DataFrame, by, counts, rows_per_bucket: int) -> DataFrame:
     """Distinct (group, value) tally with value buckets of about equal counts.
 
-    ``rows``: ``by`` + ``x`` + count columns. Returns ``by, b, x`` + the summed
-    counts; bucket numbers ``b`` follow the values. A group of n rows has about
+    ``rows``: ``by`` + ``__x`` + count columns. Returns ``by, __b, __x`` + the summed
+    counts; bucket numbers ``__b`` follow the values. A group of n rows has about
     ``n / rows_per_bucket`` buckets, at most ``BUCKETS``; a value of which there
     are many copies is one row of its bucket."""
     from .stats import join_group_values
     at = ", ".join(f"{k / BUCKETS!r}D" for k in range(1, BUCKETS))
-    g = rows.groupBy(*by).agg(F.expr(f"percentile_approx(x, array({at}), {4 * BUCKETS})").alias("__q"),
+    g = rows.groupBy(*by).agg(F.expr(f"percentile_approx(__x, array({at}), {4 * BUCKETS})").alias("__q"),
                               F.count(F.lit(1)).alias("__n"))
     # every step-th edge, so that small groups carry none
     step = F.ceil(F.lit(BUCKETS) / F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(rows_per_bucket))))
@@ -56,8 +56,8 @@ def value_tally(rows: DataFrame, by, counts, rows_per_bucket: int) -> DataFrame:
     e = join_group_values(rows, edges, by, few=2_000)  # 4 kB of edges a group at most
     strides = F.lit([BUCKETS >> k for k in range(BUCKETS.bit_length())])
     first = F.get("__edges", F.lit(0))
-    b = F.when(first.isNull() | (F.col("x") < first), 0).otherwise(search(F.col("__edges"), strides, F.col("x")) + 1)
-    return e.select(*by, b.cast("int").alias("b"), "x", *counts).groupBy(*by, "b", "x").agg(
+    b = F.when(first.isNull() | (F.col("__x") < first), 0).otherwise(search(F.col("__edges"), strides, F.col("__x")) + 1)
+    return e.select(*by, b.cast("int").alias("__b"), "__x", *counts).groupBy(*by, "__b", "__x").agg(
         *[F.sum(c).alias(c) for c in counts])
 
 
@@ -65,14 +65,14 @@ def bucket_offsets(tally: DataFrame, by, counts) -> DataFrame:
     """Per (group, bucket): totals, counts before the bucket (prefix sums in
     value order), group totals, first value and the next bucket's first
     value. One row per bucket: the windows run over this small table."""
-    bt = tally.groupBy(*by, "b").agg(*[F.sum(c).alias(f"t_{c}") for c in counts], F.min("x").alias("bx"))
-    w = Window.partitionBy(*by).orderBy("b")
+    bt = tally.groupBy(*by, "__b").agg(*[F.sum(c).alias(f"__t{c}") for c in counts], F.min("__x").alias("__bx"))
+    w = Window.partitionBy(*by).orderBy("__b")
     whole = Window.partitionBy(*by)
     cols = []
     for c in counts:
-        cols += [(F.sum(f"t_{c}").over(w) - F.col(f"t_{c}")).alias(f"o_{c}"),
-                 F.sum(f"t_{c}").over(whole).alias(f"n_{c}")]
-    return bt.select(*by, "b", *[f"t_{c}" for c in counts], *cols, F.lead("bx").over(w).alias("nbx"))
+        cols += [(F.sum(f"__t{c}").over(w) - F.col(f"__t{c}")).alias(f"__o{c}"),
+                 F.sum(f"__t{c}").over(whole).alias(f"__n{c}")]
+    return bt.select(*by, "__b", *[f"__t{c}" for c in counts], *cols, F.lead("__bx").over(w).alias("__nbx"))
 
 
 def _grouped(df: DataFrame, by) -> tuple[DataFrame, list[str], list[str]]:
@@ -88,20 +88,20 @@ def wasserstein(df: DataFrame, obs: str, mod: str, by=(), rows_per_bucket: int =
     df, by, keep = _grouped(df, by)
     v = df.where(pairwise_valid(obs, mod)) if paired else df.where(F.col(obs).isNotNull() | F.col(mod).isNotNull())
     rows = v.select(*by, F.explode(F.array(
-        F.struct(F.col(obs).cast("double").alias("x"), F.lit(1).alias("co"), F.lit(0).alias("cm")),
-        F.struct(F.col(mod).cast("double").alias("x"), F.lit(0).alias("co"), F.lit(1).alias("cm")))).alias("e"))
-    rows = rows.select(*by, "e.x", "e.co", "e.cm").where(F.col("x").isNotNull())
-    tally = value_tally(rows, by, ["co", "cm"], rows_per_bucket)
-    bt = bucket_offsets(tally, by, ["co", "cm"])
-    t = join_group_values(tally, bt, [*by, "b"], salts=0)
-    wx = Window.partitionBy(*by, "b").orderBy("x")
+        F.struct(F.col(obs).cast("double").alias("__x"), F.lit(1).alias("__co"), F.lit(0).alias("__cm")),
+        F.struct(F.col(mod).cast("double").alias("__x"), F.lit(0).alias("__co"), F.lit(1).alias("__cm")))).alias("__e"))
+    rows = rows.select(*by, "__e.__x", "__e.__co", "__e.__cm").where(F.col("__x").isNotNull())
+    tally = value_tally(rows, by, ["__co", "__cm"], rows_per_bucket)
+    bt = bucket_offsets(tally, by, ["__co", "__cm"])
+    t = join_group_values(tally, bt, [*by, "__b"], salts=0)
+    wx = Window.partitionBy(*by, "__b").orderBy("__x")
     run = wx.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.select(*by, "n_co", "n_cm",
-                 (F.col("o_co") + F.sum("co").over(run)).alias("Co"),
-                 (F.col("o_cm") + F.sum("cm").over(run)).alias("Cm"),
-                 (F.coalesce(F.lead("x").over(wx), F.col("nbx")) - F.col("x")).alias("dx"))
-    contrib = F.abs(safe_div(F.col("Co"), F.col("n_co")) - safe_div(F.col("Cm"), F.col("n_cm"))) * F.col("dx")
-    empty = (F.max("n_co") == 0) | (F.max("n_cm") == 0)
+    t = t.select(*by, "__n__co", "__n__cm",
+                 (F.col("__o__co") + F.sum("__co").over(run)).alias("__Co"),
+                 (F.col("__o__cm") + F.sum("__cm").over(run)).alias("__Cm"),
+                 (F.coalesce(F.lead("__x").over(wx), F.col("__nbx")) - F.col("__x")).alias("__dx"))
+    contrib = F.abs(safe_div(F.col("__Co"), F.col("__n__co")) - safe_div(F.col("__Cm"), F.col("__n__cm"))) * F.col("__dx")
+    empty = (F.max("__n__co") == 0) | (F.max("__n__cm") == 0)
     out = t.groupBy(*by).agg(F.when(~empty, F.sum(F.coalesce(contrib, F.lit(0.0)))).alias("wassersteindistance"))
     return out.select(*keep, "wassersteindistance")
 
@@ -197,23 +197,23 @@ def quantiles(df: DataFrame, value: str, qs, by=(), rows_per_bucket: int = 100_0
     from .stats import join_group_values
     df, by, keep = _grouped(df, by)
     qs = [float(q) for q in qs]
-    rows = df.select(*by, F.col(value).cast("double").alias("x"), F.lit(1).alias("c")) \
-             .where(F.col("x").isNotNull() & ~F.isnan("x"))
+    rows = df.select(*by, F.col(value).cast("double").alias("__x"), F.lit(1).alias("__c")) \
+             .where(F.col("__x").isNotNull() & ~F.isnan("__x"))
     names = [f"{prefix}{percent_name(q)}" for q in qs]
-    tally = value_tally(rows, by, ["c"], rows_per_bucket)
-    place = [F.lit(q) * (F.col("n_c") - 1) for q in qs]
+    tally = value_tally(rows, by, ["__c"], rows_per_bucket)
+    place = [F.lit(q) * (F.col("__n__c") - 1) for q in qs]
     ranks = [f(p).cast("long") for p in place for f in (F.floor, F.ceil)]
     wanted = F.lit(False)
     for r in ranks:
-        wanted = wanted | ((r >= F.col("o_c")) & (r < F.col("o_c") + F.col("t_c")))
-    bt = bucket_offsets(tally, by, ["c"]).where(wanted)
-    run = Window.partitionBy(*by, "b").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = join_group_values(tally, bt, [*by, "b"], salts=0).withColumn("__end", F.col("o_c") + F.sum("c").over(run))
-    here = lambda r: F.max(F.when((r >= F.col("__end") - F.col("c")) & (r < F.col("__end")), F.col("x")))
-    found = t.groupBy(*by).agg(F.max("n_c").alias("n_c"), *[here(r).alias(f"__x{i}") for i, r in enumerate(ranks)])
+        wanted = wanted | ((r >= F.col("__o__c")) & (r < F.col("__o__c") + F.col("__t__c")))
+    bt = bucket_offsets(tally, by, ["__c"]).where(wanted)
+    run = Window.partitionBy(*by, "__b").orderBy("__x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = join_group_values(tally, bt, [*by, "__b"], salts=0).withColumn("__end", F.col("__o__c") + F.sum("__c").over(run))
+    here = lambda r: F.max(F.when((r >= F.col("__end") - F.col("__c")) & (r < F.col("__end")), F.col("__x")))
+    found = t.groupBy(*by).agg(F.max("__n__c").alias("__n__c"), *[here(r).alias(f"__r{i}") for i, r in enumerate(ranks)])
     out = []
     for i, (p, name) in enumerate(zip(place, names)):
-        low, high = F.col(f"__x{2 * i}"), F.col(f"__x{2 * i + 1}")
+        low, high = F.col(f"__r{2 * i}"), F.col(f"__r{2 * i + 1}")
         # equal neighbours (infinite ones too) need no interpolation
         out.append(F.when(low == high, low).otherwise(low + (p - F.floor(p)) * (high - low)).alias(name))
     return found.select(*keep, *out)

@@ -5,16 +5,16 @@ Scale design
 Grid rows (time x cells) vastly outnumber distinct sites, and sites vastly
 outnumber axis values. So every method works in three steps:
 
-1. *Match* coordinates to grid-cell indices by arithmetic against a one-row
-   axis description (literals or scalar subqueries); cells of a 2-D grid by a
+1. *Match* coordinates to grid-cell indices by arithmetic against an
+   axis description (literals; a search between uneven lines); cells of a 2-D grid by a
    descent through a pyramid of tiles.
 2. *Fetch* model values with a hash equi join on integer cell indices (and
    time). Integer keys avoid floating-point equality on coordinates.
 3. *Attach* the result to the observation rows with an equi join on the site
    coordinates (and time).
 
-No range join is evaluated as a nested loop over sites x cells and nothing is
-collected to the driver: axis descriptions stay one-row DataFrames.
+No range join is evaluated as a nested loop over sites x cells; of the data only
+axis descriptions (the lines of uneven axes) and one-row extents reach the driver.
 """
 
 from __future__ import annotations
