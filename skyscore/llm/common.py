@@ -15,7 +15,22 @@ from skyscore.session import ensure_checkpoint_dir, table_path
 SPACE = r"[\x20\x09-\x0D]"
 
 
+#: bytes of a batch that goes to a Python worker
+BATCH_BYTES = "4m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keeps what goes to a Python worker at once to ``BATCH_BYTES`` where the
+    session does not say otherwise: a batch of texts or vectors is there several
+    times over (in the JVM, in Arrow, as Python objects). Rows larger than that
+    go alone."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(table_path(sf_dir, name))
 
 
@@ -23,6 +38,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder (``spark.checkpoint.dir``)
     and read back: computed once, and not lost with an executor."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = f"{ensure_checkpoint_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

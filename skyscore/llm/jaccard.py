@@ -17,11 +17,13 @@ with ne <= d (few tokens) also offers single tokens as parts.
 *Candidates.* First every text meets hubs of its two most frequent parts (some
 log2 of a part's texts), and its links to the nearest of them join components.
 Most groups of copies are one component then, and only pairs in different
-components are still open. In
-parts of few texts their pairs are listed; larger parts are dealt into blocks
-of about ``BLOCK`` texts, and each pair of blocks compares its open pairs in
-place, so that only those within reach leave the task. Every pair that shares
-a kept part was compared or is in one component.
+components are still open. Parts of few texts list their open pairs; a larger
+part is dealt into blocks of about ``BLOCK`` texts, those of its largest
+component apart, and blocks meet unless both are of that component; each
+meeting compares its open pairs in place. In a first round only the ``NEAREST``
+pairs within reach between two components leave a task, are verified and join
+components; a second round emits all that is still open. Every pair that shares
+a kept part was verified, or lies in one component, or is out of reach.
 
 *Verify.* A pair's sketches (at least eight bits a token) bound the
 difference; pairs within d bits are verified on the whole sets.
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, mix, shingle_hashes, table, word_hashes, written
+from .common import BLANKS, bounded_batches, mix, shingle_hashes, table, word_hashes, written
 from .components import components
 
 SHINGLE = 5
@@ -136,10 +138,10 @@ def _texts(batch: pa.RecordBatch, name: str) -> Iterator[bytes | None]:
 
 def _class_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sets = [shingle_set(t) for t in _texts(b, "text")]
+        found = [(fingerprint(s), len(s)) for s in map(shingle_set, _texts(b, "text"))]
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), pa.array([fingerprint(s) for s in sets], pa.int64()),
-             pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "text_hash", "fp", "n"])
+            [b.column(0), b.column(1), pa.array([f for f, _ in found], pa.int64()),
+             pa.array([n for _, n in found], pa.int64())], ["doc_id", "text_hash", "fp", "n"])
 
 
 def _part_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,11 +213,9 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sets = [shingle_set(t) for t in _texts(b, "text")]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([sketch(s) for s in sets], pa.binary())],
-            ["fp", "n", "tokens", "sketch"])
+        found = [(fingerprint(s), len(s), s.tobytes(), sketch(s)) for s in map(shingle_set, _texts(b, "text"))]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], kind) for k, kind in enumerate(
+            (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["fp", "n", "tokens", "sketch"])
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,9 +228,9 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        d, ok = b.select(["ta", "tb"]).to_pydict(), []
-        for x, y in zip(d["ta"], d["tb"]):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        ok = []
+        for x, y in zip(b.column("ta"), b.column("tb")):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             common = len(np.intersect1d(x, y, assume_unique=True))
             ok.append(100 * common >= 75 * (len(x) + len(y) - common))
         yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
@@ -281,41 +281,76 @@ def _star(members: DataFrame, sets: DataFrame) -> DataFrame:
     return d.select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")).distinct()
 
 
-def _blocks(table: pa.Table) -> pa.Table:
-    """Open pairs within reach of one pair of blocks of a part."""
-    d = {c: table.column(c).to_numpy() for c in ("fp", "comp", "n", "own", "i", "j")}
-    raw = table.column("sketch").to_pylist()
-    size = 8 * min(map(len, raw))
-    x = np.stack([_fold(v, size) for v in raw])
-    n, out = d["n"], []
-    first = np.flatnonzero(d["own"] == d["i"][0])
-    second = first if d["i"][0] == d["j"][0] else np.flatnonzero(d["own"] == d["j"][0])
+def _near_pairs(d: dict, x: np.ndarray, some: int | None) -> np.ndarray:
+    """Open pairs (places) within reach of one meeting of blocks; with ``some``
+    only so many of each two components, nearest first."""
+    n, comp, own = d["n"], d["comp"], d["own"]
+    first = np.flatnonzero(own == d["i"][0])
+    second = first if d["i"][0] == d["j"][0] else np.flatnonzero(own == d["j"][0])
+    out = []
     for p in first:
-        q = second[(d["comp"][second] != d["comp"][p]) & (d["fp"][second] != d["fp"][p])]
+        q = second[(comp[second] != comp[p]) & (d["fp"][second] != d["fp"][p])]
         q = q[4 * np.minimum(n[q], n[p]) >= 3 * np.maximum(n[q], n[p])]
-        q = q[np.bitwise_count(x[q] ^ x[p]).sum(axis=1) <= (n[q] + n[p]) // 7]
-        out.append(np.column_stack((np.minimum(d["fp"][q], d["fp"][p]), np.maximum(d["fp"][q], d["fp"][p]))))
-    rows = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-    return pa.table({"a": _long(rows[:, 0]), "b": _long(rows[:, 1])})
-
-
-def _open_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of texts that share a part and lie in different components; of
-    larger parts only those whose sketches are near."""
-    size = (members.groupBy(F.col("key").alias("_k")).agg(
-        F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi"))
-    d = members.join(size.select("_k", "m"), F.col("key") == F.col("_k")).drop("_k")
+        apart = np.bitwise_count(x[q] ^ x[p]).sum(axis=1, dtype=np.int64)
+        near = apart <= (n[q] + n[p]) // 7
+        q, apart = q[near], apart[near]
+        if some is not None and len(q) > some:  # of one component's texts the nearest to p
+            order = np.lexsort((q, apart / (n[q] + n[p]), comp[q]))
+            rank = np.arange(len(q)) - np.searchsorted(comp[q][order], comp[q][order])
+            q, apart = q[order][rank < some], apart[order][rank < some]
+        out.append(np.column_stack((np.full(len(q), p), q, (1 << 20) * apart // (n[q] + n[p]))))
+    rows = np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+    if some is not None and len(rows):
+        a, b = np.minimum(comp[rows[:, 0]], comp[rows[:, 1]]), np.maximum(comp[rows[:, 0]], comp[rows[:, 1]])
+        order = np.lexsort((rows[:, 2], b, a))
+        a, b = a[order], b[order]
+        start = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+        rank = np.arange(len(a)) - np.maximum.accumulate(np.where(start, np.arange(len(a)), 0))
+        rows = rows[order][rank < some]
+    return rows[:, :2]
+
+
+def _blocks(some: int | None):
+    def run(table: pa.Table) -> pa.Table:
+        d = {c: table.column(c).to_numpy() for c in ("fp", "comp", "n", "own", "i", "j")}
+        raw = table.column("sketch").to_pylist()
+        size = 8 * min(map(len, raw))
+        p = _near_pairs(d, np.stack([_fold(v, size) for v in raw]), some)
+        a, b = d["fp"][p[:, 0]], d["fp"][p[:, 1]]
+        rows = np.unique(np.column_stack((np.minimum(a, b), np.maximum(a, b))), axis=0)
+        return pa.table({"a": _long(rows[:, 0]), "b": _long(rows[:, 1])})
+    return run
+
+
+def _open_parts(members: DataFrame) -> DataFrame:
+    """Parts whose texts lie in several components: ``_k``, number of texts
+    ``m``, the largest component ``_main`` and its texts ``_inside``."""
+    by_comp = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_n"))
+    return (by_comp.groupBy(F.col("key").alias("_k")).agg(
+        F.sum("_n").alias("m"), F.max(F.struct("_n", "comp")).alias("_top"), F.count(F.lit(1)).alias("_comps"))
+        .filter("_comps > 1").select("_k", "m", F.col("_top._n").alias("_inside"), F.col("_top.comp").alias("_main")))
+
+
+def _open_pairs(members: DataFrame, size: DataFrame, sets: DataFrame, some: int | None) -> DataFrame:
+    """Pairs of texts that share an open part (``size``) and lie in different
+    components; of larger parts only those whose sketches are near, and with
+    ``some`` only so many of each two components in a meeting of blocks."""
+    d = members.join(size, F.col("key") == F.col("_k")).drop("_k")
     few = d.filter(F.col("m") <= SMALL)
     other = few.select(F.col("key").alias("_k"), F.col("fp").alias("b"), F.col("comp").alias("_c"))
     pairs = few.join(other, (F.col("key") == F.col("_k")) & (F.col("fp") < F.col("b")) & (
         F.col("comp") != F.col("_c"))).select(F.col("fp").alias("a"), "b")
-    n = F.ceil(F.col("m") / BLOCK)
-    d = d.filter(F.col("m") > SMALL).withColumn("own", F.pmod(F.xxhash64("fp", "key"), n).cast("long"))
-    d = d.withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
-    d = d.withColumns({"i": F.least("own", "_j"), "j": F.greatest("own", "_j")}).drop("_j")
+    # blocks 0 .. _in - 1 hold the largest component and do not meet one another
+    count = lambda c: F.ceil(c / BLOCK).cast("long")
+    d = d.filter(F.col("m") > SMALL).withColumns({"_in": count(F.col("_inside")), "_out": count(F.col("m") - F.col("_inside"))})
+    inside, place = F.col("comp") == F.col("_main"), F.xxhash64("fp", "key")
+    d = d.withColumn("own", F.when(inside, F.pmod(place, F.col("_in"))).otherwise(F.col("_in") + F.pmod(place, F.col("_out"))))
+    last = F.col("_in") + F.col("_out") - 1
+    d = d.withColumn("_j", F.explode(F.sequence(F.when(inside, F.col("_in")).otherwise(F.lit(0).cast("long")), last)))
+    d = d.withColumns({"i": F.least("own", "_j"), "j": F.greatest("own", "_j")})
     d = d.join(sets.select(F.col("fp").alias("_fp"), "n", "sketch"), F.col("fp") == F.col("_fp"))
     near = d.select("key", "i", "j", "own", "fp", "comp", "n", "sketch").groupBy("key", "i", "j").applyInArrow(
-        _blocks, "a long, b long")
+        _blocks(some), "a long, b long")
     return pairs.unionByName(near).distinct()
 
 
@@ -335,6 +370,7 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     with nothing and have their own doc_id and a null ``component``. Repeated
     rows are copies of one another. No rows give no rows.
     """
+    bounded_batches(df.sparkSession)
     docs = df.select("doc_id", "text")
     cls = classes(docs)
     keys = docs.select("text").mapInArrow(_part_rows, "key long, fp long, info long")
@@ -356,10 +392,16 @@ def near_duplicates(df: DataFrame) -> DataFrame:
             .select("text").mapInArrow(_set_rows, "fp long, n long, tokens binary, sketch binary")
             .dropDuplicates(["fp"]), "sets")
         links = written(verify(_star(members, sets), sets), "links")
-        comps = components(links).withColumnRenamed("v", "fp")
-        members = members.join(comps, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
-        more = written(verify(_open_pairs(members, sets), sets), "links")
-        comps = components(links.unionByName(more))
+        comps = components(links)
+        for some in (NEAREST, None):
+            held = members.join(comps.withColumnRenamed("v", "_v"), F.col("fp") == F.col("_v"), "left").select(
+                "key", "fp", F.coalesce("comp", "fp").alias("comp"))
+            sizes = written(_open_parts(held), "open")
+            if some and sizes.filter(F.col("m") > SMALL).isEmpty():
+                continue  # no blocks: all open pairs are listed in one round
+            more = written(verify(_open_pairs(held, sizes, sets, some), sets), "links")
+            links = links.unionByName(more)
+            comps = components(links)
     if comps is None:
         out = cls.withColumn("component", F.col("fp"))
     else:

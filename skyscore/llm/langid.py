@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import bounded_batches, table
 
 DIMS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -217,9 +217,10 @@ LEAST_SCORE = 0.5
 def known(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """``docs`` whose language is known with a score of ``least`` at least; the
     model learns from the documents outside fold 0."""
+    bounded_batches(docs.sparkSession)
     model = train(docs.filter(~held_out(F.col("doc_id"))))
-    d = docs.select(F.struct("*").alias("_row"), predicted(docs.sparkSession, model, F.col("text")).alias("_p"))
-    return d.filter((F.col("_p.lang_pred") != UNKNOWN) & (F.col("_p.score") >= least)).select("_row.*")
+    d = docs.withColumn("_p", predicted(docs.sparkSession, model, F.col("text")))
+    return d.filter((F.col("_p.lang_pred") != UNKNOWN) & (F.col("_p.score") >= least)).drop("_p")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
