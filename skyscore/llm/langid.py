@@ -6,7 +6,9 @@ Document frequencies are counted over all training documents on the executors
 (``DIMS`` numbers come back). The weights are fitted on the driver on a sample
 of at most about ``SAMPLE`` labelled documents, the same number from each
 language where there are so many; a part of it is set aside for the
-temperature. Features are always those of whole texts.
+temperature. Any number of languages may occur; those of the sample are learned.
+Only dimensions of the sample are trained, and only those with a weight left by
+the penalties are shipped to the tasks. Features are always those of whole texts.
 """
 
 from __future__ import annotations
@@ -26,7 +28,6 @@ from .common import bounded_batches, table
 DIMS = 1 << 15
 ORDERS = (1, 2, 3)
 SAMPLE = 2000
-MAX_LANGS = 500
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.01
 UNKNOWN = "und"
@@ -88,7 +89,8 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     langs: list[str]
     idf: np.ndarray
-    weights: np.ndarray  # DIMS x languages
+    weights: np.ndarray  # a row of one weight a language for each dimension that has any
+    place: np.ndarray  # dimension to its row; the last row is of zeros
     temperature: float = 1.0
 
     def vector(self, dims: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -96,7 +98,7 @@ class Model:
         return v / np.sqrt(v @ v)
 
     def logits(self, dims: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return self.vector(dims, counts) @ self.weights[dims]
+        return self.vector(dims, counts) @ self.weights[self.place[dims]]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         dims, counts = ngrams(text)
@@ -150,42 +152,47 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """Model from ``labelled`` (doc_id, text, lang). Rows without a lang, a
     text or letters teach nothing; no rows give a model that knows no language."""
     d = labelled.select("doc_id", "text", "lang").filter("lang is not null and text is not null")
-    counts = d.groupBy("lang").count().orderBy("lang").limit(MAX_LANGS + 1).collect()
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    langs = [r["lang"] for r in counts]
+    counts = d.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
+    known = counts.count()
     df = np.zeros(DIMS + 1)
     for r in d.select("text").mapInArrow(_frequencies, "dim long, n long").groupBy("dim").agg(
             F.sum("n").alias("n")).collect():
         df[r["dim"]] = r["n"]
     idf = np.log((1 + df[DIMS]) / (1 + df[:DIMS])) + 1
-    if not langs:
-        return Model([], idf, np.zeros((DIMS, 0)))
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(
-        min(1.0, sample / len(langs) / r["count"])))])
+    # a row of each language and its share; the broadcast is left to the measured size
+    share = F.least(F.lit(1.0), F.lit(sample / max(known, 1)) / F.col("_n"))
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 30))
-    picked = (d.withColumn("at", place).filter(F.col("at") < share[F.col("lang")] * (1 << 30)).limit(2 * sample)
+    picked = (d.withColumn("at", place).join(counts, F.col("lang") == F.col("_lang"))
+              .filter(F.col("at") < share * (1 << 30)).limit(2 * sample)
               .select("text", "lang", "at").mapInArrow(_sampled, "lang string, at long, dims binary, counts binary")
               .collect())
+    langs = sorted({r["lang"] for r in picked})
+    if not langs:
+        return Model([], idf, np.zeros((1, 0)), np.zeros(DIMS, np.int64))
     # a fixed order that mixes the languages
     picked.sort(key=lambda r: ((r["at"] * 0x9E3779B1) % (1 << 32), r["lang"], bytes(r["dims"])))
-    model = Model(langs, idf, np.zeros((DIMS, len(langs))))
-    rows = []
+    model = Model(langs, idf, np.zeros((1, len(langs))), np.zeros(DIMS, np.int64))
+    number, rows = {name: i for i, name in enumerate(langs)}, []
     for r in picked:
         dims = np.frombuffer(bytes(r["dims"]), np.int32)
         if len(dims):
-            rows.append((dims, model.vector(dims, np.frombuffer(bytes(r["counts"]), np.int32)), langs.index(r["lang"])))
-    aside = rows[4::5]
-    model.weights = ftrl([x for i, x in enumerate(rows) if i % 5 != 4], DIMS, len(langs))
+            rows.append((dims, model.vector(dims, np.frombuffer(bytes(r["counts"]), np.int32)), number[r["lang"]]))
+    aside, fitted = rows[4::5], [x for i, x in enumerate(rows) if i % 5 != 4]
+    used = np.unique(np.concatenate([at for at, _, _ in fitted])) if fitted else np.zeros(0, np.int64)
+    w = ftrl([(np.searchsorted(used, at), x, y) for at, x, y in fitted], len(used), len(langs))
+    live = np.flatnonzero(w.any(axis=1))
+    model.weights = np.concatenate((w[live], np.zeros((1, len(langs)))))
+    model.place = np.full(DIMS, len(live))
+    model.place[used[live]] = np.arange(len(live))
     if aside:
-        model.temperature = calibrate(np.array([x @ model.weights[at] for at, x, _ in aside]),
+        model.temperature = calibrate(np.array([x @ model.weights[model.place[at]] for at, x, _ in aside]),
                                       np.array([y for _, _, y in aside]))
     return model
 
 
 def predicted(spark: SparkSession, model: Model, text: Column) -> Column:
     """Struct (lang_pred, score) for a text column. The model shipped to the
-    tasks has DIMS x languages numbers."""
+    tasks has at most as many rows as the sample has dimensions."""
     held = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

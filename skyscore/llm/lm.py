@@ -1,4 +1,6 @@
-"""Masked pseudo-likelihood: a window network over characters predicts every
+"""Masked pseudo-likelihood. The registered query scores BPE tokens by the
+window network of ``token_lm``; the rest of this module is a smaller relative
+that nothing registers: a window network over characters predicts every
 token of a document from both sides; the summed conditional log-probabilities
 score the document.
 
@@ -157,16 +159,11 @@ def score(df: DataFrame, log_p: np.ndarray, text: str = "text") -> DataFrame:
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document scored by networks trained on all documents: by
-    characters, and by BPE tokens with a window of several (``token_lm``)."""
+    """Every document scored by the token network (``token_lm``) trained on all
+    documents: ``score`` is the mean log p of its tokens given the window on
+    both sides, ``pll`` their sum. Null and empty texts have no tokens and a
+    null score; no documents give no rows."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held = spark.sparkContext.broadcast(train(*counts(docs)))
-
-    def by_characters(texts):
-        n, pll = zip(*_scores(texts, held.value))
-        return {"n_tokens": pa.array(n, pa.int64()), "pll": pa.array(pll, pa.float64())}
-
-    rows = written(token_lm.with_ids(docs, tokenizer_path(), by_characters, "n_tokens long, pll double"), "tokens")
-    mean = F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens")).alias("mean_pll")
+    rows = written(token_lm.with_ids(docs, tokenizer_path()), "tokens")
     return token_lm.score(rows, token_lm.train(rows)).select(
-        "doc_id", "n_tokens", "pll", mean, "n_bpe", "bpe_pll", "mean_bpe_pll")
+        "doc_id", F.col("mean_bpe_pll").alias("score"), F.col("bpe_pll").alias("pll"), F.col("n_bpe").alias("n_tokens"))

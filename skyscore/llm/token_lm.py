@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from .tokenise import encoder
 
 SIDE, DIM, PIECE, RATE, ROUNDS, SEED = 4, 16, 1 << 14, 0.1, 2, 7
+#: places of the window, and how many tokens are worked on in the cache
+PLACES, STRETCH = [*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1)], 2048
 #: numbers in a row of what the tasks send
 BLOCK = 4096
 #: texts encoded, and bytes of token ids worked on, at once
@@ -121,9 +123,13 @@ class Model:
             part = seq[a - SIDE:min(a + n, len(seq) - SIDE) + SIDE]
             here = part[SIDE:len(part) - SIDE]
             at = np.flatnonzero(here != self.edge)
-            yield part, at[np.argsort(here[at], kind="stable")]
+            yield part, at[self.order(here[at])]
             a += n
 
+    def order(self, ranks: np.ndarray) -> np.ndarray:
+        """Stable ascending order; short numbers sort by radix."""
+        return np.argsort(ranks.astype(np.uint16) if self.edge < 1 << 16 else ranks, kind="stable")
+
     def growing(self) -> int:
         """Size of the next minibatch: twice as large every 16, up to ``PIECE``."""
         self.steps += 1
@@ -131,10 +137,17 @@ class Model:
 
     def hidden(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x, w = self.parts[0][part], self.parts[1].reshape(2 * SIDE, DIM)
-        n, s = len(part) - 2 * SIDE, 0
-        for j, d in enumerate([*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1)]):
-            s = s + x[d:d + n] * w[j]
-        return x, np.tanh(s)
+        n = len(part) - 2 * SIDE
+        out = np.empty((n, DIM), np.float32)
+        for a in range(0, n, STRETCH):  # what is worked on stays in the cache
+            b = min(a + STRETCH, n)
+            s, t = out[a:b], np.empty((b - a, DIM), np.float32)
+            s[:] = 0
+            for j, d in enumerate(PLACES):
+                np.multiply(x[a + d:b + d], w[j], out=t)
+                s += t
+            np.tanh(s, out=s)
+        return x, out
 
     def walk(self, rank: np.ndarray) -> Iterator[tuple[int, slice, np.ndarray]]:
         """(node, its places in ``rank``, the child each takes) down the tree,
@@ -152,7 +165,7 @@ class Model:
         z = self.parts[2][node].reshape(self.base, DIM) @ h.T + self.parts[3][node][:, None]
         z -= z.max(axis=0)
         np.exp(z, out=z)
-        z /= z.sum(axis=0)
+        z *= 1 / z.sum(axis=0)
         return z
 
     def log_p(self, docs: list[bytes]) -> list[float]:
@@ -161,11 +174,11 @@ class Model:
         out = np.zeros(len(seq))
         for k, (part, at) in enumerate(self.pieces(seq)):
             h = self.hidden(part)[1][at]
-            p = np.zeros(len(at))
+            p = np.ones(len(at))
             for node, places, child in self.walk(part[SIDE + at]):
                 z = self._shares(node, h[places])
-                p[places] += np.log(np.maximum(z[child, np.arange(len(child))], 1e-30))
-            out[SIDE + k * PIECE + at] = p
+                p[places] *= np.maximum(z[child, np.arange(len(child))], 1e-30)
+            out[SIDE + k * PIECE + at] = np.log(p)
         total = np.concatenate(([0.0], np.cumsum(out)))
         start = SIDE + np.concatenate(([0], np.cumsum(size + SIDE)[:-1])).astype(np.int64)
         return (total[start + size] - total[start]).tolist()
@@ -182,21 +195,29 @@ class Model:
                 continue
             x, hidden = self.hidden(part)
             h, n = hidden[at], len(part) - 2 * SIDE
-            back = np.zeros_like(h)
+            back, nodes, grads, shifts = np.zeros_like(h), [], [], []
             for node, places, child in self.walk(part[SIDE + at]):
-                z = self._shares(node, h[places])
+                own = h[places]
+                z = self._shares(node, own)
                 z[child, np.arange(len(child))] -= 1
                 back[places] += z.T @ self.parts[2][node].reshape(self.base, DIM)
-                self._step(2, node, (z @ h[places]).reshape(-1) / len(at))
-                self._step(3, node, z.sum(axis=1) / len(at))
+                nodes.append(node)
+                grads.append((z @ own).reshape(-1))
+                shifts.append(z.sum(axis=1))
                 self.used[2][node] += len(child)
+            # every node once a minibatch, all of them at once
+            self._step(2, nodes, np.array(grads) / len(at))
+            self._step(3, nodes, np.array(shifts) / len(at))
             d = np.zeros((n, DIM), np.float32)
             d[at] = back * (1 - h * h) / len(at)
             dx, dw = np.zeros_like(x), np.zeros_like(w)
-            for j, s in enumerate([*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1)]):
-                dw[j] = np.einsum("nd,nd->d", d, x[s:s + n])
-                dx[s:s + n] += d * w[j]
-            order = np.argsort(part, kind="stable")
+            for a in range(0, n, STRETCH):
+                b = min(a + STRETCH, n)
+                e = d[a:b]
+                for j, s in enumerate(PLACES):
+                    dw[j] += np.einsum("nd,nd->d", e, x[a + s:b + s])
+                    dx[a + s:b + s] += e * w[j]
+            order = self.order(part)
             token, first, times = np.unique(part[order], return_index=True, return_counts=True)
             self._step(0, token, np.add.reduceat(dx[order], first, axis=0))
             self._step(1, 0, dw.reshape(-1))
@@ -217,7 +238,7 @@ class Model:
                                *self.used])
         at = [i for i in range(0, len(flat), BLOCK) if flat[i:i + BLOCK].any()]
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(
-            [flat[i:i + BLOCK].tobytes() for i in at], pa.binary())], ["at", "part"])
+            [flat[i:i + BLOCK].astype(np.float64).tobytes() for i in at], pa.binary())], ["at", "part"])
 
     def apply(self, blocks) -> None:
         sizes = [p.size for p in self.parts] + [len(p) for p in self.parts]
@@ -230,13 +251,20 @@ class Model:
             p += (change.reshape(p.shape) / np.maximum(used, 1)[:, None]).astype(np.float32)
 
 
+#: parts that the tasks' changes are summed up in first
+SALTS = 64
+
+
 def _sum(t: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(x, np.float32) for x in t.column("part").to_pylist()], axis=0, dtype=np.float64)
+    total = 0.0
+    for x in t.column("part"):
+        total = total + np.frombuffer(x.as_buffer(), np.float64)
     return pa.table({"at": t.column("at").slice(0, 1), "part": pa.array([total.tobytes()], pa.binary())})
 
 
 def train(rows: DataFrame, rounds: int = ROUNDS) -> Model:
-    """The network fitted to all documents of ``rows`` (column ``_ids``)."""
+    """The network fitted to all documents of ``rows`` (column ``_ids``). No
+    rows, or none with a token: the untrained network, which knows no token."""
     model = Model(*vocabulary(rows))
     for k in range(rounds):
         held = rows.sparkSession.sparkContext.broadcast(model)
@@ -248,15 +276,21 @@ def train(rows: DataFrame, rounds: int = ROUNDS) -> Model:
             mine.parts = [p.copy() for p in mine.parts]
             return mine.changes(batches)
 
-        found = share.mapInArrow(changes, "at long, part binary").groupBy("at").applyInArrow(_sum, "at long, part binary")
+        # in two levels: a group holds a row of each task of one salt, then of each salt
+        sent = share.mapInArrow(changes, "at long, part binary").withColumn("salt", F.spark_partition_id() % SALTS)
+        found = sent.groupBy("at", "salt").applyInArrow(_sum, "at long, part binary").groupBy("at").applyInArrow(
+            _sum, "at long, part binary")
         model.apply((r["at"], bytes(r["part"])) for r in found.collect())
         held.unpersist()
     return model
 
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
-    """``rows`` with ``n_bpe`` (tokens), ``bpe_pll`` (sum of log p of every token
-    given its window) and ``mean_bpe_pll`` (null without tokens) for ``_ids``."""
+    """``rows`` with ``mean_bpe_pll`` (log p a token, null without tokens),
+    ``n_bpe`` (tokens) and ``bpe_pll`` (sum of log p of every token given its
+    window) for ``_ids``. Repeated rows score alike; no rows give no rows;
+    columns of these names are replaced."""
+    rows = rows.drop("n_bpe", "bpe_pll", "mean_bpe_pll")
     held = rows.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -51,3 +51,60 @@ def test_equal_remainders_are_told_apart(spark):
     other = "".join(chr(ord(c) + 31) if c != " " else c for c in train[0])
     a, b = [r["mean_bpe_pll"] for r in token_lm.score(rows_of(spark, [train[0], other]), model).orderBy("doc_id").collect()]
     assert a > b + 0.5
+
+
+def _plain_log_p(model, ids):
+    """The network's formula token by token, without pieces, order or batches."""
+    emb, w = model.parts[0].astype(float), model.parts[1].reshape(2 * token_lm.SIDE, token_lm.DIM).astype(float)
+    b, total = model.base, 0.0
+    rank = [model.ranks[i] if i < len(model.ranks) else model.unknown for i in ids]
+    line = [model.edge] * token_lm.SIDE + rank + [model.edge] * token_lm.SIDE
+    for k, r in enumerate(rank):
+        window = line[k:k + token_lm.SIDE] + line[k + token_lm.SIDE + 1:k + 2 * token_lm.SIDE + 1]
+        h = np.tanh(sum(emb[t] * w[j] for j, t in enumerate(window)))
+        for node, child in ((0, r // (b * b)), (1 + r // (b * b), r // b % b), (1 + b + r // b, r % b)):
+            z = model.parts[2][node].reshape(b, token_lm.DIM).astype(float) @ h + model.parts[3][node]
+            total += z[child] - np.log(np.exp(z).sum())
+    return total
+
+
+def test_scores_and_one_step_against_plain_versions(spark):
+    texts = ["a b c a b d e", "Хорошо там", "the water and the house", "x"]
+    rows = rows_of(spark, texts * 8).cache()
+    model = token_lm.train(rows)
+    docs = [r["_ids"] for r in rows.orderBy("doc_id").limit(4).collect()]
+    want = [_plain_log_p(model, np.frombuffer(d, "<u4").tolist()) for d in docs]
+    assert np.allclose(model.log_p([bytes(d) for d in docs]), want, rtol=1e-4)
+    # one minibatch: the step of Adagrad has the sign of the numerical gradient of the mean loss
+    import copy
+    start = token_lm.Model(*token_lm.vocabulary(rows))
+    start.steps, start.seen = 0, [np.zeros_like(p) for p in start.parts]
+    start.used = [np.zeros(len(p), np.float32) for p in start.parts]
+    rng = np.random.default_rng(0)
+    start.parts[2] = rng.normal(0, 0.5, start.parts[2].shape).astype(np.float32)
+    moved = copy.copy(start)
+    moved.parts, moved.seen = [p.copy() for p in start.parts], [np.zeros_like(p) for p in start.parts]
+    doc = bytes(docs[0])
+    moved.learn([doc])
+    for part, index in ((0, (0, 3)), (0, (1, 5)), (1, (0, 7)), (1, (0, 40)), (2, (0, 2)), (3, (0, 0))):
+        loss = []
+        for eps in (1e-2, -1e-2):
+            near = copy.copy(start)
+            near.parts = [p.copy() for p in start.parts]
+            near.parts[part][index] += eps
+            loss.append(-_plain_log_p(near, np.frombuffer(doc, "<u4").tolist()))
+        slope, change = loss[0] - loss[1], moved.parts[part][index] - start.parts[part][index]
+        if abs(slope) > 1e-4:
+            assert np.sign(change) == -np.sign(slope), (part, index)
+
+
+def test_edges(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "word " * 40_000), (4, "a b"), (4, "a b")], "doc_id long, text string")
+    from pyspark.sql import functions as F
+    odd = df.withColumns({c: F.lit("x") for c in ("n_bpe", "_ids", "bpe_pll", "mean_bpe_pll", "at", "part", "salt")})
+    rows = token_lm.with_ids(odd, pack.tokenizer_path())
+    got = token_lm.score(rows, token_lm.train(rows)).orderBy("doc_id").collect()
+    assert [r["n_bpe"] > 0 for r in got] == [False, False, True, True, True]
+    assert [r["mean_bpe_pll"] for r in got[:2]] == [None, None] and got[3]["bpe_pll"] == got[4]["bpe_pll"]
+    none = token_lm.with_ids(odd.filter("false"), pack.tokenizer_path())
+    assert token_lm.score(none, token_lm.train(none)).count() == 0
