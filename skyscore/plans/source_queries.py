@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from ..operators.pairing import RegularAxis
 from ..sources.io import (date_frame, date_window, missing_dates, overlapping_stations,
-                          parse_photometer_lines)
-from ..streaming.stream import read_stream, run_to_table, stream_pair_nearest, stream_window_stats
+                          parse_photometer_files, parse_photometer_lines)
+from ..streaming.stream import read_stream, run_to_latest, run_to_table, stream_pair_nearest, stream_window_stats
 from . import testbed as tb
 from .pairing_queries import _G_IDX
 from .registry import canon, query, r6, ts
@@ -106,6 +106,41 @@ def stream_window_stats_3h(spark, sf_dir):
     return canon(out)
 
 
+@query("stream_window_stats_all", f"""WITH {tb.EVENTS_SQL}
+SELECT {ts("time_bucket(INTERVAL '3 hours', time)")} AS time, count(*) AS n, {r6('avg(m - o)')} AS mb,
+       {r6('sqrt(avg((m - o) * (m - o)))')} AS rmse
+FROM ev GROUP BY 1""")
+def stream_window_stats_all(spark, sf_dir):
+    """X2 over a bounded stream to its end: every window, also those that the
+    watermark leaves open, equal to the batch result."""
+    d = stream_window_stats(_events_stream(spark, sf_dir), "o", "m", freq="3 hours", watermark="6 hours",
+                            metrics=["n", "mb", "rmse"])
+    return canon(run_to_latest(d, ["time"]))
+
+
+@query("photometer_by_header", f"""
+SELECT event_type AS file, {ts("date_trunc('second', ts)")} AS time, {r6('CAST(user_id % 90 AS DOUBLE)')} AS lat,
+       {r6('CAST((event_id % 360) - 180 AS DOUBLE)')} AS lon,
+       {r6("CASE WHEN event_type <> 'click' THEN CAST(user_id * 10 AS DOUBLE) END")} AS elevation,
+       {r6("CAST(printf('%.4f', value / 100.0) AS DOUBLE)")} AS aod_550nm
+FROM events""")
+def photometer_by_header(spark, sf_dir):
+    """S10 by header: one file per event type; the files of 'click' events have
+    their columns in another order and no elevation."""
+    e = tb.read(spark, sf_dir, "events")
+    when = [F.date_format("ts", "dd:MM:yyyy"), F.date_format("ts", "HH:mm:ss")]
+    lat, lon = (F.col("user_id") % 90).cast("string"), ((F.col("event_id") % 360) - 180).cast("string")
+    aod = F.format_string("%.4f", F.col("value") / 100.0)
+    usual = F.concat_ws(",", *when, lat, lon, (F.col("user_id") * 10).cast("string"), aod)
+    other = F.concat_ws(",", *when, aod, F.lit("7"), lon, lat)
+    click = F.col("event_type") == "click"
+    data = e.select(F.col("event_type").alias("file"), F.when(click, other).otherwise(usual).alias("value"))
+    heads = e.select("event_type").distinct().select(F.col("event_type").alias("file"), F.when(
+        click, "Date(dd:mm:yyyy),Time(hh:mm:ss),AOD_550nm,Day_of_Year,Site_Longitude(Degrees),Site_Latitude(Degrees)").otherwise(
+        "Date(dd:mm:yyyy),Time(hh:mm:ss),Site_Latitude(Degrees),Site_Longitude(Degrees),Site_Elevation(m),AOD_550nm").alias("value"))
+    return canon(parse_photometer_files(heads.unionByName(data)))
+
+
 _STREAM_PAIR_SQL = f"""WITH {tb.GRID_SQL},
 {tb.STATIONS_SQL},
 {_G_IDX},

@@ -9,6 +9,7 @@ date lists become static partition pruning.
 from __future__ import annotations
 
 import datetime as dt
+import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -185,6 +186,54 @@ def read_station_files(spark: SparkSession, paths, schema=None, fmt: str = "csv"
     return r.load(present), skipped
 
 
+def listed_files(spark: SparkSession, folders) -> DataFrame:
+    """``path, length`` of the files under ``folders``, as a table: Spark lists
+    many folders on the executors, and no content is read. Absent folders have
+    no files."""
+    there = existing_paths(spark, sorted(set(folders)))
+    if not there:
+        return spark.createDataFrame([], "path string, length long")
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(there)
+            .select("path", "length"))
+
+
+def _plain_path(c):
+    """A path without scheme and authority (``file:///a``, ``file:/a``, ``/a``)."""
+    return F.regexp_replace(c, r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+
+
+def read_station_manifest(spark: SparkSession, paths, schema, fmt: str = "csv", **options):
+    """S7 with an account of every file: ``(df, manifest)``.
+
+    ``df`` has the rows of all files that can be read; absent ones are left out
+    and corrupt ones skipped (``ignoreCorruptFiles``). ``manifest`` has a row for
+    each requested path: ``path, status, n_rows`` with status ``read``,
+    ``absent`` (not there, or without a byte: Spark lists no empty files) or
+    ``unreadable`` (there, but without a row that could be read). One call to the file system per folder, not per file:
+    the listing is a table, requested paths meet it in joins, and the rows per
+    file come from the scan's own file names."""
+    paths = sorted(set(paths))
+    wanted = spark.createDataFrame([(p,) for p in paths], "path string").withColumn("__p", _plain_path("path"))
+    files = listed_files(spark, [os.path.dirname(p) for p in paths]).select(
+        _plain_path("path").alias("__p"), "length").distinct()
+    found = wanted.join(files, "__p", "left")
+    present = [r["path"] for r in found.where("length is not null").select("path").collect()]
+    r = spark.read.format(fmt).options(**options).option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
+    r = r.schema(schema)
+    if present:
+        df = r.load(present)
+        read = df.groupBy(F.input_file_name().alias("__f")).agg(F.count(F.lit(1)).alias("n_rows"))
+        read = read.select(F.url_decode(_plain_path("__f")).alias("__p"), "n_rows")
+    else:
+        df = spark.createDataFrame([], schema)
+        read = spark.createDataFrame([], "__p string, n_rows long")
+    status = (F.when(F.col("length").isNull(), "absent").when(F.col("n_rows").isNotNull(), "read")
+              .otherwise("unreadable"))
+    manifest = found.join(read, "__p", "left").select("path", status.alias("status"),
+                                                      F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+    return df, manifest
+
+
 def date_window(df: DataFrame, dates, time_col: str = "time") -> DataFrame:
     """Keep ``[min, max)`` of the requested dates; one date = that whole day."""
     ds = sorted(normalise_dates(dates))
@@ -247,6 +296,47 @@ def parse_photometer_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+# --- fixed values: names of a photometer header, without their units (S10) ---
+PHOTOMETER_HEADER = r"^Date\(dd:mm:yyyy\),"
+PHOTOMETER_NAMES = {"lat": "site_latitude", "lon": "site_longitude", "elevation": "site_elevation", "aod_550nm": "aod_550nm"}
+
+
+def parse_photometer_files(lines: DataFrame, names: dict[str, str] | None = None, file: str = "file",
+                           value: str = "value") -> DataFrame:
+    """S10 by header: ``lines`` (``file, value``: lines of many files, see
+    :func:`read_photometer_files`) -> ``file, time`` and a column for each of
+    ``names`` (output name -> header name in lower case without its unit in
+    brackets).
+
+    Every file's own header row says which field is which, so files with other
+    column orders or more columns go into one scan: the header (one row a file)
+    is joined by file name, and a data line becomes a map of header name to
+    field. A column that a file does not have is NULL, and so are the fill
+    value and malformed fields; lines of a file without a header are dropped."""
+    from ..operators.stats import join_group_values
+    names = names or PHOTOMETER_NAMES
+    head = lines.where(F.col(value).rlike(PHOTOMETER_HEADER)).groupBy(file).agg(F.min(value).alias("__h"))
+    fields = F.transform(F.split("__h", ","), lambda h: F.lower(F.trim(F.regexp_replace(h, r"\(.*\)", ""))))
+    # of two columns of one name the first counts
+    head = head.select(file, F.transform(fields, lambda h, i: F.when(F.array_position(fields, h) == i + 1, h).otherwise(
+        F.concat(F.lit("#"), i.cast("string")))).alias("__names"))
+    d = join_group_values(lines.select(file, value).where(F.col(value).rlike(PHOTOMETER_DATA_LINE)), head, [file])
+    got = F.slice(F.concat(F.split(value, ","), F.array_repeat(F.lit(None).cast("string"), F.size("__names"))), 1, F.size("__names"))
+    d = d.withColumn("__row", F.map_from_arrays("__names", got))
+
+    def number(name):
+        v = F.try_element_at("__row", F.lit(name)).try_cast("double")
+        return F.when(v != PHOTOMETER_FILL, v)
+    time = F.try_to_timestamp(F.concat_ws(" ", F.try_element_at("__row", F.lit("date")), F.try_element_at("__row", F.lit("time"))),
+                              F.lit("dd:MM:yyyy HH:mm:ss"))
+    return d.select(file, time.alias("time"), *[number(h.lower()).alias(n) for n, h in names.items()])
+
+
+def read_photometer_files(spark: SparkSession, paths) -> DataFrame:
+    """``file, value``: the lines of text files with the file each comes from."""
+    return spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
+
+
 # --- fixed values: dataset types named in configurations (S1) ---
 GRID_TYPES = ("cmaq", "wrfchem", "gefs", "gfs", "icap_mme", "merra2", "ufs", "viirs")
 POINT_TYPES = ("aeronet", "airnow", "ish_lite", "openaq", "radiosonde")

@@ -24,6 +24,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.metrics import Ctx, resolve
 from ..functions.numerics import pairwise_valid
@@ -115,6 +116,30 @@ def run_to_table(df: DataFrame, name: str | None = None, output_mode: str = "app
     return spark.read.schema(df.schema).parquet(os.path.join(base, "out"))
 
 
+def run_to_latest(df: DataFrame, keys, name: str | None = None) -> DataFrame:
+    """Run a streaming aggregate over a bounded input to its end and return
+    **every** group as a batch DataFrame, also those whose window the watermark
+    has not closed: update mode gives a group's row whenever a micro-batch
+    changed it, each micro-batch writes its rows under its own number (a
+    repeated one writes the same files again), and the row of the last number
+    counts. Nothing is gathered on the driver."""
+    spark = df.sparkSession
+    base = os.path.join(ensure_checkpoint_dir(spark), "streams", name or f"stream_{uuid.uuid4().hex[:12]}")
+
+    def write(rows: DataFrame, number: int) -> None:
+        rows.write.mode("overwrite").parquet(os.path.join(base, "out", f"__batch={number}"))
+    q = (df.writeStream.outputMode("update").foreachBatch(write)
+           .option("checkpointLocation", os.path.join(base, "checkpoint")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    exc = q.exception()
+    if exc is not None:
+        raise RuntimeError(str(exc))
+    out = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__batch", T.LongType())])).parquet(os.path.join(base, "out"))
+    rest = [c for c in df.columns if c not in keys]
+    last = out.groupBy(*keys).agg(F.max(F.struct("__batch", *rest)).alias("__last"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"__last.{c}").alias(c) for c in df.columns])
+
+
 def run_to_files(df: DataFrame, path: str, fmt: str = "parquet", output_mode: str = "append") -> str:
     """Same, into files (exactly-once file sink) for outputs of any size."""
     spark = df.sparkSession

@@ -180,3 +180,48 @@ def test_day_ranges_keep_whole_days(spark):
     got = sorted(r["time"] for r in df.where(io._on_days(F.col("time"), days)).collect())
     assert got == [x for x in t if x.date() in days]
     assert df.where(io._on_days(F.col("time"), [])).count() == 0
+
+
+def test_station_manifest_counts_absent_and_corrupt_files(spark, tmp_path):
+    good, torn, none = (str(tmp_path / f"{n}.csv") for n in ("good one", "torn", "none"))
+    open(good, "w").write("a,1\nb,2\n")
+    import gzip
+    whole = gzip.compress(b"c,3\n" * 2000)
+    open(torn + ".gz", "wb").write(b"not a gzip file" + whole[20:])
+    open(none, "w").close()
+    paths = [good, torn + ".gz", none, str(tmp_path / "absent.csv"), str(tmp_path / "nowhere" / "x.csv")]
+    df, manifest = io.read_station_manifest(spark, paths, "k string, v int")
+    assert sorted(map(tuple, df.collect())) == [("a", 1), ("b", 2)]
+    got = {os.path.basename(r["path"]): (r["status"], r["n_rows"]) for r in manifest.collect()}
+    assert got == {"good one.csv": ("read", 2), "torn.csv.gz": ("unreadable", 0), "none.csv": ("absent", 0),
+                   "absent.csv": ("absent", 0), "x.csv": ("absent", 0)}
+    df, manifest = io.read_station_manifest(spark, paths[3:], "k string, v int")
+    assert df.count() == 0 and {r["status"] for r in manifest.collect()} == {"absent"}
+
+
+def test_photometer_files_of_different_headers_in_one_scan(spark, tmp_path):
+    a, b, c = (str(tmp_path / n) for n in ("a.txt", "b.txt", "c.txt"))
+    open(a, "w").write("Version 3\nsome,preamble\nDate(dd:mm:yyyy),Time(hh:mm:ss),AOD_550nm,Site_Latitude(Degrees)\n"
+                       "02:01:2024,03:04:05,0.25,10.5\n03:01:2024,03:04:05,-999.,x\n04:01:2024,00:00:00,\n")
+    open(b, "w").write("Date(dd:mm:yyyy),Time(hh:mm:ss),Site_Latitude(Degrees),Other,Other,Site_Longitude(Degrees),AOD_550nm\n"
+                       "05:01:2024,00:00:00,1,9,8,2,0.5,extra\n")
+    open(c, "w").write("05:01:2024,00:00:00,1,2\n")  # no header
+    out = io.parse_photometer_files(io.read_photometer_files(spark, [a, b, c])).orderBy("time").collect()
+    got = [(os.path.basename(r["file"]), r["time"].day, r["lat"], r["lon"], r["aod_550nm"], r["elevation"]) for r in out]
+    assert got == [("a.txt", 2, 10.5, None, 0.25, None), ("a.txt", 3, None, None, None, None),
+                   ("a.txt", 4, None, None, None, None), ("b.txt", 5, 1.0, 2.0, 0.5, None)]
+
+
+def test_stream_windows_to_the_end_over_many_batches(spark, tmp_path):
+    src = str(tmp_path / "ev")
+    t0 = dt.datetime(2024, 1, 1)
+    for day in range(6):
+        _write_events(spark, src, [("a", t0 + dt.timedelta(days=day, minutes=30 * i), float(i), float(i + day)) for i in range(40)])
+    schema = "k string, time timestamp, o double, m double"
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = xs.run_to_latest(xs.stream_window_stats(s, "o", "m", freq="3 hours", watermark="10 days"), ["time"])
+    batch = spark.read.schema(schema).parquet(src).groupBy(F.window("time", "3 hours")["start"].alias("time")).agg(
+        F.count("*").alias("n"), F.avg(F.col("m") - F.col("o")).alias("mb"))
+    assert {(r["time"], r["n"], r["mb"]) for r in out.collect()} == {tuple(r) for r in batch.collect()}
+    once = xs.stream_dedup(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src), ["k", "time"], watermark="10 days")
+    assert xs.run_to_table(once).count() == 240
