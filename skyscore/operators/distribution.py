@@ -39,25 +39,27 @@ from .axes import axis_columns, fractional_index, in_axis, search, wrap
 BUCKETS = 512
 
 
-def value_tally(rows: DataFrame, by, counts, rows_per_bucket: int) -> DataFrame:
+def value_tally(rows: DataFrame, by, counts, rows_per_bucket: int, value: str = "x", bucket: str = "bpath") -> DataFrame:
     """Distinct (group, value) tally with value buckets of about equal counts.
 
-    ``rows``: ``by`` + ``__x`` + count columns. Returns ``by, __b, __x`` + the summed
-    counts; bucket numbers ``__b`` follow the values. A group of n rows has about
-    ``n / rows_per_bucket`` buckets, at most ``BUCKETS``; a value of which there
-    are many copies is one row of its bucket."""
+    ``rows``: ``by``, the column ``value`` and count columns. Returns ``by,
+    bucket, value`` and the summed counts; bucket numbers follow the values. A
+    group of more than ``rows_per_bucket`` rows has buckets of about half as
+    many, and at most ``BUCKETS``; a value of which there are many copies is one
+    row of its bucket."""
     from .stats import join_group_values
     at = ", ".join(f"{k / BUCKETS!r}D" for k in range(1, BUCKETS))
-    g = rows.groupBy(*by).agg(F.expr(f"percentile_approx(__x, array({at}), {4 * BUCKETS})").alias("__q"),
+    g = rows.groupBy(*by).agg(F.expr(f"percentile_approx(`{value}`, array({at}), {4 * BUCKETS})").alias("__q"),
                               F.count(F.lit(1)).alias("__n"))
     # every step-th edge, so that small groups carry none
-    step = F.ceil(F.lit(BUCKETS) / F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(rows_per_bucket))))
+    step = F.when(F.col("__n") <= rows_per_bucket, BUCKETS).otherwise(F.greatest(
+        F.lit(1), F.floor(F.lit(BUCKETS) * rows_per_bucket / (2 * F.col("__n"))))).cast("int")
     edges = g.select(*by, F.array_distinct(F.filter("__q", lambda q, i: (i + 1) % step == 0)).alias("__edges"))
     e = join_group_values(rows, edges, by, few=2_000)  # 4 kB of edges a group at most
     strides = F.lit([BUCKETS >> k for k in range(BUCKETS.bit_length())])
-    first = F.get("__edges", F.lit(0))
-    b = F.when(first.isNull() | (F.col("__x") < first), 0).otherwise(search(F.col("__edges"), strides, F.col("__x")) + 1)
-    return e.select(*by, b.cast("int").alias("__b"), "__x", *counts).groupBy(*by, "__b", "__x").agg(
+    first, x = F.get("__edges", F.lit(0)), F.col(value)
+    b = F.when(first.isNull() | (x < first), 0).otherwise(search(F.col("__edges"), strides, x) + 1)
+    return e.select(*by, b.cast("int").alias(bucket), value, *counts).groupBy(*by, bucket, value).agg(
         *[F.sum(c).alias(c) for c in counts])
 
 
@@ -91,7 +93,7 @@ def wasserstein(df: DataFrame, obs: str, mod: str, by=(), rows_per_bucket: int =
         F.struct(F.col(obs).cast("double").alias("__x"), F.lit(1).alias("__co"), F.lit(0).alias("__cm")),
         F.struct(F.col(mod).cast("double").alias("__x"), F.lit(0).alias("__co"), F.lit(1).alias("__cm")))).alias("__e"))
     rows = rows.select(*by, "__e.__x", "__e.__co", "__e.__cm").where(F.col("__x").isNotNull())
-    tally = value_tally(rows, by, ["__co", "__cm"], rows_per_bucket)
+    tally = value_tally(rows, by, ["__co", "__cm"], rows_per_bucket, "__x", "__b")
     bt = bucket_offsets(tally, by, ["__co", "__cm"])
     t = join_group_values(tally, bt, [*by, "__b"], salts=0)
     wx = Window.partitionBy(*by, "__b").orderBy("__x")
@@ -200,7 +202,7 @@ def quantiles(df: DataFrame, value: str, qs, by=(), rows_per_bucket: int = 100_0
     rows = df.select(*by, F.col(value).cast("double").alias("__x"), F.lit(1).alias("__c")) \
              .where(F.col("__x").isNotNull() & ~F.isnan("__x"))
     names = [f"{prefix}{percent_name(q)}" for q in qs]
-    tally = value_tally(rows, by, ["__c"], rows_per_bucket)
+    tally = value_tally(rows, by, ["__c"], rows_per_bucket, "__x", "__b")
     place = [F.lit(q) * (F.col("__n__c") - 1) for q in qs]
     ranks = [f(p).cast("long") for p in place for f in (F.floor, F.ceil)]
     wanted = F.lit(False)
