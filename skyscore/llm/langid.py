@@ -226,8 +226,11 @@ def known(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     model learns from the documents outside fold 0."""
     bounded_batches(docs.sparkSession)
     model = train(docs.filter(~held_out(F.col("doc_id"))))
-    d = docs.withColumn("_p", predicted(docs.sparkSession, model, F.col("text")))
-    return d.filter((F.col("_p.lang_pred") != UNKNOWN) & (F.col("_p.score") >= least)).drop("_p")
+    name = "_p"
+    while name in [c.lower() for c in docs.columns]:
+        name += "_"
+    d = docs.withColumn(name, predicted(docs.sparkSession, model, F.col("text")))
+    return d.filter((F.col(f"{name}.lang_pred") != UNKNOWN) & (F.col(f"{name}.score") >= least)).drop(name)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
