@@ -49,6 +49,13 @@ def let(value: Column, then) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
+def salts_for(rows: int) -> int:
+    """Salts for :func:`ranked` over ``rows`` rows: one more for every 500,000,
+    so that a group that holds a third of them is some 170,000 rows a task at
+    any size."""
+    return max(256, rows // 500_000)
+
+
 def ranked(df: DataFrame, group: list[str], order: list[str], salt: Column, out: str,
            salts: int = 256) -> DataFrame:
     """Exact 0-based rank (column ``out``, BIGINT) of each row within ``group``

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import let, ranked, table, written
+from .common import let, ranked, salts_for, table, written
 
 BITS = 4
 
@@ -62,11 +62,30 @@ def hilbert_index(dims: list[Column], bits: int = BITS) -> Column:
     return let(gray(F.aggregate(plan, x, step)), lambda g: let(fix(g), interleave))
 
 
+def value_cuts(df: DataFrame, column: str, cells: int) -> list:
+    """Up to ``cells - 1`` values that cut the ordered values of ``column`` into
+    steps of about equal row counts: a value's step is where the middle of its
+    rows falls. One row a distinct value is sorted by range and counted in two
+    levels (inside a range, then over the ranges); only the cuts come to the
+    driver."""
+    n = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    d = written(n.orderBy("v").withColumn("piece", F.spark_partition_id()), "values")
+    ahead = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = (d.groupBy("piece").agg(F.sum("n").alias("m"))
+              .select(F.col("piece").alias("_piece"), F.coalesce(F.sum("m").over(ahead), F.lit(0)).alias("ahead"),
+                      F.sum("m").over(Window.partitionBy()).alias("all")))
+    inside = Window.partitionBy("piece").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(pieces, F.col("piece") == F.col("_piece"))
+    d = d.withColumn("step", F.expr(f"((2 * (ahead + before) + n) * {cells}) div (2 * all)"))
+    return sorted(r["v"] for r in d.groupBy("step").agg(F.min("v").alias("v")).collect())[1:]
+
+
 def quantise(df: DataFrame, columns: list[str], bits: int = BITS) -> list[Column]:
-    """A 0 .. 2**bits - 1 coordinate for each column. Numbers: equal-count
-    steps between the quantiles of all rows (2**bits - 1 cut points a column
-    come to the driver); other types: a hash of the value, so equal values
-    share a step. Null: 0."""
+    """A 0 .. 2**bits - 1 coordinate for each column, that rises with its
+    values: steps of about equal row counts, cut between the quantiles of all
+    rows for numbers, at values of :func:`value_cuts` for other types (text
+    form of arrays, maps and the like). 2**bits - 1 cuts a column come to the
+    driver. Null: 0."""
     cells = 1 << bits
     kinds = {f.name: f.dataType for f in df.schema.fields}
     numbers = [c for c in columns if isinstance(kinds[c], T.NumericType)]
@@ -80,7 +99,9 @@ def quantise(df: DataFrame, columns: list[str], bits: int = BITS) -> list[Column
         if c in cuts:
             step = sum([(F.col(c) > F.lit(v)).cast("int") for v in cuts[c]], F.lit(0))
         else:
-            step = F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(cells)).cast("int")
+            plain = isinstance(kinds[c], (T.StringType, T.DateType, T.TimestampType, T.BooleanType))
+            value = F.col(c) if plain else F.col(c).cast("string")
+            step = sum([(value >= F.lit(v)).cast("int") for v in value_cuts(df.select(value.alias(c)), c, cells)], F.lit(0))
         out.append(F.when(F.col(c).isNull(), 0).otherwise(step))
     return out
 
@@ -98,7 +119,7 @@ def shard(df: DataFrame, dims: list[str], shards: int, tie: list[str], bits: int
     d = df.withColumn("curve", hilbert_index(quantise(df, dims, bits), bits))
     salt = F.xxhash64(*[F.col(c) for c in tie])
     d = written(d.withColumn("_h", salt), "curve")
-    d = ranked(d, ["curve"], ["_h", *tie], F.shiftrightunsigned(F.col("_h"), 1), "_rank")
+    d = ranked(d, ["curve"], ["_h", *tie], F.shiftrightunsigned(F.col("_h"), 1), "_rank", salts_for(d.count()))
     # rows before each cell: the cells' counts, first within a coarse stretch of
     # the curve, then over the (at most 2**bits) stretches
     low = (n - 1) * bits
