@@ -7,10 +7,12 @@ containment join, with shingles ordered by their frequency in all documents.
 A match fixes where the window would lie; the ends of the document bound it
 (position and length) before the words are compared one by one.
 
-The window index of a block of items goes to every task; blocks hold at most
-``MAX_WINDOWS`` windows and are joined one after another, each against all
-documents. Documents are never shuffled. Words are compared by 64-bit hashes,
-as many as the window has words.
+The distinct windows of a block go to every task as flat arrays (some 100 bytes
+a window); blocks hold at most ``MAX_WINDOWS`` or so and are looked up one after
+another, each in all documents. Documents are never shuffled, and items never
+come to the driver: a document's windows find their items in a join afterwards.
+Words are compared by 64-bit hashes, as many as the window has words; windows
+are named by a 64-bit hash of these.
 """
 
 from __future__ import annotations
@@ -26,13 +28,17 @@ from .common import shingle_hashes, table, word_hashes, written
 
 WINDOW = 10
 SHINGLE = 3
-MAX_WINDOWS = 1_000_000
+MAX_WINDOWS = 500_000
 #: bits of the hash that the first, coarse look-up reads
 COARSE = 20
 
 WORD = np.zeros(256, bool)
 WORD[0x30:0x3A] = WORD[0x61:0x7B] = WORD[0x80:] = True
-SPANS = "array<struct<start:int,words:int,item:string>>"
+SPANS = "array<struct<start:int,words:int,window:long>>"
+#: candidates whose words are compared at once
+STEP = 1 << 16
+#: a window that a third of all documents hold is joined in as many parts
+SALTS = 16
 
 
 def words_of(text: bytes | None) -> np.ndarray:
@@ -73,45 +79,84 @@ def _window_rows(batches: Iterator[pa.RecordBatch], window: int, unnamed: bool)
         yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(win, pa.binary())], ["item", "words"])
 
 
-class Index:
-    """Windows of one block by their rarest shingle."""
+def _rows_of(raw: list[bytes], size: int) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), np.uint64).reshape(-1, size)
+
+
+def _by_size(raw: list[bytes]) -> dict[int, np.ndarray]:
+    """Places in ``raw`` of the windows of each number of words."""
+    sizes = np.array([len(x) // 8 for x in raw], np.int64)
+    return {int(n): np.flatnonzero(sizes == n) for n in np.unique(sizes)}
+
+
+def _row_shingles(rows: np.ndarray) -> np.ndarray:
+    """Shingles of windows of one size, a row each."""
+    k = min(SHINGLE, rows.shape[1])
+    # the k words of every row, one row after another: each k-th shingle is a row's
+    return np.stack([shingle_hashes(np.ascontiguousarray(rows[:, i:i + k]).reshape(-1), k)[::k]
+                     for i in range(rows.shape[1] - k + 1)], axis=1)
 
-    def __init__(self, windows: dict[bytes, list[str]], counts: dict[int, int]):
-        self.windows = windows
+
+class Index:
+    """Distinct windows of one block by their rarest shingle, as flat arrays.
+
+    ``raw``: word hashes of each window; ``ids``: its number; ``hashes``
+    (sorted) and ``counts``: how often a shingle stands in the documents."""
+
+    def __init__(self, raw: list[bytes], ids: np.ndarray, hashes: np.ndarray, counts: np.ndarray):
+        parts: dict[int, list] = {}
+        self.width = max((len(x) // 8 for x in raw), default=1)
+        for size, at in _by_size(raw).items():
+            rows = _rows_of([raw[i] for i in at], size)
+            s = _row_shingles(rows)
+            n = np.zeros(s.shape, np.int64)
+            if len(hashes):
+                place = np.minimum(np.searchsorted(hashes, s), len(hashes) - 1)
+                n = np.where(hashes[place] == s, counts[place], 0)
+            # rarest, then least hash, then first place
+            off = np.where(n == n.min(axis=1, keepdims=True), s, np.iinfo(np.uint64).max).argmin(axis=1)
+            full = np.zeros((len(rows), self.width), np.uint64)
+            full[:, :size] = rows
+            parts.setdefault(min(SHINGLE, size), []).append(
+                (s[np.arange(len(s)), off], off, np.full(len(rows), size), ids[at], full))
         self.by: dict[int, tuple] = {}
-        rare: dict[int, dict[int, set]] = {}
-        for raw in windows:
-            w = np.frombuffer(raw, np.uint64)
-            k = min(SHINGLE, len(w))
-            s = _shingles(w, k).tolist()
-            off = min(range(len(s)), key=lambda i: (counts.get(s[i], 0), s[i], i))
-            rare.setdefault(k, {}).setdefault(s[off], set()).add((off, len(w)))
-        for k, found in rare.items():
-            look = Lookup(np.array(list(found), np.uint64))
-            self.by[k] = (look, [sorted(found[h]) for h in look.sorted.tolist()])
-
-    def spans(self, w: np.ndarray) -> list[tuple[int, int, str]]:
-        out = set()
-        for k, (look, places) in self.by.items():
-            for p, j in zip(*(x.tolist() for x in look.find(_shingles(w, k)))):
-                for off, size in places[j]:
-                    a = p - off
-                    if a >= 0 and a + size <= len(w):
-                        out.update((a, size, i) for i in self.windows.get(w[a:a + size].tobytes(), ()))
-        return sorted(out, key=lambda s: (s[0], s[1], s[2] is not None, s[2] or ""))
-
-
-def _item_shingles(windows) -> np.ndarray:
-    out = set()
-    for raw in windows:
-        w = np.frombuffer(raw, np.uint64)
-        out.update(_shingles(w, min(SHINGLE, len(w))).tolist())
-    return np.array(sorted(out), np.uint64)
-
-
-def shingle_counts(docs: DataFrame, hashes: np.ndarray) -> dict[int, int]:
+        for k, found in parts.items():
+            rare, off, size, number, rows = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(rare, kind="stable")
+            look = Lookup(rare)
+            ends = np.searchsorted(rare[order], look.sorted, "right")
+            self.by[k] = (look, np.concatenate(([0], ends)), off[order].astype(np.int16), size[order].astype(np.int16),
+                          number[order], rows[order])
+
+    def spans(self, w: np.ndarray) -> list[tuple[int, int, int]]:
+        """(start, words, window) of every occurrence, in order."""
+        out = []
+        for k, (look, ends, off, size, number, rows) in self.by.items():
+            at, place = look.find(_shingles(w, k))
+            upto = np.cumsum(ends[place + 1] - ends[place])
+            for i in range(0, int(upto[-1]) if len(upto) else 0, STEP):
+                c = np.arange(i, min(i + STEP, int(upto[-1])))
+                hit = np.searchsorted(upto, c, "right")
+                r = ends[place[hit] + 1] - (upto[hit] - c)
+                a = at[hit] - off[r]
+                ok = (a >= 0) & (a + size[r] <= len(w))
+                r, a = r[ok], a[ok]
+                cell = np.arange(self.width)
+                same = w[np.minimum(a[:, None] + cell, len(w) - 1)] == rows[r]
+                ok = (same | (cell >= size[r][:, None])).all(axis=1)
+                out += zip(a[ok].tolist(), size[r[ok]].tolist(), number[r[ok]].tolist())
+        return sorted(out)
+
+
+def _item_shingles(raw: list[bytes]) -> np.ndarray:
+    """Distinct shingles of all windows."""
+    found = [np.unique(_row_shingles(_rows_of([raw[i] for i in at], n))) for n, at in _by_size(raw).items()]
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+
+
+def shingle_counts(docs: DataFrame, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How often each of ``hashes`` (shingles of 1 to SHINGLE words) stands in
-    all documents: one number a shingle comes back."""
+    all documents: (sorted hashes, counts), 16 bytes a shingle."""
     held = docs.sparkSession.sparkContext.broadcast(hashes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,8 +170,47 @@ def shingle_counts(docs: DataFrame, hashes: np.ndarray) -> dict[int, int]:
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(look.sorted[at].astype(np.int64)), pa.array(n[at])], ["h", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).collect()
-    return {r["h"] % (1 << 64): r["n"] for r in rows}
+    rows = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).toArrow()
+    h, n = rows["h"].to_numpy().view(np.uint64), rows["n"].to_numpy()
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def windows(items: DataFrame, window: int = WINDOW, unnamed: bool = False) -> DataFrame:
+    """(window, words, item): the distinct windows of each item, written."""
+    rows = items.select(F.col("item_id").cast("string"), "text").mapInArrow(
+        lambda b: _window_rows(b, window, unnamed), "item string, words binary").distinct()
+    return written(rows.select(F.xxhash64("words").alias("window"), "words", "item"), "windows")
+
+
+def occurrences(docs: DataFrame, wins: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``n_words`` and ``spans``: array of (start word, number of
+    words, window) of every occurrence of a window of ``wins``. A block of
+    windows is looked up in one pass; between blocks the rows are written."""
+    docs = docs.drop("n_words", "spans")
+    names = docs.columns
+    distinct = wins.select("window", "words").distinct()
+    blocks = max(1, -(-distinct.count() // MAX_WINDOWS))
+    out = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    t = f"c{names.index(text)}"
+    texts = docs.select(F.col(text).alias("text"))
+    out = out.withColumns({"n_words": F.lit(None).cast("long"), "spans": F.array().cast(SPANS)})
+    for i in range(blocks):
+        found = distinct.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == i).toArrow()  # MAX_WINDOWS or so
+        raw, ids = found["words"].to_pylist(), found["window"].to_numpy()
+        counts = shingle_counts(texts, _item_shingles(raw)) if raw else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        index = docs.sparkSession.sparkContext.broadcast(Index(raw, ids, *counts))
+        out = _marked(out if i == 0 else written(out, "spans"), index, t)
+    return out.toDF(*names, "n_words", "spans")
+
+
+def with_items(df: DataFrame, wins: DataFrame) -> DataFrame:
+    """``df`` (window and further columns) joined to the items of its windows; a
+    window of very many rows is dealt over ``SALTS`` keys."""
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
+    parts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
+    return df.withColumn("_part", part).join(
+        wins.select(F.col("window"), "item", parts.alias("_part")), ["window", "_part"]).drop("_part")
 
 
 def mark(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW,
@@ -136,23 +220,19 @@ def mark(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WI
 
     ``items``: item_id, text. Null or wordless texts have no words and no
     windows; items without an id are left out, or with ``unnamed`` marked by a
-    null item; repeated items or rows are marked alike; empty tables give empty or unmarked results. Columns named
-    n_words or spans are replaced.
+    null item; repeated items or rows are marked alike; empty tables give empty
+    or unmarked results. Columns named n_words or spans are replaced.
     """
-    docs = docs.drop("n_words", "spans")
-    wins = items.select(F.col("item_id").cast("string"), "text").mapInArrow(
-        lambda b: _window_rows(b, window, unnamed), "item string, words binary").distinct()
-    wins = written(wins, "windows")
-    blocks = max(1, -(-wins.count() // MAX_WINDOWS))
-    block = F.pmod(F.xxhash64("words"), F.lit(blocks))
-    out = docs.withColumns({"n_words": F.lit(None).cast("long"), "spans": F.array().cast(SPANS)})
-    for i in range(blocks):
-        found: dict[bytes, list[str]] = {}
-        for r in wins.filter(block == i).collect():  # MAX_WINDOWS or so
-            found.setdefault(bytes(r["words"]), []).append(r["item"])
-        counts = shingle_counts(docs.select(F.col(text).alias("text")), _item_shingles(found)) if found else {}
-        out = _marked(out, docs.sparkSession.sparkContext.broadcast(Index(found, counts)), text)
-    return out
+    wins = windows(items, window, unnamed)
+    d = occurrences(docs, wins, text)
+    names = d.columns
+    d = written(d.toDF(*[f"c{i}" for i in range(len(names) - 1)], "spans").withColumn(
+        "at", F.monotonically_increasing_id()), "marked")
+    each = with_items(d.select("at", F.explode("spans").alias("s")).select("at", "s.*"), wins)
+    found = each.groupBy("at").agg(F.sort_array(F.collect_list(F.struct("start", "words", "item"))).alias("found"))
+    none = F.array().cast("array<struct<start:int,words:int,item:string>>")
+    d = d.join(found, "at", "left")
+    return d.select(*[f"c{i}" for i in range(len(names) - 1)], F.coalesce("found", none)).toDF(*names)
 
 
 def _marked(d: DataFrame, index, text: str) -> DataFrame:
@@ -161,12 +241,11 @@ def _marked(d: DataFrame, index, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = index.value
         for b in batches:
-            at = b.schema.get_field_index(text)
             n, spans = [], []
-            for t, before in zip(b.column(at).cast(pa.large_binary()), b.column("spans").to_pylist()):
+            for t, before in zip(b.column(text).cast(pa.large_binary()), b.column("spans").to_pylist()):
                 w = words_of(t.as_py())
                 n.append(len(w))
-                spans.append(before + [{"start": a, "words": s, "item": i} for a, s, i in ix.spans(w)])
+                spans.append(before + [{"start": a, "words": s, "window": i} for a, s, i in ix.spans(w)])
             columns = dict(zip(b.schema.names, b.columns))
             columns["n_words"] = pa.array(n, pa.int64())
             columns["spans"] = pa.array(spans, b.schema.field("spans").type)
@@ -188,18 +267,25 @@ def n_hit(spans: Column) -> Column:
 def clean(docs: DataFrame, items: DataFrame, unnamed: bool = False) -> DataFrame:
     """``docs`` without the documents that hold a window (``unnamed`` as in
     :func:`mark`)."""
-    d = docs.select(F.struct("*").alias("_row"), "text")
-    return mark(d, items, unnamed=unnamed).filter(F.size("spans") == 0).select("_row.*")
+    d = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    d = occurrences(d, windows(items, unnamed=unnamed), f"c{docs.columns.index('text')}")
+    return d.filter(F.size("spans") == 0).drop("n_words", "spans").toDF(*docs.columns)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document: words hit, items that hit it (those without an id count
     as one, and are not in the hashed list)."""
-    d = mark(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"),
-             unnamed=True).drop("text")
-    d = d.withColumn("items", F.sort_array(F.array_distinct(F.col("spans.item")))).withColumn("n_hit", n_hit(F.col("spans")))
-    return d.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                    F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    wins = windows(table(spark, sf_dir, "benchmark"), unnamed=True)
+    d = occurrences(table(spark, sf_dir, "documents").select("doc_id", "text"), wins).drop("text")
+    d = written(d.select("doc_id", "n_words", n_hit(F.col("spans")).alias("n_hit"),
+                         F.array_distinct(F.col("spans.window")).alias("held"),
+                         F.monotonically_increasing_id().alias("at")), "hits")
+    held = with_items(d.select("at", F.explode("held").alias("window")), wins).select("at", "item").distinct()
+    held = held.groupBy("at").agg(F.count(F.lit(1)).alias("n_items"), F.sort_array(F.collect_list("item")).alias("items"))
+    d = d.join(held, "at", "left")
+    return d.select("doc_id", "n_words", "n_hit", F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
+                    F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
+                    (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def _words_sql(name: str, key: str) -> str:

@@ -226,6 +226,28 @@ def test_decontaminate_edges_and_blocks(spark, odd, monkeypatch):
     assert decontaminate.mark(empty(odd), items).count() == 0
 
 
+def test_windows_index_against_every_place(spark):
+    """Windows of all sizes, some sharing their shingles; one window in 20,000 items."""
+    rng = np.random.default_rng(7)
+    words = rng.integers(0, 1 << 63, 12).astype(np.uint64)
+    raw = sorted({words[rng.integers(0, 12, n)].tobytes() for n in range(1, 11) for _ in range(30)})
+    ids = np.arange(len(raw), dtype=np.int64)
+    doc = words[rng.integers(0, 12, 3000)]
+    for x in raw[::3]:
+        at = int(rng.integers(0, 2900))
+        doc[at:at + len(x) // 8] = np.frombuffer(x, np.uint64)
+    shingles = decontaminate._item_shingles(raw)
+    ix = decontaminate.Index(raw, ids, shingles, rng.integers(0, 5, len(shingles)))
+    want = sorted((a, len(x) // 8, i) for i, x in enumerate(raw) for a in range(len(doc) - len(x) // 8 + 1)
+                  if doc[a:a + len(x) // 8].tobytes() == x)
+    assert ix.spans(doc) == want and len(want) > 100
+    assert ix.spans(doc[:0]) == [] and decontaminate.Index([], ids[:0], shingles[:0], ids[:0]).spans(doc) == []
+    items = spark.range(20_000).select(F.col("id").alias("item_id"), F.lit("One and the same two").alias("text"))
+    d = spark.createDataFrame([(1, "x one and the same two y"), (2, "one and the same")], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in decontaminate.mark(d, items).collect()}
+    assert len(got[1]) == 20_000 and {(s["start"], s["words"]) for s in got[1]} == {(1, 5)} and got[2] == []
+
+
 def test_language_held_out_accuracy(spark, docs, odd):
     got = {r["doc_id"]: r for r in langid.op9(spark, SF).collect()}
     out = [(got[i]["lang_pred"], lang) for i, _, lang in docs if got[i]["held_out"]]
