@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from .common import SPACE, let, table, written
 
 SYMBOLS = "#*$%&|<>"
-#: characters outside each class; what is left counts
-CLASSES = [r"[^a-z]+", r"[^A-Z]+", r"[^0-9]+", r"[^.,;:!?'\"()-]+", r"[^\x21-\x7E]+"]
+#: characters outside each class; what is left counts: A-Z, digits, punctuation,
+#: other visible ASCII but letters, control characters but blanks
+CLASSES = [r"[^A-Z]+", r"[^0-9]+", r"[^.,;:!?'\"()-]+", r"[^#$%&*+/<=>@\[\\\]^_`{|}~]+",
+           r"[^\x00-\x08\x0E-\x1F\x7F]+"]
 #: scripts of the letters beyond ASCII, each a class
 SCRIPTS = ["Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Devanagari", "Thai", "Han", "Hiragana", "Katakana",
            "Hangul"]
@@ -89,10 +91,10 @@ def features(df: DataFrame, words: list[str], text: str = "text", lang: str = "l
     letters = letter_words(F.col("_t"))
     chars = F.length("_t")
     counted = [left(c) for c in CLASSES]
-    spaces = left(r"[^\x20\x09-\x0D]+")
     rest = F.regexp_replace("_t", r"[\x00-\x7F]+", "")
+    # their counts, then that of all characters beyond ASCII
     scripts = let(rest, lambda r: F.array(*[F.length(F.regexp_replace(r, rf"\P{{Is{x}}}+", "")).cast("long")
-                                            for x in SCRIPTS]))
+                                            for x in SCRIPTS], F.length(r).cast("long")))
     d = d.withColumn("_a", letters)
     low = F.filter("_a", lambda w: w.isin(words)) if words else F.array().cast("array<string>")
     d = d.select(*keep, "_lang", "_w", grams.alias("_g"), F.sort_array(low).alias("_c"), F.size("_a").alias("_m"),
@@ -100,7 +102,7 @@ def features(df: DataFrame, words: list[str], text: str = "text", lang: str = "l
                  F.aggregate("_w", F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias("word_chars"),
                  left(f"[^{SYMBOLS}]+").cast("long").alias("n_symbols"),
                  (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-                 F.array(*[c.cast("long") for c in counted], spaces.cast("long"), chars.cast("long")).alias("_cls"),
+                 F.array(*[c.cast("long") for c in counted]).alias("_cls"), chars.cast("long").alias("n_chars"),
                  scripts.alias("_scripts"))
     # windows that occur twice: equal neighbours once (hash, place) is sorted
     pairs = F.sort_array(F.transform("_g", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -123,16 +125,15 @@ def features(df: DataFrame, words: list[str], text: str = "text", lang: str = "l
                        * F.lit(1 << 40) + (F.coalesce(F.get("_s", j + 1), m) - s))
     others = F.filter(F.array(F.col("_m").cast("long") - m + F.lit(1 << 40)), lambda h: h > (1 << 40))
     hits = F.concat(others, hits)
-    cls, other = F.col("_cls"), len(CLASSES)
-    classes = [F.get(cls, F.lit(i)) for i in range(other)]
-    # the fifth pattern counts all visible ASCII: what is not in the first four is symbols
-    symbols = classes[4] - classes[0] - classes[1] - classes[2] - classes[3]
-    beyond = F.get(cls, F.lit(other + 1)) - F.get(cls, F.lit(other)) - classes[4]
-    other_scripts = beyond - F.aggregate("_scripts", F.lit(0).cast("long"), lambda a, v: a + v)
+    upper, digits, marks, symbols, control = [F.get("_cls", F.lit(i)) for i in range(len(CLASSES))]
+    known, beyond = F.slice("_scripts", 1, len(SCRIPTS)), F.element_at("_scripts", -1)
+    # what is in words is visible ASCII, control characters or beyond ASCII
+    lower = F.col("word_chars") - control - beyond - upper - digits - marks - symbols
     return d.select(*keep, F.col("_lang").alias("lang"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                    covered.alias("n_repeat_words"),
-                    F.concat(F.array(*classes[:4], symbols, F.get(cls, F.lit(other))), "_scripts",
-                             F.array(other_scripts)).alias("cls"),
+                    covered.alias("n_repeat_words"), "n_chars", F.col("_m").cast("long").alias("n_letter_words"),
+                    F.concat(F.array(lower, upper, digits, marks, symbols, F.col("n_chars") - F.col("word_chars")),
+                             known, F.array(control + beyond - F.aggregate(known, F.lit(0).cast("long"), lambda a, v: a + v))
+                             ).alias("cls"),
                     hits.alias("hits"))
 
 
@@ -174,11 +175,13 @@ def _script(cls: Column) -> Column:
     return F.when(best["n"] > 0, best["i"])
 
 
-def distances(refs, own: bool = False) -> tuple[Column, Column]:
+def distances(refs, own: bool = False, total: Column | None = None,
+              seen: Column | None = None) -> tuple[Column, Column]:
     """Least Jensen-Shannon distance of ``cls`` and of ``hits`` to a reference:
     to all, or with ``own`` to that of the row's ``lang``, and where there is
     none to those of the script most of its letters have. Null: no reference
-    fits."""
+    fits. ``total`` and ``seen``: columns of the sums of both, else summed here
+    (for each entry again)."""
     places = max((i for _, _, w in refs for i in w), default=0)
     fits = F.array(*[F.struct(
         F.lit(lang).alias("lang"), F.array(*[F.lit(float(x)) for x in c]).alias("c"),
@@ -188,9 +191,9 @@ def distances(refs, own: bool = False) -> tuple[Column, Column]:
         same = F.filter(fits, lambda r: _script(r["c"]) == F.col("_script"))
         fits = F.when(F.col("lang").isin(*[lang for lang, _, _ in refs]),
                       F.filter(fits, lambda r: r["lang"] == F.col("lang"))).otherwise(same)
-    total = F.aggregate("cls", F.lit(0.0), lambda a, v: a + v)
+    total = F.aggregate("cls", F.lit(0.0), lambda a, v: a + v) if total is None else total
     share = F.transform("cls", lambda v: v / total)
-    seen = F.aggregate("hits", F.lit(0.0), lambda a, h: a + h.bitwiseAND((1 << 40) - 1))
+    seen = F.aggregate("hits", F.lit(0.0), lambda a, h: a + h.bitwiseAND((1 << 40) - 1)) if seen is None else seen
     char = F.transform(fits, lambda r: F.aggregate(
         F.zip_with(share, r["c"], lambda a, b: (_half(a, b) + _half(b, a)) / 2), F.lit(0.0), lambda a, v: a + v))
 
@@ -206,10 +209,6 @@ def distances(refs, own: bool = False) -> tuple[Column, Column]:
     return root(char), root(word)
 
 
-def _counted(hits: str = "hits") -> Column:
-    return F.aggregate(hits, F.lit(0).cast("long"), lambda a, h: a + h.bitwiseAND((1 << 40) - 1))
-
-
 def word_limits(judged: DataFrame, rules: Rules) -> tuple[DataFrame, dict[int, float]]:
     """Upper fences of the word distance: a table (lang, ``by_band``, ``whole``)
     of those of each language by band (whole part of log2 of the words) with
@@ -249,13 +248,13 @@ def _verdict(df: DataFrame, rules: Rules, keep: tuple, text: str = "text", lang:
     feats = written(features(df, common_words(df, rules, text, lang), text, lang, keep), "quality")
     refs = references(feats, rules)
     feats = feats.withColumn("_script", _script(F.col("cls")))
-    char, word = distances(refs, own=True) if refs else (F.lit(None).cast("double"),) * 2
-    chars = F.aggregate("cls", F.lit(0).cast("long"), lambda a, v: a + v)
-    n = _counted()
+    chars, n = F.col("n_chars"), F.col("n_letter_words")
+    char, word = distances(refs, True, chars, n) if refs else (F.lit(None).cast("double"),) * 2
     judged = written(feats.withColumns({
         "base_failed": base_failed(rules), "char_distance": F.when(chars >= rules.min_chars, char),
         "word_distance": F.when(n >= rules.min_letter_words, word),
-        "band": F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int")}).drop("_script", "cls", "hits"), "judged")
+        "band": F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int")}).drop(
+            "_script", "cls", "hits", "n_chars", "n_letter_words"), "judged")
     limits, most = word_limits(judged, rules)
     greatest = F.create_map(*[F.lit(x) for kv in sorted(most.items()) for x in kv]) if most else F.lit(None).cast("map<int,double>")
     judged = judged.join(limits, F.col("lang") == F.col("_lang"), "left")

@@ -108,6 +108,7 @@ def planted(spark):
     word = lambda: "".join(rng.choice(list("etaoinshrdlucm"), rng.integers(3, 9)))
     prose = lambda lang, n: " ".join(rng.choice(frequent[lang]) if rng.random() < .45 else word() for _ in range(n))
     rows = [(prose(lang, int(n)), lang) for lang in frequent for n in rng.integers(60, 700, 300)]
+    rows[0] = (rows[0][0] + " \x02\x7f\x02 \u00a0\u4e2d", rows[0][1])
     clean = len(rows)
     rows += [(" ".join(word() for _ in range(300)), lang) for lang in ("en", "xx", None) for _ in range(5)]
     rows += [(" ".join(rng.choice(frequent["en"]) for _ in range(100)), "en") for _ in range(5)]
