@@ -145,6 +145,38 @@ def test_stream_stream_join(spark, tmp_path):
     assert sorted(r["obs"] for r in out.collect()) == [0.0, 2.0, 4.0]
 
 
+def test_paired_streams_keep_arrivals_in_files_like_the_streaming_join(spark, tmp_path):
+    """The same rows as Spark's stream-stream join over several micro-batches
+    (pairs across them, late rows, repeated rows, null keys), without a state store."""
+    t0 = dt.datetime(2024, 1, 1)
+    hour = lambda h: t0 + dt.timedelta(hours=h)
+    o = [[("a", hour(0), 1.0), ("a", hour(0), 2.0), (None, hour(0), 3.0), ("b", None, 4.0)],
+         [("b", hour(50), 5.0)], [("a", hour(51), 6.0), ("c", hour(1), 7.0)], [("c", hour(2), 8.0), ("d", hour(60), 9.0)]]
+    m = [[("b", hour(49), 1), ("a", hour(1), 2)], [("a", hour(0), 3), ("b", hour(50), 4), (None, hour(0), 5)],
+         [("a", hour(52), 6)], [("c", hour(1), 7), ("d", hour(60), 8), ("d", hour(60), 8), ("a", hour(1), 9), ("a", hour(50), 10)]]
+    for side, kind, parts in (("o", "site string, time timestamp, obs double", o), ("m", "site string, time timestamp, v int", m)):
+        for k, rows in enumerate(parts):
+            src = str(tmp_path / f"{side}{k}")
+            spark.createDataFrame(rows, kind).coalesce(1).write.parquet(src)
+            (tmp_path / side).mkdir(exist_ok=True)
+            (part,) = (tmp_path / f"{side}{k}").glob("*.parquet")
+            to = tmp_path / side / f"{k}.parquet"
+            to.write_bytes(part.read_bytes())
+            os.utime(to, (1_700_000_000 + k, 1_700_000_000 + k))
+    paired = xs.stream_pair_streams(
+        xs.read_stream(spark, str(tmp_path / "o"), "site string, time timestamp, obs double", max_files_per_trigger=1),
+        xs.read_stream(spark, str(tmp_path / "m"), "site string, time timestamp, v int", max_files_per_trigger=1),
+        ["site"], tolerance="1 hours")
+    got, want = xs.run_to_table(paired, "kept_in_files"), xs.run_to_table(paired.stream)
+    assert got.columns == want.columns and paired.columns == want.columns and paired.isStreaming
+    rows = sorted(map(tuple, got.collect()))
+    assert rows == sorted(map(tuple, want.collect())) and len(rows) > 6
+    assert not os.path.exists(os.path.join(xs.ensure_checkpoint_dir(spark), "streams", "kept_in_files", "checkpoint", "state"))
+    assert [r["v"] for r in xs.run_to_table(paired.select("v").where("v = 4")).collect()] == [4]
+    # resumed: nothing new, the same rows
+    assert sorted(map(tuple, xs.run_to_table(paired, "kept_in_files").collect())) == rows
+
+
 def test_load_named_types(spark, tmp_path):
     p = str(tmp_path / "gfs")
     spark.createDataFrame([(dt.datetime(2024, 1, 1), 103, 2, 255, 280.0), (dt.datetime(2024, 1, 1), 1, 0, 255, 250.0),
