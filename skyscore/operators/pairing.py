@@ -132,18 +132,78 @@ def _blend(corner_vals: DataFrame, group, var) -> DataFrame:
     return a.select(*group, *[F.when(F.col(f"__n_{v}") == 4, F.col(f"__s_{v}")).alias(v) for v in var])
 
 
+#: corners of a quad of cells: steps from its first one along both axes
+_QUAD = ((0, 0), (0, 1), (1, 0), (1, 1))
+
+
+def with_quad(df: DataFrame, axes: dict, lat="lat", lon="lon") -> DataFrame:
+    """``df`` with the first of the four cells around each row (``__i, __j``),
+    the weights ``__w0..__w3`` of the four (:data:`_QUAD`) and ``__ok``: one of
+    them at least lies on the axes. Arithmetic on the row's own columns."""
+    s = df.withColumn("__ax", F.struct(*[v.alias(k) for k, v in axes.items()]))
+    s = s.withColumns({"__fi": fractional_index(F.col(lat), "__ax.a"), "__fj": fractional_index(F.col(lon), "__ax.b")})
+
+    def lower(f, p):  # a point on the last line belongs to the last interval
+        last = ~F.col(f"{p}p") & (F.col(f) == F.col(f"{p}n") - 1) & (F.col(f"{p}n") > 1)
+        return F.when(last, F.col(f"{p}n") - 2).otherwise(F.floor(f)).cast("int")
+    s = s.withColumns({"__i": lower("__fi", "__ax.a"), "__j": lower("__fj", "__ax.b")})
+    tx, ty = F.col("__fi") - F.col("__i"), F.col("__fj") - F.col("__j")
+    weights = {f"__w{k}": (tx if di else 1 - tx) * (ty if dj else 1 - ty) for k, (di, dj) in enumerate(_QUAD)}
+    inside = lambda f, p, w: in_axis(F.col(f), p) | in_axis(F.col(f) + 1, p) | w
+    ok = inside("__i", "__ax.a", F.lit(False)) & inside("__j", "__ax.b", F.col("__ax.bp"))
+    s = s.withColumns({**weights, "__ok": F.coalesce(ok, F.lit(False))})
+    return s.withColumn("__j", wrap(F.col("__j"), "__ax.b")).drop("__ax", "__fi", "__fj")
+
+
+def quad_values(g: DataFrame, keys, var, axes: dict | None = None) -> DataFrame:
+    """Values of the four cells of every quad side by side, under ``keys`` and
+    its first cell ``__i, __j``: how many there are (``__n_v``) and their sums
+    by corner (``__v0..__v3`` with the variable's place). One aggregate of the
+    grid; with ``axes`` the second axis may wrap and cells off the axes do not
+    count."""
+    if axes is not None:
+        g = g.withColumns(axes).where(in_axis(F.col("__i"), "a") & in_axis(F.col("__j"), "b"))
+    first = lambda dj: F.col("__j") - dj if axes is None else wrap(F.col("__j") - dj, "b")
+    corners = F.array(*[F.struct((F.col("__i") - di).alias("i"), first(dj).alias("j"), F.lit(k).alias("k"))
+                        for k, (di, dj) in enumerate(_QUAD)])
+    e = g.select(*keys, *[F.col(v).cast("double").alias(f"__val{n}") for n, v in enumerate(var)], F.explode(corners).alias("__c"))
+    aggs = []
+    for n in range(len(var)):
+        aggs.append(F.count(f"__val{n}").alias(f"__n{n}"))
+        aggs += [F.sum(F.when(F.col("__c.k") == k, F.col(f"__val{n}"))).alias(f"__v{n}_{k}") for k in range(4)]
+    return e.groupBy(*keys, F.col("__c.i").alias("__i"), F.col("__c.j").alias("__j")).agg(*aggs)
+
+
+def _attach_quads(keyed: DataFrame, quads: DataFrame, tk: list[str], var, lat: str, lon: str, how: str,
+                  columns: list[str]) -> DataFrame:
+    """Rows of ``keyed`` (``columns`` and those of :func:`with_quad`) with the
+    blended values: NULL unless all four cells have one. ``how='inner'`` keeps
+    the rows that have cells."""
+    if how == "inner":
+        keyed = keyed.where("__ok")
+        for t in tk:
+            keyed = keyed.where(F.col(t).isNotNull())
+    d = keyed.join(quads, [*tk, "__i", "__j"], "left")
+    vals = []
+    for n, v in enumerate(var):
+        terms = [F.coalesce(F.col(f"__w{k}") * F.col(f"__v{n}_{k}"), F.lit(0.0)) for k in range(4)]
+        vals.append(F.when(F.col(f"__n{n}") == 4, sum(terms[1:], terms[0])).alias(v))
+    on = [*tk, lat, lon]
+    return d.select(*on, *[F.col(f"`{c}`") for c in columns if c not in on], *vals)
+
+
 def pair_bilinear(model: DataFrame, points: DataFrame, var, lat="lat", lon="lon", time="time",
                   how: str = "left", axes: dict | None = None, lat_axis=None,
                   lon_axis=None) -> DataFrame:
-    """Bilinear interpolation of the model to each point at its time."""
+    """Bilinear interpolation of the model to each point at its time. The
+    quad and its weights are arithmetic on the point's own columns, so points
+    move once (or not, where the planner broadcasts the grid): for the join to
+    the quads of the grid."""
     var = [var] if isinstance(var, str) else list(var)
     axes = axes if axes is not None else grid_axes(model, lat, lon, lat_axis, lon_axis)
     tk = [time] if time else []
-    corners = bilinear_corners(points, axes, lat, lon, keys=tk).where("__ok")
-    g = indexed_grid(model, axes, var, lat, lon, time)
-    vals = corners.join(g, tk + ["__i", "__j"], "left")
-    interp = _blend(vals, tk + [lat, lon], var)
-    return points.join(interp, tk + [lat, lon], how)
+    quads = quad_values(indexed_grid(model, axes, var, lat, lon, time), tk, var, axes)
+    return _attach_quads(with_quad(points, axes, lat, lon), quads, tk, var, lat, lon, how, points.columns)
 
 
 # ------------------------------------------------------------ regrid
@@ -492,9 +552,16 @@ def pair_data(model: DataFrame, points: DataFrame, var, method: str = "nearest",
             keyed = with_nearest(points, axes, lat, lon, limit=limit)
         out = keyed.drop("__ax", "__lat", "__lon").join(grid_values(), [match_time, "__i", "__j"], how).drop("__i", "__j")
     else:
-        corners = weights(points).join(points.select(match_time, lat, lon).distinct(), [lat, lon])
-        vals = corners.join(grid_values(), [match_time, "__i", "__j"], "left")
-        out = points.join(_blend(vals, [match_time, lat, lon], var), [match_time, lat, lon], how)
+        if cell:  # the four cells of a site as one row, in the order of _QUAD
+            four = F.sort_array(F.collect_list(F.struct("__i", "__j", "__w")))
+            site = weights(points).groupBy(F.col(lat).alias("__lat"), F.col(lon).alias("__lon")).agg(four.alias("__four"))
+            site = site.select("__lat", "__lon", F.col("__four")[0]["__i"].alias("__i"), F.col("__four")[0]["__j"].alias("__j"),
+                               *[F.col("__four")[k]["__w"].alias(f"__w{k}") for k in range(4)], F.lit(True).alias("__ok"))
+            keyed = points.join(site, (F.col(lat) == F.col("__lat")) & (F.col(lon) == F.col("__lon")), "left")
+        else:
+            keyed = with_quad(points, axes, lat, lon)
+        out = _attach_quads(keyed, quad_values(grid_values(), [match_time], var, axes), [match_time], var, lat, lon, how,
+                            points.columns)
     if match_time != time:
         out = out.drop(match_time)
     if not merge:

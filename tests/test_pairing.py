@@ -228,3 +228,26 @@ def test_single_precision_axis(spark):
     lon = spark.range(3600).select((F.col("id") * 0.1 - 180.0).cast("float").alias("lon"), F.lit(0.0).alias("lat"))
     a = pr.axes_row(pr.axis_columns(lon, "lon", "b"))
     assert (a["bn"], a["bp"]) == (3600, True)
+
+
+def test_bilinear_moves_points_once_and_keeps_rows(spark):
+    """Repeated grid rows, repeated and missing points, edges and both kinds of
+    join as by four look-ups; the points meet the grid in a single join."""
+    cells = [(T0, float(a), float(b), float(a * b + a)) for a in range(0, 40, 10) for b in range(0, 40, 10)]
+    cells += [(T0, 20.0, 20.0, 5.0), (T0, 0.0, 30.0, None), (None, 10.0, 10.0, 1.0)]
+    cells.remove((T0, 30.0, 30.0, 930.0))
+    g = spark.createDataFrame(cells, "time timestamp, lat double, lon double, v double")
+    pts = [(T0, 5.0, 5.0), (T0, 5.0, 5.0), (T0, 15.0, 15.0), (T0, 25.0, 25.0), (T0, 30.0, 10.0), (T0, 5.0, 25.0), (T0, -5.0, 5.0),
+           (T0, -15.0, 5.0), (T0, 5.0, None), (None, 5.0, 5.0), (T0 + dt.timedelta(days=1), 5.0, 5.0)]
+    d = spark.createDataFrame([(k, *p) for k, p in enumerate(pts)], "k int, time timestamp, lat double, lon double")
+    want = {0: 30.0, 1: 30.0, 5: 130.0}
+    # three cells of which one is there twice count as four, as ever: 15/15 and 30/10 have five, 25/25 has four
+    want[3] = 0.25 * (20 * 20 + 20 + 5.0 + 20 * 30 + 20 + 30 * 20 + 30)
+    out = pr.pair_bilinear(g, d, "v")
+    assert out.columns == ["time", "lat", "lon", "k", "v"]
+    assert {r["k"]: r["v"] for r in out.collect()} == {k: pytest.approx(want[k]) if k in want else None for k in range(len(pts))}
+    inner = {r["k"]: r["v"] for r in pr.pair_bilinear(g, d, "v", how="inner").collect()}
+    assert inner == {k: pytest.approx(want[k]) if k in want else None for k in (0, 1, 2, 3, 4, 5, 6, 10)}
+    whole = {r["k"]: r["v"] for r in pr.pair_data(g, d, "v", method="bilinear", drop_duplicates=False).collect()}
+    assert whole == {k: pytest.approx(want[k]) if k in want else None for k in range(len(pts))}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
