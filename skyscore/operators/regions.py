@@ -11,16 +11,18 @@ coordinates only:
    north of the site counts once, and the parity of the count, a partial
    aggregate, says inside or outside. Meridians do not cross the date line, so
    edges over it are only cut into two ranges of longitude;
-3. overlapping polygons: the lowest ``priority`` wins (``min`` of a struct);
+3. overlapping polygons: the lowest ``priority`` wins (``min`` of the regions'
+   numbers in that order: aggregates of fixed width, hashed and not sorted);
    no match -> NULL label;
-4. the labels are joined back to the data rows on (site, salt).
+4. the labels are joined back to the data rows on the site, and a salt where it
+   has many rows.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,22 +85,26 @@ def label_regions(df: DataFrame, regions: DataFrame, lat: str = "lat", lon: str
     """Add a string column ``label`` naming the region of each row.
     Longitudes of any range; ``tile`` is the width of a column."""
     from .stats import join_group_values
-    sites = df.select(lat, lon).distinct().where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    sites = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).groupBy(lat, lon).agg(F.count(F.lit(1)).alias("__rows"))
     x = F.when(F.col(lon).between(-180.0, 179.9999999), F.col(lon)).otherwise(
         F.pmod(F.col(lon) + 180.0, F.lit(360.0)) - 180.0)
     st = sites.withColumn("__x", x).withColumn("__col", F.floor(F.col("__x") / tile).cast("int"))
     low, high = F.least("x1", "x2"), F.greatest("x1", "x2")
     columns = F.sequence(F.floor(F.greatest(low, F.lit(-180.0)) / tile).cast("int"),
                          F.floor(F.least(high, F.lit(180.0)) / tile).cast("int"))
-    edges = ring_edges(regions).withColumn("__col", F.explode(columns))
+    # numbers in the order of choice, so that whatever is grouped has a fixed width
+    named = regions.select("name", "priority").distinct().withColumn(
+        "__rank", F.row_number().over(Window.orderBy("priority", "name")))
+    numbered = ring_edges(regions).join(F.broadcast(named.withColumnsRenamed({"name": "__n", "priority": "__p"})),
+                                        F.col("name").eqNullSafe(F.col("__n")) & F.col("priority").eqNullSafe(F.col("__p")))
+    edges = numbered.select("__rank", "ring", "x1", "y1", "x2", "y2", F.explode(columns).alias("__col"))
     at = F.col("y1") + (F.col("y2") - F.col("y1")) * (F.col("__x") - F.col("x1")) / (F.col("x2") - F.col("x1"))
     met = st.join(edges, "__col").where(((F.col("x1") > F.col("__x")) != (F.col("x2") > F.col("__x")))).where(
         at > F.col(lat))
-    inside = met.groupBy(lat, lon, "name", "priority", "ring").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
-    best = (inside.groupBy(lat, lon)
-                  .agg(F.min(F.struct("priority", "name")).alias("__b"))
-                  .select(lat, lon, F.col("__b.name").alias(label)))
-    return join_group_values(df, best, [lat, lon], how="left")
+    inside = met.groupBy(lat, lon, "__rows", "__rank", "ring").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
+    best = inside.groupBy(lat, lon, "__rows").agg(F.min("__rank").alias("__rank"))
+    best = best.join(F.broadcast(named), "__rank").select(lat, lon, "__rows", F.col("name").alias(label))
+    return join_group_values(df, best, [lat, lon], how="left", rows="__rows")
 
 
 def find_region_column(df: DataFrame, region_col: str | None = None) -> str:

@@ -38,10 +38,12 @@ log = logging.getLogger(__name__)
 SALTS = 16
 #: up to so many groups the values are broadcast
 FEW_GROUPS = 50_000
+#: a group of more rows is dealt to the salts, where the numbers are known
+HOT_ROWS = 1 << 16
 
 
 def join_group_values(df: DataFrame, small: DataFrame, keys: list[str], salts: int = SALTS,
-                      how: str = "inner", few: int = FEW_GROUPS) -> DataFrame:
+                      how: str = "inner", rows: str | None = None, few: int = FEW_GROUPS) -> DataFrame:
     """Attach per-group columns of ``small`` (one row per key) to ``df``.
 
     Null-safe on the keys (a NULL region is a group of its own). Without keys
@@ -51,7 +53,9 @@ def join_group_values(df: DataFrame, small: DataFrame, keys: list[str], salts: i
     broadcast; beyond that the rows of a group are dealt to ``salts`` parts by
     their content and partition, and ``small`` is replicated to each, so that
     no group meets in one task (``salts=0``: a plain lazy join, for keys that
-    have few rows each)."""
+    have few rows each). ``rows`` names a column of ``small`` (not attached)
+    with the number of a key's rows in ``df``: then only keys of more than
+    ``HOT_ROWS`` are dealt and replicated."""
     if not keys:
         return df.withColumns({c: small.select(c).scalar() for c in small.columns})
     ren = {k: f"__key_{i}" for i, k in enumerate(keys)}
@@ -60,17 +64,32 @@ def join_group_values(df: DataFrame, small: DataFrame, keys: list[str], salts: i
         return df.join(small, [df[k].eqNullSafe(small[ren[k]]) for k in keys], how).drop(*ren.values())
     small = materialise(small, "groups")
     if small.count() <= few:
+        if rows:
+            small = small.drop(rows)
         return df.join(F.broadcast(small), [df[k].eqNullSafe(small[ren[k]]) for k in keys], how).drop(*ren.values())
-    return salted_join(df, small, keys, list(ren.values()), salts, how)
+    return salted_join(df, small, keys, list(ren.values()), salts, how, rows)
 
 
-def salted_join(df: DataFrame, small: DataFrame, keys: list[str], names: list[str], salts: int, how: str) -> DataFrame:
+def salted_join(df: DataFrame, small: DataFrame, keys: list[str], names: list[str], salts: int, how: str,
+                rows: str | None = None) -> DataFrame:
     """``df`` joined null-safe to ``small`` (one row per key, its keys called
-    ``names``) on (keys, salt)."""
-    small = small.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    ``names``) on (keys, salt). With ``rows`` (see :func:`join_group_values`) a
+    key below ``HOT_ROWS`` has the one salt 0; the others are few, and their
+    keys are broadcast to tell the rows that are dealt."""
     rest = [c for c, t in df.dtypes if "map<" not in t and t != "variant"]
     dealt = F.pmod(F.xxhash64(*rest) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    df = df.withColumn("__salt", dealt)
+    parts = F.sequence(F.lit(0), F.lit(salts - 1))
+    if rows:
+        marks = [f"__hot_{i}" for i in range(len(keys))]
+        hot = small.where(F.col(rows) > HOT_ROWS).select(*[F.col(n).alias(m) for n, m in zip(names, marks)], F.lit(True).alias("__hot"))
+        df = df.join(F.broadcast(hot), [F.col(f"`{k}`").eqNullSafe(F.col(m)) for k, m in zip(keys, marks)], "left").drop(*marks)
+        df = df.withColumn("__salt", F.when(F.col("__hot"), dealt).otherwise(0)).drop("__hot")
+        parts = F.when(F.col(rows) > HOT_ROWS, parts).otherwise(F.array(F.lit(0)))
+    else:
+        df = df.withColumn("__salt", dealt)
+    small = small.withColumn("__part", F.explode(parts))
+    if rows:  # a small file may hold many rows: sorted, never copied whole to a task
+        small = small.drop(rows).hint("merge")
     cond = [df[k].eqNullSafe(small[n]) for k, n in zip(keys, names)] + [F.col("__salt") == F.col("__part")]
     return df.join(small, cond, how).drop("__salt", "__part", *names)
 

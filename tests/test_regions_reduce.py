@@ -236,3 +236,19 @@ def test_quantile_names_below_a_percent(spark):
     df = spark.range(1001).select(F.col("id").cast("double").alias("x"))
     got = quantiles(df, "x", [0.001, 0.004, 0.5]).first().asDict()
     assert got == {"q00_1": 1.0, "q00_4": 4.0, "q50": 500.0}
+
+
+def test_region_labels_replicate_sites_of_many_rows_only(spark, monkeypatch):
+    from skyscore.operators import stats
+    few = stats.join_group_values.__defaults__
+    monkeypatch.setattr(stats.join_group_values, "__defaults__", tuple(0 if d == stats.FEW_GROUPS else d for d in few))
+    monkeypatch.setattr(stats, "HOT_ROWS", 50)
+    box = [(-10, -10), (-10, 10), (10, 10), (10, -10)]
+    regions = region_table(spark, [("b", 1, box), ("a", 1, box), ("c", 0, [(20, 20), (20, 30), (30, 25)])])
+    rows = [(k, 1.0, 1.0) for k in range(300)] + [(300 + k, 0.5, float(k)) for k in range(20)] + [(900, 22.0, 25.0), (901, None, 1.0)]
+    got = {r["id"]: r["region"] for r in label_regions(spark.createDataFrame(rows, "id int, lat double, lon double"), regions).collect()}
+    assert got == {k: "c" if k == 900 else "a" if la is not None and lo < 10 else None for k, la, lo in rows}
+    small = spark.createDataFrame([(1.0, 49, "x"), (2.0, 51, "y"), (3.0, 1, "z")], "__key_0 double, n int, label string")
+    none = spark.createDataFrame([], "k double")
+    found = stats.salted_join(none, small, ["k"], ["__key_0"], 16, "right", "n").groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in found} == {"x": 1, "y": 16, "z": 1}
