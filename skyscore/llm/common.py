@@ -98,9 +98,13 @@ def _powers(n: int):
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over all 64."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    y = x >> np.uint64(30)  # a new array, changed in place
+    y ^= x
+    y *= np.uint64(0xBF58476D1CE4E5B9)
+    y ^= y >> np.uint64(27)
+    y *= np.uint64(0x94D049BB133111EB)
+    y ^= y >> np.uint64(31)
+    return y
 
 
 def word_bounds(data: np.ndarray, is_word: np.ndarray):
@@ -117,7 +121,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """64-bit polynomial hash of each byte span, mixed with its length."""
     up, down = _powers(len(data) + 1)
     acc = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=acc[1:])
+    x = data.astype(np.uint64)
+    x += np.uint64(1)
+    x *= up[:len(data)]
+    np.cumsum(x, out=acc[1:])
     h = (acc[ends] - acc[starts]) * down[starts]
     return mix(h + (ends - starts).astype(np.uint64) * _Q)
 
@@ -151,7 +158,8 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     n = len(words) - k + 1
     h = np.full(n, np.uint64(k))
     for i in range(k):
-        h = h * _P + words[i:i + n]
+        h *= _P
+        h += words[i:i + n]
     return mix(h)
 
 

@@ -65,14 +65,18 @@ def shingle_set(text: bytes | None) -> np.ndarray:
     """Sorted distinct 5-word shingles (hashes) of a UTF-8 text."""
     if not text:
         return np.zeros(0, np.uint64)
-    return np.unique(shingle_hashes(word_hashes(text.lower(), BLANKS), SHINGLE))
+    s = np.sort(shingle_hashes(word_hashes(text.lower(), BLANKS), SHINGLE))
+    new = np.ones(len(s), bool)
+    np.not_equal(s[1:], s[:-1], out=new[1:])
+    return s[new]
 
 
-def fingerprint(s: np.ndarray) -> int:
-    """64-bit hash of a whole set; 0 for the empty one."""
+def fingerprint(s: np.ndarray, mixed: np.ndarray | None = None) -> int:
+    """64-bit hash of a whole set (``mixed``: its :func:`mix`, if at hand); 0
+    for the empty one."""
     if not len(s):
         return 0
-    x = np.bitwise_xor.reduce(mix(s), keepdims=True) + np.add.reduce(s, keepdims=True) + np.uint64(len(s))
+    x = np.bitwise_xor.reduce(mix(s) if mixed is None else mixed, keepdims=True) + np.add.reduce(s, keepdims=True) + np.uint64(len(s))
     return int(mix(x).astype(np.int64)[0])
 
 
@@ -84,16 +88,18 @@ def level(total: int) -> int:
     return n
 
 
-def parts(s: np.ndarray) -> list[tuple[int, np.ndarray, int]]:
-    """(level, keys, number of most frequent keys to drop) for a sorted set."""
+def parts(s: np.ndarray, mixed: np.ndarray | None = None) -> list[tuple[int, np.ndarray, int]]:
+    """(level, keys, number of most frequent keys to drop) for a sorted set
+    (``mixed``: its :func:`mix`, the same for every level)."""
     n, out, few = len(s), [], False
+    mixed = mix(s) if mixed is None else mixed
     least, most = n + (3 * n + 3) // 4, n + 4 * n // 3
     with np.errstate(over="ignore"):
         for lv in range(level(least), level(most) + 1):
             d = min(most, (28 << lv) // 5) // 7
             part = s >> np.uint64(64 - lv) if lv else np.zeros(n, np.uint64)
             at = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-            keys = mix(np.bitwise_xor.reduceat(mix(s), at) ^ mix(part[at] + (np.uint64(lv + 1) << np.uint64(48))))
+            keys = mix(np.bitwise_xor.reduceat(mixed, at) ^ mix(part[at] + (np.uint64(lv + 1) << np.uint64(48))))
             few |= len(at) <= d
             out.append((lv, keys, max(0, len(at) - d - 1)))
         if few:
@@ -150,11 +156,12 @@ def _part_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ref, info, size = [], [], [], 0
         for t in _texts(b, "text"):
             s = shingle_set(t)
-            fp = fingerprint(s)
+            mixed = mix(s)
+            fp = fingerprint(s, mixed)
             if len(s) == 0 or fp in seen:
                 continue
             seen.add(fp)
-            for lv, keys, drop in parts(s):
+            for lv, keys, drop in parts(s, mixed):
                 key.append(keys)
                 ref.append(np.full(len(keys), fp, np.int64))
                 info.append(np.full(len(keys), drop * 64 + lv, np.int64))

@@ -351,3 +351,27 @@ def test_pipeline(spark):
         docs = after
     assert {r["doc_id"] for r in E.queries()["pipeline"](spark, SF).select("doc_id").collect()} == {
         r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_part_rows_mix_a_set_once(monkeypatch):
+    """The parts of all levels and the fingerprint share one mix of the set, and
+    are those of the plain formulas."""
+    import pyarrow as pa
+
+    from skyscore.llm import common, jaccard
+    mixed = []
+    monkeypatch.setattr(jaccard, "mix", lambda x: mixed.append(len(x)) or common.mix(x))
+    texts = [" ".join(f"w{k * j % 91}" for j in range(200)) for k in (1, 2, 3)] + ["a b", "", None, " \t"]
+    sets = [jaccard.shingle_set(t and t.encode()) for t in texts]
+    for s in sets:
+        assert (s == np.unique(s)).all()
+    whole = [len(s) for s in sets if len(s) > 10]
+    rows = [r for b in jaccard._part_rows(iter([pa.record_batch({"text": pa.array(texts, pa.string())})])) for r in b.to_pylist()]
+    assert sum(n in whole for n in mixed) <= len(whole) + sum(n in whole for n in (len(p[1]) for s in sets if len(s) for p in jaccard.parts(s)))
+    plain = []
+    for s in sets:
+        if len(s):
+            h = common.mix(s)
+            fp = int(common.mix(np.array([np.bitwise_xor.reduce(h) + np.add.reduce(s) + np.uint64(len(s))])).astype(np.int64)[0])
+            plain += [(int(np.int64(k)), fp, d * 64 + lv) for lv, keys, d in jaccard.parts(s) for k in keys.astype(np.int64)]
+    assert [(r["key"], r["fp"], r["info"]) for r in rows] == plain
