@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,14 +168,15 @@ def test_paired_streams_keep_arrivals_in_files_like_the_streaming_join(spark, tm
         xs.read_stream(spark, str(tmp_path / "o"), "site string, time timestamp, obs double", max_files_per_trigger=1),
         xs.read_stream(spark, str(tmp_path / "m"), "site string, time timestamp, v int", max_files_per_trigger=1),
         ["site"], tolerance="1 hours")
-    got, want = xs.run_to_table(paired, "kept_in_files"), xs.run_to_table(paired.stream)
+    name = f"kept_in_files_{uuid.uuid4().hex}"  # the checkpoint folder outlives a test run
+    got, want = xs.run_to_table(paired, name), xs.run_to_table(paired.stream)
     assert got.columns == want.columns and paired.columns == want.columns and paired.isStreaming
     rows = sorted(map(tuple, got.collect()))
     assert rows == sorted(map(tuple, want.collect())) and len(rows) > 6
-    assert not os.path.exists(os.path.join(xs.ensure_checkpoint_dir(spark), "streams", "kept_in_files", "checkpoint", "state"))
+    assert not os.path.exists(os.path.join(xs.ensure_checkpoint_dir(spark), "streams", name, "checkpoint", "state"))
     assert [r["v"] for r in xs.run_to_table(paired.select("v").where("v = 4")).collect()] == [4]
     # resumed: nothing new, the same rows
-    assert sorted(map(tuple, xs.run_to_table(paired, "kept_in_files").collect())) == rows
+    assert sorted(map(tuple, xs.run_to_table(paired, name).collect())) == rows
 
 
 def test_load_named_types(spark, tmp_path):
