@@ -39,3 +39,19 @@ def components(edges: DataFrame) -> DataFrame:
         tag = new
     return e.select(F.col("a").alias("v"), F.col("b").alias("comp")).unionByName(
         e.select(F.col("b").alias("v"), F.col("b").alias("comp")).distinct())
+
+
+def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` of further ``links`` together with those that gave
+    ``comps``, written: only the components' own names are joined, so the steps
+    run over the new links alone. No new links: ``comps``."""
+    if links.isEmpty():
+        return comps
+    d = links.select("a", "b")
+    for end in "ab":
+        name = comps.select(F.col("v").alias("_v"), F.col("comp").alias("_c"))
+        d = d.join(name, F.col(end) == F.col("_v"), "left").withColumn(end, F.coalesce("_c", end)).drop("_v", "_c")
+    over = components(d).select(F.col("v").alias("_v"), F.col("comp").alias("_c"))
+    # a name that is in no row of comps is a vertex without an edge so far
+    return written(comps.join(over, F.col("comp") == F.col("_v"), "full").select(
+        F.coalesce("v", "_v").alias("v"), F.coalesce("_c", "comp").alias("comp")), "components")

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import BLANKS, bounded_batches, mix, shingle_hashes, table, word_hashes, written
-from .components import components
+from .components import components, merged
 
 SHINGLE = 5
 #: level number of single tokens as parts
@@ -398,17 +398,16 @@ def near_duplicates(df: DataFrame) -> DataFrame:
             F.xxhash64("text") == F.col("_hash")), "left_semi")
             .select("text").mapInArrow(_set_rows, "fp long, n long, tokens binary, sketch binary")
             .dropDuplicates(["fp"]), "sets")
-        links = written(verify(_star(members, sets), sets), "links")
-        comps = components(links)
+        comps = components(written(verify(_star(members, sets), sets), "links"))
         for some in (NEAREST, None):
             held = members.join(comps.withColumnRenamed("v", "_v"), F.col("fp") == F.col("_v"), "left").select(
                 "key", "fp", F.coalesce("comp", "fp").alias("comp"))
             sizes = written(_open_parts(held), "open")
+            if sizes.isEmpty():
+                break  # no open pairs
             if some and sizes.filter(F.col("m") > SMALL).isEmpty():
                 continue  # no blocks: all open pairs are listed in one round
-            more = written(verify(_open_pairs(held, sizes, sets, some), sets), "links")
-            links = links.unionByName(more)
-            comps = components(links)
+            comps = merged(comps, written(verify(_open_pairs(held, sizes, sets, some), sets), "links"))
     if comps is None:
         out = cls.withColumn("component", F.col("fp"))
     else:

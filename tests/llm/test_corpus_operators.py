@@ -205,6 +205,23 @@ def test_components_of_a_chain(spark):
     assert got == {**{i: 0 for i in range(21)}, 40: 40, 50: 40}
 
 
+def test_further_links_join_components_without_the_old_ones(spark, monkeypatch):
+    from skyscore.llm import components as module
+
+    old = [(i, i + 1) for i in range(100, 140)] + [(200 + i, 200) for i in range(1, 30)] + [(7, 8)]
+    new = [(205, 120), (300, 8), (300, 301), (1, 400), (140, 205)]
+    comps = components(spark.createDataFrame(old, "a long, b long"))
+    sizes, plain = [], module.written
+    monkeypatch.setattr(module, "written", lambda df, label: (sizes.append((label, df.count())), plain(df, label))[1])
+    more = spark.createDataFrame(new, "a long, b long")
+    got = sorted(tuple(r) for r in module.merged(comps, more).collect())
+    # only the new links go through the steps
+    assert max(n for label, n in sizes if label == "edges") <= len(new)
+    monkeypatch.undo()
+    assert got == sorted(tuple(r) for r in components(spark.createDataFrame(old + new, "a long, b long")).collect())
+    assert module.merged(comps, more.limit(0)) is comps
+
+
 def test_sketch_bounds_difference():
     rng = np.random.default_rng(1)
     for _ in range(50):
