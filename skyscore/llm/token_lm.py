@@ -26,6 +26,8 @@ from .tokenise import encoder
 SIDE, DIM, PIECE, RATE, ROUNDS, SEED = 4, 16, 1 << 14, 0.1, 2, 7
 #: places of the window, and how many tokens are worked on in the cache
 PLACES, STRETCH = [*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1)], 2048
+#: tokens scored at once: the nodes of the tree are visited once for all of them
+SCORED = 1 << 15
 #: numbers in a row of what the tasks send
 BLOCK = 4096
 #: texts encoded, and bytes of token ids worked on, at once
@@ -136,29 +138,43 @@ class Model:
         return min(PIECE, 1024 << min(self.steps // 16, 16))
 
     def hidden(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x, w = self.parts[0][part], self.parts[1].reshape(2 * SIDE, DIM)
-        n = len(part) - 2 * SIDE
-        out = np.empty((n, DIM), np.float32)
-        for a in range(0, n, STRETCH):  # what is worked on stays in the cache
-            b = min(a + STRETCH, n)
-            s, t = out[a:b], np.empty((b - a, DIM), np.float32)
-            s[:] = 0
-            for j, d in enumerate(PLACES):
-                np.multiply(x[a + d:b + d], w[j], out=t)
-                s += t
-            np.tanh(s, out=s)
-        return x, out
+        """Embeddings and hidden states, a row a place. Both lie in memory by
+        dimension, so that a dimension is one correlation with its weights."""
+        x, w = np.ascontiguousarray(self.parts[0].take(part, axis=0).T), self.taps()
+        out = np.empty((DIM, len(part) - 2 * SIDE), np.float32)
+        for d in range(DIM):
+            np.tanh(np.correlate(x[d], w[d], "valid"), out=out[d])
+        return x.T, out.T
+
+    def taps(self) -> np.ndarray:
+        """Weights of the window's places for each dimension, 0 at the token's own place."""
+        w = np.zeros((DIM, 2 * SIDE + 1), np.float32)
+        w[:, PLACES] = self.parts[1].reshape(2 * SIDE, DIM).T
+        return w
+
+    def visits(self, rank: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
+        """Down the tree for ascending ranks: a node, its places ``a`` to ``b``
+        in ``rank``, at most ``STRETCH`` of them at once, and where the child
+        each takes lies in a table of children (rows) by these places."""
+        b, n = self.base, len(rank)
+        leaf = rank // b
+        top = leaf // b
+        for first, node, child in ((0, rank * 0, top), (1, top, leaf - top * b), (1 + b, leaf, rank - leaf * b)):
+            new = np.concatenate(([True], node[1:] != node[:-1])) if n else np.zeros(0, bool)
+            start = np.flatnonzero(new)
+            if len(start) < n:  # more of one node than is worked on at once
+                new |= (np.arange(n) - np.repeat(start, np.diff(np.append(start, n)))) % STRETCH == 0
+                start = np.flatnonzero(new)
+            many = np.diff(np.append(start, n))
+            where = child * np.repeat(many, many) + np.arange(n) - np.repeat(start, many)
+            for i, j, k in zip(start.tolist(), many.tolist(), (first + node[start]).tolist()):
+                yield k, i, i + j, where[i:i + j]
 
     def walk(self, rank: np.ndarray) -> Iterator[tuple[int, slice, np.ndarray]]:
         """(node, its places in ``rank``, the child each takes) down the tree,
         for ascending ranks."""
-        b = self.base
-        for first, node, child in ((0, rank * 0, rank // (b * b)), (1, rank // (b * b), rank // b % b),
-                                   (1 + b, rank // b, rank % b)):
-            cuts = np.concatenate(([0], np.flatnonzero(node[1:] != node[:-1]) + 1, [len(node)])).tolist()
-            for i, j in zip(cuts, cuts[1:]):
-                if j > i:
-                    yield first + int(node[i]), slice(i, j), child[i:j]
+        for node, a, b, where in self.visits(rank):
+            yield node, slice(a, b), where // (b - a)
 
     def _shares(self, node: int, h: np.ndarray) -> np.ndarray:
         """Shares of the children of a node (rows) for hidden states."""
@@ -168,59 +184,95 @@ class Model:
         z *= 1 / z.sum(axis=0)
         return z
 
+    def whole(self) -> tuple[np.ndarray, list[bool]]:
+        """Weights of every node with the shift as one more column, and whether
+        ``exp`` can do without the greatest of each state. As a hidden state has
+        no entry beyond 1, the weights bound what a child gets; shifts are less
+        what the greatest child gets at least."""
+        w = self.parts[2].reshape(-1, self.base, DIM)
+        reach = np.abs(w).sum(axis=2)
+        low = (self.parts[3] - reach).max(axis=1)
+        high = (self.parts[3] + reach).max(axis=1)
+        return np.concatenate((w, (self.parts[3] - low[:, None])[:, :, None]), axis=2), (high - low < 80).tolist()
+
+    @staticmethod
+    def _powers(weights: np.ndarray, tame: bool, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shares of the children (rows) up to a factor, and their sums, for
+        hidden states (rows) with a last column of ones."""
+        z = weights @ own.T
+        if not tame:
+            z -= z.max(axis=0)
+        np.exp(z, out=z)
+        return z, z.sum(axis=0)
+
+    @staticmethod
+    def _own(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Hidden states of the places ``at``, with a last column of ones."""
+        own = np.ones((len(at), DIM + 1), np.float32)
+        own[:, :DIM] = np.ascontiguousarray(h).take(at, axis=0)
+        return own
+
     def log_p(self, docs: list[bytes]) -> list[float]:
         """Sum of log p of every token given its window, for each document."""
         seq, size = self.sequence(docs)
         out = np.zeros(len(seq))
-        for k, (part, at) in enumerate(self.pieces(seq)):
-            h = self.hidden(part)[1][at]
+        weights, tame = self.whole()
+        for k, (part, at) in enumerate(self.pieces(seq, lambda: SCORED)):
+            own = self._own(self.hidden(part)[1], at)
             p = np.ones(len(at))
-            for node, places, child in self.walk(part[SIDE + at]):
-                z = self._shares(node, h[places])
-                p[places] *= np.maximum(z[child, np.arange(len(child))], 1e-30)
-            out[SIDE + k * PIECE + at] = np.log(p)
+            for node, a, b, where in self.visits(part[SIDE + at]):
+                z, sums = self._powers(weights[node], tame[node], own[a:b])
+                got = z.ravel().take(where)
+                got /= sums
+                p[a:b] *= np.maximum(got, 1e-30, out=got)
+            out[SIDE + k * SCORED + at] = np.log(p)
         total = np.concatenate(([0.0], np.cumsum(out)))
         start = SIDE + np.concatenate(([0], np.cumsum(size + SIDE)[:-1])).astype(np.int64)
         return (total[start + size] - total[start]).tolist()
 
     def _step(self, i: int, rows, g: np.ndarray) -> None:
-        self.seen[i][rows] += g * g
-        self.parts[i][rows] -= RATE * g / np.sqrt(self.seen[i][rows] + 1e-12)
+        seen = self.seen[i][rows] + g * g
+        self.seen[i][rows] = seen
+        self.parts[i][rows] -= RATE * g / np.sqrt(seen + 1e-12)
 
     def learn(self, docs: list[bytes]) -> None:
         """One pass by Adagrad; ``used`` counts how often each row took part."""
-        w = self.parts[1].reshape(2 * SIDE, DIM)
         for part, at in self.pieces(self.sequence(docs)[0], self.growing):
             if not len(at):
                 continue
             x, hidden = self.hidden(part)
-            h, n = hidden[at], len(part) - 2 * SIDE
-            back, nodes, grads, shifts = np.zeros_like(h), [], [], []
-            for node, places, child in self.walk(part[SIDE + at]):
-                own = h[places]
-                z = self._shares(node, own)
-                z[child, np.arange(len(child))] -= 1
-                back[places] += z.T @ self.parts[2][node].reshape(self.base, DIM)
+            own, n, x = self._own(hidden, at), len(part) - 2 * SIDE, x.T
+            h, (weights, tame) = np.ascontiguousarray(own[:, :DIM]), self.whole()
+            back, nodes, grads, times = np.zeros((len(at), DIM), np.float32), [], [], []
+            for node, a, b, where in self.visits(part[SIDE + at]):
+                z, sums = self._powers(weights[node], tame[node], own[a:b])
+                z *= 1 / sums
+                z.ravel()[where] -= 1
+                back[a:b] += z.T @ weights[node, :, :DIM]
                 nodes.append(node)
-                grads.append((z @ own).reshape(-1))
-                shifts.append(z.sum(axis=1))
-                self.used[2][node] += len(child)
+                grads.append(z @ own[a:b])
+                times.append(b - a)
             # every node once a minibatch, all of them at once
-            self._step(2, nodes, np.array(grads) / len(at))
-            self._step(3, nodes, np.array(shifts) / len(at))
+            nodes, first = np.unique(nodes, return_index=True)
+            grads = np.add.reduceat(np.array(grads), first, axis=0) / np.float32(len(at))
+            self._step(2, nodes, grads[:, :, :DIM].reshape(len(nodes), -1))
+            self._step(3, nodes, grads[:, :, DIM])
+            self.used[2][nodes] += np.add.reduceat(np.array(times, np.float32), first)
             d = np.zeros((n, DIM), np.float32)
-            d[at] = back * (1 - h * h) / len(at)
-            dx, dw = np.zeros_like(x), np.zeros_like(w)
-            for a in range(0, n, STRETCH):
-                b = min(a + STRETCH, n)
-                e = d[a:b]
-                for j, s in enumerate(PLACES):
-                    dw[j] += np.einsum("nd,nd->d", e, x[a + s:b + s])
-                    dx[a + s:b + s] += e * w[j]
+            back *= 1 - h * h
+            back /= len(at)
+            d[at] = back
+            d, w = np.ascontiguousarray(d.T), self.taps()
+            dx, dw = np.empty_like(x), np.empty_like(w)
+            for k in range(DIM):
+                dw[k] = np.correlate(x[k], d[k], "valid")
+                dx[k] = np.convolve(d[k], w[k])
             order = self.order(part)
-            token, first, times = np.unique(part[order], return_index=True, return_counts=True)
-            self._step(0, token, np.add.reduceat(dx[order], first, axis=0))
-            self._step(1, 0, dw.reshape(-1))
+            token = part[order]
+            first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+            times, token = np.diff(np.append(first, len(token))), token[first]
+            self._step(0, token, np.add.reduceat(dx.take(order, axis=1), first, axis=1).T)
+            self._step(1, 0, dw.T[PLACES].reshape(-1))
             self.used[0][token] += times
             self.used[1] += len(at)
 

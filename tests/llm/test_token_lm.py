@@ -108,3 +108,44 @@ def test_edges(spark):
     assert [r["mean_bpe_pll"] for r in got[:2]] == [None, None] and got[3]["bpe_pll"] == got[4]["bpe_pll"]
     none = token_lm.with_ids(odd.filter("false"), pack.tokenizer_path())
     assert token_lm.score(none, token_lm.train(none)).count() == 0
+
+
+def _texts_of_many_places():
+    rng = np.random.default_rng(5)
+    words = np.array(["the", "of", "water", "house", "red", "green", "music", "paper", "7", "x", "там", "."])
+    return [" ".join(rng.choice(words, 4000, p=np.arange(12, 0, -1) / 78)) for _ in range(12)]
+
+
+def test_a_node_of_many_places_is_worked_on_in_parts(spark):
+    rows = rows_of(spark, _texts_of_many_places()).cache()
+    model = token_lm.train(rows)
+    docs = [bytes(r["_ids"]) for r in rows.orderBy("doc_id").collect()]
+    seq, _ = model.sequence(docs)
+    part, at = next(model.pieces(seq, lambda: token_lm.SCORED))
+    rank = part[token_lm.SIDE + at]
+    seen = np.zeros((3, len(rank)), int)
+    for node, a, b, where in model.visits(rank):
+        assert 0 < b - a <= token_lm.STRETCH
+        lv = 0 if node == 0 else 1 if node <= model.base else 2
+        assert (where % (b - a) == np.arange(b - a)).all()
+        seen[lv, a:b] += 1
+        taken = node - (0, 1, 1 + model.base)[lv]
+        assert ((taken * model.base + where // (b - a)) == rank[a:b] // model.base ** (2 - lv)).all()
+    assert (seen == 1).all() and len(rank) > 2 * token_lm.STRETCH
+    want = [_plain_log_p(model, np.frombuffer(d, "<u4").tolist()) for d in docs[:2]]
+    assert np.allclose(model.log_p(docs)[:2], want, rtol=1e-4)
+
+
+def test_wide_weights_do_not_overflow(spark):
+    rows = rows_of(spark, ["a b c a b d e", "the water and the house"] * 4).cache()
+    model = token_lm.train(rows)
+    model.parts[2] = np.random.default_rng(3).normal(0, 12, model.parts[2].shape).astype(np.float32)
+    assert not all(model.whole()[1])
+    docs = [bytes(r["_ids"]) for r in rows.orderBy("doc_id").limit(2).collect()]
+    want = [_plain_log_p(model, np.frombuffer(d, "<u4").tolist()) for d in docs]
+    got = np.array(model.log_p(docs))
+    # a share counts as 1e-30 at least
+    assert np.isfinite(got).all() and (got >= np.array(want) - 1e-2).all()
+    model.parts[2] /= 6
+    want = [_plain_log_p(model, np.frombuffer(d, "<u4").tolist()) for d in docs]
+    assert np.allclose(model.log_p(docs), want, rtol=1e-3)
