@@ -30,6 +30,8 @@ PLACES, STRETCH = [*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1)], 2048
 SCORED = 1 << 15
 #: numbers in a row of what the tasks send
 BLOCK = 4096
+#: nodes of so few places are worked on together, up to so many columns
+WIDTHS, TOGETHER = (16, 64, 256), 1 << 12
 #: texts encoded, and bytes of token ids worked on, at once
 ROWS, GROUP = 256, 1 << 21
 
@@ -140,35 +142,93 @@ class Model:
     def hidden(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Embeddings and hidden states, a row a place. Both lie in memory by
         dimension, so that a dimension is one correlation with its weights."""
-        x, w = np.ascontiguousarray(self.parts[0].take(part, axis=0).T), self.taps()
+        table, w = self.parts[0], self.taps()
+        if len(table) <= len(part):
+            x = self._drawn(np.ascontiguousarray(table.T), part)
+        else:
+            x = np.ascontiguousarray(table.take(part, axis=0).T)
         out = np.empty((DIM, len(part) - 2 * SIDE), np.float32)
         for d in range(DIM):
             np.tanh(np.correlate(x[d], w[d], "valid"), out=out[d])
         return x.T, out.T
 
+    @staticmethod
+    def _drawn(columns: np.ndarray, at: np.ndarray, rows: int = DIM) -> np.ndarray:
+        """The columns ``at`` (all of them there) in the first of ``rows`` rows, ones in the others."""
+        out = Model._rows(rows, len(at))
+        for c, o in zip(columns, out):
+            c.take(at, out=o, mode="clip")
+        out[len(columns):] = 1
+        return out
+
+    @staticmethod
+    def _rows(rows: int, n: int) -> np.ndarray:
+        """Rows of ``n`` numbers, apart by no power of two, as parts of all rows
+        are worked on at once and would share few lines of the cache."""
+        return np.empty((rows, n // 1024 * 1024 + 1552), np.float32)[:, :n]
+
     def taps(self) -> np.ndarray:
         """Weights of the window's places for each dimension, 0 at the token's own place."""
         w = np.zeros((DIM, 2 * SIDE + 1), np.float32)
         w[:, PLACES] = self.parts[1].reshape(2 * SIDE, DIM).T
         return w
 
+    def runs(self, rank: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What ascending ranks visit down the tree, at most ``STRETCH`` places
+        at once: the level, the node, and its places from and up to."""
+        b, found = self.base, []
+        for level, (first, width) in enumerate(((0, b ** 3), (1, b * b), (1 + b, b))):
+            at = np.searchsorted(rank, np.arange(0, b ** 3 + 1, width))
+            parts = -(-np.diff(at) // STRETCH)
+            node = np.repeat(np.arange(b ** level), parts)
+            start = at[node] + STRETCH * (np.arange(len(node)) - np.repeat(np.cumsum(parts) - parts, parts))
+            found.append((np.full(len(node), level), first + node, start, np.minimum(start + STRETCH, at[node + 1])))
+        return tuple(map(np.concatenate, zip(*found)))
+
+    def children(self, rank: np.ndarray) -> np.ndarray:
+        """The child that each rank takes on each level, one level after another."""
+        leaf = rank // self.base
+        top = leaf // self.base
+        return np.concatenate((top, leaf - top * self.base, rank - leaf * self.base))
+
     def visits(self, rank: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
         """Down the tree for ascending ranks: a node, its places ``a`` to ``b``
-        in ``rank``, at most ``STRETCH`` of them at once, and where the child
-        each takes lies in a table of children (rows) by these places."""
-        b, n = self.base, len(rank)
-        leaf = rank // b
-        top = leaf // b
-        for first, node, child in ((0, rank * 0, top), (1, top, leaf - top * b), (1 + b, leaf, rank - leaf * b)):
-            new = np.concatenate(([True], node[1:] != node[:-1])) if n else np.zeros(0, bool)
-            start = np.flatnonzero(new)
-            if len(start) < n:  # more of one node than is worked on at once
-                new |= (np.arange(n) - np.repeat(start, np.diff(np.append(start, n)))) % STRETCH == 0
-                start = np.flatnonzero(new)
-            many = np.diff(np.append(start, n))
-            where = child * np.repeat(many, many) + np.arange(n) - np.repeat(start, many)
-            for i, j, k in zip(start.tolist(), many.tolist(), (first + node[start]).tolist()):
-                yield k, i, i + j, where[i:i + j]
+        in ``rank``, and where the child each takes lies in a table of children
+        (rows) by these places."""
+        child = self.children(rank)
+        for level, node, a, b in zip(*(x.tolist() for x in self.runs(rank))):
+            yield node, a, b, child[level * len(rank) + a:level * len(rank) + b] * (b - a) + np.arange(b - a)
+
+    def blocks(self, rank: np.ndarray, own: np.ndarray, whole: tuple[np.ndarray, np.ndarray]):
+        """Down the tree for ascending ranks and their hidden states (columns,
+        with a last row of ones): the nodes, their levels, the places from and
+        up to, the weights, the states and the powers of each (a matrix a node),
+        their sums, where the children taken lie in the powers, and which of the
+        columns are places of the node (None: all). Nodes of many places come by
+        themselves, those of few together, filled up to the same width."""
+        level, node, start, end = self.runs(rank)
+        child, step, (weights, tame) = self.children(rank), np.arange(max(STRETCH, *WIDTHS)), whole
+        size, at = end - start, 0
+        for i in np.flatnonzero(size > WIDTHS[-1]).tolist():
+            a, b = int(start[i]), int(end[i])
+            w, x = weights[node[i]][None], own[None, :, a:b]
+            z, sums = self._powers(w, tame[node[i]], x)
+            taken = child[level[i] * len(rank) + a:level[i] * len(rank) + b] * (b - a)
+            taken += step[:b - a]
+            yield node[i:i + 1], level[i:i + 1], start[i:i + 1], end[i:i + 1], w, x, z, sums, taken, None
+        for width in WIDTHS:
+            few = np.flatnonzero((size > at) & (size <= width))
+            at = width
+            for i in (few[j:j + TOGETHER // width] for j in range(0, len(few), TOGETHER // width)):
+                place = start[i][:, None] + step[:width]
+                live = place < end[i][:, None]
+                np.minimum(place, len(rank) - 1, out=place)
+                w = weights[node[i]]
+                x = self._drawn(own, place.ravel(), len(own)).reshape(len(own), len(i), width).transpose(1, 0, 2)
+                z, sums = self._powers(w, tame[node[i]].all(), x)
+                place += (level[i] * len(rank))[:, None]
+                taken = (child.take(place) + step[:len(i), None] * self.base) * width + step[:width]
+                yield node[i], level[i], start[i], end[i], w, x, z, sums, taken[live], live
 
     def walk(self, rank: np.ndarray) -> Iterator[tuple[int, slice, np.ndarray]]:
         """(node, its places in ``rank``, the child each takes) down the tree,
@@ -184,7 +244,7 @@ class Model:
         z *= 1 / z.sum(axis=0)
         return z
 
-    def whole(self) -> tuple[np.ndarray, list[bool]]:
+    def whole(self) -> tuple[np.ndarray, np.ndarray]:
         """Weights of every node with the shift as one more column, and whether
         ``exp`` can do without the greatest of each state. As a hidden state has
         no entry beyond 1, the weights bound what a child gets; shifts are less
@@ -193,38 +253,34 @@ class Model:
         reach = np.abs(w).sum(axis=2)
         low = (self.parts[3] - reach).max(axis=1)
         high = (self.parts[3] + reach).max(axis=1)
-        return np.concatenate((w, (self.parts[3] - low[:, None])[:, :, None]), axis=2), (high - low < 80).tolist()
+        return np.concatenate((w, (self.parts[3] - low[:, None])[:, :, None]), axis=2), high - low < 80
 
     @staticmethod
     def _powers(weights: np.ndarray, tame: bool, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shares of the children (rows) up to a factor, and their sums, for
-        hidden states (rows) with a last column of ones."""
-        z = weights @ own.T
+        hidden states (columns) with a last row of ones: a matrix a node."""
+        z = weights @ own
         if not tame:
-            z -= z.max(axis=0)
+            z -= z.max(axis=1, keepdims=True)
         np.exp(z, out=z)
-        return z, z.sum(axis=0)
-
-    @staticmethod
-    def _own(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Hidden states of the places ``at``, with a last column of ones."""
-        own = np.ones((len(at), DIM + 1), np.float32)
-        own[:, :DIM] = np.ascontiguousarray(h).take(at, axis=0)
-        return own
+        return z, np.add.reduce(z, axis=1)
 
     def log_p(self, docs: list[bytes]) -> list[float]:
         """Sum of log p of every token given its window, for each document."""
         seq, size = self.sequence(docs)
         out = np.zeros(len(seq))
-        weights, tame = self.whole()
+        whole = self.whole()
         for k, (part, at) in enumerate(self.pieces(seq, lambda: SCORED)):
-            own = self._own(self.hidden(part)[1], at)
-            p = np.ones(len(at))
-            for node, a, b, where in self.visits(part[SIDE + at]):
-                z, sums = self._powers(weights[node], tame[node], own[a:b])
-                got = z.ravel().take(where)
-                got /= sums
-                p[a:b] *= np.maximum(got, 1e-30, out=got)
+            own, p = self._drawn(self.hidden(part)[1].T, at, DIM + 1), np.ones(len(at))
+            shares = np.empty((3, len(at)), np.float32)
+            for _, level, start, end, _, _, z, sums, taken, live in self.blocks(part[SIDE + at], own, whole):
+                got = z.ravel().take(taken, mode="clip")
+                got /= sums[0] if live is None else sums[live]
+                cuts = np.cumsum(end - start).tolist()
+                for i, a, b, c in zip(level.tolist(), start.tolist(), end.tolist(), cuts):
+                    shares[i, a:b] = got[c - b + a:c]
+            for got in np.maximum(shares, 1e-30, out=shares):
+                p *= got
             out[SIDE + k * SCORED + at] = np.log(p)
         total = np.concatenate(([0.0], np.cumsum(out)))
         start = SIDE + np.concatenate(([0], np.cumsum(size + SIDE)[:-1])).astype(np.int64)
@@ -241,37 +297,54 @@ class Model:
             if not len(at):
                 continue
             x, hidden = self.hidden(part)
-            own, n, x = self._own(hidden, at), len(part) - 2 * SIDE, x.T
-            h, (weights, tame) = np.ascontiguousarray(own[:, :DIM]), self.whole()
-            back, nodes, grads, times = np.zeros((len(at), DIM), np.float32), [], [], []
-            for node, a, b, where in self.visits(part[SIDE + at]):
-                z, sums = self._powers(weights[node], tame[node], own[a:b])
-                z *= 1 / sums
-                z.ravel()[where] -= 1
-                back[a:b] += z.T @ weights[node, :, :DIM]
+            own, n, x = self._drawn(hidden.T, at, DIM + 1), len(part) - 2 * SIDE, x.T
+            back, nodes, grads, times = [self._rows(DIM, len(at) + k) for k in (1, 0, 0)], [], [], []
+            for node, level, start, end, w, h, z, sums, taken, live in self.blocks(part[SIDE + at], own, self.whole()):
+                np.reciprocal(sums, out=sums)
+                if live is not None:
+                    sums *= live
+                z *= sums[:, None]
+                z.reshape(-1)[taken] -= 1
+                w = w[:, :, :DIM].transpose(0, 2, 1)
+                if live is None:
+                    np.matmul(w[0], z[0], out=back[level[0]][:, start[0]:end[0]])
+                else:
+                    for k, a, b, share in zip(level.tolist(), start.tolist(), end.tolist(), w @ z):
+                        back[k][:, a:b] = share[:, :b - a]
                 nodes.append(node)
-                grads.append(z @ own[a:b])
-                times.append(b - a)
+                grads.append(z @ h.transpose(0, 2, 1))
+                times.append(end - start)
             # every node once a minibatch, all of them at once
-            nodes, first = np.unique(nodes, return_index=True)
-            grads = np.add.reduceat(np.array(grads), first, axis=0) / np.float32(len(at))
+            nodes, grads = np.concatenate(nodes), np.concatenate(grads)
+            order = np.argsort(nodes, kind="stable")
+            nodes, first = np.unique(nodes[order], return_index=True)
+            grads = np.add.reduceat(grads[order], first, axis=0) / np.float32(len(at))
             self._step(2, nodes, grads[:, :, :DIM].reshape(len(nodes), -1))
             self._step(3, nodes, grads[:, :, DIM])
-            self.used[2][nodes] += np.add.reduceat(np.array(times, np.float32), first)
-            d = np.zeros((n, DIM), np.float32)
-            back *= 1 - h * h
-            back /= len(at)
-            d[at] = back
-            d, w = np.ascontiguousarray(d.T), self.taps()
+            self.used[2][nodes] += np.add.reduceat(np.concatenate(times)[order], first)
+            h = own[:DIM]
+            h *= h
+            np.subtract(1, h, out=h)
+            h /= len(at)
+            back, middle, low = back
+            back[:, -1] = 0
+            for total, k, m, slope in zip(back[:, :-1], middle, low, h):
+                total += k
+                total += m
+                total *= slope
+            # 0 at places without a token, and beyond both ends
+            place = np.full(n + 4 * SIDE, len(at))
+            place[2 * SIDE + at] = np.arange(len(at))
+            d, w = self._drawn(back, place), self.taps()
             dx, dw = np.empty_like(x), np.empty_like(w)
             for k in range(DIM):
-                dw[k] = np.correlate(x[k], d[k], "valid")
-                dx[k] = np.convolve(d[k], w[k])
+                dw[k] = np.correlate(x[k], d[k, 2 * SIDE:-2 * SIDE], "valid")
+                dx[k] = np.correlate(d[k], w[k, ::-1], "valid")
             order = self.order(part)
             token = part[order]
             first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
             times, token = np.diff(np.append(first, len(token))), token[first]
-            self._step(0, token, np.add.reduceat(dx.take(order, axis=1), first, axis=1).T)
+            self._step(0, token, np.add.reduceat(self._drawn(dx, order), first, axis=1).T)
             self._step(1, 0, dw.T[PLACES].reshape(-1))
             self.used[0][token] += times
             self.used[1] += len(at)

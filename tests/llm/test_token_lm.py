@@ -149,3 +149,68 @@ def test_wide_weights_do_not_overflow(spark):
     model.parts[2] /= 6
     want = [_plain_log_p(model, np.frombuffer(d, "<u4").tolist()) for d in docs]
     assert np.allclose(model.log_p(docs), want, rtol=1e-3)
+
+
+def _fresh(size, seed=4):
+    """An untrained network of ``size`` tokens with weights of every node, ready to learn."""
+    rng = np.random.default_rng(seed)
+    model = token_lm.Model(np.arange(size), np.sort(rng.integers(1, 1000, size))[::-1])
+    model.parts[2] = rng.normal(0, 0.3, model.parts[2].shape).astype(np.float32)
+    model.steps, model.seen = 0, [np.zeros_like(p) for p in model.parts]
+    model.used = [np.zeros(len(p), np.float32) for p in model.parts]
+    return model
+
+
+def _skewed(n, size, seed=6):
+    """Few tokens often, most of the ``size`` once or twice, one never seen."""
+    rng = np.random.default_rng(seed)
+    return np.append((size * rng.random(n) ** 5).astype("<u4"), np.array([size + 9], "<u4"))
+
+
+def test_nodes_of_few_places_are_worked_on_together(monkeypatch):
+    model, doc = _fresh(4000), _skewed(8000, 4000).tobytes()
+    part, at = next(model.pieces(model.sequence([doc])[0]))
+    visited = sum(1 for _ in model.visits(part[token_lm.SIDE + at]))
+    calls, powers = [], token_lm.Model._powers
+    monkeypatch.setattr(token_lm.Model, "_powers", staticmethod(lambda *a: calls.append(1) or powers(*a)))
+    got = model.log_p([doc])[0]
+    assert visited > 150 and len(calls) < visited / 3
+    assert np.isclose(got, _plain_log_p(model, np.frombuffer(doc, "<u4").tolist()), rtol=1e-4)
+    calls.clear()
+    monkeypatch.setattr(token_lm.Model, "growing", lambda self: token_lm.PIECE)  # one minibatch
+    model.learn([doc])
+    assert len(calls) < visited / 3
+
+
+def test_one_minibatch_has_the_plain_gradient():
+    model, side, dim = _fresh(700), token_lm.SIDE, token_lm.DIM
+    docs = [_skewed(500, 700, 1), _skewed(1, 700, 2)[:1], _skewed(460, 700, 3)]
+    parts, b = [p.astype(float) for p in model.parts], model.base
+    want, used = [np.zeros_like(p) for p in parts], [np.zeros(len(p)) for p in parts]
+    seq, size = model.sequence([d.tobytes() for d in docs])
+    for k in np.flatnonzero(seq != model.edge):
+        r, near = seq[k], np.delete(seq[k - side:k + side + 1], side)
+        w = parts[1].reshape(2 * side, dim)
+        h, dh = np.tanh((parts[0][near] * w).sum(axis=0)), np.zeros(dim)
+        for node, child in ((0, r // (b * b)), (1 + r // (b * b), r // b % b), (1 + b + r // b, r % b)):
+            v = parts[2][node].reshape(b, dim)
+            p = np.exp(v @ h + parts[3][node])
+            p /= p.sum()
+            p[child] -= 1
+            dh += p @ v
+            want[2][node] += np.outer(p, h).reshape(-1)
+            want[3][node] += p
+            used[2][node] += 1
+        dh *= 1 - h * h
+        np.add.at(want[0], near, dh * w)
+        want[1] += (dh * parts[0][near]).reshape(1, -1)
+    used[0], used[1] = np.bincount(seq, minlength=len(parts[0])), size.sum()
+    model.learn([d.tobytes() for d in docs])
+    # after one step Adagrad holds the squares
+    for i in range(4):
+        slope = want[i] / size.sum()
+        assert np.allclose(np.sqrt(model.seen[i]), abs(slope), rtol=2e-3, atol=2e-6), i
+        clear = abs(slope) > 1e-4
+        assert clear.any() and (np.sign(model.parts[i] - parts[i])[clear] == -np.sign(slope)[clear]).all()
+    for i in range(3):
+        assert (model.used[i] == used[i]).all(), i
