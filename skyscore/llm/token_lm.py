@@ -250,7 +250,7 @@ class Model:
         no entry beyond 1, the weights bound what a child gets; shifts are less
         what the greatest child gets at least."""
         w = self.parts[2].reshape(-1, self.base, DIM)
-        reach = np.abs(w).sum(axis=2)
+        reach = np.abs(w) @ np.ones(DIM, np.float32)
         low = (self.parts[3] - reach).max(axis=1)
         high = (self.parts[3] + reach).max(axis=1)
         return np.concatenate((w, (self.parts[3] - low[:, None])[:, :, None]), axis=2), high - low < 80
@@ -275,7 +275,10 @@ class Model:
             shares = np.empty((3, len(at)), np.float32)
             for _, level, start, end, _, _, z, sums, taken, live in self.blocks(part[SIDE + at], own, whole):
                 got = z.ravel().take(taken, mode="clip")
-                got /= sums[0] if live is None else sums[live]
+                if live is None:
+                    np.divide(got, sums[0], out=shares[level[0], start[0]:end[0]])
+                    continue
+                got /= sums[live]
                 cuts = np.cumsum(end - start).tolist()
                 for i, a, b, c in zip(level.tolist(), start.tolist(), end.tolist(), cuts):
                     shares[i, a:b] = got[c - b + a:c]
