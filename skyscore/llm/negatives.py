@@ -105,9 +105,9 @@ def build(rows: DataFrame) -> DataFrame:
 # --- kernels ---------------------------------------------------------------------
 
 
-def _unpacked(r: dict, p: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    ids, labels = np.frombuffer(r[f"{p}ids"], np.int64), np.frombuffer(r[f"{p}labels"], np.int64)
-    return ids, labels, np.frombuffer(r[f"{p}xs"], np.int64).reshape(len(ids), -1)
+def _unpacked(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids, labels = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["labels"], np.int64)
+    return ids, labels, np.frombuffer(r["xs"], np.int64).reshape(len(ids), -1)
 
 
 def products(a: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -177,9 +177,9 @@ def _anchors(positives: int, every: int):
 
 
 def _positive_rows(k: int):
-    def kernel(r):
+    def kernel(r, block):
         ids, labels, a = _unpacked(r)
-        bids, blabels, x = _unpacked(r, "b_")
+        bids, blabels, x = block
         s = products(a, x)
         ok = (blabels[None, :] == labels[:, None]) & (bids[None, :] != ids[:, None])
         i, j = leading(s, ok, k, np.frombuffer(r["least"], np.int64))
@@ -205,9 +205,9 @@ def _inside(score, positive):
 
 
 def _negative_rows(k: int):
-    def kernel(r):
+    def kernel(r, block):
         ids, labels, a = _unpacked(r)
-        bids, blabels, x = _unpacked(r, "b_")
+        bids, blabels, x = block
         at, pid, p, least = _windows(r)
         scores = products(a, x)
         keys = np.frombuffer(r["keys"], np.int64)
@@ -264,7 +264,7 @@ def mine(df: DataFrame, every: int = 100, positives: int = 5, negatives: int = 1
         _anchors(positives, every), f"cid long, w int, n int, {binary}, keys binary, least binary"), "anchors")
     zones = written(pages(blocks), "zones")
     found = scan(choose(chunks, zones, _may_hold_positive), chunks, blocks, _positive_rows(positives),
-                 "cid long, key long, anchor_id long, positive_id long, positive_score long")
+                 "cid long, key long, anchor_id long, positive_id long, positive_score long", _unpacked)
     first = Window.partitionBy("key").orderBy(F.desc("positive_score"), "positive_id")
     pos = written(found.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= positives), "positives")
 
@@ -283,7 +283,7 @@ def mine(df: DataFrame, every: int = 100, positives: int = 5, negatives: int = 1
 
     wanted = pos.select("cid", "key", "positive_id", "positive_score", F.lit(NONE).alias("least")).distinct()
     at_home = wanted.select("cid", F.shiftright("key", 10).alias("bid")).distinct()
-    home = ranked(scan(at_home, with_windows(wanted), blocks, _negative_rows(negatives), schema))
+    home = ranked(scan(at_home, with_windows(wanted), blocks, _negative_rows(negatives), schema, _unpacked))
     # other anchors' blocks are read on the way: a list's least counts its own block or more
     tenth = home.filter(F.col("rank") == negatives).select(
         F.col("key").alias("_k"), F.col("positive_id").alias("_p"), F.col("positive_score").alias("_s"),
@@ -292,7 +292,7 @@ def mine(df: DataFrame, every: int = 100, positives: int = 5, negatives: int = 1
         F.col("positive_score") == F.col("_s")), "left").select(
         "cid", "key", "positive_id", "positive_score", F.coalesce("_least", F.lit(NONE)).alias("least"))
     asked = written(with_windows(wanted), "windows")
-    out = ranked(scan(choose(asked, zones, _may_hold_negative), asked, blocks, _negative_rows(negatives), schema))
+    out = ranked(scan(choose(asked, zones, _may_hold_negative), asked, blocks, _negative_rows(negatives), schema, _unpacked))
 
     def named(c):
         return F.when(F.col(c) != NO_ID, F.col(c)).alias(c)

@@ -73,6 +73,19 @@ def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (x * q).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum()))
 
 
+def packed(x: np.ndarray) -> bytes:
+    """A matrix in single precision where that loses nothing."""
+    with np.errstate(over="ignore"):
+        single = x.astype(np.float32)
+    return (single if np.array_equal(single, x) else np.ascontiguousarray(x)).tobytes()
+
+
+def unpacked(r: dict) -> np.ndarray:
+    """The vectors of a block or a chunk in double precision."""
+    kind = np.float32 if len(r["xs"]) == 4 * r["n"] * r["w"] else np.float64
+    return np.frombuffer(r["xs"], kind).reshape(r["n"], -1).astype(float)
+
+
 def _cells(batches):
     """Rows with the signs of their first projections, so that near rows share
     a block more often."""
@@ -101,21 +114,22 @@ def _block_rows(batches):
         zone = np.concatenate((p[:, 0], p[:, -1]))
         yield pa.RecordBatch.from_arrays(
             [pa.array([block_number(part, made)], pa.int64()), pa.array([w], pa.int32()), pa.array([len(ids)], pa.int32()),
-             *[pa.array([np.ascontiguousarray(a).tobytes()], pa.binary()) for a in (ids, x, p, order, zone)]],
-            ["bid", "w", "n", "ids", "xs", "values", "orders", "zone"])
+             *[pa.array([a], pa.binary()) for a in (ids.tobytes(), packed(x), order.tobytes(), zone.tobytes())]],
+            ["bid", "w", "n", "ids", "xs", "orders", "zone"])
 
 
 class Arrays:
-    """The sorted arrays of one block."""
-
-    def __init__(self, r: dict, p: str = ""):
-        n = r[f"{p}n"]
-        self.n = n
-        self.ids = np.frombuffer(r[f"{p}ids"], np.int64)
-        self.x = np.frombuffer(r[f"{p}xs"]).reshape(n, -1)
-        self.values = np.frombuffer(r[f"{p}values"]).reshape(-1, n)
-        self.orders = np.frombuffer(r[f"{p}orders"], np.uint16).reshape(-1, n)
+    """The sorted arrays of one block; their values are projected again, by
+    the same product that gave their order."""
+
+    def __init__(self, r: dict):
+        self.n = r["n"]
+        self.ids = np.frombuffer(r["ids"], np.int64)
+        self.x = unpacked(r)
         self.units = unit(self.x)
+        self.orders = np.frombuffer(r["orders"], np.uint16).reshape(-1, self.n)
+        p = (self.units @ directions(r["w"])).T
+        self.values = np.take_along_axis(p, self.orders.astype(np.int64), axis=1)
 
     def search(self, ids: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int):
         """For each query (its id and vector, and a distance that k others are
@@ -137,23 +151,27 @@ class Arrays:
             reach = np.where(radius[todo] >= 2, np.inf, REACH * radius[todo] * (1 + 1e-12))
             lo = np.stack([np.searchsorted(self.values[j], at[todo, j] - reach) for j in range(m)])
             hi = np.stack([np.searchsorted(self.values[j], at[todo, j] + reach, "right") for j in range(m)])
+            # a row collides once in a window: with too few that hold any row none collides enough
+            full = (hi > lo).sum(axis=0) >= THRESHOLD
             open_ = []
             for c, i in enumerate(todo.tolist()):
-                new = [self.orders[j, a:b] for j in range(m) for a, b in ((lo[j, c], low[j, i]), (high[j, i], hi[j, c])) if b > a]
-                if new:
-                    before = hits[i] >= THRESHOLD
-                    hits[i] += np.bincount(np.concatenate(new), minlength=self.n).astype(np.uint8)
-                    fresh = np.flatnonzero((hits[i] >= THRESHOLD) & ~before & (self.ids != ids[i]))
-                    gap = self.units[fresh] - units[i]
-                    d = np.sqrt(np.einsum("ij,ij->i", gap, gap))
-                    near = d <= kth[i] * (1 + 1e-9) + 1e-9
-                    known[i], far[i] = np.append(known[i], fresh[near]), np.append(far[i], d[near])
-                    if len(far[i]) >= k:
-                        kth[i] = min(kth[i], np.partition(far[i], k - 1)[k - 1])
+                if full[c]:
+                    ends = zip(*(a.tolist() for a in (lo[:, c], low[:, i], high[:, i], hi[:, c])))
+                    new = [self.orders[j, a:b] for j, (p, q, r, s) in enumerate(ends) for a, b in ((p, q), (r, s)) if b > a]
+                    low[:, i], high[:, i] = lo[:, c], hi[:, c]
+                    if new:
+                        before = hits[i] >= THRESHOLD
+                        hits[i] += np.bincount(np.concatenate(new), minlength=self.n).astype(np.uint8)
+                        fresh = np.flatnonzero((hits[i] >= THRESHOLD) & ~before & (self.ids != ids[i]))
+                        gap = self.units[fresh] - units[i]
+                        d = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+                        near = d <= kth[i] * (1 + 1e-9) + 1e-9
+                        known[i], far[i] = np.append(known[i], fresh[near]), np.append(far[i], d[near])
+                        if len(far[i]) >= k:
+                            kth[i] = min(kth[i], np.partition(far[i], k - 1)[k - 1])
                 if radius[i] < 2 and kth[i] > radius[i]:
                     radius[i] = radius[i] * GROWTH if kth[i] > radius[i] * GROWTH else kth[i]
                     open_.append(c)
-            low[:, todo], high[:, todo] = lo, hi
             todo = todo[open_]
         return [a[d <= t * (1 + 1e-9) + 1e-9] for a, d, t in zip(known, far, kth)], kth
 
@@ -168,7 +186,7 @@ def _queries(every: int, k: int):
             key, ids, xs, kth = (np.concatenate(c) for c in zip(*held))
             return pa.RecordBatch.from_arrays(
                 [pa.array([int(key[0])], pa.int64()), pa.array([width], pa.int32()), pa.array([len(ids)], pa.int32()),
-                 *[pa.array([a.tobytes()], pa.binary()) for a in (ids, xs, key, kth)]],
+                 *[pa.array([a], pa.binary()) for a in (ids.tobytes(), packed(xs), key.tobytes(), kth.tobytes())]],
                 ["cid", "w", "n", "ids", "xs", "keys", "kth"])
         for r in rows(batches):
             b = Arrays(r)
@@ -189,7 +207,7 @@ def _queries(every: int, k: int):
 
 def _may_collide(r, zones):
     """Blocks whose value ranges meet THRESHOLD windows of a query or more."""
-    q, kth = np.frombuffer(r["xs"]).reshape(r["n"], -1), np.frombuffer(r["kth"])
+    q, kth = unpacked(r), np.frombuffer(r["kth"])
     at, reach = unit(q) @ directions(r["w"]), np.where(kth >= 2, np.inf, REACH * kth * (1 + 1e-12))[:, None]
     low, high = zones[:, 0], zones[:, 1]
     out = np.zeros(len(zones), bool)
@@ -199,10 +217,8 @@ def _may_collide(r, zones):
 
 
 def _found(k: int):
-    def kernel(r):
-        b = Arrays(r, "b_")
-        ids, keys = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["keys"], np.int64)
-        q = np.frombuffer(r["xs"]).reshape(r["n"], -1)
+    def kernel(r, b: Arrays):
+        ids, keys, q = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["keys"], np.int64), unpacked(r)
         places, _ = b.search(ids, q, np.frombuffer(r["kth"]), k)
         scores = [cosines(v, b.x[p]) for v, p in zip(q, places)]
         n = [len(p) for p in places]
@@ -230,11 +246,11 @@ def nearest(df: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     d = d.mapInArrow(_cells, "vec_id long, x array<double>, cell long").withColumn("_w", F.size("x"))
     d = d.repartitionByRange("_w", "cell", "vec_id", F.xxhash64("x")).sortWithinPartitions("_w", "cell", "vec_id", F.xxhash64("x"), "x")
     blocks = written(d.select("vec_id", "x").mapInArrow(
-        _block_rows, "bid long, w int, n int, ids binary, xs binary, values binary, orders binary, zone binary"), "sorted-arrays")
-    chunks = written(blocks.select("bid", "w", "n", "ids", "xs", "values", "orders").mapInArrow(
+        _block_rows, "bid long, w int, n int, ids binary, xs binary, orders binary, zone binary"), "sorted-arrays")
+    chunks = written(blocks.select("bid", "w", "n", "ids", "xs", "orders").mapInArrow(
         _queries(every, k), "cid long, w int, n int, ids binary, xs binary, keys binary, kth binary"), "queries")
     pairs = choose(chunks, pages(blocks), _may_collide)
-    found = scan(pairs, chunks, blocks, _found(k), "key long, query_id long, vec_id long, score double")
+    found = scan(pairs, chunks, blocks, _found(k), "key long, query_id long, vec_id long, score double", Arrays)
     first = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(first).cast("int")).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

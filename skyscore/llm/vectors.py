@@ -6,13 +6,14 @@ A *block* is one Parquet row: ``bid, w`` (components of its vectors), ``n``,
 ``ids``, ``xs`` and more columns as packed arrays, and ``zone`` (least and
 greatest value of each dimension, float64). A *chunk* is one row with up to a
 fixed number of queries: ``cid, w, n, ids, xs`` and more. Zones are packed into
-pages and chunks meet every page in lanes (an equi join on the lane), so that
-the choice moves no vectors of the searched rows; only chosen (chunk, block)
-pairs are joined to them.
+pages and chunks meet every page in a square (an equi join on its cells), so
+that the choice moves no vectors of the searched rows; only chosen chunks go to
+a group of blocks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 
 #: zones in one page
 PAGE = 64
+#: components of the vectors in one group of blocks
+GROUP = 1 << 22
 
 
 def whole(vector: str) -> Column:
@@ -96,12 +99,20 @@ def pages(blocks: DataFrame) -> DataFrame:
 def choose(chunks: DataFrame, zone_pages: DataFrame, needs: Callable[[dict, np.ndarray], np.ndarray]) -> DataFrame:
     """``cid, bid``: the blocks that a chunk must read. ``needs(chunk, zones)``
     gets a page's zones (blocks, 2, dimensions: least, greatest) and says for
-    each block whether one of the chunk's queries may find something there."""
+    each block whether one of the chunk's queries may find something there.
+
+    Chunks and pages meet in a square of about 2 x the shuffle partitions: each
+    side is repeated for the other's part of the square only. Spark knows the
+    size of what is repeated as that of the compressed file it comes from, so
+    it is kept from broadcasting it through the driver."""
     spark = chunks.sparkSession
-    lanes = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    everywhere = chunks.withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    laned = zone_pages.withColumn("_lane", F.pmod(F.xxhash64("page"), F.lit(lanes)).cast("int")).drop("page")
-    met = everywhere.join(laned.withColumnRenamed("w", "_w"), ["_lane"]).filter("w = _w")
+    side = math.isqrt(2 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1) + 1
+
+    def spread(d: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        return d.withColumn(own, F.pmod(F.xxhash64(key), F.lit(side)).cast("int")).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.lit(side - 1))))
+    laned = spread(zone_pages, "page", "_z", "_c").drop("page").withColumnRenamed("w", "_w")
+    met = spread(chunks, "cid", "_c", "_z").join(laned.hint("merge"), ["_c", "_z"]).filter("w = _w")
 
     def run(batches):
         for r in rows(batches):
@@ -112,17 +123,40 @@ def choose(chunks: DataFrame, zone_pages: DataFrame, needs: Callable[[dict, np.n
     return met.mapInArrow(run, "cid long, bid long")
 
 
-def scan(pairs: DataFrame, chunks: DataFrame, blocks: DataFrame, kernel, schema: str) -> DataFrame:
-    """``kernel(row)`` over every pair of a chunk (its columns) and a block (its
-    columns prefixed ``b_``); it returns the arrays of one Arrow batch."""
+def group_bits(blocks: DataFrame) -> int:
+    """Blocks whose numbers differ in so many last bits only are searched
+    together: as many as leave each shuffle partition a group, and no more than
+    ``GROUP`` components a group."""
+    n, most = blocks.agg(F.count(F.lit(1)), F.max(F.col("n").cast("long") * F.col("w"))).first()
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(n // parts, GROUP // (most or 1))).bit_length() - 1
+
+
+def scan(pairs: DataFrame, chunks: DataFrame, blocks: DataFrame, kernel, schema: str, load=lambda b: b) -> DataFrame:
+    """``kernel(chunk, load(block))`` over every pair of a chunk and a block
+    (their columns); it returns the arrays of one Arrow batch.
+
+    A chunk goes once to each group of blocks that it must read. A task holds
+    one group, each block loaded once, and the group's chunks pass by; neither
+    side goes through the driver."""
     spark = pairs.sparkSession
     tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    named = blocks.select(*[F.col(c).alias(f"b_{c}") for c in blocks.columns if c != "zone"])
-    d = pairs.join(chunks, "cid").repartition(tasks, "bid").join(
-        named.repartition(tasks, "b_bid"), F.col("bid") == F.col("b_bid"))
+    group = F.shiftright(F.col("bid") - 1, group_bits(blocks)).alias("_group")  # numbers begin at 1
+    asked = pairs.groupBy("cid", group).agg(F.collect_list("bid").alias("_bids")).join(chunks.hint("merge"), "cid")
+    asked = asked.select("_group", "_bids", F.struct(*chunks.columns).alias("_chunk"))
+    held = blocks.select(group, F.struct(*[c for c in blocks.columns if c != "zone"]).alias("_block"))
+    d = held.unionByName(asked, allowMissingColumns=True).repartition(tasks, "_group").sortWithinPartitions(
+        "_group", F.col("_block").isNull())
 
     def run(batches):
+        at, loaded = None, {}
         for r in rows(batches):
-            yield from kernel(r)
+            if r["_group"] != at:
+                at, loaded = r["_group"], {}
+            if r["_block"] is not None:
+                loaded[r["_block"]["bid"]] = load(r["_block"])
+            else:
+                for bid in r["_bids"]:
+                    yield from kernel(r["_chunk"], loaded[bid])
 
     return d.mapInArrow(run, schema)

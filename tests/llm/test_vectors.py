@@ -2,11 +2,12 @@
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from skyscore.llm import negatives, neighbours, whiten
-from skyscore.llm.vectors import choose, pages
+from skyscore.llm import negatives, neighbours, vectors, whiten
+from skyscore.llm.vectors import choose, group_bits, pages, scan
 
 SF = "/root/testdata/sf0.001"
 INF, NAN = float("inf"), float("nan")
@@ -79,6 +80,60 @@ def test_neighbours_recall_and_scores(spark, monkeypatch):
             assert s == neighbours.cosines(x[q], x[c][None])[0]
 
 
+def test_neighbours_broadcast_nothing(spark, odd):
+    """Repeated chunks are taken for as small as the compressed file they come
+    from: nothing of a search may be broadcast through the driver."""
+    found = neighbours.nearest(odd, 50, 5)
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) > 0
+    planned = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in planned and "Broadcast" not in planned
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_chunks_meet_each_block_once_and_go_once_to_a_group(spark, monkeypatch):
+    blocks = spark.createDataFrame(
+        [((p << 32) + i, 2, 3, bytes([p, i]), bytes(32)) for p in range(3) for i in range(1, 51)],
+        "bid long, w int, n int, ids binary, zone binary").repartition(3)
+    chunks = spark.createDataFrame([(c, 2, bytes([c])) for c in range(40)], "cid long, w int, q binary")
+    pairs = choose(chunks, pages(blocks), lambda r, zones: np.ones(len(zones), bool))
+    want = sorted((c["cid"], b["bid"]) for c in chunks.collect() for b in blocks.collect())
+    assert sorted(map(tuple, pairs.collect())) == want
+    sent = pairs.filter("(cid + bid) % 3 > 0")
+
+    def kernel(r, b):
+        yield pa.RecordBatch.from_arrays([pa.array([r["cid"]]), pa.array([b["bid"]]), pa.array([r["q"] + b["ids"]])], ["cid", "bid", "both"])
+    sizes = []
+    for most in (1, 24, 1 << 20):
+        monkeypatch.setattr(vectors, "GROUP", most)
+        sizes.append(group_bits(blocks))
+        got = sorted(map(tuple, scan(sent, chunks, blocks, kernel, "cid long, bid long, both binary").collect()))
+        assert got == [(c, b, bytes([c, b >> 32, b & 255])) for c, b in want if (c + b) % 3]
+    assert sizes == [0, 2, 4]  # 150 blocks of six components, eight shuffle partitions
+
+
+def test_neighbours_small_windows_are_as_before(spark):
+    """Copies leave windows of no width; they and near rows are still found."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 8)).astype(np.float32).astype(float)
+    rows = [(i, [float(v) for v in x[i % 60]], 0) for i in range(600)] + [(1000 + i, [0.1, 0.2, float(i)], 0) for i in range(7)]
+    got: dict = {}
+    for r in neighbours.nearest(spark.createDataFrame(rows, KIND), 50, 12).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q, lists in _exact(rows, 50, 12).items():
+        mine = sorted(got[q])
+        assert [b for _, b, _ in mine][:9] == [c for c, _ in lists[0]][:9]
+        assert np.allclose([s for *_, s in mine], [s for _, s in lists[0]], rtol=0, atol=1e-15)
+
+
+def test_vectors_are_packed_without_loss():
+    for x in (np.array([[0.1, -0.0], [1e200, 1.0]]), np.array([[0.5, -0.0], [1e30, 2.0 ** -140]])):
+        r = {"n": 2, "w": 2, "xs": neighbours.packed(x)}
+        back = neighbours.unpacked(r)
+        assert back.dtype == float and back.tobytes() == x.tobytes()
+    assert len(r["xs"]) in (16, 32)
+
+
 def test_threshold_is_a_binomial_quantile():
     rng = np.random.default_rng(1)
     p = 0.6826894921370859
