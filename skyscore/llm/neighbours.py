@@ -213,6 +213,8 @@ def _may_collide(r, zones):
     out = np.zeros(len(zones), bool)
     for a, t in zip(at, reach):
         out |= ((low <= a + t) & (high >= a - t)).sum(axis=1) >= THRESHOLD
+        if out.all():
+            break
     return out
 
 
